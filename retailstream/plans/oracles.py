@@ -140,3 +140,268 @@ SELECT dt, metric,
        coalesce(max(CASE WHEN flag = 'new' THEN value END), CAST(0 AS DECIMAL(38,2))) AS new,
        coalesce(max(CASE WHEN flag = 'old' THEN value END), CAST(0 AS DECIMAL(38,2))) AS old
 FROM long GROUP BY dt, metric""")
+
+# -- raw click-log lines, in SQL (same template as the Spark adapter) ------------
+RAW_LOG = PAGE_LOG + """,
+lines AS (
+  SELECT seq, event_type, mid, is_new, page_id, last_page_id, ts, k,
+         '{"common":{"mid":"' || mid || '","is_new":"' || is_new || '","vc":"' || vc || '","ch":"' || ch
+           || '","ar":"' || ar || '"}' AS common_txt,
+         during_time, item, item_type
+  FROM page_log
+),
+raw AS (
+  SELECT seq, event_type, mid, is_new, page_id, last_page_id, ts, k,
+    CASE WHEN event_type = 'signup' THEN
+           common_txt || ',"start":{"entry":"icon","loading_time":' || CAST(during_time AS VARCHAR)
+           || ',"open_ad_id":"' || k || '"},"ts":' || CAST(ts AS VARCHAR) || '}'
+         ELSE
+           common_txt || ',"page":{"page_id":"' || page_id || '","last_page_id":'
+           || coalesce('"' || last_page_id || '"', 'null') || ',"item":' || coalesce('"' || item || '"', 'null')
+           || ',"item_type":' || coalesce('"' || item_type || '"', 'null')
+           || ',"during_time":' || CAST(during_time AS VARCHAR) || '},"displays":'
+           || CASE WHEN event_type = 'view' THEN '[{"item":"' || k || '","item_type":"sku_id"},{"item":"'
+                                                || mid || '","item_type":"activity"}]'
+                   WHEN event_type = 'click' THEN '[]' ELSE 'null' END
+           || ',"ts":' || CAST(ts AS VARCHAR)
+           || CASE WHEN event_type = 'error' THEN '' ELSE '}' END
+    END AS value
+  FROM lines
+),
+clean AS (
+  SELECT *, CASE WHEN is_new = '1' AND row_number() OVER (PARTITION BY mid, is_new ORDER BY seq) > 1
+                 THEN '0' ELSE is_new END AS is_new_fixed
+  FROM raw WHERE json_valid(value)
+)"""
+
+ORACLES["dirty_split"] = "WITH " + RAW_LOG + "\nSELECT seq, value FROM raw WHERE NOT json_valid(value)"
+
+ORACLES["start_page_split"] = "WITH " + RAW_LOG + """
+SELECT seq, CASE WHEN event_type = 'signup' THEN 'start' ELSE 'page' END AS route, mid,
+       is_new_fixed AS is_new,
+       CASE WHEN event_type = 'signup' THEN NULL ELSE page_id END AS page_id,
+       CASE WHEN event_type = 'signup' THEN NULL ELSE last_page_id END AS last_page_id,
+       CASE WHEN event_type = 'signup' THEN 'icon' END AS start_entry, ts
+FROM clean"""
+
+ORACLES["display_explode"] = "WITH " + RAW_LOG + """
+SELECT seq, mid, page_id, k AS item, 'sku_id' AS item_type, ts FROM clean WHERE event_type = 'view'
+UNION ALL
+SELECT seq, mid, page_id, mid AS item, 'activity' AS item_type, ts FROM clean WHERE event_type = 'view'"""
+
+# -- orders, payments, dimensions ------------------------------------------------
+DAY = 86_400_000
+AS_OF_SQL = "TIMESTAMP '2024-06-01 00:00:00'"
+AS_OF_S = 1_717_200_000
+
+SHOP = """
+oi AS (
+  SELECT o.o_orderkey AS id, CAST(c.c_nationkey AS BIGINT) AS province_id, o.o_custkey AS user_id,
+         o.o_orderstatus AS order_status, CAST(o.o_totalprice AS DECIMAL(18,2)) AS total_amount,
+         CAST(o.o_totalprice AS DECIMAL(18,2)) AS original_total_amount, CAST(0 AS DECIMAL(18,2)) AS feight_fee,
+         strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS create_time,
+         strftime(o.o_orderdate, '%Y-%m-%d') AS create_date, strftime(o.o_orderdate, '%H') AS create_hour,
+         epoch_us(o.o_orderdate) // 1000 AS create_ts
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+),
+od AS (
+  SELECT CAST(l_linenumber AS BIGINT) AS id, l_orderkey AS order_id, l_partkey AS sku_id,
+         CAST(l_quantity AS BIGINT) AS sku_num, CAST(l_extendedprice AS DECIMAL(18,2)) AS order_price,
+         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2))
+           AS split_total_amount,
+         epoch_us(l_shipdate) // 1000 AS d_ts
+  FROM lineitem
+),
+users AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
+         CAST((epoch_us(""" + AS_OF_SQL + """) // 1000
+               - epoch_us(CAST(DATE '1950-01-01' + CAST(c_custkey * 37 % 20000 AS INTEGER) AS TIMESTAMP)) // 1000)
+              // 31536000000 AS INTEGER) AS age
+  FROM customer
+),
+prov AS (
+  SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name, r_name AS area_code,
+         'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS iso_code,
+         substr(r_name, 1, 2) || '-' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS iso_3166_2
+  FROM nation LEFT JOIN region ON n_regionkey = r_regionkey
+),
+sku AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS sku_name,
+         CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) AS price,
+         p_name AS spu_id, p_brand AS tm_id, p_type AS category3_id
+  FROM part
+),
+spu AS (SELECT DISTINCT p_name AS id, p_name AS spu_name FROM part),
+tm AS (SELECT DISTINCT p_brand AS id, p_brand AS tm_name FROM part),
+cat3 AS (SELECT DISTINCT p_type AS id, p_type AS name FROM part),
+ow AS (
+  SELECT d.id AS detail_id, o.id AS order_id, o.province_id, o.order_status, o.user_id, o.total_amount,
+         o.original_total_amount, o.feight_fee, o.create_time, o.create_date, o.create_hour, o.create_ts,
+         d.sku_id, s.sku_name, d.order_price, d.sku_num, d.split_total_amount,
+         u.gender AS user_gender, u.age AS user_age,
+         p.name AS province_name, p.area_code AS province_area_code, p.iso_code AS province_iso_code,
+         p.iso_3166_2 AS province_3166_2_code,
+         s.category3_id, s.spu_id, s.tm_id, sp.spu_name, c3.name AS category3_name, t.tm_name
+  FROM oi o JOIN od d ON o.id = d.order_id
+       AND d.d_ts BETWEEN o.create_ts - """ + str(5 * DAY) + """ AND o.create_ts + """ + str(5 * DAY) + """
+  LEFT JOIN users u ON CAST(o.user_id AS VARCHAR) = u.id
+  LEFT JOIN prov p ON CAST(o.province_id AS VARCHAR) = p.id
+  LEFT JOIN sku s ON CAST(d.sku_id AS VARCHAR) = s.id
+  LEFT JOIN spu sp ON s.spu_id = sp.id
+  LEFT JOIN cat3 c3 ON s.category3_id = c3.id
+  LEFT JOIN tm t ON s.tm_id = t.id
+),
+pi AS (
+  SELECT CAST(l.l_linenumber AS BIGINT) AS id, l.l_orderkey AS order_id, o.o_custkey AS user_id,
+         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS total_amount,
+         'line ' || CAST(l.l_linenumber AS VARCHAR) AS subject,
+         '11' || lpad(CAST(l.l_suppkey % 3 + 1 AS VARCHAR), 2, '0') AS payment_type,
+         strftime(l.l_shipdate, '%Y-%m-%d %H:%M:%S') AS create_time,
+         strftime(l.l_shipdate + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS callback_time,
+         epoch_us(l.l_shipdate) // 1000 AS payment_ts
+  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  WHERE l.l_linestatus = 'F'
+),
+pw AS (
+  SELECT p.id AS payment_id, p.order_id, p.user_id, p.total_amount, p.payment_type, p.subject, p.callback_time,
+         p.create_time AS payment_create_time, p.payment_ts, w.create_time AS order_create_time,
+         w.* EXCLUDE (order_id, user_id, total_amount, create_time)
+  FROM pi p JOIN ow w ON p.order_id = w.order_id
+       AND w.create_ts BETWEEN p.payment_ts - """ + str(15 * DAY) + """ AND p.payment_ts + """ + str(2 * DAY) + """
+)"""
+
+ORACLES["order_wide"] = "WITH " + SHOP + "\nSELECT * FROM ow"
+ORACLES["payment_wide"] = "WITH " + SHOP + "\nSELECT * FROM pw"
+ORACLES["dim_user_age"] = "WITH " + SHOP + """
+SELECT o_orderkey AS order_id, o_custkey AS user_id, u.gender AS user_gender, u.age AS user_age
+FROM orders LEFT JOIN users u ON CAST(o_custkey AS VARCHAR) = u.id"""
+
+
+def _bucket(ts: str, interval: str) -> str:
+    return f"time_bucket(INTERVAL {interval}, make_timestamp(({ts}) * 1000))"
+
+
+def _stt_edt(ts: str, interval: str) -> str:
+    b = _bucket(ts, interval)
+    return (f"strftime({b}, '%Y-%m-%d %H:%M:%S') AS stt, "
+            f"strftime({b} + INTERVAL {interval}, '%Y-%m-%d %H:%M:%S') AS edt")
+
+
+PRODUCT = "WITH " + PAGE_LOG + "," + SHOP + """,
+prow AS (
+  SELECT CAST(item AS BIGINT) AS sku_id, 1 AS click_ct, ts FROM page_log
+  WHERE page_id = 'good_detail' AND item_type = 'sku_id'
+  UNION ALL BY NAME
+  SELECT CAST(k AS BIGINT) AS sku_id, 1 AS display_ct, ts FROM page_log WHERE event_type = 'view'
+  UNION ALL BY NAME
+  SELECT CAST(k AS BIGINT) AS sku_id, 1 AS favor_ct, ts FROM page_log WHERE event_type = 'view'
+  UNION ALL BY NAME
+  SELECT CAST(k AS BIGINT) AS sku_id, 1 AS cart_ct, ts FROM page_log WHERE event_type = 'purchase'
+  UNION ALL BY NAME
+  SELECT sku_id, sku_num AS order_sku_num, CAST(total_amount AS DECIMAL(38,2)) AS order_amount,
+         order_id AS order_oid, create_ts AS ts FROM ow
+  UNION ALL BY NAME
+  SELECT sku_id, CAST(total_amount AS DECIMAL(38,2)) AS payment_amount, order_id AS paid_oid,
+         payment_ts AS ts FROM pw
+  UNION ALL BY NAME
+  SELECT l_partkey AS sku_id, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(38,2)) AS refund_amount,
+         l_orderkey AS refund_oid, epoch_us(l_shipdate) // 1000 AS ts FROM lineitem WHERE l_returnflag = 'R'
+  UNION ALL BY NAME
+  SELECT l_partkey AS sku_id, 1 AS comment_ct, CASE WHEN l_discount < 0.05 THEN 1 ELSE 0 END AS good_comment_ct,
+         epoch_us(l_shipdate) // 1000 AS ts FROM lineitem WHERE l_linestatus = 'F'
+),
+pagg AS (
+  SELECT """ + _stt_edt("ts", "1 DAY") + """, sku_id,
+         CAST(coalesce(sum(display_ct), 0) AS BIGINT) AS display_ct,
+         CAST(coalesce(sum(click_ct), 0) AS BIGINT) AS click_ct,
+         CAST(coalesce(sum(favor_ct), 0) AS BIGINT) AS favor_ct,
+         CAST(coalesce(sum(cart_ct), 0) AS BIGINT) AS cart_ct,
+         CAST(coalesce(sum(order_sku_num), 0) AS BIGINT) AS order_sku_num,
+         CAST(coalesce(sum(comment_ct), 0) AS BIGINT) AS comment_ct,
+         CAST(coalesce(sum(good_comment_ct), 0) AS BIGINT) AS good_comment_ct,
+         CAST(coalesce(sum(order_amount), 0) AS DECIMAL(38,2)) AS order_amount,
+         CAST(coalesce(sum(payment_amount), 0) AS DECIMAL(38,2)) AS payment_amount,
+         CAST(coalesce(sum(refund_amount), 0) AS DECIMAL(38,2)) AS refund_amount,
+         count(DISTINCT order_oid) AS order_ct, count(DISTINCT paid_oid) AS paid_order_ct,
+         count(DISTINCT refund_oid) AS refund_order_ct, min(ts) AS ts
+  FROM prow GROUP BY ALL
+),
+ps AS (
+  SELECT a.*, s.sku_name, CAST(s.price AS DECIMAL(18,2)) AS sku_price, s.spu_id, s.tm_id, s.category3_id,
+         sp.spu_name, c3.name AS category3_name, t.tm_name
+  FROM pagg a LEFT JOIN sku s ON CAST(a.sku_id AS VARCHAR) = s.id
+  LEFT JOIN spu sp ON s.spu_id = sp.id
+  LEFT JOIN cat3 c3 ON s.category3_id = c3.id
+  LEFT JOIN tm t ON s.tm_id = t.id
+)"""
+
+ORACLES["product_stats"] = PRODUCT + "\nSELECT * FROM ps"
+ORACLES["gmv"] = PRODUCT + """
+SELECT substr(stt, 1, 10) AS dt, CAST(sum(order_amount) AS DECIMAL(38,2)) AS gmv FROM ps GROUP BY 1"""
+
+
+def _topn(keys: list[str], extra: str = "") -> str:
+    k = ", ".join(keys)
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in keys)
+    return PRODUCT + f"""
+SELECT * FROM (
+  SELECT substr(stt, 1, 10) AS dt, {k}, CAST(sum(order_amount) AS DECIMAL(38,2)) AS order_amount{extra}
+  FROM ps GROUP BY ALL HAVING sum(order_amount) > 0
+) QUALIFY row_number() OVER (PARTITION BY dt ORDER BY order_amount DESC, {order}) <= 10"""
+
+
+ORACLES["brand_topn"] = _topn(["tm_id", "tm_name"])
+ORACLES["category_topn"] = _topn(["category3_id", "category3_name"])
+ORACLES["spu_topn"] = _topn(["spu_id", "spu_name"], ", CAST(sum(order_ct) AS BIGINT) AS order_ct")
+
+PROVINCE = "WITH " + SHOP + """,
+pstat AS (
+  SELECT """ + _stt_edt("create_ts", "1 DAY") + """, province_id, province_name, province_area_code,
+         province_iso_code, province_3166_2_code,
+         CAST(sum(total_amount) AS DECIMAL(38,2)) AS order_amount, count(DISTINCT order_id) AS order_count,
+         CAST(""" + str(AS_OF_S) + """ AS BIGINT) AS ts
+  FROM ow GROUP BY ALL
+)"""
+ORACLES["province_stats"] = PROVINCE + "\nSELECT * FROM pstat"
+ORACLES["province_totals"] = PROVINCE + """
+SELECT substr(stt, 1, 10) AS dt, province_id, province_name, CAST(sum(order_amount) AS DECIMAL(38,2)) AS order_amount
+FROM pstat GROUP BY ALL"""
+
+# RE2 twin of the tokenizer: a Han run, or a run of (non-Han letter | digit)
+TOKEN_RE2 = r"\p{Han}+|(?:[^\P{L}\p{Han}]|\p{N})+"
+
+
+def _kw(rows: str, text: str, source: str) -> str:
+    return f"""
+  SELECT keyword, CAST(count(*) AS BIGINT) AS ct, '{source}' AS source, {_stt_edt("ts", "1 HOUR")},
+         CAST({AS_OF_S} AS BIGINT) AS ts
+  FROM (SELECT unnest(regexp_extract_all(lower({text}), '{TOKEN_RE2}')) AS keyword, ts FROM {rows})
+  GROUP BY ALL"""
+
+
+KEYWORD = """
+search AS (
+  SELECT text, 1704067200000 + conv_id * 60000 + turn * 1000 AS ts FROM conversations WHERE role = 'user'
+),
+kstat AS (""" + _kw("search", "text", "SEARCH") + """
+)"""
+ORACLES["keyword_stats"] = "WITH " + KEYWORD + "\nSELECT * FROM kstat"
+ORACLES["keyword_score"] = "WITH " + PAGE_LOG + "," + SHOP + "," + KEYWORD + """,
+ord_words AS (SELECT sku_name, create_ts AS ts FROM ow),
+cart_words AS (SELECT s.sku_name, p.ts FROM page_log p LEFT JOIN sku s ON p.k = s.id
+               WHERE p.event_type = 'purchase'),
+click_words AS (SELECT s.sku_name, p.ts FROM page_log p LEFT JOIN sku s ON p.item = s.id
+                WHERE p.page_id = 'good_detail' AND p.item_type = 'sku_id'),
+allk AS (
+  SELECT * FROM kstat
+  UNION ALL""" + _kw("ord_words", "sku_name", "ORDER") + """
+  UNION ALL""" + _kw("cart_words", "sku_name", "CART") + """
+  UNION ALL""" + _kw("click_words", "sku_name", "CLICK") + """
+)
+SELECT dt, keyword, ct FROM (
+  SELECT substr(stt, 1, 10) AS dt, keyword,
+         CAST(sum(ct * CASE source WHEN 'SEARCH' THEN 10 WHEN 'ORDER' THEN 3 WHEN 'CART' THEN 2
+                                   WHEN 'CLICK' THEN 1 ELSE 0 END) AS BIGINT) AS ct,
+         sum(ct) AS raw_ct
+  FROM allk GROUP BY ALL
+) QUALIFY row_number() OVER (PARTITION BY dt ORDER BY raw_ct DESC, keyword ASC) <= 20"""

@@ -77,3 +77,198 @@ QUERIES = {
     "visitor_by_flag": q_visitor_by_flag,
     "visitor_flag_table": q_visitor_flag_table,
 }
+
+
+# ---------------------------------------------------------------------------
+# raw click log: parse, repair, split
+# ---------------------------------------------------------------------------
+
+def _parsed_log(spark, sf):
+    from retailstream.operators import logs
+    raw = A.raw_log(Catalog(spark, sf).events)
+    return logs.split_dirty(logs.parse_json(raw))
+
+
+def q_dirty_split(spark, sf):
+    _, dirty = _parsed_log(spark, sf)
+    return dirty.select("seq", "value")
+
+
+def _routed(spark, sf):
+    from retailstream.operators import logs
+    clean, _ = _parsed_log(spark, sf)
+    flat = logs.flatten(clean, keep=("seq", "value"))
+    return logs.route_start_page(visits.repair_new_visitor(flat))
+
+
+def q_start_page_split(spark, sf):
+    r = _routed(spark, sf)
+    return r.select("seq", "route", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"),
+                    F.col("page.page_id").alias("page_id"), F.col("page.last_page_id").alias("last_page_id"),
+                    F.col("start")["entry"].alias("start_entry"), "ts")
+
+
+def q_display_explode(spark, sf):
+    from retailstream.operators import logs
+    r = _routed(spark, sf)
+    d = logs.explode_displays(r.where(F.col("route") == "page"))
+    return d.select("seq", F.col("common.mid").alias("mid"), "page_id", "item", "item_type", "ts")
+
+
+QUERIES.update({
+    "dirty_split": q_dirty_split,
+    "start_page_split": q_start_page_split,
+    "display_explode": q_display_explode,
+})
+
+
+# ---------------------------------------------------------------------------
+# orders, payments, dimensions
+# ---------------------------------------------------------------------------
+
+from retailstream.operators import dims, orders  # noqa: E402
+
+DAY_MS = 86_400_000
+# Test-scale: order dates are midnights, so seconds become days.
+ORDER_DETAIL_BOUNDS = (-5 * DAY_MS, 5 * DAY_MS)      # reference: -5 s, +5 s
+PAYMENT_ORDER_BOUNDS = (-15 * DAY_MS, 2 * DAY_MS)    # reference: -15 min, +2 s
+PRODUCT_WINDOW = "1 day"                             # reference: 10 s
+PROVINCE_WINDOW = "1 day"
+KEYWORD_WINDOW = "1 hour"
+AS_OF = "2024-06-01 00:00:00"        # fixed "now" for ages and processing-time ts
+AS_OF_S = 1_717_200_000              # the same instant in epoch seconds
+
+
+def _as_of():
+    return F.lit(AS_OF).cast("timestamp_ntz")
+
+
+def order_wide_df(spark, sf) -> DataFrame:
+    c = Catalog(spark, sf)
+    oi = orders.order_time_fields(A.order_info(c.orders, c.customer))
+    ow = orders.order_wide(oi, A.order_detail(c.lineitem), *ORDER_DETAIL_BOUNDS)
+    ow = dims.enrich_user(ow, A.dim_user_info(c.customer), _as_of())
+    ow = dims.enrich_province(ow, A.dim_base_province(c.nation, c.region))
+    return dims.enrich_product(ow, A.dim_sku_info(c.part), A.dim_spu_info(c.part), A.dim_base_trademark(c.part),
+                               A.dim_base_category3(c.part))
+
+
+def payment_wide_df(spark, sf) -> DataFrame:
+    c = Catalog(spark, sf)
+    return orders.payment_wide(A.payment_info(c.lineitem, c.orders), order_wide_df(spark, sf),
+                               *PAYMENT_ORDER_BOUNDS)
+
+
+def q_order_wide(spark, sf):
+    return order_wide_df(spark, sf)
+
+
+def q_payment_wide(spark, sf):
+    return payment_wide_df(spark, sf)
+
+
+def q_dim_user_age(spark, sf):
+    c = Catalog(spark, sf)
+    o = c.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"))
+    return dims.enrich_user(o, A.dim_user_info(c.customer), _as_of())
+
+
+# ---------------------------------------------------------------------------
+# product / province / keyword statistics and their reports
+# ---------------------------------------------------------------------------
+
+def product_stats_df(spark, sf) -> DataFrame:
+    c = Catalog(spark, sf)
+    ev = c.events
+    parts = [
+        stats.click_display_rows(A.page_log(ev)),
+        stats.favor_rows(A.favor_info(ev)),
+        stats.cart_rows(A.cart_info(ev)),
+        stats.order_rows(order_wide_df(spark, sf)),
+        stats.payment_rows(payment_wide_df(spark, sf)),
+        stats.refund_rows(orders.with_event_ms(A.order_refund_info(c.lineitem))),
+        stats.comment_rows(orders.with_event_ms(A.comment_info(c.lineitem))),
+    ]
+    ps = stats.product_stats(stats.union_product_rows(parts), window=PRODUCT_WINDOW)
+    return dims.enrich_product(ps, A.dim_sku_info(c.part), A.dim_spu_info(c.part), A.dim_base_trademark(c.part),
+                               A.dim_base_category3(c.part), with_price=True)
+
+
+def province_stats_df(spark, sf) -> DataFrame:
+    return stats.province_stats(order_wide_df(spark, sf), window=PROVINCE_WINDOW, as_of_s=F.lit(AS_OF_S))
+
+
+def keyword_stats_df(spark, sf) -> DataFrame:
+    words = stats.explode_keywords(stats.search_rows(A.search_log(Catalog(spark, sf).conversations)))
+    return stats.keyword_stats(words, window=KEYWORD_WINDOW, as_of_s=F.lit(AS_OF_S))
+
+
+def product_keyword_stats_df(spark, sf) -> DataFrame:
+    """Keywords of product names: ordered (ORDER), carted (CART), clicked (CLICK)."""
+    c = Catalog(spark, sf)
+    skus = A.dim_sku_info(c.part)
+    ev = c.events
+    clicks = stats.click_display_rows(A.page_log(ev)).where(F.col("click_ct") == 1).select("sku_id", "ts")
+    srcs = {
+        "ORDER": order_wide_df(spark, sf).select(F.col("sku_name").alias("full_word"), F.col("create_ts").alias("ts")),
+        "CART": dims.enrich_sku(A.cart_info(ev), skus).select(F.col("sku_name").alias("full_word"), "ts"),
+        "CLICK": dims.enrich_sku(clicks, skus).select(F.col("sku_name").alias("full_word"), "ts"),
+    }
+    out = None
+    for src, rows in srcs.items():
+        k = stats.keyword_stats(stats.explode_keywords(rows), window=KEYWORD_WINDOW, source=src,
+                                as_of_s=F.lit(AS_OF_S))
+        out = k if out is None else out.unionByName(k)
+    return out
+
+
+def q_product_stats(spark, sf):
+    return product_stats_df(spark, sf)
+
+
+def q_gmv(spark, sf):
+    return reports.gmv(product_stats_df(spark, sf))
+
+
+def q_brand_topn(spark, sf):
+    return reports.trademark_top_n(product_stats_df(spark, sf))
+
+
+def q_category_topn(spark, sf):
+    return reports.category3_top_n(product_stats_df(spark, sf))
+
+
+def q_spu_topn(spark, sf):
+    return reports.spu_top_n(product_stats_df(spark, sf))
+
+
+def q_province_stats(spark, sf):
+    return province_stats_df(spark, sf)
+
+
+def q_province_totals(spark, sf):
+    return reports.province_amounts(province_stats_df(spark, sf))
+
+
+def q_keyword_stats(spark, sf):
+    return keyword_stats_df(spark, sf)
+
+
+def q_keyword_score(spark, sf):
+    return reports.keyword_score_top_n(keyword_stats_df(spark, sf).unionByName(product_keyword_stats_df(spark, sf)))
+
+
+QUERIES.update({
+    "order_wide": q_order_wide,
+    "payment_wide": q_payment_wide,
+    "dim_user_age": q_dim_user_age,
+    "product_stats": q_product_stats,
+    "gmv": q_gmv,
+    "brand_topn": q_brand_topn,
+    "category_topn": q_category_topn,
+    "spu_topn": q_spu_topn,
+    "province_stats": q_province_stats,
+    "province_totals": q_province_totals,
+    "keyword_stats": q_keyword_stats,
+    "keyword_score": q_keyword_score,
+})

@@ -96,6 +96,21 @@ def raw_log(events: DataFrame) -> DataFrame:
     return x.withColumn("_page", page).select("seq", value.alias("value"))
 
 
+def search_log(conversations: DataFrame, base_ms: int = 1_704_067_200_000) -> DataFrame:
+    """conversations -> page-log rows of a chat page.  A user turn is a search
+    (``item_type='keyword'``, ``item`` = the whole text); other turns are
+    replies.  Event time = base + conv_id minutes + turn seconds."""
+    ts = F.lit(base_ms) + F.col("conv_id") * 60_000 + F.col("turn") * 1000
+    kw = F.col("role") == "user"
+    return conversations.select(
+        F.struct(_s(F.col("conv_id")).alias("mid"), F.lit("0").alias("is_new"), F.lit("0").alias("vc"),
+                 F.lit("0").alias("ch"), F.lit("0").alias("ar")).alias("common"),
+        F.struct(F.lit("good_list").alias("page_id"), F.lit("home").alias("last_page_id"),
+                 F.col("text").alias("item"), F.when(kw, "keyword").otherwise("reply").alias("item_type"),
+                 F.lit(0).cast("long").alias("during_time")).alias("page"),
+        ts.cast("long").alias("ts"), (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"))
+
+
 def favor_info(events: DataFrame) -> DataFrame:
     """view events mark the viewed SKU as favourite: ``sku_id, ts``."""
     return events.where(F.col("event_type") == "view").select(
