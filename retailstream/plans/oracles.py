@@ -405,3 +405,70 @@ SELECT dt, keyword, ct FROM (
          sum(ct) AS raw_ct
   FROM allk GROUP BY ALL
 ) QUALIFY row_number() OVER (PARTITION BY dt ORDER BY raw_ct DESC, keyword ASC) <= 20"""
+
+# -- change data capture -----------------------------------------------------------
+CHANGES = """
+och AS (
+  SELECT 'order_info' AS table_name, CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN 'r' ELSE 'c' END AS op,
+         o_orderkey * 4 AS seq, CAST(o_orderkey AS VARCHAR) AS id, NULL AS before_status, '1001' AS data_status,
+         0 AS n_before, 5 AS n_data FROM orders
+  UNION ALL
+  SELECT 'order_info', 'u', o_orderkey * 4 + 1, CAST(o_orderkey AS VARCHAR), '1001',
+         CASE WHEN o_orderstatus = 'F' THEN '1004' ELSE '1002' END, 5, 5
+  FROM orders WHERE o_orderstatus IN ('F', 'P')
+  UNION ALL
+  SELECT 'order_info', 'd', o_orderkey * 4 + 2, NULL, '1002', NULL, 5, 0
+  FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'
+),
+uch AS (
+  SELECT 'user_info' AS table_name, 'r' AS op, c_custkey * 4 AS seq, CAST(c_custkey AS VARCHAR) AS id,
+         NULL AS before_status, NULL AS data_status, 0 AS n_before, 5 AS n_data FROM customer
+  UNION ALL
+  SELECT 'user_info', 'u', c_custkey * 4 + 1, CAST(c_custkey AS VARCHAR), NULL, NULL, 5, 5
+  FROM customer WHERE c_mktsegment = 'BUILDING'
+),
+ch AS (
+  SELECT *, CASE op WHEN 'c' THEN 'insert' WHEN 'r' THEN 'insert' WHEN 'u' THEN 'update'
+                    WHEN 'd' THEN 'delete' END AS type
+  FROM (SELECT * FROM och UNION ALL SELECT * FROM uch)
+)"""
+
+ORACLES["cdc_flatten"] = "WITH " + CHANGES + """
+SELECT seq, 'gmall' AS database, table_name, type, id AS data_id, data_status, before_status,
+       n_data, n_before FROM ch"""
+
+ORACLES["cdc_route"] = "WITH " + CHANGES + """,
+cfg(src, op, sink_type, sink_table, sink_columns) AS (VALUES
+  ('order_info', 'insert', 'kafka', 'dwd_order_info', 'id,user_id,total_amount,order_status'),
+  ('order_info', 'update', 'clickhouse', 'order_status_stats', 'id,order_status'),
+  ('user_info', 'insert', 'hbase', 'dim_user_info', 'id,name,nation,acctbal'),
+  ('user_info', 'update', 'hbase', 'dim_user_info', 'id,name,nation,acctbal')),
+keys_(table_name, ks) AS (VALUES
+  ('order_info', ['id', 'user_id', 'order_status', 'total_amount', 'create_time']),
+  ('user_info', ['id', 'name', 'nation', 'acctbal', 'segment']))
+SELECT ch.seq, ch.table_name, ch.type,
+       CASE WHEN cfg.src IS NULL THEN 'no_config' WHEN cfg.sink_type = 'kafka' THEN 'fact'
+            WHEN cfg.sink_type = 'hbase' THEN 'dim' ELSE 'unknown_sink' END AS route,
+       cfg.sink_type, cfg.sink_table,
+       array_to_string(list_sort(list_filter(k.ks, lambda x: list_contains(string_split(cfg.sink_columns, ','), x))), ',')
+         AS cols,
+       ch.id AS data_id
+FROM ch LEFT JOIN cfg ON ch.table_name = cfg.src AND ch.type = cfg.op
+JOIN keys_ k ON k.table_name = ch.table_name
+WHERE ch.type IS NULL OR ch.type <> 'delete'"""
+
+ORACLES["dim_upsert"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation,
+       CAST(CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 100 ELSE c_acctbal END AS DECIMAL(18,2))
+            AS VARCHAR) AS acctbal,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN c_custkey * 4 + 1 ELSE c_custkey * 4 END AS seq
+FROM customer"""
+
+ORACLES["changelog_state"] = """
+SELECT o_orderkey AS id,
+       CASE WHEN o_orderstatus = 'F' THEN '1004' WHEN o_orderstatus = 'P' THEN '1002' ELSE '1001' END AS order_status,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS total_amount,
+       CAST(o_custkey AS VARCHAR) AS user_id,
+       CASE WHEN o_orderstatus IN ('F', 'P') THEN o_orderkey * 4 + 1 ELSE o_orderkey * 4 END AS seq
+FROM orders
+WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')"""

@@ -272,3 +272,67 @@ QUERIES.update({
     "keyword_stats": q_keyword_stats,
     "keyword_score": q_keyword_score,
 })
+
+
+# ---------------------------------------------------------------------------
+# change data capture
+# ---------------------------------------------------------------------------
+
+from retailstream.operators import cdc  # noqa: E402
+
+# Routing config at test scale (one row per table and change type).  The second
+# order_info/insert row has a larger seq and replaces the first.
+ROUTING = [
+    ("order_info", "insert", "kafka", "dwd_order_info", "id,user_id,total_amount,order_status,create_time", "id",
+     None, 1),
+    ("order_info", "insert", "kafka", "dwd_order_info", "id,user_id,total_amount,order_status", "id", None, 2),
+    ("order_info", "update", "clickhouse", "order_status_stats", "id,order_status", "id", None, 1),
+    ("user_info", "insert", "hbase", "dim_user_info", "id,name,nation,acctbal", "id", None, 1),
+    ("user_info", "update", "hbase", "dim_user_info", "id,name,nation,acctbal", "id", None, 1),
+]
+USER_DIM_COLUMNS = ("id", "name", "nation", "acctbal")
+
+
+def _changes(spark, sf) -> DataFrame:
+    c = Catalog(spark, sf)
+    return cdc.flatten_changes(A.order_changes(c.orders).unionByName(A.user_changes(c.customer)))
+
+
+def _routed_changes(spark, sf) -> DataFrame:
+    return cdc.route_changes(cdc.drop_deletes(_changes(spark, sf)), cdc.table_process(spark, ROUTING))
+
+
+def q_cdc_flatten(spark, sf):
+    ch = _changes(spark, sf)
+    return ch.select("seq", "database", F.col("tableName").alias("table_name"), "type",
+                     F.col("data")["id"].alias("data_id"), F.col("data")["order_status"].alias("data_status"),
+                     F.col("before")["order_status"].alias("before_status"),
+                     F.size("data").alias("n_data"), F.size("before").alias("n_before"))
+
+
+def q_cdc_route(spark, sf):
+    r = _routed_changes(spark, sf)
+    return r.select("seq", F.col("tableName").alias("table_name"), "type", "route", "sink_type", "sink_table",
+                    F.array_join(F.array_sort(F.map_keys("data")), ",").alias("cols"),
+                    F.col("data")["id"].alias("data_id"))
+
+
+def q_dim_upsert(spark, sf):
+    dim = cdc.split_routes(_routed_changes(spark, sf))["dim"]
+    return cdc.upsert_dimension(None, cdc.dim_rows(dim, USER_DIM_COLUMNS, "dim_user_info"))
+
+
+def q_changelog_state(spark, sf):
+    orders_only = _changes(spark, sf).where(F.col("tableName") == "order_info")
+    st = cdc.changelog_state(orders_only)
+    return st.select(F.col("data")["id"].cast("long").alias("id"), F.col("data")["order_status"].alias("order_status"),
+                     F.col("data")["total_amount"].alias("total_amount"),
+                     F.col("data")["user_id"].alias("user_id"), "seq")
+
+
+QUERIES.update({
+    "cdc_flatten": q_cdc_flatten,
+    "cdc_route": q_cdc_route,
+    "dim_upsert": q_dim_upsert,
+    "changelog_state": q_changelog_state,
+})
