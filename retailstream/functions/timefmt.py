@@ -55,8 +55,12 @@ def day_string(ts) -> Column:
 
 
 def parse_ts(s) -> Column:
-    """FN-2: 'yyyy-MM-dd HH:mm:ss' -> TIMESTAMP_NTZ."""
-    return F.to_timestamp_ntz(_c(s), F.lit(TS_FORMAT))
+    """FN-2: 'yyyy-MM-dd HH:mm:ss' -> TIMESTAMP_NTZ (null when malformed).
+
+    A cast parses this ISO layout natively, several times faster than a
+    pattern-driven ``to_timestamp``; ``try_cast`` keeps bad text null under ANSI.
+    """
+    return _c(s).try_cast("timestamp_ntz")
 
 
 def window_bounds(window_col: str = "window") -> list[Column]:

@@ -20,9 +20,19 @@ from retailstream.functions.timefmt import age_years
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+_FITS: dict[tuple, bool] = {}
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True iff ``df`` has at most ``max_rows`` rows; reads at most max_rows+1.
+
+    The verdict is remembered per session and plan (``semanticHash``), so a
+    dimension used by several joins of one job is counted once.
+    """
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    if key not in _FITS:
+        _FITS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _FITS[key]
 
 
 def checked_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:

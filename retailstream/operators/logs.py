@@ -19,10 +19,14 @@ def parse_json(raw: DataFrame, schema: StructType = RAW_LOG, value: str = "value
     """PRJ-1 / PRJ-2: ``from_json`` into ``into``.  PERMISSIVE keeps malformed
     text in ``{into}._corrupt_record``; FAILFAST raises on it."""
     if mode == "FAILFAST":
-        return raw.withColumn(into, F.from_json(value, schema, {"mode": "FAILFAST"}))
-    full = StructType(schema.fields + [StructField(CORRUPT, StringType())])
-    return raw.withColumn(into, F.from_json(value, full, {"mode": "PERMISSIVE",
-                                                         "columnNameOfCorruptRecord": CORRUPT}))
+        parsed = F.from_json(value, schema, {"mode": "FAILFAST"})
+    else:
+        full = StructType(schema.fields + [StructField(CORRUPT, StringType())])
+        parsed = F.from_json(value, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    # The parse is produced by a one-element generator: filters on its result
+    # (the clean/dirty split) cannot be pushed below it, so each line is parsed
+    # exactly once instead of once per predicate plus once for the projection.
+    return raw.select(*[c for c in raw.columns if c != into], F.explode(F.array(parsed)).alias(into))
 
 
 def split_dirty(parsed: DataFrame, into: str = "log") -> tuple[DataFrame, DataFrame]:

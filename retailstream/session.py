@@ -28,7 +28,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", "16g")
+         # one JVM with a large heap would otherwise size Tungsten pages at 64 MB,
+         # and every small broadcast hash relation would allocate a full page
+         .config("spark.buffer.pageSize", "4m"))
     for k, v in {**CLUSTER_DEFAULTS, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
