@@ -46,14 +46,20 @@ def _visitor_rows(df: DataFrame, uv: int, pv: int, uj: int, sv: Column | None, d
         F.col("ts"))
 
 
-def visitor_measure_rows(page_log: DataFrame, unique_visits: DataFrame, jumps: DataFrame) -> DataFrame:
-    """PRJ-10 + SET-1: UV rows (uv=1), jump rows (uj=1) and page rows (pv=1,
-    sv = entry page, dur = during_time), unioned by name."""
+def visitor_measure_parts(page_log: DataFrame, unique_visits: DataFrame, jumps: DataFrame) -> list[DataFrame]:
+    """PRJ-10: UV rows (uv=1), jump rows (uj=1) and page rows (pv=1,
+    sv = entry page, dur = during_time)."""
     uv = _visitor_rows(unique_visits, 1, 0, 0, None, None)
     uj = _visitor_rows(jumps, 0, 0, 1, None, None)
     pv = _visitor_rows(page_log, 0, 1, 0,
                        F.when(F.col("page.last_page_id").isNull(), 1).otherwise(0),
                        F.coalesce(F.col("page.during_time"), F.lit(0)))  # D11: null measure -> 0
+    return [uv, uj, pv]
+
+
+def visitor_measure_rows(page_log: DataFrame, unique_visits: DataFrame, jumps: DataFrame) -> DataFrame:
+    """PRJ-10 + SET-1: the three measure-row streams unioned by name."""
+    uv, uj, pv = visitor_measure_parts(page_log, unique_visits, jumps)
     return uv.unionByName(uj).unionByName(pv)
 
 

@@ -22,7 +22,7 @@ from pyspark.sql.types import DataType, LongType, StringType, StructField, Struc
 
 S, L = StringType(), LongType()
 FLAT_FIELDS = ("seq", "ts", "mid", "vc", "ch", "ar", "is_new", "page_id", "last_page_id", "item", "item_type",
-               "during_time", "displays")
+               "during_time", "displays", "start")
 FLAT_PAGE = StructType([StructField(n, L if n in ("seq", "ts", "during_time") else S) for n in FLAT_FIELDS])
 
 
@@ -31,7 +31,8 @@ def flatten_page_log(log: DataFrame) -> DataFrame:
     return log.select("seq", "ts", *[F.col(f"common.{c}").alias(c) for c in ("mid", "vc", "ch", "ar", "is_new")],
                       *[F.col(f"page.{c}").alias(c) for c in ("page_id", "last_page_id", "item", "item_type",
                                                                 "during_time")],
-                      F.to_json("displays").alias("displays"))
+                      F.to_json("displays").alias("displays"),
+                      (F.to_json("start") if "start" in log.columns else F.lit(None).cast("string")).alias("start"))
 
 
 def nest_page_log(flat: DataFrame, displays_type: DataType) -> DataFrame:
@@ -172,7 +173,11 @@ def repair_new_visitor_stream(flat: DataFrame, ttl_ms: int | None = None) -> Dat
 
 
 def daily_unique_visit_stream(flat: DataFrame, ttl_ms: int | None = 86_400_000) -> DataFrame:
-    return flat.groupBy("mid").transformWithState(DailyUniqueVisit(ttl_ms), FLAT_PAGE, "Append", "ProcessingTime")
+    """With a TTL (the default, 24 h as in the reference) state expiry needs
+    processing-time mode, in which the query keeps running no-data micro-batches
+    to evaluate expiry; ``ttl_ms=None`` keeps dates forever and needs no clock."""
+    mode = "None" if ttl_ms is None else "ProcessingTime"
+    return flat.groupBy("mid").transformWithState(DailyUniqueVisit(ttl_ms), FLAT_PAGE, "Append", mode)
 
 
 def bounce_detect_stream(flat: DataFrame, within_ms: int = 10_000, delay: str = "1 second") -> DataFrame:
