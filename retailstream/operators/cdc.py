@@ -139,3 +139,34 @@ def upsert_dimension(current: DataFrame | None, changes: DataFrame, pk: str = "i
         ch = cur.unionByName(ch)
     last = latest_per_key(ch, [pk], seq)
     return last.where(F.col("type") != "delete").select(*cols)
+
+
+def snapshot_then_changes(snapshot: DataFrame, changes: DataFrame, pk: str = "id", table: str | None = None,
+                          snapshot_seq: int = -1) -> DataFrame:
+    """SRC-4: a table's snapshot (plain columns) followed by its flattened
+    change records -> current state (CDC-2).  Snapshot rows become inserts
+    ordered before every change (``snapshot_seq``)."""
+    cols = [c for c in snapshot.columns]
+    snap = snapshot.select(
+        F.lit(None).cast("string").alias("database"),
+        (F.lit(table) if table else F.lit(None)).cast("string").alias("tableName"),
+        F.lit("insert").alias("type"),
+        F.create_map(*[x for c in cols for x in (F.lit(c), F.col(c).cast("string"))]).alias("data"),
+        F.create_map().cast("map<string,string>").alias("before"),
+        F.lit(snapshot_seq).cast("long").alias("seq"))
+    ch = changes.select("database", "tableName", "type", "data", "before", "seq")
+    if table:
+        ch = ch.where(F.col("tableName") == table)
+        snap = snap.withColumn("tableName", F.lit(table))
+    return changelog_state(snap.unionByName(ch), pk=pk)
+
+
+def register_current_state(changes: DataFrame, view: str, columns: Sequence[str], pk: str = "id",
+                           table: str | None = None) -> DataFrame:
+    """SRC-5: expose the current state of a changelog as a SQL view with typed
+    columns (strings), to be queried with ``spark.sql`` like the reference's
+    CDC table."""
+    st = changelog_state(changes if table is None else changes.where(F.col("tableName") == table), pk=pk)
+    out = st.select(*[F.col("data")[c].alias(c) for c in columns])
+    out.createOrReplaceTempView(view)
+    return out

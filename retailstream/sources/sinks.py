@@ -103,6 +103,25 @@ def write_stats(df: DataFrame, path: str, columns: Sequence[str], batch_id: int
         out.write.mode("overwrite").partitionBy("dt").parquet(os.path.join(path, f"batch={batch_id}"))
 
 
+def write_stats_jdbc(df: DataFrame, url: str, table: str, columns: Sequence[str], batch_size: int = 5,
+                     properties: dict | None = None) -> None:
+    """SNK-5, SQL-store form: append by explicit column order with the JDBC
+    batch size as a parameter (the reference uses 5).  The endpoint and
+    credentials are arguments; nothing is hard-coded."""
+    df.select(*columns).write.option("batchsize", batch_size).jdbc(url, table, mode="append",
+                                                                   properties=properties or {})
+
+
+def late_rows_dropped(query) -> int:
+    """LT-1: rows dropped as late by the watermark in the query's recent
+    progress (the reference loses them silently)."""
+    n = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []):
+            n += int(op.get("numRowsDroppedByWatermark", 0))
+    return n
+
+
 def console(df: DataFrame, name: str):
     """SNK-6: debug print of a stream."""
     return df.writeStream.format("console").option("truncate", "false").queryName(name)
