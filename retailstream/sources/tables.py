@@ -30,6 +30,14 @@ def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = N
     return df.repartition(n, key or df.columns[0])
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+def clear_table_cache() -> None:
+    """Forget remembered table reads (call after new files land in a folder)."""
+    _TABLES.clear()
+
+
 class Catalog:
     """Lazy access to the parquet tables of one scale-factor folder.
 
@@ -44,8 +52,13 @@ class Catalog:
         self.spread = spread
 
     def table(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(os.path.join(self.root, f"{name}.parquet"))
-        return spread(df) if self.spread and name in FACT_TABLES else df
+        """One DataFrame per table and session: the folder is listed and its
+        footers read once, however many branches of a plan use the table."""
+        key = (id(self.spark), self.root, name, self.spread)
+        if key not in _TABLES:
+            df = self.spark.read.parquet(os.path.join(self.root, f"{name}.parquet"))
+            _TABLES[key] = spread(df) if self.spread and name in FACT_TABLES else df
+        return _TABLES[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TEST_TABLES:
