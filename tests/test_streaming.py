@@ -141,7 +141,9 @@ def test_restart_from_checkpoint_gives_same_result(spark, page_files, tmp_dir):
     rest: the union of both runs equals one uninterrupted run (state restored)."""
     d, log = page_files
     src = f"{tmp_dir}/in"
-    files = sorted(f for f in os.listdir(f"{d}/in") if f.endswith(".parquet"))
+    # arrival order must follow seq: order the slices by their smallest seq (names are random)
+    files = sorted((f for f in os.listdir(f"{d}/in") if f.endswith(".parquet")),
+                   key=lambda f: spark.read.parquet(f"{d}/in/{f}").agg(F.min("seq")).first()[0])
     os.makedirs(src)
     os.link(f"{d}/in/{files[0]}", f"{src}/{files[0]}")
     ck = f"{tmp_dir}/ck"
