@@ -6,8 +6,8 @@ Here each key is cut into ordered *buckets* (``bucket`` is a column that is
 monotone in the order, e.g. ``ts div 1h``):
 
 1. ``lag``/``lead`` inside ``(key, bucket)`` windows — bounded groups;
-2. one summary row per ``(key, bucket)``: its first and last row, computed with
-   ``min_by``/``max_by`` (partial aggregation, so only summaries are shuffled);
+2. one edge row per ``(key, bucket)`` (its first or last row), taken from the
+   same windowed rows by a filter, so the input is read and shuffled once;
 3. ``lag``/``lead`` over the summaries of a key (one row per bucket, small),
    giving each bucket the neighbouring bucket's edge row;
 4. rows at a bucket edge take their neighbour from that summary (equi-join on
@@ -37,21 +37,28 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str], buck
     prefix = prefix if prefix is not None else f"{direction}_"
     keys, order, cols = list(keys), list(order), list(cols)
     shift = F.lag if direction == "prev" else F.lead
-    edge_agg = F.max_by if direction == "prev" else F.min_by
+    other = F.lead if direction == "prev" else F.lag
 
     b = df.withColumn("_bkt", bucket)
     w = Window.partitionBy(*keys, "_bkt").orderBy(*order)
-    # one select -> one Window operator computing every shifted column
+    # one Window operator: the in-bucket neighbour, and whether this row is the
+    # bucket's edge that the neighbouring bucket needs (last row for 'prev',
+    # first row for 'next')
     inner = b.select("*", shift(F.lit(True)).over(w).alias("_has_nb"),
+                     other(F.lit(True)).over(w).isNull().alias("_is_edge"),
                      *[shift(F.col(c)).over(w).alias(f"{prefix}{c}") for c in cols])
 
-    # per-bucket edge rows: last row (prev) / first row (next) of each bucket
-    edges = b.groupBy(*keys, "_bkt").agg(
-        edge_agg(F.struct(*cols), F.struct(*order)).alias("_edge"))
+    # edge rows come from the same windowed rows (a filter, no aggregation), so
+    # the input is scanned and shuffled once and this branch reuses that exchange
+    edges = inner.where("_is_edge").select(*keys, "_bkt", F.struct(*cols).alias("_edge"))
     ws = Window.partitionBy(*keys).orderBy("_bkt")
-    edges = edges.select(*keys, "_bkt", shift("_edge").over(ws).alias("_nb"))
+    edges = edges.select(*[F.col(k).alias(f"_e{i}") for i, k in enumerate(keys + ["_bkt"])],
+                         shift("_edge").over(ws).alias("_nb"))
 
-    out = inner.join(edges, on=keys + ["_bkt"], how="left")
+    # null-safe keys: no inferred not-null filter lands on the edge branch, so
+    # both branches keep the identical scan + exchange and Spark reuses it
+    cond = [F.col(k).eqNullSafe(F.col(f"_e{i}")) for i, k in enumerate(keys + ["_bkt"])]
+    out = inner.join(edges, on=cond, how="left").drop(*[f"_e{i}" for i in range(len(keys) + 1)])
     fixed = {f"{prefix}{c}": F.when(F.col("_has_nb").isNull(), F.col(f"_nb.{c}"))
              .otherwise(F.col(f"{prefix}{c}")) for c in cols}
-    return out.withColumns(fixed).drop("_bkt", "_has_nb", "_nb")
+    return out.withColumns(fixed).drop("_bkt", "_has_nb", "_is_edge", "_nb")
