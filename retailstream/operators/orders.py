@@ -111,6 +111,7 @@ def payment_wide(payment_info: DataFrame, order_wide_df: DataFrame, lower=-15 *
         F.col("p.user_id").alias("user_id"), F.col("p.total_amount").alias("total_amount"),
         *[F.col(f"p.{c}").alias(c) for c in PAYMENT_SIDE if c in payment_info.columns],
         F.col("p.create_time").alias("payment_create_time"),
-        *([F.col("p.payment_ts")] if not streaming else [F.col("p.rt").alias("rt")]),
+        *([F.col("p.payment_ts")] if "payment_ts" in p.columns else []),
+        *([F.col("p.rt").alias("rt")] if streaming else []),
         F.col("w.create_time").alias("order_create_time"),
         *wide_cols)

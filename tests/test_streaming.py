@@ -179,3 +179,59 @@ def test_snapshot_then_changes_and_sql_view(spark):
     assert sorted((r["data"]["id"], r["data"]["name"]) for r in st.collect()) == [("1", "z"), ("3", "c")]
     cdc.register_current_state(ch, "t_current", ["id", "name"], table="t")
     assert sorted(tuple(r) for r in spark.sql("SELECT id, name FROM t_current").collect()) == [("1", "z"), ("3", "c")]
+
+
+def test_log_split_job_writes_every_topic(spark, tmp_dir):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    raw = A.raw_log(ev)
+    raw.write.parquet(f"{tmp_dir}/raw")
+    src = spark.readStream.schema(raw.schema).parquet(f"{tmp_dir}/raw")
+    q = jobs.start_log_split(src, f"{tmp_dir}/topics", f"{tmp_dir}/ck")
+    q.processAllAvailable()
+    for s in spark.streams.active:   # the dirty side output runs as its own query
+        s.processAllAvailable()
+        s.stop()
+    n = {e: ev.where(F.col("event_type") == e).count() for e in ("signup", "error", "view")}
+    assert spark.read.parquet(f"{tmp_dir}/topics/dirty").count() == n["error"]
+    assert spark.read.parquet(f"{tmp_dir}/topics/start").count() == n["signup"]
+    assert spark.read.parquet(f"{tmp_dir}/topics/page").count() == ev.count() - n["error"] - n["signup"]
+    assert spark.read.parquet(f"{tmp_dir}/topics/display").count() == 2 * n["view"]
+    page = spark.read.json(spark.read.parquet(f"{tmp_dir}/topics/page").rdd.map(lambda r: r.value))
+    assert set(page.columns) >= {"mid", "is_new", "page_id", "ts", "seq"}
+
+
+def test_product_and_province_streams_match_batch(spark, tmp_dir):
+    ow = Q.order_wide_df(spark, SF_SMALL)
+    ow.write.parquet(f"{tmp_dir}/ow")
+    s_ow = spark.readStream.schema(ow.schema).parquet(f"{tmp_dir}/ow")
+    parts = [stats.order_rows(s_ow)]
+    s = _drain(jobs.product_stats_stream(parts, window="1 day", delay="0 seconds"), "t_ps", f"{tmp_dir}/ck1")
+    b = stats.product_stats(stats.union_product_rows([stats.order_rows(ow)]), window="1 day")
+    last = b.agg(F.max("stt")).first()[0]
+    cols = ["stt", "sku_id", "order_sku_num", "order_amount", "order_ct", "ts"]
+    assert sorted(s.where(F.col("stt") < last).select(cols).collect()) == \
+        sorted(b.where(F.col("stt") < last).select(cols).collect())
+
+    v = spark.readStream.schema(ow.schema).parquet(f"{tmp_dir}/ow") \
+        .withColumn("rt", F.timestamp_millis("create_ts")).withWatermark("rt", "0 seconds")
+    v.createOrReplaceTempView("ow_stream")
+    ps = _drain(jobs.province_stats_sql(spark, "ow_stream", window="1 day"), "t_prov", f"{tmp_dir}/ck2")
+    pb = stats.province_stats(ow, window="1 day", as_of_s=F.lit(0))
+    cols = ["stt", "province_id", "province_name", "order_amount", "order_count"]
+    assert sorted(ps.where(F.col("stt") < last).select(cols).collect()) == \
+        sorted(pb.where(F.col("stt") < last).select(cols).collect())
+
+
+def test_payment_wide_stream_matches_batch(spark, tmp_dir):
+    c_li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    c_o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    ow = Q.order_wide_df(spark, SF_SMALL)
+    pay = A.payment_info(c_li, c_o)
+    ow.write.parquet(f"{tmp_dir}/ow")
+    pay.write.parquet(f"{tmp_dir}/pay")
+    sp = spark.readStream.schema(pay.schema).parquet(f"{tmp_dir}/pay")
+    sw = spark.readStream.schema(ow.schema).parquet(f"{tmp_dir}/ow")
+    s = _drain(jobs.payment_wide_stream(sp, sw, "-15 days", "2 days"), "t_pw", f"{tmp_dir}/ck")
+    b = orders.payment_wide(pay, ow, *Q.PAYMENT_ORDER_BOUNDS)
+    cols = ["payment_id", "order_id", "total_amount", "payment_ts", "sku_id", "order_create_time"]
+    assert sorted(s.select(cols).collect()) == sorted(b.select(cols).collect())
