@@ -22,6 +22,16 @@ from retailstream.functions.timefmt import from_epoch_ms, window_bounds
 SUM_MONEY = DecimalType(38, 2)
 
 
+def split_rejects(rows: DataFrame, keys: Sequence[str], ts: str = "ts") -> tuple[DataFrame, DataFrame]:
+    """D11: rows with a null event time or a null grouping key cannot be placed
+    in a window (the reference would fail on them); they go to a reject output
+    instead of forming a null group."""
+    bad = F.col(ts).isNull()
+    for k in keys:
+        bad = bad | F.col(k).isNull()
+    return rows.where(~bad), rows.where(bad)
+
+
 def event_time(ms: Column | str = "ts", streaming: bool = False) -> Column:
     """Event-time column for windows: NTZ in batch, TIMESTAMP on streams."""
     c = F.col(ms) if isinstance(ms, str) else ms
@@ -64,7 +74,9 @@ def visitor_measure_rows(page_log: DataFrame, unique_visits: DataFrame, jumps: D
 
 
 def visitor_stats(rows: DataFrame, window: str = "10 seconds", streaming: bool = False) -> DataFrame:
-    """AG-1: per (window, vc, ch, ar, is_new) sums; ``ts`` = earliest event ms (D10)."""
+    """AG-1: per (window, vc, ch, ar, is_new) sums; ``ts`` = earliest event ms (D10).
+    Rows without event time are left out (see ``split_rejects``)."""
+    rows = rows.where(F.col("ts").isNotNull())
     g = rows.groupBy(F.window(event_time("ts", streaming), window).alias("window"), *VISITOR_KEYS).agg(
         *[F.sum(m).alias(m) for m in VISITOR_MEASURES], F.min("ts").alias("ts"))
     return g.select(*window_bounds(), *VISITOR_KEYS, *VISITOR_MEASURES, "ts")
@@ -163,6 +175,7 @@ def product_stats(rows: DataFrame, window: str = "10 seconds", streaming: bool =
     kind — instead of Spark's expand-based rewrite of three ``count(distinct)``
     (which copies every row four times).  Both levels pre-aggregate map-side.
     """
+    rows = rows.where(F.col("ts").isNotNull() & F.col("sku_id").isNotNull())  # D11: see split_rejects
     if not streaming:
         kind = (F.when(F.col("order_oid").isNotNull(), "o").when(F.col("paid_oid").isNotNull(), "p")
                 .when(F.col("refund_oid").isNotNull(), "r"))

@@ -61,3 +61,11 @@ def test_trademark_top_n_having_positive(spark):
     every = reports.trademark_top_n(ps, 10).collect()
     assert sorted((r["dt"], r["tm_id"]) for r in every) == [("2024-01-01", "t1"), ("2024-01-02", "t3")]
     assert reports.gmv(ps, "2024-01-03").first()["gmv"] is None
+
+
+def test_null_time_or_key_rows_are_rejected_not_grouped(spark):
+    rows = spark.createDataFrame([(5, 1, T0), (None, 1, T0), (5, 1, None)], "sku_id long, click_ct long, ts long")
+    good, bad = stats.split_rejects(rows, ["sku_id"])
+    assert good.count() == 1 and bad.count() == 2
+    r = stats.product_stats(stats.union_product_rows([rows]), "10 seconds").collect()
+    assert [(x["sku_id"], x["click_ct"]) for x in r] == [(5, 1)]
