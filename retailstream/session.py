@@ -11,6 +11,12 @@ from pyspark.sql import SparkSession
 # re-plans joins at run time from real shuffle sizes (broadcast conversion of a
 # side that turned out small, skewed-partition splitting, partition coalescing).
 CLUSTER_DEFAULTS = {
+    # Broadcast only what is proven small: no broadcast from planner *estimates*
+    # (file sizes can understate in-memory size); AQE still turns a join into a
+    # broadcast when the *measured* shuffle output of a side is under 32 MB, and
+    # explicit hints come from a bounded row count (operators.dims.checked_broadcast).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
