@@ -33,3 +33,24 @@ def keyword_weight(source) -> Column:
     for name, w in reversed(list(KEYWORD_WEIGHTS.items())):
         expr = F.when(s == name, F.lit(w)).otherwise(expr)
     return expr
+
+
+def register_split_keyword(spark, name: str = "split_keyword") -> None:
+    """Register ``name(text) -> TABLE(word STRING)`` for SQL ``LATERAL`` use, as
+    the reference registers its splitter for its SQL jobs.  This is a Python
+    UDTF (row-at-a-time): queries should prefer ``explode(tokenize(text))``,
+    which stays in the JVM; the UDTF exists for SQL text written against the
+    named function.  Same tokens as ``tokenize``."""
+    import regex
+    from pyspark.sql.functions import udtf
+
+    pattern = regex.compile(r"\p{Han}+|[\p{L}\p{N}--\p{Han}]+", regex.V1)
+
+    @udtf(returnType="word: string")
+    class SplitKeyword:
+        def eval(self, text):
+            if text:
+                for m in pattern.finditer(text.lower()):
+                    yield (m.group(0),)
+
+    spark.udtf.register(name, SplitKeyword)

@@ -57,3 +57,13 @@ def test_tokenize_and_weights(spark):
     assert r[1][0] == [] and r[2][0] == []
     w = spark.createDataFrame([("SEARCH",), ("ORDER",), ("CART",), ("CLICK",), ("X",)], "s string")
     assert [x[0] for x in w.select(keyword_weight("s")).collect()] == [10, 3, 2, 1, 0]
+
+
+def test_split_keyword_udtf_matches_tokenizer(spark):
+    from retailstream.functions.keywords import register_split_keyword
+    register_split_keyword(spark)
+    conv = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    conv.createOrReplaceTempView("conv_t")
+    via_sql = spark.sql("SELECT conv_id, turn, word FROM conv_t, LATERAL split_keyword(text)")
+    via_jvm = conv.select("conv_id", "turn", F.explode(tokenize("text")).alias("word"))
+    assert sorted(via_sql.collect()) == sorted(via_jvm.collect())
