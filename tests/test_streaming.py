@@ -235,3 +235,80 @@ def test_payment_wide_stream_matches_batch(spark, tmp_dir):
     b = orders.payment_wide(pay, ow, *Q.PAYMENT_ORDER_BOUNDS)
     cols = ["payment_id", "order_id", "total_amount", "payment_ts", "sku_id", "order_create_time"]
     assert sorted(s.select(cols).collect()) == sorted(b.select(cols).collect())
+
+
+def test_topic_chained_jobs_and_stats_table(spark, page_files, tmp_dir):
+    """pages -> user-jump job -> JSON topic -> parsed back -> visitor-stats job ->
+    stats table partitioned by dt -> one-day read with partition pruning."""
+    from retailstream.operators import reports
+    from retailstream.sources import tables, topics
+    d, log = page_files
+    within = 6 * 3_600_000
+    q = jobs.start_user_jump(_stream(spark, d), f"{tmp_dir}/uj", f"{tmp_dir}/ck_uj", within_ms=within)
+    q.processAllAvailable()
+    q.stop()
+    uj_topic = topics.read_topic(spark, f"{tmp_dir}/uj", streaming=False)
+    uj_rows = uj_topic.select(F.from_json("value", P.FLAT_PAGE).alias("r")).select("r.*")
+    assert sorted(r[0] for r in uj_rows.select("seq").collect()) == \
+        sorted(r[0] for r in visits.bounce_detect(log, within_ms=within).select("seq").collect())
+
+    # the DWS job reads the DWM topic as a stream of JSON text
+    uj_stream = spark.readStream.schema(uj_topic.schema).parquet(f"{tmp_dir}/uj") \
+        .select(F.from_json("value", P.FLAT_PAGE).alias("r")).select("r.*")
+    uv_b = visits.daily_unique_visit(log)
+    P.flatten_page_log(uv_b).unionByName(spark.createDataFrame([SENTINEL], P.FLAT_PAGE)) \
+        .write.parquet(f"{tmp_dir}/uv")
+    uv_stream = spark.readStream.schema(P.FLAT_PAGE).parquet(f"{tmp_dir}/uv")
+    q = jobs.start_visitor_stats(_stream(spark, d), uv_stream, uj_stream, f"{tmp_dir}/stats",
+                                 f"{tmp_dir}/ck_vs", window="1 hour", delay="0 seconds")
+    q.processAllAvailable()
+    q.stop()
+    day = "2024-01-02"
+    got = tables.read_stats(spark, f"{tmp_dir}/stats", day)
+    b = stats.visitor_stats(stats.visitor_measure_rows(log, uv_b, visits.bounce_detect(log, within_ms=within)),
+                            window="1 hour")
+    want = reports.with_dt(b).where(F.col("dt") == day)
+    cols = ["stt", "vc", "ch", "ar", "is_new", "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum"]
+    assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
+    buf = __import__("io").StringIO()
+    with __import__("contextlib").redirect_stdout(buf):
+        got.explain("formatted")
+    assert "PartitionFilters" in buf.getvalue() and day in buf.getvalue()
+
+
+def test_order_wide_and_product_jobs_with_dimension_reload(spark, tmp_dir):
+    c = lambda t: spark.read.parquet(f"{SF_SMALL}/{t}.parquet")
+    oi = A.order_info(c("orders"), c("customer"))
+    od = A.order_detail(c("lineitem"))
+    oi.write.parquet(f"{tmp_dir}/oi")
+    od.write.parquet(f"{tmp_dir}/od")
+    loads = []
+
+    def load_dims():
+        loads.append(1)   # re-read every micro-batch (D6)
+        return {"user": A.dim_user_info(c("customer")), "province": A.dim_base_province(c("nation"), c("region")),
+                "sku": A.dim_sku_info(c("part")), "spu": A.dim_spu_info(c("part")),
+                "trademark": A.dim_base_trademark(c("part")), "category3": A.dim_base_category3(c("part"))}
+
+    so = spark.readStream.schema(oi.schema).parquet(f"{tmp_dir}/oi")
+    sd = spark.readStream.schema(od.schema).parquet(f"{tmp_dir}/od")
+    q = jobs.start_order_wide(so, sd, load_dims, f"{tmp_dir}/ow", f"{tmp_dir}/ck_ow",
+                              as_of=F.lit(Q.AS_OF).cast("timestamp_ntz"), lower="-5 days", upper="5 days")
+    q.processAllAvailable()
+    q.stop()
+    ow_rows = spark.read.parquet(f"{tmp_dir}/ow").select(F.from_json("value", Q.order_wide_df(spark, SF_SMALL).schema)
+                                                         .alias("r")).select("r.*")
+    batch = Q.order_wide_df(spark, SF_SMALL)
+    cols = ["order_id", "detail_id", "sku_name", "spu_name", "tm_name", "province_name", "user_age"]
+    assert loads and sorted(ow_rows.select(cols).collect()) == sorted(batch.select(cols).collect())
+
+    topic_schema = spark.read.parquet(f"{tmp_dir}/ow").schema
+    ow_stream = spark.readStream.schema(topic_schema).parquet(f"{tmp_dir}/ow") \
+        .select(F.from_json("value", batch.schema).alias("r")).select("r.*")
+    q = jobs.start_product_stats([stats.order_rows(ow_stream)], load_dims, f"{tmp_dir}/ps", f"{tmp_dir}/ck_ps",
+                                 window="1 day", delay="0 seconds")
+    q.processAllAvailable()
+    q.stop()
+    ps = spark.read.parquet(f"{tmp_dir}/ps")
+    assert ps.count() > 0 and ps.where(F.col("sku_name").isNull()).count() == 0
+    assert set(jobs.PRODUCT_COLUMNS) <= set(ps.columns)
