@@ -88,3 +88,16 @@ def int_div(num: Column, den: Column) -> Column:
 def to_stream_time(ms) -> Column:
     """Epoch ms -> TIMESTAMP usable by ``withWatermark``."""
     return F.timestamp_millis(_c(ms))
+
+
+def ms_to_string(ms, zone: str | None = None, fmt: str = TS_FORMAT) -> Column:
+    """FN-5: epoch ms -> wall-clock text in ``zone`` (default: the session zone)."""
+    z = F.lit(zone) if zone is not None else F.current_timezone()
+    return F.date_format(F.convert_timezone(F.lit("UTC"), z, from_epoch_ms(ms)), fmt)
+
+
+def string_to_ms(s, zone: str | None = None) -> Column:
+    """FN-5: 'yyyy-MM-dd HH:mm:ss' read as wall-clock time in ``zone`` (the
+    reference reads it at UTC+8) -> epoch ms; default: the session zone."""
+    z = F.lit(zone) if zone is not None else F.current_timezone()
+    return epoch_ms(F.convert_timezone(z, F.lit("UTC"), parse_ts(s)))

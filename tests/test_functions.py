@@ -67,3 +67,11 @@ def test_split_keyword_udtf_matches_tokenizer(spark):
     via_sql = spark.sql("SELECT conv_id, turn, word FROM conv_t, LATERAL split_keyword(text)")
     via_jvm = conv.select("conv_id", "turn", F.explode(tokenize("text")).alias("word"))
     assert sorted(via_sql.collect()) == sorted(via_jvm.collect())
+
+
+def test_zoned_text_and_epoch_ms(spark):
+    df = spark.createDataFrame([(1704067200000, "2024-01-01 08:00:00")], "ms long, s string")
+    r = df.select(timefmt.ms_to_string("ms", "Asia/Shanghai").alias("a"),
+                  timefmt.string_to_ms("s", "Asia/Shanghai").alias("b"),
+                  timefmt.ms_to_string("ms", "UTC").alias("c")).first()
+    assert (r["a"], r["b"], r["c"]) == ("2024-01-01 08:00:00", 1704067200000, "2024-01-01 00:00:00")
