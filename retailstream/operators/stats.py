@@ -33,9 +33,12 @@ def split_rejects(rows: DataFrame, keys: Sequence[str], ts: str = "ts") -> tuple
 
 
 def event_time(ms: Column | str = "ts", streaming: bool = False) -> Column:
-    """Event-time column for windows: NTZ in batch, TIMESTAMP on streams."""
-    c = F.col(ms) if isinstance(ms, str) else ms
-    return F.timestamp_millis(c) if streaming else from_epoch_ms(c)
+    """Event-time column for windows: NTZ from epoch ms in batch; on streams
+    the watermarked ``rt`` column the job attached (``withWatermark("rt", …)``),
+    which append-mode windows require."""
+    if streaming:
+        return F.col("rt")
+    return from_epoch_ms(F.col(ms) if isinstance(ms, str) else ms)
 
 
 # ---------------------------------------------------------------------------

@@ -106,10 +106,7 @@ def visitor_stats_stream(pages: DataFrame, uv: DataFrame, uj: DataFrame, window:
     dt = "array<struct<item:string,item_type:string>>"
     nest = lambda d: P.nest_page_log(d, dt)
     rows = _union_watermarked(stats.visitor_measure_parts(nest(pages), nest(uv), nest(uj)), delay)
-    g = rows.groupBy(F.window("rt", window).alias("window"), *stats.VISITOR_KEYS).agg(
-        *[F.sum(m).alias(m) for m in stats.VISITOR_MEASURES], F.min("ts").alias("ts"))
-    from retailstream.functions.timefmt import window_bounds
-    return g.select(*window_bounds(), *stats.VISITOR_KEYS, *stats.VISITOR_MEASURES, "ts")
+    return stats.visitor_stats(rows, window, streaming=True)
 
 
 def start_visitor_stats(pages: DataFrame, uv: DataFrame, uj: DataFrame, out: str, checkpoint: str,
@@ -217,16 +214,7 @@ PRODUCT_COLUMNS = ("stt", "edt", "sku_id", "sku_name", "sku_price", "spu_id", "s
 
 def product_stats_stream(parts: list[DataFrame], window: str = "10 seconds", delay: str = "2 seconds") -> DataFrame:
     rows = stats.union_product_rows([_watermarked(p, delay) for p in parts])
-    g = rows.groupBy(F.window("rt", window).alias("window"), "sku_id").agg(
-        *[F.sum(c).alias(c) for c in stats.PRODUCT_COUNTS],
-        *[F.sum(c).cast(stats.SUM_MONEY).alias(c) for c in stats.PRODUCT_AMOUNTS],
-        F.size(F.collect_set("order_oid")).cast("long").alias("order_ct"),
-        F.size(F.collect_set("paid_oid")).cast("long").alias("paid_order_ct"),
-        F.size(F.collect_set("refund_oid")).cast("long").alias("refund_order_ct"),
-        F.min("ts").alias("ts"))
-    from retailstream.functions.timefmt import window_bounds
-    return g.select(*window_bounds(), "sku_id", *stats.PRODUCT_COUNTS, *stats.PRODUCT_AMOUNTS,
-                    "order_ct", "paid_order_ct", "refund_order_ct", "ts")
+    return stats.product_stats(rows, window, streaming=True)
 
 
 def start_product_stats(parts: list[DataFrame], load_dims: Callable[[], dict], out: str, checkpoint: str,
