@@ -73,4 +73,19 @@ def read_stats(spark: SparkSession, path: str, date: str | None = None) -> DataF
     is listed and scanned.
     """
     df = spark.read.parquet(path)
-    return df if date is None else df.where(F.col("dt") == F.lit(date))
+    dt_type = df.schema["dt"].dataType
+    if date is not None:  # compare in the discovered type so the folder filter prunes
+        df = df.where(F.col("dt") == F.lit(date).cast(dt_type))
+    # partition discovery may type dt as a date; reports use the 'yyyy-MM-dd' text
+    return df if dt_type.simpleString() == "string" else df.withColumn("dt", F.col("dt").cast("string"))
+
+
+def materialize(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
+    """Write ``df`` as a parquet table and read it back, cutting its lineage:
+    after an executor loss, later stages recompute from this table instead of
+    from the raw inputs.  The default location is a folder under the shared
+    ``spark.checkpoint.dir`` of the session (set by the cluster)."""
+    from retailstream.session import ensure_checkpoint_dir
+    path = os.path.join(root or os.path.join(ensure_checkpoint_dir(df.sparkSession), "tables"), name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
