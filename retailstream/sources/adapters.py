@@ -196,8 +196,9 @@ def dim_user_info(customer: DataFrame) -> DataFrame:
 
 
 def dim_base_province(nation: DataFrame, region: DataFrame) -> DataFrame:
-    r = region.select("r_regionkey", "r_name")
-    n = nation.join(F.broadcast(r), nation.n_regionkey == r.r_regionkey, "left")  # 5 regions: fixed size
+    from retailstream.operators.dims import checked_broadcast
+    r = checked_broadcast(region.select("r_regionkey", "r_name"), 10_000)
+    n = nation.join(r, nation.n_regionkey == r.r_regionkey, "left")
     nk = F.lpad(_s(F.col("n_nationkey")), 2, "0")
     return n.select(_s(F.col("n_nationkey")).alias("id"), F.col("n_name").alias("name"),
                     F.col("r_name").alias("area_code"), F.concat(F.lit("N"), nk).alias("iso_code"),
