@@ -169,7 +169,12 @@ class BounceDetect(StatefulProcessor):
 
 
 def repair_new_visitor_stream(flat: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    return flat.groupBy("mid").transformWithState(NewVisitorRepair(ttl_ms), FLAT_PAGE, "Append", "None")
+    """Only ``is_new='1'`` rows read or write the state, so only they are
+    shuffled to the per-visitor processor; every other row passes straight
+    through (a hot visitor's ordinary traffic never reaches the keyed task)."""
+    cand = F.col("is_new") == "1"
+    fixed = flat.where(cand).groupBy("mid").transformWithState(NewVisitorRepair(ttl_ms), FLAT_PAGE, "Append", "None")
+    return fixed.unionByName(flat.where(~cand | F.col("is_new").isNull()).select(*FLAT_FIELDS))
 
 
 def daily_unique_visit_stream(flat: DataFrame, ttl_ms: int | None = 86_400_000) -> DataFrame:
@@ -177,7 +182,8 @@ def daily_unique_visit_stream(flat: DataFrame, ttl_ms: int | None = 86_400_000)
     processing-time mode, in which the query keeps running no-data micro-batches
     to evaluate expiry; ``ttl_ms=None`` keeps dates forever and needs no clock."""
     mode = "None" if ttl_ms is None else "ProcessingTime"
-    return flat.groupBy("mid").transformWithState(DailyUniqueVisit(ttl_ms), FLAT_PAGE, "Append", mode)
+    entries = flat.where(F.col("last_page_id").isNull())  # non-entry rows never emit nor touch state
+    return entries.groupBy("mid").transformWithState(DailyUniqueVisit(ttl_ms), FLAT_PAGE, "Append", mode)
 
 
 def bounce_detect_stream(flat: DataFrame, within_ms: int = 10_000, delay: str = "1 second") -> DataFrame:
