@@ -187,6 +187,10 @@ def daily_unique_visit_stream(flat: DataFrame, ttl_ms: int | None = 86_400_000)
 
 
 def bounce_detect_stream(flat: DataFrame, within_ms: int = 10_000, delay: str = "1 second") -> DataFrame:
-    """``flat`` must carry ``ts`` (epoch ms); the watermark is on ``rt``."""
-    x = flat.withColumn("rt", F.timestamp_millis("ts")).withWatermark("rt", delay).drop("rt")
+    """``flat`` must carry ``ts`` (epoch ms); the watermark is on ``rt``.
+    Non-entry rows only decide whether the entry before them bounced, so their
+    payload is dropped before the shuffle and the state buffer."""
+    entry = F.col("last_page_id").isNull()
+    slim = {c: F.when(entry, F.col(c)) for c in ("item", "item_type", "displays", "start", "page_id")}
+    x = flat.withColumns(slim).withColumn("rt", F.timestamp_millis("ts")).withWatermark("rt", delay).drop("rt")
     return x.groupBy("mid").transformWithState(BounceDetect(within_ms), FLAT_PAGE, "Append", "EventTime")
