@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from retailstream.operators import reports, stats, visits
 from retailstream.sources import adapters as A
-from retailstream.sources.tables import Catalog
+from retailstream.sources.tables import Catalog, derived
 
 # Test-scale parameters: the click log spans 30 days with minutes between a
 # visitor's events, so the 10 s bounce limit and window become 6 h and 1 h.
@@ -46,6 +46,10 @@ def q_bounce_detect(spark, sf):
 
 
 def visitor_stats_df(spark, sf) -> DataFrame:
+    return derived(spark, sf, "visitor_stats_df", lambda: _visitor_stats_df(spark, sf))
+
+
+def _visitor_stats_df(spark, sf) -> DataFrame:
     log = _page_log(spark, sf)
     rows = stats.visitor_measure_rows(log, visits.daily_unique_visit(log),
                                       visits.bounce_detect(log, within_ms=BOUNCE_WITHIN_MS))
@@ -144,6 +148,10 @@ def _as_of():
 
 
 def order_wide_df(spark, sf) -> DataFrame:
+    return derived(spark, sf, "order_wide_df", lambda: _order_wide_df(spark, sf))
+
+
+def _order_wide_df(spark, sf) -> DataFrame:
     c = Catalog(spark, sf)
     oi = orders.order_time_fields(A.order_info(c.orders, c.customer))
     ow = orders.order_wide(oi, A.order_detail(c.lineitem), *ORDER_DETAIL_BOUNDS)
@@ -154,6 +162,10 @@ def order_wide_df(spark, sf) -> DataFrame:
 
 
 def payment_wide_df(spark, sf) -> DataFrame:
+    return derived(spark, sf, "payment_wide_df", lambda: _payment_wide_df(spark, sf))
+
+
+def _payment_wide_df(spark, sf) -> DataFrame:
     c = Catalog(spark, sf)
     return orders.payment_wide(A.payment_info(c.lineitem, c.orders), order_wide_df(spark, sf),
                                *PAYMENT_ORDER_BOUNDS)
@@ -178,6 +190,10 @@ def q_dim_user_age(spark, sf):
 # ---------------------------------------------------------------------------
 
 def product_stats_df(spark, sf) -> DataFrame:
+    return derived(spark, sf, "product_stats_df", lambda: _product_stats_df(spark, sf))
+
+
+def _product_stats_df(spark, sf) -> DataFrame:
     c = Catalog(spark, sf)
     ev = c.events
     parts = [
@@ -195,15 +211,27 @@ def product_stats_df(spark, sf) -> DataFrame:
 
 
 def province_stats_df(spark, sf) -> DataFrame:
+    return derived(spark, sf, "province_stats_df", lambda: _province_stats_df(spark, sf))
+
+
+def _province_stats_df(spark, sf) -> DataFrame:
     return stats.province_stats(order_wide_df(spark, sf), window=PROVINCE_WINDOW, as_of_s=F.lit(AS_OF_S))
 
 
 def keyword_stats_df(spark, sf) -> DataFrame:
+    return derived(spark, sf, "keyword_stats_df", lambda: _keyword_stats_df(spark, sf))
+
+
+def _keyword_stats_df(spark, sf) -> DataFrame:
     words = stats.explode_keywords(stats.search_rows(A.search_log(Catalog(spark, sf).conversations)))
     return stats.keyword_stats(words, window=KEYWORD_WINDOW, as_of_s=F.lit(AS_OF_S))
 
 
 def product_keyword_stats_df(spark, sf) -> DataFrame:
+    return derived(spark, sf, "product_keyword_stats_df", lambda: _product_keyword_stats_df(spark, sf))
+
+
+def _product_keyword_stats_df(spark, sf) -> DataFrame:
     """Keywords of product names: ordered (ORDER), carted (CART), clicked (CLICK)."""
     c = Catalog(spark, sf)
     skus = A.dim_sku_info(c.part)

@@ -31,11 +31,23 @@ def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = N
 
 
 _TABLES: dict[tuple, DataFrame] = {}
+_DERIVED: dict[tuple, DataFrame] = {}
 
 
 def clear_table_cache() -> None:
-    """Forget remembered table reads (call after new files land in a folder)."""
+    """Forget remembered table reads and plans built on them (call after new
+    files land in a folder)."""
     _TABLES.clear()
+    _DERIVED.clear()
+
+
+def derived(spark: SparkSession, root: str, name: str, build) -> DataFrame:
+    """A DataFrame (a plan, not data) built once per session and folder: plans
+    that reuse it skip re-analysis, and identical subtrees help exchange reuse."""
+    key = (id(spark), root, name)
+    if key not in _DERIVED:
+        _DERIVED[key] = build()
+    return _DERIVED[key]
 
 
 class Catalog:
