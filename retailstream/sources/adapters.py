@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from retailstream.functions.timefmt import epoch_ms, from_epoch_ms, ts_string
+from retailstream.functions.timefmt import epoch_ms, ts_string
 
 MONEY = DecimalType(18, 2)
 

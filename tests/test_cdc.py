@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from retailstream.operators import cdc
 from retailstream.sources import sinks

@@ -1,6 +1,5 @@
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from retailstream.operators import reports, stats
 from tests.conftest import page_rows
