@@ -29,7 +29,8 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     The verdict is remembered per session and plan (``semanticHash``), so a
     dimension used by several joins of one job is counted once.
     """
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    from retailstream.sources.tables import session_key
+    key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
     if key not in _FITS:
         _FITS[key] = df.limit(max_rows + 1).count() <= max_rows
     return _FITS[key]

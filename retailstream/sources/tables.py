@@ -34,6 +34,19 @@ _TABLES: dict[tuple, DataFrame] = {}
 _DERIVED: dict[tuple, DataFrame] = {}
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session: a new session or a restarted application
+    never matches an old key, even if Python reuses the object's address."""
+    return (spark.sparkContext.applicationId, id(spark))
+
+
+def _cached(cache: dict, key: tuple, spark: SparkSession, build) -> DataFrame:
+    df = cache.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = cache[key] = build()
+    return df
+
+
 def clear_table_cache() -> None:
     """Forget remembered table reads and plans built on them (call after new
     files land in a folder)."""
@@ -44,10 +57,7 @@ def clear_table_cache() -> None:
 def derived(spark: SparkSession, root: str, name: str, build) -> DataFrame:
     """A DataFrame (a plan, not data) built once per session and folder: plans
     that reuse it skip re-analysis, and identical subtrees help exchange reuse."""
-    key = (id(spark), root, name)
-    if key not in _DERIVED:
-        _DERIVED[key] = build()
-    return _DERIVED[key]
+    return _cached(_DERIVED, (session_key(spark), root, name), spark, build)
 
 
 class Catalog:
@@ -66,11 +76,10 @@ class Catalog:
     def table(self, name: str) -> DataFrame:
         """One DataFrame per table and session: the folder is listed and its
         footers read once, however many branches of a plan use the table."""
-        key = (id(self.spark), self.root, name, self.spread)
-        if key not in _TABLES:
+        def read() -> DataFrame:
             df = self.spark.read.parquet(os.path.join(self.root, f"{name}.parquet"))
-            _TABLES[key] = spread(df) if self.spread and name in FACT_TABLES else df
-        return _TABLES[key]
+            return spread(df) if self.spread and name in FACT_TABLES else df
+        return _cached(_TABLES, (session_key(self.spark), self.root, name, self.spread), self.spark, read)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TEST_TABLES:
