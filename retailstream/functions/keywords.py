@@ -56,7 +56,9 @@ def register_split_keyword(spark, name: str = "split_keyword") -> None:
     spark.udtf.register(name, SplitKeyword)
 
 
-MAX_DICTIONARY_WORDS = 50_000
+# A literal map is searched linearly per lookup, so the inline dictionary is
+# kept small; a larger dictionary belongs in a (checked-broadcast) join.
+MAX_DICTIONARY_WORDS = 5_000
 
 
 def tokenize_with_dictionary(text, words, max_words: int = MAX_DICTIONARY_WORDS) -> Column:

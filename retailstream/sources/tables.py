@@ -68,10 +68,13 @@ class Catalog:
     ``spread`` (default) an input with fewer splits than cores is spread first.
     """
 
-    def __init__(self, spark: SparkSession, root: str, spread: bool = True):
+    def __init__(self, spark: SparkSession, root: str, spread: bool = True, cache: bool = True):
+        """``cache=False`` re-lists the folder on every read: use it for
+        dimension loaders called once per micro-batch, so new files are seen."""
         self.spark = spark
         self.root = root
         self.spread = spread
+        self.cache = cache
 
     def table(self, name: str) -> DataFrame:
         """One DataFrame per table and session: the folder is listed and its
@@ -79,6 +82,8 @@ class Catalog:
         def read() -> DataFrame:
             df = self.spark.read.parquet(os.path.join(self.root, f"{name}.parquet"))
             return spread(df) if self.spread and name in FACT_TABLES else df
+        if not self.cache:
+            return read()
         return _cached(_TABLES, (session_key(self.spark), self.root, name, self.spread), self.spark, read)
 
     def __getattr__(self, name: str) -> DataFrame:

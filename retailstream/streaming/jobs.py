@@ -160,7 +160,9 @@ def order_wide_stream(order_info: DataFrame, order_detail: DataFrame, lower: str
 def start_order_wide(order_info: DataFrame, order_detail: DataFrame, load_dims: Callable[[], dict], out: str,
                      checkpoint: str, as_of=None, trigger: dict | None = None, **bounds) -> StreamingQuery:
     """Dimensions are re-read by ``load_dims()`` in every micro-batch, so
-    upserted dimension rows are seen (D6); lookups are left joins (D5)."""
+    upserted dimension rows are seen (D6); lookups are left joins (D5).  A
+    loader built on ``Catalog`` should pass ``cache=False`` so each call lists
+    the folder again."""
     ow = order_wide_stream(order_info, order_detail, **bounds)
 
     def batch(df: DataFrame, bid: int) -> None:

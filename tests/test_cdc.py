@@ -62,3 +62,12 @@ def test_versioned_dimension_upsert_is_idempotent(spark, tmp_dir):
     sinks.upsert_dimension_table(spark, dele, path, version=2)
     cur = {r["id"]: r["name"] for r in sinks.read_dimension(spark, path).collect()}
     assert v == 1 and cur == {"1": "c"}
+
+
+def test_uncached_catalog_sees_new_files(spark, tmp_dir):
+    from retailstream.sources.tables import Catalog
+    spark.createDataFrame([(1,)], "x long").write.parquet(f"{tmp_dir}/t.parquet")
+    cached, fresh = Catalog(spark, tmp_dir), Catalog(spark, tmp_dir, cache=False)
+    assert cached.table("t").count() == 1 and fresh.table("t").count() == 1
+    spark.createDataFrame([(2,)], "x long").write.mode("append").parquet(f"{tmp_dir}/t.parquet")
+    assert fresh.table("t").count() == 2
