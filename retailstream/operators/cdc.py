@@ -23,7 +23,9 @@ def _empty_map() -> F.Column:
     return F.create_map().cast("map<string,string>")
 
 
-# Envelope op codes -> change types (snapshot reads count as inserts, D13).
+# Fixed values (must equal the reference's change and routing codes):
+# envelope op codes -> change types (snapshot reads count as inserts, D13),
+# and the config sinkType values of dimension and fact routes.
 OP_TYPES = {"c": "insert", "r": "insert", "u": "update", "d": "delete"}
 SINK_DIM = "hbase"
 SINK_FACT = "kafka"

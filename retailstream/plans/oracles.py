@@ -434,7 +434,7 @@ ch AS (
 )"""
 
 ORACLES["cdc_flatten"] = "WITH " + CHANGES + """
-SELECT seq, 'gmall' AS database, table_name, type, id AS data_id, data_status, before_status,
+SELECT seq, 'shop' AS database, table_name, type, id AS data_id, data_status, before_status,
        n_data, n_before FROM ch"""
 
 ORACLES["cdc_route"] = "WITH " + CHANGES + """,

@@ -232,7 +232,7 @@ def dim_base_category3(part: DataFrame) -> DataFrame:
 _ENVELOPE = ("struct<op:string,seq:bigint,before:map<string,string>,after:map<string,string>>")
 
 
-def order_changes(orders: DataFrame, server: str = "erp", db: str = "gmall") -> DataFrame:
+def order_changes(orders: DataFrame, server: str = "erp", db: str = "shop") -> DataFrame:
     """orders -> change envelopes ``topic, op, before, after, seq``.
 
     Each order is created (``r`` = snapshot before 1996, else ``c``); finished or
@@ -263,7 +263,7 @@ def order_changes(orders: DataFrame, server: str = "erp", db: str = "gmall") ->
     return x.select(F.lit(f"{server}.{db}.order_info").alias("topic"), "c.op", "c.before", "c.after", "c.seq")
 
 
-def user_changes(customer: DataFrame, server: str = "erp", db: str = "gmall") -> DataFrame:
+def user_changes(customer: DataFrame, server: str = "erp", db: str = "shop") -> DataFrame:
     """customer -> change envelopes: a snapshot row each, and a balance update
     for the BUILDING segment."""
     key = F.col("c_custkey")
