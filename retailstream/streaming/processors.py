@@ -159,7 +159,9 @@ class BounceDetect(StatefulProcessor):
             self.handle.registerTimer(rest[0]["ts"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        yield from self._advance(timerValues.getCurrentWatermarkInMs(), list(rows))
+        wm = timerValues.getCurrentWatermarkInMs()
+        # a row at or below the watermark on arrival is late and lost, as in the reference
+        yield from self._advance(wm, [r for r in rows if r["ts"] > wm])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         yield from self._advance(timerValues.getCurrentWatermarkInMs())

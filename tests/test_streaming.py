@@ -312,3 +312,34 @@ def test_order_wide_and_product_jobs_with_dimension_reload(spark, tmp_dir):
     ps = spark.read.parquet(f"{tmp_dir}/ps")
     assert ps.count() > 0 and ps.where(F.col("sku_name").isNull()).count() == 0
     assert set(jobs.PRODUCT_COLUMNS) <= set(ps.columns)
+
+
+def test_bounce_stream_out_of_order_and_late_rows(spark, tmp_dir):
+    """Out-of-order rows inside the 1 s tolerance are re-ordered by event time;
+    a row older than the watermark when it arrives is dropped (late)."""
+    T = 1_704_067_200_000
+
+    def row(seq, ts, mid, entry):
+        return (seq, T + ts, mid, "v", "c", "a", "0", "p", None if entry else "home", None, None, 0, None, None)
+
+    batches = [
+        [row(2, 5_000, "a", False), row(1, 0, "a", True)],          # reversed inside a batch
+        [row(4, 20_000, "a", True), row(3, 19_500, "b", True)],     # 'b' arrives 0.5 s behind 'a'
+        [row(5, 60_000, "z", False)],                               # moves the watermark to 59 s
+        [row(6, 30_000, "a", True)],                                 # late: older than the watermark
+        [row(7, 10 ** 9, "z", False)],                               # flush
+    ]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, P.FLAT_PAGE).coalesce(1).write.parquet(f"{tmp_dir}/in/b{i}")
+    import glob
+    import shutil
+    os.makedirs(f"{tmp_dir}/src")
+    for i in range(len(batches)):   # one file per trigger, in this order
+        f = glob.glob(f"{tmp_dir}/in/b{i}/*.parquet")[0]
+        shutil.copy(f, f"{tmp_dir}/src/part-{i:03d}.parquet")
+        os.utime(f"{tmp_dir}/src/part-{i:03d}.parquet", (1_700_000_000 + i, 1_700_000_000 + i))
+    s = spark.readStream.schema(P.FLAT_PAGE).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/src")
+    out = _drain(P.bounce_detect_stream(s, 10_000, "1 second"), "t_ooo", f"{tmp_dir}/ck")
+    # a: entry at 0 s stays (non-entry 5 s later); entry at 20 s times out; the late entry is gone
+    # b: entry at 19.5 s, no successor -> bounce
+    assert sorted(r[0] for r in out.select("seq").collect()) == [3, 4]
