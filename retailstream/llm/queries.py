@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from retailstream.llm.common import read_table
 
@@ -21,7 +22,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op10_url_filter": op10_url_filter}
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from retailstream.llm.line_dedup import dedup_lines
+    return dedup_lines(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+QUERIES = {"op2_quality_rules": op2_quality_rules, "op4_line_dedup": op4_line_dedup, "op10_url_filter": op10_url_filter}
 
 OP10_SQL = """
 WITH p AS (
@@ -89,4 +96,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 O
 FROM x JOIN ok ON x.source IS NOT DISTINCT FROM ok.source
 """
 
-ORACLES = {"op2_quality_rules": OP2_SQL, "op10_url_filter": OP10_SQL}
+OP4_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT rid, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
+k AS (SELECT rid, doc_id, i, line,
+             translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM l),
+f AS (SELECT key, max(doc_id) AS holder FROM k WHERE length(key) >= 40
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+j AS (SELECT rid, k.doc_id, i, line, coalesce(k.doc_id < holder, false) AS gone FROM k LEFT JOIN f USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM j GROUP BY rid
+"""
+
+ORACLES = {"op2_quality_rules": OP2_SQL, "op4_line_dedup": OP4_SQL, "op10_url_filter": OP10_SQL}
