@@ -28,12 +28,18 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from retailstream.llm.simhash import near_duplicates
+    return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from retailstream.llm.packing import pack
     return pack(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op4_line_dedup": op4_line_dedup,
+QUERIES = {"op2_quality_rules": op2_quality_rules, "op3_simhash_dedup": op3_simhash_dedup,
+           "op4_line_dedup": op4_line_dedup,
            "op7_best_fit_packing": op7_best_fit_packing, "op10_url_filter": op10_url_filter}
 
 OP10_SQL = """
