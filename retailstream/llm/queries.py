@@ -38,7 +38,20 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op3_simhash_dedup": op3_simhash_dedup,
+def _part(n: int):
+    """crc32 of the id as text, modulo n: which rows are held out."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n)), F.lit(-1))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from retailstream.llm.toxicity import fit, score_documents
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit(docs, read_table(spark, sf_dir, "labels").where(_part(5) != 0))
+    return score_documents(docs, model).select("doc_id", (_part(5) == 0).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {"op1_toxicity": op1_toxicity,
+           "op2_quality_rules": op2_quality_rules, "op3_simhash_dedup": op3_simhash_dedup,
            "op4_line_dedup": op4_line_dedup,
            "op7_best_fit_packing": op7_best_fit_packing, "op10_url_filter": op10_url_filter}
 
