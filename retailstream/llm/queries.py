@@ -50,7 +50,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(docs, model).select("doc_id", (_part(5) == 0).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {"op1_toxicity": op1_toxicity,
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from retailstream.llm.byte_cnn import fit, score_documents
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit(docs, read_table(spark, sf_dir, "labels").where(_part(4) != 2))
+    return score_documents(docs, model).select("doc_id", (_part(4) == 2).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {"op1_toxicity": op1_toxicity, "op9_quality_classifier": op9_quality_classifier,
            "op2_quality_rules": op2_quality_rules, "op3_simhash_dedup": op3_simhash_dedup,
            "op4_line_dedup": op4_line_dedup,
            "op7_best_fit_packing": op7_best_fit_packing, "op10_url_filter": op10_url_filter}
