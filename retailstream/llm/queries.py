@@ -57,7 +57,12 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(docs, model).select("doc_id", (_part(4) == 2).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op9_quality_classifier": op9_quality_classifier,
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from retailstream.llm.embedding_dedup import near_duplicates
+    return near_duplicates(read_table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+QUERIES = {"op6_embedding_dedup": op6_embedding_dedup, "op1_toxicity": op1_toxicity, "op9_quality_classifier": op9_quality_classifier,
            "op2_quality_rules": op2_quality_rules, "op3_simhash_dedup": op3_simhash_dedup,
            "op4_line_dedup": op4_line_dedup,
            "op7_best_fit_packing": op7_best_fit_packing, "op10_url_filter": op10_url_filter}
