@@ -136,8 +136,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = base.select("id", "text").where("id IS NOT NULL").mapInArrow(
         _long_lines(min_chars), f"id {id_type}, key binary")
     lines = stored(lines.distinct(), "lines")  # a document counts once, also if its row is there twice
-    frequent = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs)
-    repeated = stored(lines.join(frequent.select("key"), "key"), "repeated-lines")
+    # a table of its own, so that the join below shuffles it by itself and a hot key can be split
+    frequent = stored(lines.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs)
+                      .select("key"), "frequent-lines")
+    repeated = stored(lines.join(frequent, "key"), "repeated-lines")
     holders = line_holders(repeated, n_batches, fanout)
     drops = (repeated.join(holders, "key").where(F.col("id") < F.col("holder"))
              .groupBy("id").agg(F.collect_list("key").alias("drop")))  # as many as a document has lines
