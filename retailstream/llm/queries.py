@@ -62,7 +62,13 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "embeddings"), least=0.9)
 
 
-QUERIES = {"op6_embedding_dedup": op6_embedding_dedup, "op1_toxicity": op1_toxicity, "op9_quality_classifier": op9_quality_classifier,
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from retailstream.llm.mixing import mix
+    return mix(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "topic", "tokens", F.round("p", 6).alias("p"), "sampled")
+
+
+QUERIES = {"op5_mixing": op5_mixing, "op6_embedding_dedup": op6_embedding_dedup, "op1_toxicity": op1_toxicity, "op9_quality_classifier": op9_quality_classifier,
            "op2_quality_rules": op2_quality_rules, "op3_simhash_dedup": op3_simhash_dedup,
            "op4_line_dedup": op4_line_dedup,
            "op7_best_fit_packing": op7_best_fit_packing, "op10_url_filter": op10_url_filter}
@@ -148,4 +154,51 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE
 FROM j GROUP BY rid
 """
 
-ORACLES = {"op2_quality_rules": OP2_SQL, "op4_line_dedup": OP4_SQL, "op10_url_filter": OP10_SQL}
+# the parameters of mix(): share of tokens drawn, flattening power, raking rounds, steps of the budget
+BUDGET, POWER, ROUNDS, STEPS = 0.6, 0.7, 6, 20
+
+
+def _op5_sql() -> str:
+    """Raking by window sums, one step of one marginal at a time."""
+    steps, last = [], "c"
+    for i in range(ROUNDS):
+        for key in ("source", "lang", "topic"):
+            steps.append(f"r{i}{key} AS (SELECT c.* REPLACE (weight * share / sum(weight) OVER (PARTITION BY {key}) "
+                         f"AS weight) FROM {last} c JOIN t_{key} USING ({key}))")
+            last = f"r{i}{key}"
+    factors = [f"f0 AS (SELECT {BUDGET} * sum(tokens) / sum(weight) AS f FROM {last})"]
+    for i in range(1, STEPS):
+        factors.append(
+            f"f{i} AS (SELECT greatest(any_value(f), coalesce(({BUDGET} * sum(tokens) - coalesce(sum(tokens) FILTER "
+            f"(WHERE f * weight / tokens >= 1), 0)) / sum(weight) FILTER (WHERE f * weight / tokens < 1), 0)) AS f "
+            f"FROM {last}, f{i - 1})")
+    targets = ", ".join(
+        f"t_{k} AS (SELECT {k}, pow(t, {POWER}) / sum(pow(t, {POWER})) OVER () AS share FROM "
+        f"(SELECT {k}, sum(tokens)::DOUBLE AS t FROM c GROUP BY 1))" for k in ("source", "lang", "topic"))
+    return rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, text,
+         len(string_split(text, chr(10))) AS n_lines,
+         coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0)::BIGINT AS tokens
+  FROM documents),
+e AS (
+  SELECT *, CASE WHEN text IS NULL OR text = '' THEN 'empty'
+                 WHEN length(text) - length(replace(text, '|', '')) >= 3 * n_lines THEN 'table'
+                 WHEN contains(lower(text), 'licen') THEN 'notice'
+                 WHEN length(text) < 80 * n_lines THEN 'list' ELSE 'prose' END AS topic
+  FROM d),
+c AS MATERIALIZED (
+  SELECT source, lang, topic, sum(tokens) AS tokens, sum(tokens)::DOUBLE / (SELECT sum(tokens) FROM e) AS weight
+  FROM e WHERE tokens > 0 GROUP BY ALL),
+{targets},
+{", ".join(s.replace(" AS (", " AS MATERIALIZED (", 1) for s in steps)},
+{", ".join(s.replace(" AS (", " AS MATERIALIZED (", 1) for s in factors)},
+p AS (SELECT source, lang, topic, least(1.0, f * weight / tokens) AS p FROM {last}, f{STEPS - 1})
+SELECT doc_id, e.topic, e.tokens, round(CASE WHEN e.tokens > 0 THEN coalesce(p, 0) ELSE 0 END, 6) AS p,
+       ('0x' || substr(md5('1:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0
+         < CASE WHEN e.tokens > 0 THEN coalesce(p, 0) ELSE 0 END AS sampled
+FROM e LEFT JOIN p USING (source, lang, topic)
+"""
+
+
+ORACLES = {"op5_mixing": _op5_sql(), "op2_quality_rules": OP2_SQL, "op4_line_dedup": OP4_SQL, "op10_url_filter": OP10_SQL}
