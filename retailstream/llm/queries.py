@@ -33,6 +33,37 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def transcripts(conversations: DataFrame) -> DataFrame:
+    """``conv, pos, role, text``: the turns as rows of raw transcripts.
+
+    Markers are written in four styles, by conversation; of every eighth turn or so
+    the marker is missing and only a blank line tells that someone else speaks.
+    """
+    role, text = F.col("role"), F.col("text")
+    # fixed values: how the styles name the roles
+    names = [{"system": "System: ", "user": "User: ", "assistant": "Assistant: "},
+             {"system": "### System\n", "user": "### Human\n", "assistant": "### Assistant\n"},
+             {"system": "[system] ", "user": "Q: ", "assistant": "A: "},
+             {"system": "<system> ", "user": "<user> ", "assistant": "<bot> "}]
+    style = F.pmod(F.crc32(F.col("conv_id").cast("string")), F.lit(4))
+    marker = F.lit("")
+    for i, by_role in enumerate(names):
+        for r, mark in by_role.items():
+            marker = F.when((style == i) & (role == r), mark).otherwise(marker)
+    unmarked = F.pmod(F.crc32(F.concat_ws(":", "conv_id", "turn")), F.lit(8)) == 0
+    return conversations.select(
+        F.col("conv_id").alias("conv"), F.col("turn").alias("pos"), role,
+        F.concat(F.when(unmarked, F.lit("\n")).otherwise(marker), text).alias("text"))
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from retailstream.llm.chat_format import fit, format_chats
+    rows = transcripts(read_table(spark, sf_dir, "conversations"))
+    learn = rows.where(F.pmod(F.crc32(F.col("conv").cast("string")), F.lit(5)) != 0)   # the others are held out
+    return format_chats(rows, fit(learn)).select(
+        F.col("conv").alias("conv_id"), F.col("pos").alias("turn"), "role", "begins", "n_lines", "rendered")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from retailstream.llm.packing import pack
     return pack(read_table(spark, sf_dir, "documents"))
@@ -71,7 +102,8 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op5_mixing": op5_mixing, "op6_embedding_dedup": op6_embedding_dedup, "op1_toxicity": op1_toxicity, "op9_quality_classifier": op9_quality_classifier,
            "op2_quality_rules": op2_quality_rules, "op3_simhash_dedup": op3_simhash_dedup,
            "op4_line_dedup": op4_line_dedup,
-           "op7_best_fit_packing": op7_best_fit_packing, "op10_url_filter": op10_url_filter}
+           "op7_best_fit_packing": op7_best_fit_packing, "op8_chat_format": op8_chat_format,
+           "op10_url_filter": op10_url_filter}
 
 OP10_SQL = """
 WITH p AS (
@@ -179,7 +211,8 @@ def _op5_sql() -> str:
 WITH d AS (
   SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, text,
          len(string_split(text, chr(10))) AS n_lines,
-         coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0)::BIGINT AS tokens
+         coalesce(len(regexp_extract_all(text, '[^ 	-
+]+')), 0)::BIGINT AS tokens
   FROM documents),
 e AS (
   SELECT *, CASE WHEN text IS NULL OR text = '' THEN 'empty'
