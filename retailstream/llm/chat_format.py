@@ -4,7 +4,7 @@ The states are a role that begins a turn and a role that goes on with one.  A
 line is observed as its speaker marker (``User:``, ``### Assistant``, ``Q:``,
 ``<system>``, ...), whether a blank line comes before it, its length and whether
 it asks.  Transition and feature probabilities are counted from transcripts
-whose roles are known, with add-one smoothing; the roles of a new transcript are
+whose roles are known, on top of small prior counts; the roles of a new transcript are
 its most likely path (Viterbi), and each turn is rendered as
 ``<|im_start|>role\\n...<|im_end|>``.
 
@@ -80,7 +80,17 @@ class Model:
     def __init__(self, moves: np.ndarray, emits: np.ndarray, starts: np.ndarray):
         self.move = np.log(_allowed(moves + 1.0))
         self.start = np.log(_normal(np.where([b for _, b in STATES], starts + 1.0, 1e-9)))
-        self.emit = np.log(_normal(emits + 0.1))
+        self.emit = np.log(_normal(emits + _prior()))
+
+
+def _prior() -> np.ndarray:
+    """Pseudo-counts of features: what a marker says before anything is learnt."""
+    mark = np.arange(N_FEATURES) // (N_FEATURES // (1 + len(ROLES)))
+    prior = np.empty((len(STATES), N_FEATURES))
+    for i, (role, begins) in enumerate(STATES):
+        usual = (mark == 1 + role) if begins else (mark == 0)
+        prior[i] = np.where(usual, 2.0, np.where(mark == 0, 0.2, 0.01))
+    return prior
 
 
 def _normal(x: np.ndarray) -> np.ndarray:
@@ -244,7 +254,8 @@ def _decoded(model: Model):
                         roles.append(ROLES[role])
                         begins.append(starts)
                         texts.append([])
-                    texts[-1].append(line)
+                    if line:   # not where the marker is a line by itself
+                        texts[-1].append(line)
             kind = b.schema.field("conv").type
             yield pa.RecordBatch.from_arrays(
                 [pa.array(convs, kind), pa.array(rows, pa.int64()), pa.array(roles, pa.string()),
@@ -264,7 +275,7 @@ def format_chats(rows: DataFrame, model: Model) -> DataFrame:
     ``pos`` orders the rows of a transcript (whole numbers from 0, gaps allowed);
     a row may hold any number of lines, and a turn may run on over rows: then
     ``begins`` is false for the rows after its first.  ``content`` has the lines
-    without their speaker markers.
+    without their speaker markers and without blank lines.
 
     Rows with a null ``conv``, ``pos`` or text, and blank rows, give no turn.
     Rows repeated at a position are read one after the other, in the order of

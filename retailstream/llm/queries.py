@@ -211,8 +211,7 @@ def _op5_sql() -> str:
 WITH d AS (
   SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, text,
          len(string_split(text, chr(10))) AS n_lines,
-         coalesce(len(regexp_extract_all(text, '[^ 	-
-]+')), 0)::BIGINT AS tokens
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS tokens
   FROM documents),
 e AS (
   SELECT *, CASE WHEN text IS NULL OR text = '' THEN 'empty'
