@@ -37,63 +37,8 @@ def keyword_weight(source) -> Column:
 
 def register_split_keyword(spark, name: str = "split_keyword") -> None:
     """Register ``name(text) -> TABLE(word STRING)`` for SQL ``LATERAL`` use, as
-    the reference registers its splitter for its SQL jobs.  This is a Python
-    UDTF (row-at-a-time): queries should prefer ``explode(tokenize(text))``,
-    which stays in the JVM; the UDTF exists for SQL text written against the
-    named function.  Same tokens as ``tokenize``."""
-    import regex
-    from pyspark.sql.functions import udtf
-
-    pattern = regex.compile(r"\p{Han}+|[\p{L}\p{N}--\p{Han}]+", regex.V1)
-
-    @udtf(returnType="word: string")
-    class SplitKeyword:
-        def eval(self, text):
-            if text:
-                for m in pattern.finditer(text.lower()):
-                    yield (m.group(0),)
-
-    spark.udtf.register(name, SplitKeyword)
-
-
-# A literal map is searched linearly per lookup, so the inline dictionary is
-# kept small; a larger dictionary belongs in a (checked-broadcast) join.
-MAX_DICTIONARY_WORDS = 5_000
-
-
-def tokenize_with_dictionary(text, words, max_words: int = MAX_DICTIONARY_WORDS) -> Column:
-    """``tokenize``, with every Han run further cut by greedy longest match
-    against a user dictionary (characters no word covers stay single tokens).
-
-    Runs in the JVM: the walk is an ``aggregate`` over character positions, and
-    the dictionary — bounded by ``max_words`` — is a map literal shipped with
-    the task, like a broadcast.  Non-Han tokens are unchanged.
-    """
-    words = sorted({w.lower() for w in words if w})
-    if len(words) > max_words:
-        raise ValueError(f"dictionary of {len(words)} words exceeds the bound {max_words}")
-    if not words:
-        return tokenize(text)
-    longest = max(len(w) for w in words)
-    dictionary = F.create_map(*[x for w in words for x in (F.lit(w), F.lit(True))])
-
-    def segment(tok: Column) -> Column:
-        n = F.length(tok)
-
-        def best_len(i: Column) -> Column:
-            cand = F.sequence(F.lit(1), F.least(F.lit(longest), n - i + 1))
-            return F.array_max(F.filter(cand, lambda ln: (ln == 1) | F.coalesce(
-                F.element_at(dictionary, F.substring(tok, i, ln)), F.lit(False))))
-
-        init = F.struct(F.lit(1).alias("next"), F.array().cast("array<string>").alias("out"))
-
-        def step(acc: Column, i: Column) -> Column:
-            ln = best_len(i)
-            return F.when(i == acc["next"], F.struct((i + ln).alias("next"),
-                                                     F.array_append(acc["out"], F.substring(tok, i, ln))
-                                                     .alias("out"))).otherwise(acc)
-
-        walked = F.aggregate(F.sequence(F.lit(1), n), init, step, lambda acc: acc["out"])
-        return F.when(tok.rlike(r"^\p{IsHan}+$"), walked).otherwise(F.array(tok))
-
-    return F.flatten(F.transform(tokenize(text), segment))
+    the reference registers its splitter for its SQL jobs: a SQL table function
+    over the expression of ``tokenize``, so it runs in the JVM too."""
+    pattern = TOKEN_PATTERN.replace("\\", "\\\\")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(txt STRING) RETURNS TABLE(word STRING) "
+              f"RETURN SELECT explode(regexp_extract_all(lower(txt), '{pattern}', 0))")

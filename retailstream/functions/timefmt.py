@@ -41,7 +41,7 @@ def from_epoch_ms(ms) -> Column:
 
 def seconds_trunc(ms) -> Column:
     """FN-1: epoch ms -> NTZ timestamp truncated to whole seconds."""
-    return from_epoch_ms(F.floor(_c(ms) / 1000) * 1000)
+    return from_epoch_ms(_c(ms) - F.pmod(_c(ms), F.lit(1000)))
 
 
 def ts_string(ts) -> Column:
@@ -81,8 +81,7 @@ def age_years(birthday, as_of) -> Column:
 
 def int_div(num: Column, den: Column) -> Column:
     """Integer division truncating toward zero (Java ``long /``), exact."""
-    q = F.floor(F.abs(num) / F.abs(den)).cast("long")
-    return F.when((num >= 0) == (den > 0), q).otherwise(-q)
+    return F.call_function("div", num, den)
 
 
 def to_stream_time(ms) -> Column:

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from retailstream.operators.dims import checked_broadcast
 from retailstream.schemas import TABLE_PROCESS
 
 
@@ -29,7 +28,6 @@ def _empty_map() -> F.Column:
 OP_TYPES = {"c": "insert", "r": "insert", "u": "update", "d": "delete"}
 SINK_DIM = "hbase"
 SINK_FACT = "kafka"
-CONFIG_MAX_ROWS = 100_000  # the routing config is one row per (table, op): tiny
 
 
 def flatten_changes(envelopes: DataFrame, topic: str = "topic") -> DataFrame:
@@ -83,10 +81,10 @@ def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
     whitelisted columns, and label each row's ``route``: 'fact' (kafka),
     'dim' (hbase), 'unknown_sink' or 'no_config' (both dropped by the reference;
     kept here as reject outputs)."""
-    cfg = checked_broadcast(latest_config(config).select(
+    cfg = latest_config(config).select(
         F.col("sourceTable").alias("_src"), F.col("operateType").alias("_op"),
         F.col("sinkType").alias("sink_type"), F.col("sinkTable").alias("sink_table"),
-        F.col("sinkColumns").alias("sink_columns"), F.col("sinkPk").alias("sink_pk")), CONFIG_MAX_ROWS)
+        F.col("sinkColumns").alias("sink_columns"), F.col("sinkPk").alias("sink_pk"))
     j = changes.join(cfg, (F.col("tableName") == F.col("_src")) & (F.col("type") == F.col("_op")), "left")
     route = (F.when(F.col("_src").isNull(), "no_config").when(F.col("sink_type") == SINK_FACT, "fact")
              .when(F.col("sink_type") == SINK_DIM, "dim").otherwise("unknown_sink"))
@@ -123,24 +121,49 @@ def dim_schema(sink_columns: str, sink_pk: str | None = None) -> StructType:
     return StructType([StructField(c, StringType()) for c in cols])
 
 
+PRESENT = "_present"   # names of the columns that a change carries
+
+
 def dim_rows(routed_dim: DataFrame, columns: Sequence[str], sink_table: str | None = None) -> DataFrame:
-    """Project routed dimension changes to ``columns`` (strings) + seq + type."""
+    """Project routed dimension changes to ``columns`` (strings) + seq + type +
+    the names of the columns each change carries."""
     x = routed_dim if sink_table is None else routed_dim.where(F.col("sink_table") == sink_table)
-    return x.select(*[F.col("data")[c].alias(c) for c in columns], "seq", "type")
+    return x.select(*[F.col("data")[c].alias(c) for c in columns], "seq", "type", F.map_keys("data").alias(PRESENT))
 
 
 def upsert_dimension(current: DataFrame | None, changes: DataFrame, pk: str = "id",
                      seq: str = "seq") -> DataFrame:
-    """SNK-3 (batch form): new table state = last version per pk over the
-    current rows and the changes; delete changes remove the key (D6)."""
-    cols = [c for c in changes.columns if c != "type"]
-    ch = changes.select(*cols, F.col("type"))
+    """SNK-3 (batch form): new table state from the current rows and the changes.
+
+    A change sets the columns it carries and leaves the others as they were (all
+    columns, if it does not say which); the latest ``seq`` wins column by column,
+    and values from before a key's last delete are gone (D6).  Columns that only
+    one of the two tables has are kept.  One partial aggregation by key.
+    """
+    own = [c for c in changes.columns if c not in (pk, seq, "type", PRESENT)]
+    extra = [c for c in current.columns if c not in (pk, seq, *own)] if current is not None else []
+    cols = own + extra
+    names = F.array(*[F.lit(c) for c in own]).cast("array<string>")
+    rows = changes.select(pk, seq, F.coalesce("type", F.lit("")).alias("type"), *own,
+                          *[F.lit(None).cast("string").alias(c) for c in extra],
+                          (F.col(PRESENT) if PRESENT in changes.columns else names).alias(PRESENT))
     if current is not None:
-        cur = current.select(*[F.col(c) if c in current.columns else F.lit(None).cast(
-            "long" if c == seq else "string").alias(c) for c in cols]).withColumn("type", F.lit("insert"))
-        ch = cur.unionByName(ch)
-    last = latest_per_key(ch, [pk], seq)
-    return last.where(F.col("type") != "delete").select(*cols)
+        there = [c for c in cols if c in current.columns]
+        rows = rows.unionByName(current.select(
+            pk, seq, F.lit("").alias("type"),
+            *[F.col(c) if c in there else F.lit(None).cast("string").alias(c) for c in cols],
+            F.array(*[F.lit(c) for c in there]).cast("array<string>").alias(PRESENT)))
+    upsert = F.col("type") != "delete"
+    latest = rows.groupBy(pk).agg(
+        F.max(F.when(upsert, F.col(seq))).alias("_last"), F.max(F.when(~upsert, F.col(seq))).alias("_gone"),
+        *[F.max_by(F.struct(F.col(c).alias("v"), F.col(seq).alias("s")),
+                   F.when(upsert & F.array_contains(PRESENT, c), F.col(seq))).alias(c) for c in cols])
+    alive = F.col("_last").isNotNull() & (F.col("_gone").isNull() | (F.col("_last") > F.col("_gone")))
+    since = lambda c: F.col("_gone").isNull() | (F.col(c)["s"] > F.col("_gone"))
+    order = [c for c in changes.columns if c not in ("type", PRESENT)] + extra
+    out = {pk: F.col(pk), seq: F.col("_last").alias(seq),
+           **{c: F.when(since(c), F.col(c)["v"]).alias(c) for c in cols}}
+    return latest.where(alive).select(*[out[c] for c in order])
 
 
 def snapshot_then_changes(snapshot: DataFrame, changes: DataFrame, pk: str = "id", table: str | None = None,

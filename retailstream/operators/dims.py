@@ -3,9 +3,8 @@
 The reference looks every fact row up in a key-value store through an async
 thread pool with a cache.  On Spark this is a join with the dimension table:
 batch-static or stream-static, **left** so a missing dimension keeps the row
-with nulls (D5).  The dimension side is broadcast only behind a bounded row
-count check; above the bound the planner's own size estimate and AQE decide
-(sort-merge join, or a runtime broadcast if the shuffled side proved small).
+with nulls (D5).  No side is hinted: AQE turns the join into a broadcast when the
+shuffled dimension measures small, and splits a skewed fact key otherwise.
 """
 
 from __future__ import annotations
@@ -17,96 +16,64 @@ from pyspark.sql import functions as F
 
 from retailstream.functions.timefmt import age_years
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-_FITS: dict[tuple, bool] = {}
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows; reads at most max_rows+1.
-
-    The verdict is remembered per session and plan (``semanticHash``), so a
-    dimension used by several joins of one job is counted once.
-    """
-    from retailstream.sources.tables import session_key
-    key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
-    if key not in _FITS:
-        _FITS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _FITS[key]
-
-
-def checked_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for ``dim`` only if its size is proven under ``max_rows``.
-
-    ``dim.isStreaming`` sides are never hinted.  ``max_rows=None`` leaves the
-    choice to the planner (auto-broadcast threshold + AQE).
-    """
-    if max_rows is None or dim.isStreaming:
-        return dim
-    return F.broadcast(dim) if fits(dim, max_rows) else dim
-
-
 def enrich(facts: DataFrame, dim: DataFrame, key: str | Column, mapping: Mapping[str, str],
-           dim_key: str = "id", max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           dim_key: str = "id") -> DataFrame:
     """JN-4: left-join ``dim`` on ``facts[key] = dim[dim_key]`` (compared as
     strings: dimension tables are all-varchar) and copy ``dim`` columns into
     fact columns per ``mapping`` {dim_col: out_col}; existing out columns are
     overwritten (e.g. ``sku_name``)."""
     k = F.col(key) if isinstance(key, str) else key
     d = dim.select(F.col(dim_key).alias("_dim_key"), *[F.col(c).alias(f"_dim_{o}") for c, o in mapping.items()])
-    d = checked_broadcast(d, max_broadcast_rows)
     j = facts.withColumn("_fact_key", k.cast("string")).join(d, F.col("_fact_key") == F.col("_dim_key"), "left")
     outs = {o: F.col(f"_dim_{o}") for o in mapping.values()}
     cols = [c for c in facts.columns if c not in outs]
     return j.select(*cols, *[v.alias(o) for o, v in outs.items()])
 
 
-def enrich_user(facts: DataFrame, users: DataFrame, as_of: Column, key: str = "user_id", **kw) -> DataFrame:
+def enrich_user(facts: DataFrame, users: DataFrame, as_of: Column, key: str = "user_id") -> DataFrame:
     """JN-4a: gender, and age in whole 365-day years at ``as_of`` (FN-7)."""
     u = users.select("id", "gender", age_years("birthday", as_of).alias("age"))
-    return enrich(facts, u, key, {"gender": "user_gender", "age": "user_age"}, **kw)
+    return enrich(facts, u, key, {"gender": "user_gender", "age": "user_age"})
 
 
-def enrich_province(facts: DataFrame, provinces: DataFrame, key: str = "province_id", **kw) -> DataFrame:
+def enrich_province(facts: DataFrame, provinces: DataFrame, key: str = "province_id") -> DataFrame:
     """JN-4b."""
     return enrich(facts, provinces, key, {"name": "province_name", "area_code": "province_area_code",
                                           "iso_code": "province_iso_code",
-                                          "iso_3166_2": "province_3166_2_code"}, **kw)
+                                          "iso_3166_2": "province_3166_2_code"})
 
 
-def enrich_sku(facts: DataFrame, skus: DataFrame, key: str = "sku_id", with_price: bool = False,
-               **kw) -> DataFrame:
+def enrich_sku(facts: DataFrame, skus: DataFrame, key: str = "sku_id", with_price: bool = False) -> DataFrame:
     """JN-4c: sku_name (overwrites), category3_id, spu_id, tm_id (+ price)."""
     m = {"sku_name": "sku_name", "category3_id": "category3_id", "spu_id": "spu_id", "tm_id": "tm_id"}
     if with_price:
         m["price"] = "sku_price"
-    out = enrich(facts, skus, key, m, **kw)
+    out = enrich(facts, skus, key, m)
     return out.withColumn("sku_price", F.col("sku_price").cast("decimal(18,2)")) if with_price else out
 
 
-def enrich_spu(facts: DataFrame, spus: DataFrame, key: str = "spu_id", **kw) -> DataFrame:
+def enrich_spu(facts: DataFrame, spus: DataFrame, key: str = "spu_id") -> DataFrame:
     """JN-4d."""
-    return enrich(facts, spus, key, {"spu_name": "spu_name"}, **kw)
+    return enrich(facts, spus, key, {"spu_name": "spu_name"})
 
 
-def enrich_trademark(facts: DataFrame, tms: DataFrame, key: str = "tm_id", **kw) -> DataFrame:
+def enrich_trademark(facts: DataFrame, tms: DataFrame, key: str = "tm_id") -> DataFrame:
     """JN-4e."""
-    return enrich(facts, tms, key, {"tm_name": "tm_name"}, **kw)
+    return enrich(facts, tms, key, {"tm_name": "tm_name"})
 
 
-def enrich_category3(facts: DataFrame, cats: DataFrame, key: str = "category3_id", **kw) -> DataFrame:
+def enrich_category3(facts: DataFrame, cats: DataFrame, key: str = "category3_id") -> DataFrame:
     """JN-4f."""
-    return enrich(facts, cats, key, {"name": "category3_name"}, **kw)
+    return enrich(facts, cats, key, {"name": "category3_name"})
 
 
-def product_dimension(skus: DataFrame, spus: DataFrame, tms: DataFrame, cats: DataFrame, **kw) -> DataFrame:
+def product_dimension(skus: DataFrame, spus: DataFrame, tms: DataFrame, cats: DataFrame) -> DataFrame:
     """SKU dimension with its SPU, trademark and category-3 names resolved
     (JN-4d..f applied to the dimension instead of to every fact row): the
     snowflake becomes one star dimension, joined once per fact stream."""
-    x = enrich_spu(skus, spus, **kw)
-    x = enrich_category3(x, cats, **kw)
-    return enrich_trademark(x, tms, **kw)
+    x = enrich_spu(skus, spus)
+    x = enrich_category3(x, cats)
+    return enrich_trademark(x, tms)
 
 
 PRODUCT_NAMES = {"sku_name": "sku_name", "category3_id": "category3_id", "spu_id": "spu_id", "tm_id": "tm_id",
@@ -114,11 +81,11 @@ PRODUCT_NAMES = {"sku_name": "sku_name", "category3_id": "category3_id", "spu_id
 
 
 def enrich_product(facts: DataFrame, skus: DataFrame, spus: DataFrame, tms: DataFrame, cats: DataFrame,
-                   with_price: bool = False, **kw) -> DataFrame:
+                   with_price: bool = False) -> DataFrame:
     """JN-4c..f: the same result as the chained lookups (the SKU supplies the
     other three keys), done as one left join with ``product_dimension``."""
     m = dict(PRODUCT_NAMES)
     if with_price:
         m["price"] = "sku_price"
-    out = enrich(facts, product_dimension(skus, spus, tms, cats, **kw), "sku_id", m, **kw)
+    out = enrich(facts, product_dimension(skus, spus, tms, cats), "sku_id", m)
     return out.withColumn("sku_price", F.col("sku_price").cast("decimal(18,2)")) if with_price else out

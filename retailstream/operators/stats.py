@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from retailstream.functions.keywords import KEYWORD_SEARCH, tokenize, tokenize_with_dictionary
+from retailstream.functions.keywords import KEYWORD_SEARCH, tokenize
 from retailstream.functions.timefmt import from_epoch_ms, window_bounds
 
 SUM_MONEY = DecimalType(38, 2)
@@ -238,12 +238,10 @@ def search_rows(page_log: DataFrame) -> DataFrame:
         .select(F.col("page.item").alias("full_word"), "ts")
 
 
-def explode_keywords(rows: DataFrame, text: str = "full_word", dictionary=None) -> DataFrame:
+def explode_keywords(rows: DataFrame, text: str = "full_word") -> DataFrame:
     """JN-5 (inner lateral join with the tokenizer): one row per keyword; a
-    text without keywords gives no row.  ``dictionary`` (a bounded list of
-    words) cuts Han runs by longest match."""
-    toks = tokenize(text) if dictionary is None else tokenize_with_dictionary(text, dictionary)
-    return rows.select(F.explode(toks).alias("keyword"), *[c for c in rows.columns if c != text])
+    text without keywords gives no row."""
+    return rows.select(F.explode(tokenize(text)).alias("keyword"), *[c for c in rows.columns if c != text])
 
 
 def keyword_stats(words: DataFrame, window: str = "10 seconds", source: str = KEYWORD_SEARCH,

@@ -14,7 +14,7 @@ CLUSTER_DEFAULTS = {
     # Broadcast only what is proven small: no broadcast from planner *estimates*
     # (file sizes can understate in-memory size); AQE still turns a join into a
     # broadcast when the *measured* shuffle output of a side is under 32 MB, and
-    # explicit hints come from a bounded row count (operators.dims.checked_broadcast).
+    # no operator hints a broadcast of its own.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.enabled": "true",
@@ -50,10 +50,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared (HDFS/object-store) folder and is
-    used as-is.  Only when it is unset (local tests) do we create one.
+    used as-is.  Only a plain local session may go without it (tests) and gets a
+    temporary folder; anywhere else that folder could not be read by the other
+    machines, so a missing setting is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="retailstream-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

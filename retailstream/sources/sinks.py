@@ -1,7 +1,7 @@
-"""Sinks (SNK-1..6).  Every streaming sink here is idempotent per micro-batch:
-output of batch ``b`` goes to a folder named by ``b`` and is overwritten on a
-replay, so an executor lost mid-batch (batch retried from the checkpoint)
-never duplicates rows.
+"""Sinks (SNK-1..6).  File sinks are idempotent per micro-batch: output of batch
+``b`` goes to a folder named by ``b`` and is overwritten on a replay, so an
+executor lost mid-batch (batch retried from the checkpoint) never duplicates
+rows.  The Kafka and JDBC forms are at-least-once: a replayed batch is sent again.
 """
 
 from __future__ import annotations
@@ -11,10 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
-from retailstream.operators.cdc import latest_per_key
+from retailstream.operators.cdc import upsert_dimension
 
 
 def to_json_value(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -47,6 +48,9 @@ def write_routed(df: DataFrame, where: str, topic_col: str = "sink_table", paylo
     out.write.mode("overwrite" if batch_id is not None else "append").partitionBy("topic").format(fmt).save(path)
 
 
+LOG_SCHEMA = "version bigint, token string"
+
+
 def ensure_dim_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """SNK-4: create an empty dimension table with ``schema`` if missing; return it."""
     try:
@@ -54,42 +58,50 @@ def ensure_dim_table(spark: SparkSession, path: str, schema: StructType) -> Data
     except AnalysisException:
         spark.createDataFrame([], schema).withColumn("seq", F.lit(None).cast("long")) \
             .write.mode("overwrite").parquet(os.path.join(path, "version=0"))
-        spark.createDataFrame([(0,)], "version bigint").write.mode("append").parquet(os.path.join(path, "_log"))
+        _log(spark, path, 0, None)
         return read_dimension(spark, path)
 
 
+def _log(spark: SparkSession, path: str, version: int, token: str | None) -> None:
+    spark.createDataFrame([(version, token)], LOG_SCHEMA).write.mode("append").parquet(os.path.join(path, "_log"))
+
+
+def _logged(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(path, "_log"))
+
+
 def current_version(spark: SparkSession, path: str) -> int:
-    return spark.read.parquet(os.path.join(path, "_log")).agg(F.max("version")).first()[0]
+    return _logged(spark, path).agg(F.max("version")).first()[0]
 
 
-def read_dimension(spark: SparkSession, path: str) -> DataFrame:
-    """The current version of a versioned dimension table."""
-    v = current_version(spark, path)
+def read_dimension(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """A version of a dimension table, by default the current one."""
+    v = current_version(spark, path) if version is None else version
     return spark.read.parquet(os.path.join(path, f"version={v}"))
 
 
 def upsert_dimension_table(spark: SparkSession, changes: DataFrame, path: str, pk: str = "id",
-                           version: int | None = None) -> int:
-    """SNK-3: merge ``changes`` (dimension columns + ``seq`` + ``type``) into the
-    table at ``path``: last change per pk wins, deletes remove the key.
-
-    The new state is written to ``version=<v>`` (v = batch id: a replay
-    overwrites the same folder), then ``v`` is appended to ``_log``; readers
-    use the highest logged version, so they never see a half-written one.
+                           token: str | int | None = None) -> int:
+    """SNK-3: merge ``changes`` (dimension columns, ``seq``, ``type`` and, where
+    changes carry only some columns, ``_present``) into the table at ``path``; see
+    ``cdc.upsert_dimension``.  New columns are added to the table.
+
+    Every call writes the next version, so a job that starts over with a new
+    checkpoint goes on from the table as it is.  ``token`` names the batch (query
+    and batch id): a replay of a batch is merged again into the version before
+    it, under its own version.  Readers use the highest logged version, so they
+    never see a half-written one.
     """
-    cur = read_dimension(spark, path)
-    cols = [c for c in cur.columns]
-    ch = changes.select(*[F.col(c) if c in changes.columns else F.lit(None).cast("string").alias(c)
-                          for c in cols if c != "seq"], "seq", "type")
-    both = cur.withColumn("type", F.lit("insert")).unionByName(ch)
-    new = latest_per_key(both, [pk]).where(F.col("type") != "delete").drop("type")
-    v = version if version is not None else current_version(spark, path) + 1
-    # the new version must not read from itself: cut lineage by checkpointing
-    # to the shared checkpoint folder before overwriting anything
-    new = new.checkpoint(eager=True) if v == current_version(spark, path) else new
-    new.write.mode("overwrite").parquet(os.path.join(path, f"version={v}"))
-    spark.createDataFrame([(v,)], "version bigint").write.mode("append").parquet(os.path.join(path, "_log"))
-    return v
+    last = current_version(spark, path)
+    done = None if token is None else _logged(spark, path).where(
+        F.col("token") == str(token)).agg(F.max("version")).first()[0]
+    version = last + 1 if done is None else done
+    base = read_dimension(spark, path, version - 1)
+    new = upsert_dimension(base, changes, pk)
+    new.write.mode("overwrite").parquet(os.path.join(path, f"version={version}"))
+    if done is None:
+        _log(spark, path, version, None if token is None else str(token))
+    return version
 
 
 def write_stats(df: DataFrame, path: str, columns: Sequence[str], batch_id: int | None = None) -> None:
@@ -112,14 +124,27 @@ def write_stats_jdbc(df: DataFrame, url: str, table: str, columns: Sequence[str]
                                                                    properties=properties or {})
 
 
-def late_rows_dropped(query) -> int:
-    """LT-1: rows dropped as late by the watermark in the query's recent
-    progress (the reference loses them silently)."""
-    n = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []):
-            n += int(op.get("numRowsDroppedByWatermark", 0))
-    return n
+class LateRows(StreamingQueryListener):
+    """LT-1: all rows that the watermark dropped as late, by query id, from the
+    progress of every batch (the reference loses them silently).  Add it with
+    ``spark.streams.addListener`` before the queries start."""
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        key = str(event.progress.id)
+        self.dropped[key] = self.dropped.get(key, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def console(df: DataFrame, name: str):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,80 +12,28 @@ TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-# Fact tables: big, and the first column is a high-cardinality key.
-FACT_TABLES = ("events", "orders", "lineitem", "documents", "conversations", "pages")
-
-
-def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` over the cluster's cores when its scan
-    yields fewer splits than that (e.g. one small single-row-group file), so
-    row-local work before the first shuffle is not confined to one task.
-
-    A no-op for inputs that already have enough splits — every large table on
-    a cluster.  Hashing a key column (not round-robin) needs no pre-sort and is
-    deterministic when a task is retried.
-    """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
-        return df
-    return df.repartition(n, key or df.columns[0])
-
-
-_TABLES: dict[tuple, DataFrame] = {}
-_DERIVED: dict[tuple, DataFrame] = {}
-
-
-def session_key(spark: SparkSession) -> tuple:
-    """Identity of a live session: a new session or a restarted application
-    never matches an old key, even if Python reuses the object's address."""
-    return (spark.sparkContext.applicationId, id(spark))
-
-
-def _cached(cache: dict, key: tuple, spark: SparkSession, build) -> DataFrame:
-    df = cache.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = cache[key] = build()
-    return df
-
-
-def clear_table_cache() -> None:
-    """Forget remembered table reads and plans built on them (call after new
-    files land in a folder)."""
-    _TABLES.clear()
-    _DERIVED.clear()
-
-
-def derived(spark: SparkSession, root: str, name: str, build) -> DataFrame:
-    """A DataFrame (a plan, not data) built once per session and folder: plans
-    that reuse it skip re-analysis, and identical subtrees help exchange reuse."""
-    return _cached(_DERIVED, (session_key(spark), root, name), spark, build)
-
-
 class Catalog:
     """Lazy access to the parquet tables of one scale-factor folder.
 
     Every read is a plain ``spark.read.parquet`` so projections and filters of the
-    query above reach the scan (``ReadSchema`` / ``PushedFilters``); with
-    ``spread`` (default) an input with fewer splits than cores is spread first.
+    query above reach the scan (``ReadSchema`` / ``PushedFilters``).  A catalog
+    lists each table once, so make one per query (or per micro-batch): files that
+    land later are seen by the next one.
     """
 
-    def __init__(self, spark: SparkSession, root: str, spread: bool = True, cache: bool = True):
-        """``cache=False`` re-lists the folder on every read: use it for
-        dimension loaders called once per micro-batch, so new files are seen."""
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
-        self.spread = spread
-        self.cache = cache
+        self._made: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """One DataFrame per table and session: the folder is listed and its
-        footers read once, however many branches of a plan use the table."""
-        def read() -> DataFrame:
-            df = self.spark.read.parquet(os.path.join(self.root, f"{name}.parquet"))
-            return spread(df) if self.spread and name in FACT_TABLES else df
-        if not self.cache:
-            return read()
-        return _cached(_TABLES, (session_key(self.spark), self.root, name, self.spread), self.spark, read)
+        return self.once(name, lambda: self.spark.read.parquet(os.path.join(self.root, f"{name}.parquet")))
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A DataFrame that several parts of one query share, built once."""
+        if name not in self._made:
+            self._made[name] = build()
+        return self._made[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TEST_TABLES:

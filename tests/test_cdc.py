@@ -56,21 +56,42 @@ def test_versioned_dimension_upsert_is_idempotent(spark, tmp_dir):
     sinks.ensure_dim_table(spark, path, cdc.dim_schema("id,name"))
     ch = spark.createDataFrame([("1", "a", 1, "insert"), ("2", "b", 2, "insert"), ("1", "c", 3, "update")],
                                "id string, name string, seq long, type string")
-    v = sinks.upsert_dimension_table(spark, ch, path, version=1)
-    sinks.upsert_dimension_table(spark, ch, path, version=1)       # replay of the same batch
+    v = sinks.upsert_dimension_table(spark, ch, path, token="q:0")
+    assert sinks.upsert_dimension_table(spark, ch, path, token="q:0") == v   # replay of the same batch
     dele = spark.createDataFrame([("2", None, 4, "delete")], "id string, name string, seq long, type string")
-    sinks.upsert_dimension_table(spark, dele, path, version=2)
+    sinks.upsert_dimension_table(spark, dele, path, token="q:1")
     cur = {r["id"]: r["name"] for r in sinks.read_dimension(spark, path).collect()}
     assert v == 1 and cur == {"1": "c"}
+    # a new checkpoint starts its batches again from 0: its changes are seen
+    more = spark.createDataFrame([("3", "x", 5, "insert")], "id string, name string, seq long, type string")
+    assert sinks.upsert_dimension_table(spark, more, path, token="other:0") == 3
+    assert {r["id"] for r in sinks.read_dimension(spark, path).collect()} == {"1", "3"}
 
 
-def test_uncached_catalog_sees_new_files(spark, tmp_dir):
+def test_partial_changes_keep_the_other_columns(spark, tmp_dir):
+    path = f"{tmp_dir}/dim_users"
+    sinks.ensure_dim_table(spark, path, cdc.dim_schema("id,name"))
+    schema = "id string, name string, nation string, seq long, type string, _present array<string>"
+    ch = spark.createDataFrame([
+        ("1", "a", "n", 1, "insert", ["id", "name", "nation"]), ("1", "b", None, 2, "update", ["id", "name"]),
+        ("2", "c", None, 3, "insert", ["id", "name"]), ("3", "d", "m", 4, "insert", ["id", "name", "nation"]),
+        ("3", None, None, 5, "delete", []), ("3", "e", None, 6, "insert", ["id", "name"]),
+        ("4", None, None, 7, "update", ["id", "name"])], schema)
+    sinks.upsert_dimension_table(spark, ch, path)
+    late = spark.createDataFrame([("2", "old", "p", 2, "update", ["id", "name", "nation"])], schema)
+    sinks.upsert_dimension_table(spark, late, path)   # out of order: only what was not set later
+    got = {r["id"]: (r["name"], r["nation"]) for r in sinks.read_dimension(spark, path).collect()}
+    assert got["1"] == ("b", "n")       # the update carries no nation: it stays
+    assert got["3"] == ("e", None)      # nothing from before the delete
+    assert got["4"] == (None, None) and got["2"][0] == "c"
+
+
+def test_a_new_catalog_sees_new_files(spark, tmp_dir):
     from retailstream.sources.tables import Catalog
     spark.createDataFrame([(1,)], "x long").write.parquet(f"{tmp_dir}/t.parquet")
-    cached, fresh = Catalog(spark, tmp_dir), Catalog(spark, tmp_dir, cache=False)
-    assert cached.table("t").count() == 1 and fresh.table("t").count() == 1
+    assert Catalog(spark, tmp_dir).table("t").count() == 1
     spark.createDataFrame([(2,)], "x long").write.mode("append").parquet(f"{tmp_dir}/t.parquet")
-    assert fresh.table("t").count() == 2
+    assert Catalog(spark, tmp_dir).table("t").count() == 2
 
 
 def test_sink_replay_of_a_batch_does_not_duplicate(spark, tmp_dir):

@@ -75,14 +75,3 @@ def test_zoned_text_and_epoch_ms(spark):
                   timefmt.string_to_ms("s", "Asia/Shanghai").alias("b"),
                   timefmt.ms_to_string("ms", "UTC").alias("c")).first()
     assert (r["a"], r["b"], r["c"]) == ("2024-01-01 08:00:00", 1704067200000, "2024-01-01 00:00:00")
-
-
-def test_dictionary_longest_match_on_han_runs(spark):
-    from retailstream.functions.keywords import tokenize_with_dictionary
-    df = spark.createDataFrame([("买 小米手机壳 和 Apple 手机 华为",)], "t string")
-    words = ["小米", "手机", "小米手机", "华为手机"]
-    got = df.select(tokenize_with_dictionary("t", words)).first()[0]
-    assert got == ["买", "小米手机", "壳", "和", "apple", "手机", "华", "为"]
-    import pytest
-    with pytest.raises(ValueError):
-        tokenize_with_dictionary("t", words, max_words=2)

@@ -71,9 +71,14 @@ def test_enrich_missing_dimension_keeps_row(spark):
     assert r[1]["sku_name"] is None and r[1]["id"] == 2
 
 
-def test_checked_broadcast_bound(spark):
-    small = spark.range(10)
-    assert dims.fits(small, 10) and not dims.fits(small, 9)
+def test_grown_dimension_is_seen_and_building_the_plan_runs_nothing(spark, tmp_dir):
+    facts = spark.createDataFrame([(1, 5), (2, 6)], "id long, sku_id long")
+    schema = "id string, sku_name string, price string, spu_id string, tm_id string, category3_id string"
+    spark.createDataFrame([("5", "phone", "9", "s", "t", "c")], schema).write.parquet(f"{tmp_dir}/sku")
+    look = lambda: dims.enrich_sku(facts, spark.read.parquet(f"{tmp_dir}/sku")).select("id", "sku_name")
+    assert sorted(tuple(r) for r in look().collect()) == [(1, "phone"), (2, None)]
+    spark.createDataFrame([("6", "watch", "9", "s", "t", "c")], schema).write.mode("append").parquet(f"{tmp_dir}/sku")
+    assert sorted(tuple(r) for r in look().collect()) == [(1, "phone"), (2, "watch")]
 
 
 def test_merge_order_wide_first_non_null(spark):
