@@ -47,9 +47,10 @@ def interval_join(left: DataFrame, right: DataFrame, on: Column, left_time: Colu
     return left.join(right, on & (right_time >= lo) & (right_time <= hi), "inner")
 
 
-ORDER_SIDE = ("province_id", "order_status", "user_id", "total_amount", "original_total_amount",
-              "feight_fee", "create_time", "create_date", "create_hour", "create_ts")
-DETAIL_SIDE = ("sku_id", "sku_name", "order_price", "sku_num", "split_total_amount")
+ORDER_SIDE = ("province_id", "order_status", "user_id", "total_amount", "activity_reduce_amount",
+              "coupon_reduce_amount", "original_total_amount", "feight_fee", "create_time", "create_date", "create_hour", "create_ts")
+DETAIL_SIDE = ("sku_id", "sku_name", "order_price", "sku_num", "split_total_amount", "split_activity_amount",
+               "split_coupon_amount")
 
 
 def order_wide(order_info: DataFrame, order_detail: DataFrame, lower=-5_000, upper=5_000,
@@ -73,7 +74,7 @@ def order_wide(order_info: DataFrame, order_detail: DataFrame, lower=-5_000, upp
     return j.select(
         F.col("d.id").alias("detail_id"), F.col("o.id").alias("order_id"),
         *[F.col(f"o.{c}").alias(c) for c in ORDER_SIDE if c in order_info.columns],
-        *[F.col(f"d.{c}").alias(c) for c in DETAIL_SIDE],
+        *[F.col(f"d.{c}").alias(c) for c in DETAIL_SIDE if c in d.columns],
         *([F.col("o.rt").alias("rt")] if streaming else []))
 
 

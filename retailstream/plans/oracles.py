@@ -159,12 +159,14 @@ raw AS (
            common_txt || ',"page":{"page_id":"' || page_id || '","last_page_id":'
            || coalesce('"' || last_page_id || '"', 'null') || ',"item":' || coalesce('"' || item || '"', 'null')
            || ',"item_type":' || coalesce('"' || item_type || '"', 'null')
-           || ',"during_time":' || CAST(during_time AS VARCHAR) || '},"displays":'
+           || ',"during_time":' || CASE WHEN event_type = 'purchase' THEN '"' || CAST(during_time AS VARCHAR) || '"'
+                                        ELSE CAST(during_time AS VARCHAR) END || '},"displays":'
            || CASE WHEN event_type = 'view' THEN '[{"item":"' || k || '","item_type":"sku_id"},{"item":"'
                                                 || mid || '","item_type":"activity"}]'
                    WHEN event_type = 'click' THEN '[]' ELSE 'null' END
            || ',"ts":' || CAST(ts AS VARCHAR)
-           || CASE WHEN event_type = 'error' THEN '' ELSE '}' END
+           || CASE WHEN event_type = 'purchase' THEN '.0}' WHEN event_type <> 'error' THEN '}'
+                   WHEN seq % 2 = 0 THEN '} garbage' ELSE '' END
     END AS value
   FROM lines
 ),
@@ -198,6 +200,9 @@ SHOP = """
 oi AS (
   SELECT o.o_orderkey AS id, CAST(c.c_nationkey AS BIGINT) AS province_id, o.o_custkey AS user_id,
          o.o_orderstatus AS order_status, CAST(o.o_totalprice AS DECIMAL(18,2)) AS total_amount,
+         CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) * CAST(0.01 AS DECIMAL(4,2)) AS DECIMAL(18,2))
+           AS activity_reduce_amount,
+         CAST(CASE WHEN o.o_orderkey % 3 = 0 THEN 5 ELSE 0 END AS DECIMAL(18,2)) AS coupon_reduce_amount,
          CAST(o.o_totalprice AS DECIMAL(18,2)) AS original_total_amount, CAST(0 AS DECIMAL(18,2)) AS feight_fee,
          strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS create_time,
          strftime(o.o_orderdate, '%Y-%m-%d') AS create_date, strftime(o.o_orderdate, '%H') AS create_hour,
@@ -209,6 +214,10 @@ od AS (
          CAST(l_quantity AS BIGINT) AS sku_num, CAST(l_extendedprice AS DECIMAL(18,2)) AS order_price,
          CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2))
            AS split_total_amount,
+         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2))
+           AS split_activity_amount,
+         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2))
+           AS split_coupon_amount,
          epoch_us(l_shipdate) // 1000 AS d_ts
   FROM lineitem
 ),
@@ -236,8 +245,9 @@ tm AS (SELECT DISTINCT p_brand AS id, p_brand AS tm_name FROM part),
 cat3 AS (SELECT DISTINCT p_type AS id, p_type AS name FROM part),
 ow AS (
   SELECT d.id AS detail_id, o.id AS order_id, o.province_id, o.order_status, o.user_id, o.total_amount,
-         o.original_total_amount, o.feight_fee, o.create_time, o.create_date, o.create_hour, o.create_ts,
+         o.activity_reduce_amount, o.coupon_reduce_amount, o.original_total_amount, o.feight_fee, o.create_time, o.create_date, o.create_hour, o.create_ts,
          d.sku_id, s.sku_name, d.order_price, d.sku_num, d.split_total_amount,
+         d.split_activity_amount, d.split_coupon_amount,
          u.gender AS user_gender, u.age AS user_age,
          p.name AS province_name, p.area_code AS province_area_code, p.iso_code AS province_iso_code,
          p.iso_3166_2 AS province_3166_2_code,
@@ -472,3 +482,36 @@ SELECT o_orderkey AS id,
        CASE WHEN o_orderstatus IN ('F', 'P') THEN o_orderkey * 4 + 1 ELSE o_orderkey * 4 END AS seq
 FROM orders
 WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')"""
+
+# -- partial upserts, snapshots, zones, one-day reports ------------------------------
+ORACLES["dim_upsert_partial"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN CAST(CAST(c_acctbal + 100 AS DECIMAL(18,2)) AS VARCHAR) END AS acctbal,
+       4 * c_custkey + CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS seq, c_mktsegment AS segment
+FROM customer"""
+
+ORACLES["user_snapshot_state"] = """
+SELECT c_custkey AS id, CASE WHEN c_mktsegment = 'BUILDING' THEN c_name ELSE 'old' END AS name,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN CAST(CAST(c_acctbal + 100 AS DECIMAL(18,2)) AS VARCHAR) END AS acctbal,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN 4 * c_custkey + 1 ELSE -1 END AS seq
+FROM customer"""
+
+ORACLES["order_current_view"] = """
+SELECT CASE o_orderstatus WHEN 'F' THEN '1004' WHEN 'P' THEN '1002' ELSE '1001' END AS order_status, count(*) AS n
+FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT') GROUP BY 1"""
+
+ORACLES["daily_unique_visit_zone"] = "WITH " + PAGE_LOG + """,
+e AS (SELECT *, strftime(make_timestamp((ts + 28800000) * 1000), '%Y-%m-%d') AS dt FROM page_log
+      WHERE last_page_id IS NULL),
+p AS (SELECT *, lag(dt) OVER (PARTITION BY mid ORDER BY seq) AS prev_dt FROM e)
+SELECT seq, mid, ts FROM p WHERE prev_dt IS NULL OR prev_dt <> dt"""
+
+ORACLES["visitor_day"] = ("SELECT hr, new_uv, uv_ct, pv_ct, uj_ct FROM (" + ORACLES["visitor_by_hour"]
+                          + ") WHERE dt = '2024-01-05'")
+
+ORACLES["search_times"] = """
+WITH s AS (SELECT conv_id * 1000 + turn AS seq, 1704067200000 + conv_id * 60000 + turn * 1000 + 1234 AS ts
+           FROM conversations)
+SELECT seq, strftime(make_timestamp((ts + 28800000) * 1000), '%Y-%m-%d %H:%M:%S') AS local,
+       ts // 1000 * 1000 AS back, strftime(make_timestamp(ts * 1000), '%Y-%m-%d %H:%M:%S') AS utc
+FROM s"""

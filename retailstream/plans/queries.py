@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from retailstream.operators import reports, stats, visits
 from retailstream.sources import adapters as A
-from retailstream.sources.tables import Catalog, derived
+from retailstream.sources.tables import Catalog
 
 # Test-scale parameters: the click log spans 30 days with minutes between a
 # visitor's events, so the 10 s bounce limit and window become 6 h and 1 h.
@@ -28,6 +28,10 @@ def _page_log(spark: SparkSession, sf: str) -> DataFrame:
     return A.page_log(Catalog(spark, sf).events)
 
 
+def page_log_df(c: Catalog) -> DataFrame:
+    return c.once("page_log", lambda: A.page_log(c.events))
+
+
 def q_new_visitor_repair(spark, sf):
     log = _page_log(spark, sf)
     fixed = visits.repair_new_visitor(log.withColumn("is_new_raw", F.col("common.is_new")))
@@ -45,31 +49,27 @@ def q_bounce_detect(spark, sf):
     return uj.select("seq", F.col("common.mid").alias("mid"), "ts")
 
 
-def visitor_stats_df(spark, sf) -> DataFrame:
-    return derived(spark, sf, "visitor_stats_df", lambda: _visitor_stats_df(spark, sf))
-
-
-def _visitor_stats_df(spark, sf) -> DataFrame:
-    log = _page_log(spark, sf)
+def visitor_stats_df(c: Catalog) -> DataFrame:
+    log = page_log_df(c)
     rows = stats.visitor_measure_rows(log, visits.daily_unique_visit(log),
                                       visits.bounce_detect(log, within_ms=BOUNCE_WITHIN_MS))
     return stats.visitor_stats(rows, window=VISITOR_WINDOW)
 
 
 def q_visitor_stats(spark, sf):
-    return visitor_stats_df(spark, sf)
+    return visitor_stats_df(Catalog(spark, sf))
 
 
 def q_visitor_by_hour(spark, sf):
-    return reports.visitors_by_hour(visitor_stats_df(spark, sf))
+    return reports.visitors_by_hour(visitor_stats_df(Catalog(spark, sf)))
 
 
 def q_visitor_by_flag(spark, sf):
-    return reports.visitors_by_flag(visitor_stats_df(spark, sf))
+    return reports.visitors_by_flag(visitor_stats_df(Catalog(spark, sf)))
 
 
 def q_visitor_flag_table(spark, sf):
-    return reports.visitor_flag_table(visitor_stats_df(spark, sf))
+    return reports.visitor_flag_table(visitor_stats_df(Catalog(spark, sf)))
 
 
 QUERIES = {
@@ -100,9 +100,14 @@ def q_dirty_split(spark, sf):
 
 def _routed(spark, sf):
     from retailstream.operators import logs
+    import uuid
+
+    from retailstream.sources.tables import materialize
     clean, _ = _parsed_log(spark, sf)
-    flat = logs.flatten(clean, keep=("seq", "value"))
-    return logs.route_start_page(visits.repair_new_visitor(flat))
+    # lines are parsed once, into a table that the repair's branches read; the route
+    # is decided there too, and the text goes no further
+    rows = materialize(logs.route_start_page(logs.flatten(clean)).drop("start_text"), f"dwd_log-{uuid.uuid4().hex}")
+    return visits.repair_new_visitor(rows)
 
 
 def q_start_page_split(spark, sf):
@@ -147,36 +152,45 @@ def _as_of():
     return F.lit(AS_OF).cast("timestamp_ntz")
 
 
-def order_wide_df(spark, sf) -> DataFrame:
-    return derived(spark, sf, "order_wide_df", lambda: _order_wide_df(spark, sf))
+def order_core_df(c: Catalog) -> DataFrame:
+    """Order joined to its details, before any lookup: all that order and payment
+    measures need."""
+    def build() -> DataFrame:
+        oi = orders.order_time_fields(A.order_info(c.orders, c.customer))
+        return orders.order_wide(oi, A.order_detail(c.lineitem), *ORDER_DETAIL_BOUNDS)
+    return c.once("order_core", build)
 
 
-def _order_wide_df(spark, sf) -> DataFrame:
-    c = Catalog(spark, sf)
-    oi = orders.order_time_fields(A.order_info(c.orders, c.customer))
-    ow = orders.order_wide(oi, A.order_detail(c.lineitem), *ORDER_DETAIL_BOUNDS)
-    ow = dims.enrich_user(ow, A.dim_user_info(c.customer), _as_of())
+def enrich_order_wide(core: DataFrame, c: Catalog) -> DataFrame:
+    ow = dims.enrich_user(core, A.dim_user_info(c.customer), _as_of())
     ow = dims.enrich_province(ow, A.dim_base_province(c.nation, c.region))
-    return dims.enrich_product(ow, A.dim_sku_info(c.part), A.dim_spu_info(c.part), A.dim_base_trademark(c.part),
-                               A.dim_base_category3(c.part))
+    return enrich_product(ow, c)
 
 
-def payment_wide_df(spark, sf) -> DataFrame:
-    return derived(spark, sf, "payment_wide_df", lambda: _payment_wide_df(spark, sf))
+def enrich_product(df: DataFrame, c: Catalog, with_price: bool = False) -> DataFrame:
+    return dims.enrich_product(df, A.dim_sku_info(c.part), A.dim_spu_info(c.part), A.dim_base_trademark(c.part),
+                               A.dim_base_category3(c.part), with_price=with_price)
 
 
-def _payment_wide_df(spark, sf) -> DataFrame:
-    c = Catalog(spark, sf)
-    return orders.payment_wide(A.payment_info(c.lineitem, c.orders), order_wide_df(spark, sf),
-                               *PAYMENT_ORDER_BOUNDS)
+def order_wide_df(c: Catalog) -> DataFrame:
+    return enrich_order_wide(order_core_df(c), c)
+
+
+def pay_orders(order_rows: DataFrame, c: Catalog) -> DataFrame:
+    """Payments joined to ``order_rows`` (core or enriched)."""
+    return orders.payment_wide(A.payment_info(c.lineitem, c.orders), order_rows, *PAYMENT_ORDER_BOUNDS)
+
+
+def payment_wide_df(c: Catalog) -> DataFrame:
+    return pay_orders(order_wide_df(c), c)
 
 
 def q_order_wide(spark, sf):
-    return order_wide_df(spark, sf)
+    return order_wide_df(Catalog(spark, sf))
 
 
 def q_payment_wide(spark, sf):
-    return payment_wide_df(spark, sf)
+    return payment_wide_df(Catalog(spark, sf))
 
 
 def q_dim_user_age(spark, sf):
@@ -189,56 +203,45 @@ def q_dim_user_age(spark, sf):
 # product / province / keyword statistics and their reports
 # ---------------------------------------------------------------------------
 
-def product_stats_df(spark, sf) -> DataFrame:
-    return derived(spark, sf, "product_stats_df", lambda: _product_stats_df(spark, sf))
-
-
-def _product_stats_df(spark, sf) -> DataFrame:
-    c = Catalog(spark, sf)
-    ev = c.events
-    parts = [
-        stats.click_display_rows(A.page_log(ev)),
-        stats.favor_rows(A.favor_info(ev)),
-        stats.cart_rows(A.cart_info(ev)),
-        stats.order_rows(order_wide_df(spark, sf)),
-        stats.payment_rows(payment_wide_df(spark, sf)),
+def product_measure_rows(pages: DataFrame, order_rows: DataFrame, payments: DataFrame, c: Catalog) -> DataFrame:
+    """SET-2: the seven measure-row inputs of the product statistics."""
+    return stats.union_product_rows([
+        stats.click_display_rows(pages), stats.favor_rows(A.favor_info(c.events)),
+        stats.cart_rows(A.cart_info(c.events)), stats.order_rows(order_rows), stats.payment_rows(payments),
         stats.refund_rows(orders.with_event_ms(A.order_refund_info(c.lineitem))),
-        stats.comment_rows(orders.with_event_ms(A.comment_info(c.lineitem))),
-    ]
-    ps = stats.product_stats(stats.union_product_rows(parts), window=PRODUCT_WINDOW)
-    return dims.enrich_product(ps, A.dim_sku_info(c.part), A.dim_spu_info(c.part), A.dim_base_trademark(c.part),
-                               A.dim_base_category3(c.part), with_price=True)
+        stats.comment_rows(orders.with_event_ms(A.comment_info(c.lineitem)))])
 
 
-def province_stats_df(spark, sf) -> DataFrame:
-    return derived(spark, sf, "province_stats_df", lambda: _province_stats_df(spark, sf))
+def product_counts_df(c: Catalog) -> DataFrame:
+    """AG-2 before the lookups: one row per window and SKU."""
+    core = order_core_df(c)
+    return stats.product_stats(product_measure_rows(page_log_df(c), core, pay_orders(core, c), c),
+                               window=PRODUCT_WINDOW)
 
 
-def _province_stats_df(spark, sf) -> DataFrame:
-    return stats.province_stats(order_wide_df(spark, sf), window=PROVINCE_WINDOW, as_of_s=F.lit(AS_OF_S))
+def product_stats_df(c: Catalog) -> DataFrame:
+    return enrich_product(product_counts_df(c), c, with_price=True)
 
 
-def keyword_stats_df(spark, sf) -> DataFrame:
-    return derived(spark, sf, "keyword_stats_df", lambda: _keyword_stats_df(spark, sf))
+def province_stats_df(c: Catalog) -> DataFrame:
+    """AG-3 needs the province of an order and nothing of its products."""
+    rows = dims.enrich_province(order_core_df(c), A.dim_base_province(c.nation, c.region))
+    return stats.province_stats(rows, window=PROVINCE_WINDOW, as_of_s=F.lit(AS_OF_S))
 
 
-def _keyword_stats_df(spark, sf) -> DataFrame:
-    words = stats.explode_keywords(stats.search_rows(A.search_log(Catalog(spark, sf).conversations)))
+def keyword_stats_df(c: Catalog) -> DataFrame:
+    words = stats.explode_keywords(stats.search_rows(A.search_log(c.conversations)))
     return stats.keyword_stats(words, window=KEYWORD_WINDOW, as_of_s=F.lit(AS_OF_S))
 
 
-def product_keyword_stats_df(spark, sf) -> DataFrame:
-    return derived(spark, sf, "product_keyword_stats_df", lambda: _product_keyword_stats_df(spark, sf))
-
-
-def _product_keyword_stats_df(spark, sf) -> DataFrame:
+def product_keyword_stats_df(c: Catalog) -> DataFrame:
     """Keywords of product names: ordered (ORDER), carted (CART), clicked (CLICK)."""
-    c = Catalog(spark, sf)
     skus = A.dim_sku_info(c.part)
     ev = c.events
-    clicks = stats.click_display_rows(A.page_log(ev)).where(F.col("click_ct") == 1).select("sku_id", "ts")
+    clicks = stats.click_display_rows(page_log_df(c)).where(F.col("click_ct") == 1).select("sku_id", "ts")
     srcs = {
-        "ORDER": order_wide_df(spark, sf).select(F.col("sku_name").alias("full_word"), F.col("create_ts").alias("ts")),
+        "ORDER": dims.enrich_sku(order_core_df(c), skus).select(F.col("sku_name").alias("full_word"),
+                                                                F.col("create_ts").alias("ts")),
         "CART": dims.enrich_sku(A.cart_info(ev), skus).select(F.col("sku_name").alias("full_word"), "ts"),
         "CLICK": dims.enrich_sku(clicks, skus).select(F.col("sku_name").alias("full_word"), "ts"),
     }
@@ -251,39 +254,40 @@ def _product_keyword_stats_df(spark, sf) -> DataFrame:
 
 
 def q_product_stats(spark, sf):
-    return product_stats_df(spark, sf)
+    return product_stats_df(Catalog(spark, sf))
 
 
 def q_gmv(spark, sf):
-    return reports.gmv(product_stats_df(spark, sf))
+    return reports.gmv(product_counts_df(Catalog(spark, sf)))
 
 
 def q_brand_topn(spark, sf):
-    return reports.trademark_top_n(product_stats_df(spark, sf))
+    return reports.trademark_top_n(product_stats_df(Catalog(spark, sf)))
 
 
 def q_category_topn(spark, sf):
-    return reports.category3_top_n(product_stats_df(spark, sf))
+    return reports.category3_top_n(product_stats_df(Catalog(spark, sf)))
 
 
 def q_spu_topn(spark, sf):
-    return reports.spu_top_n(product_stats_df(spark, sf))
+    return reports.spu_top_n(product_stats_df(Catalog(spark, sf)))
 
 
 def q_province_stats(spark, sf):
-    return province_stats_df(spark, sf)
+    return province_stats_df(Catalog(spark, sf))
 
 
 def q_province_totals(spark, sf):
-    return reports.province_amounts(province_stats_df(spark, sf))
+    return reports.province_amounts(province_stats_df(Catalog(spark, sf)))
 
 
 def q_keyword_stats(spark, sf):
-    return keyword_stats_df(spark, sf)
+    return keyword_stats_df(Catalog(spark, sf))
 
 
 def q_keyword_score(spark, sf):
-    return reports.keyword_score_top_n(keyword_stats_df(spark, sf).unionByName(product_keyword_stats_df(spark, sf)))
+    c = Catalog(spark, sf)
+    return reports.keyword_score_top_n(keyword_stats_df(c).unionByName(product_keyword_stats_df(c)))
 
 
 QUERIES.update({
@@ -364,3 +368,84 @@ QUERIES.update({
     "dim_upsert": q_dim_upsert,
     "changelog_state": q_changelog_state,
 })
+
+
+# An update that carries fewer columns than the insert, under its own config.
+PARTIAL_ROUTING = [
+    ("user_info", "insert", "hbase", "dim_user_info", "id,name,nation", "id", None, 1),
+    ("user_info", "update", "hbase", "dim_user_info", "id,acctbal", "id", None, 1),
+]
+
+
+def q_dim_upsert_partial(spark, sf):
+    """Current table of names and segments; changes of names, nations and balances."""
+    c = Catalog(spark, sf)
+    current = c.customer.select(F.col("c_custkey").cast("string").alias("id"), F.lit("old").alias("name"),
+                                F.col("c_mktsegment").alias("segment"), F.lit(-1).cast("long").alias("seq"))
+    routed = cdc.route_changes(cdc.flatten_changes(A.user_changes(c.customer)),
+                               cdc.table_process(spark, PARTIAL_ROUTING))
+    rows = cdc.dim_rows(cdc.split_routes(routed)["dim"], ("id", "name", "nation", "acctbal"), "dim_user_info")
+    return cdc.upsert_dimension(current, rows)
+
+
+def q_user_snapshot_state(spark, sf):
+    """SRC-4: yesterday's snapshot of the users, then their change records."""
+    c = Catalog(spark, sf)
+    snapshot = c.customer.select(F.col("c_custkey").alias("id"), F.lit("old").alias("name"))
+    changes = cdc.flatten_changes(A.user_changes(c.customer)).where(F.col("type") == "update")
+    st = cdc.snapshot_then_changes(snapshot, changes, table="user_info")
+    return st.select(F.col("data")["id"].cast("long").alias("id"), F.col("data")["name"].alias("name"),
+                     F.col("data")["acctbal"].alias("acctbal"), "seq")
+
+
+def q_order_current_view(spark, sf):
+    """SRC-5: the current orders as a SQL view, counted by status."""
+    cdc.register_current_state(_changes(spark, sf), "order_info_current", ["id", "order_status"], table="order_info")
+    return spark.sql("SELECT order_status, count(*) AS n FROM order_info_current GROUP BY order_status")
+
+
+def q_daily_unique_visit_zone(spark, sf):
+    """ST-2 with the days of UTC+8, as the reference's servers count them."""
+    uv = visits.daily_unique_visit(_page_log(spark, sf), zone="Asia/Shanghai")
+    return uv.select("seq", F.col("common.mid").alias("mid"), "ts")
+
+
+REPORT_DAY = "2024-01-05"
+
+
+def q_visitor_day(spark, sf):
+    """SRC-6 + PRJ-13 + SO-2: the statistics table is written by day; the report
+    reads one day's folder and is ordered by hour."""
+    import os
+    import uuid
+
+    from retailstream.session import ensure_checkpoint_dir
+    from retailstream.sources import sinks
+    from retailstream.sources.tables import read_stats
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", f"visitor_stats-{uuid.uuid4().hex}")
+    vs = visitor_stats_df(Catalog(spark, sf))
+    sinks.write_stats(vs, path, [c for c in vs.columns if c != "dt"])
+    return reports.visitors_by_hour(read_stats(spark, path, REPORT_DAY), date=REPORT_DAY)
+
+
+def q_search_times(spark, sf):
+    """FN-1, FN-5 and FN-13 over the search log."""
+    from retailstream.functions import timefmt
+    from retailstream.sources import sinks
+    log = A.search_log(Catalog(spark, sf).conversations).select("seq", "ts", F.col("page.item_type").alias("item_type"))
+    local = timefmt.ms_to_string(F.col("ts") + 1234, "Asia/Shanghai")
+    rows = log.select("seq", local.alias("local"), timefmt.string_to_ms(local, "Asia/Shanghai").alias("back"),
+                      timefmt.ts_string(timefmt.seconds_trunc(F.col("ts") + 1234)).alias("utc"))
+    json = sinks.to_json_value(rows, ["seq", "local"])
+    return json.select(F.get_json_object("value", "$.seq").cast("long").alias("seq"),
+                       F.get_json_object("value", "$.local").alias("local")).join(rows.drop("local"), "seq")
+
+
+QUERIES.update({
+    "dim_upsert_partial": q_dim_upsert_partial,
+    "user_snapshot_state": q_user_snapshot_state,
+    "order_current_view": q_order_current_view,
+    "daily_unique_visit_zone": q_daily_unique_visit_zone,
+    "visitor_day": q_visitor_day,
+    "search_times": q_search_times,
+})

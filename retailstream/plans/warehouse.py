@@ -10,7 +10,7 @@ import os
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from retailstream.operators import dims, orders, stats, visits
+from retailstream.operators import stats, visits
 from retailstream.plans import queries as Q
 from retailstream.sources import adapters as A
 from retailstream.sources import sinks
@@ -33,14 +33,8 @@ def build_warehouse(spark: SparkSession, sf_dir: str, out: str) -> dict[str, str
     # DWM: unique visits, jumps, order wide, payment wide
     uv = layer(visits.daily_unique_visit(pages), "dwm_unique_visit")
     uj = layer(visits.bounce_detect(pages, within_ms=Q.BOUNCE_WITHIN_MS), "dwm_user_jump")
-    oi = orders.order_time_fields(A.order_info(c.orders, c.customer))
-    ow = orders.order_wide(oi, A.order_detail(c.lineitem), *Q.ORDER_DETAIL_BOUNDS)
-    ow = dims.enrich_user(ow, A.dim_user_info(c.customer), F.lit(Q.AS_OF).cast("timestamp_ntz"))
-    ow = dims.enrich_province(ow, A.dim_base_province(c.nation, c.region))
-    ow = layer(dims.enrich_product(ow, A.dim_sku_info(c.part), A.dim_spu_info(c.part),
-                                   A.dim_base_trademark(c.part), A.dim_base_category3(c.part)), "dwm_order_wide")
-    pw = layer(orders.payment_wide(A.payment_info(c.lineitem, c.orders), ow, *Q.PAYMENT_ORDER_BOUNDS),
-               "dwm_payment_wide")
+    ow = layer(Q.order_wide_df(c), "dwm_order_wide")
+    pw = layer(Q.pay_orders(ow, c), "dwm_payment_wide")
 
     # DWS: statistics tables
     paths = {k: os.path.join(out, k) for k in ("visitor_stats", "product_stats", "province_stats",
@@ -48,13 +42,8 @@ def build_warehouse(spark: SparkSession, sf_dir: str, out: str) -> dict[str, str
     vs = stats.visitor_stats(stats.visitor_measure_rows(pages, uv, uj), window=Q.VISITOR_WINDOW)
     sinks.write_stats(vs, paths["visitor_stats"], VISITOR_COLUMNS)
 
-    parts = [stats.click_display_rows(pages), stats.favor_rows(A.favor_info(c.events)),
-             stats.cart_rows(A.cart_info(c.events)), stats.order_rows(ow), stats.payment_rows(pw),
-             stats.refund_rows(orders.with_event_ms(A.order_refund_info(c.lineitem))),
-             stats.comment_rows(orders.with_event_ms(A.comment_info(c.lineitem)))]
-    ps = stats.product_stats(stats.union_product_rows(parts), window=Q.PRODUCT_WINDOW)
-    ps = dims.enrich_product(ps, A.dim_sku_info(c.part), A.dim_spu_info(c.part), A.dim_base_trademark(c.part),
-                             A.dim_base_category3(c.part), with_price=True)
+    ps = stats.product_stats(Q.product_measure_rows(pages, ow, pw, c), window=Q.PRODUCT_WINDOW)
+    ps = Q.enrich_product(ps, c, with_price=True)
     sinks.write_stats(ps, paths["product_stats"], PRODUCT_COLUMNS)
 
     prov = stats.province_stats(ow, window=Q.PROVINCE_WINDOW, as_of_s=F.lit(Q.AS_OF_S))

@@ -43,13 +43,16 @@ CHANGE_FLAT = StructType([
 TABLE_PROCESS = _struct("sourceTable", "operateType", "sinkType", "sinkTable", "sinkColumns", "sinkPk",
                         "sinkExtend")
 
-ORDER_INFO = _struct("id", "province_id", "user_id", "order_status", "total_amount", "original_total_amount",
-                     "feight_fee", "create_time",
+ORDER_INFO = _struct("id", "province_id", "user_id", "order_status", "total_amount", "activity_reduce_amount",
+                     "coupon_reduce_amount", "original_total_amount", "feight_fee", "create_time",
                      types={"id": L, "province_id": L, "user_id": L, "total_amount": MONEY,
+                            "activity_reduce_amount": MONEY, "coupon_reduce_amount": MONEY,
                             "original_total_amount": MONEY, "feight_fee": MONEY})
-ORDER_DETAIL = _struct("id", "order_id", "sku_id", "sku_num", "order_price", "split_total_amount", "create_time",
+ORDER_DETAIL = _struct("id", "order_id", "sku_id", "sku_num", "order_price", "split_total_amount",
+                       "split_activity_amount", "split_coupon_amount", "create_time",
                        types={"id": L, "order_id": L, "sku_id": L, "sku_num": L, "order_price": MONEY,
-                              "split_total_amount": MONEY})
+                              "split_total_amount": MONEY, "split_activity_amount": MONEY,
+                              "split_coupon_amount": MONEY})
 PAYMENT_INFO = _struct("id", "order_id", "user_id", "total_amount", "subject", "payment_type", "create_time",
                        "callback_time",
                        types={"id": L, "order_id": L, "user_id": L, "total_amount": MONEY})

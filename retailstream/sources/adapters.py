@@ -69,8 +69,9 @@ def page_log(events: DataFrame) -> DataFrame:
 def raw_log(events: DataFrame) -> DataFrame:
     """events -> raw JSON log lines ``seq, value`` as a collector writes them.
 
-    signup -> a start record; error -> a page record cut short (malformed JSON);
-    everything else -> a page record with displays.
+    signup -> a start record; error -> a malformed line: a page record cut short,
+    or (even seq) one with text after it; everything else -> a page record with
+    displays, purchases with ``during_time`` as text and ``ts`` as a decimal.
     """
     x = _event_cols(events)
     q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
@@ -86,11 +87,14 @@ def raw_log(events: DataFrame) -> DataFrame:
     page = F.concat(common, F.lit(',"page":{"page_id":'), q(F.col("page_id")),
                     F.lit(',"last_page_id":'), qn(F.col("last_page_id")),
                     F.lit(',"item":'), qn(F.col("item")), F.lit(',"item_type":'), qn(F.col("item_type")),
-                    F.lit(',"during_time":'), _s(F.col("during_time")),
-                    F.lit('},"displays":'), displays, F.lit(',"ts":'), _s(F.col("ts")), F.lit("}"))
+                    F.lit(',"during_time":'),
+                    F.when(e == "purchase", q(_s(F.col("during_time")))).otherwise(_s(F.col("during_time"))),
+                    F.lit('},"displays":'), displays, F.lit(',"ts":'), _s(F.col("ts")),
+                    F.when(e == "purchase", F.lit(".0")).otherwise(F.lit("")), F.lit("}"))
     start = F.concat(common, F.lit(',"start":{"entry":"icon","loading_time":'), _s(F.col("during_time")),
                      F.lit(',"open_ad_id":'), q(F.col("k")), F.lit('},"ts":'), _s(F.col("ts")), F.lit("}"))
     value = (F.when(e == "signup", start)
+             .when((e == "error") & (F.col("seq") % 2 == 0), F.concat(F.col("_page"), F.lit(" garbage")))
              .when(e == "error", F.expr("substring(_page, 1, length(_page) - 1)"))
              .otherwise(F.col("_page")))
     return x.withColumn("_page", page).select("seq", value.alias("value"))
@@ -135,7 +139,10 @@ def order_info(orders: DataFrame, customer: DataFrame) -> DataFrame:
     return o.select(
         F.col("o_orderkey").alias("id"), "province_id", F.col("o_custkey").alias("user_id"),
         F.col("o_orderstatus").alias("order_status"),
-        amount.alias("total_amount"), amount.alias("original_total_amount"),
+        amount.alias("total_amount"),
+        (amount * F.lit("0.01").cast(DecimalType(4, 2))).cast(MONEY).alias("activity_reduce_amount"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit(5)).otherwise(0).cast(MONEY).alias("coupon_reduce_amount"),
+        amount.alias("original_total_amount"),
         F.lit(0).cast(MONEY).alias("feight_fee"),
         ts_string("o_orderdate").alias("create_time"))
 
@@ -149,6 +156,8 @@ def order_detail(lineitem: DataFrame) -> DataFrame:
         price.alias("order_price"),
         (price * (F.lit(1) - F.col("l_discount").cast(DecimalType(4, 2)))).cast(MONEY)
          .alias("split_total_amount"),
+        (price * F.col("l_discount").cast(DecimalType(4, 2))).cast(MONEY).alias("split_activity_amount"),
+        (price * F.col("l_tax").cast(DecimalType(4, 2))).cast(MONEY).alias("split_coupon_amount"),
         ts_string("l_shipdate").alias("create_time"))
 
 
@@ -196,8 +205,7 @@ def dim_user_info(customer: DataFrame) -> DataFrame:
 
 
 def dim_base_province(nation: DataFrame, region: DataFrame) -> DataFrame:
-    from retailstream.operators.dims import checked_broadcast
-    r = checked_broadcast(region.select("r_regionkey", "r_name"), 10_000)
+    r = region.select("r_regionkey", "r_name")
     n = nation.join(r, nation.n_regionkey == r.r_regionkey, "left")
     nk = F.lpad(_s(F.col("n_nationkey")), 2, "0")
     return n.select(_s(F.col("n_nationkey")).alias("id"), F.col("n_name").alias("name"),
