@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from retailstream.schemas import RAW_LOG
 
@@ -16,17 +16,29 @@ CORRUPT = "_corrupt_record"
 
 def parse_json(raw: DataFrame, schema: StructType = RAW_LOG, value: str = "value", into: str = "log",
                mode: str = "PERMISSIVE") -> DataFrame:
-    """PRJ-1 / PRJ-2: ``from_json`` into ``into``.  PERMISSIVE keeps malformed
-    text in ``{into}._corrupt_record``; FAILFAST raises on it."""
+    """PRJ-1 / PRJ-2: the record's fields into ``into``.
+
+    PERMISSIVE: a line is clean iff its whole text is one JSON object, whatever
+    the types of its fields (a value that does not fit a field's type leaves that
+    field null); the text of any other line is kept in ``{into}._corrupt_record``.
+    ``{into}.start_text`` is the text of ``start``.  FAILFAST raises on the first
+    malformed line.
+    """
+    rest = [c for c in raw.columns if c != into]
     if mode == "FAILFAST":
         parsed = F.from_json(value, schema, {"mode": "FAILFAST"})
-    else:
-        full = StructType(schema.fields + [StructField(CORRUPT, StringType())])
-        parsed = F.from_json(value, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    # The parse is produced by a one-element generator: filters on its result
-    # (the clean/dirty split) cannot be pushed below it, so each line is parsed
-    # exactly once instead of once per predicate plus once for the projection.
-    return raw.select(*[c for c in raw.columns if c != into], F.explode(F.array(parsed)).alias(into))
+        return raw.select(*rest, F.explode(F.array(parsed)).alias(into))
+    # in brackets, so that text after the object makes the line invalid; by a
+    # one-element generator, so that each line is parsed once: filters on the
+    # result cannot be pushed below it
+    lines = raw.select(*rest, F.explode(F.array(F.try_parse_json(F.concat(F.lit("["), F.col(value), F.lit("]")))))
+                       .alias("_v"))
+    clean = (F.col("_v").isNotNull() & F.col(value).rlike(r"^\s*\{")
+             & F.try_variant_get("_v", "$[1]", "variant").isNull())
+    fields = [F.try_variant_get("_v", f"$[0].{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema]
+    log = F.struct(*fields, F.try_variant_get("_v", "$[0].start", "string").alias("start_text"),
+                   F.when(clean, F.lit(None)).otherwise(F.coalesce(F.col(value), F.lit(""))).alias(CORRUPT))
+    return lines.select(*rest, log.alias(into))
 
 
 def split_dirty(parsed: DataFrame, into: str = "log") -> tuple[DataFrame, DataFrame]:
@@ -41,16 +53,12 @@ def flatten(clean: DataFrame, into: str = "log", keep: tuple[str, ...] = ("seq",
     return clean.select(*[c for c in keep if c in clean.columns], f"{into}.*")
 
 
-def route_start_page(log: DataFrame, value: str | None = "value") -> DataFrame:
+def route_start_page(log: DataFrame) -> DataFrame:
     """PRJ-4: ``route`` = 'start' when the record's ``start`` is present and
     non-empty text (an empty JSON object ``{}`` still counts, as in the
     reference's string test), else 'page'."""
-    if value is not None and value in log.columns:
-        start_txt = F.get_json_object(value, "$.start")
-        is_start = start_txt.isNotNull() & (F.length(start_txt) > 0)
-    else:
-        is_start = F.col("start").isNotNull()
-    return log.withColumn("route", F.when(is_start, "start").otherwise("page"))
+    start = F.coalesce(F.col("start_text"), F.to_json("start")) if "start_text" in log.columns else F.to_json("start")
+    return log.withColumn("route", F.when(F.length(start) > 0, "start").otherwise("page"))
 
 
 def explode_displays(pages: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailstream.functions.timefmt import DAY_FORMAT, from_epoch_ms
+from retailstream.functions.timefmt import DAY_FORMAT, ms_to_string
 from retailstream.operators.sequence import with_neighbor
 
 HOUR_MS = 3_600_000
@@ -24,21 +24,22 @@ def repair_new_visitor(log: DataFrame, mid: str = "common.mid", is_new: str = "c
     '1'; later ones become '0'.  Other records are untouched and set no state.
 
     The first '1' per visitor is a partial aggregation (``min(seq)``), joined back
-    on the visitor; no per-visitor sort is needed, and AQE splits a hot visitor's
-    join partition.
+    on the visitor to the ``is_new='1'`` rows alone; the other rows are not
+    shuffled.  AQE splits a hot visitor's join partition.
     """
-    first = (log.where(F.col(is_new) == "1")
-             .groupBy(F.col(mid).alias("_mid")).agg(F.min(seq).alias("_first_new_seq")))
-    j = log.join(first, F.col(mid) == F.col("_mid"), "left")
+    candidates = log.where(F.col(is_new) == "1")
+    others = log.where(F.col(is_new).isNull() | (F.col(is_new) != "1"))
+    first = candidates.groupBy(F.col(mid).alias("_mid")).agg(F.min(seq).alias("_first_new_seq"))
+    j = candidates.join(first, F.col(mid) == F.col("_mid"), "left")
     fixed = F.when((F.col(is_new) == "1") & (F.col(seq) > F.col("_first_new_seq")), F.lit("0")) \
         .otherwise(F.col(is_new))
     out = j.withColumn("common", F.col("common").withField("is_new", fixed)) if is_new == "common.is_new" \
         else j.withColumn(is_new, fixed)
-    return out.drop("_mid", "_first_new_seq")
+    return out.drop("_mid", "_first_new_seq").unionByName(others)
 
 
 def daily_unique_visit(log: DataFrame, mid: str = "common.mid", seq: str = "seq",
-                       bucket_rows: int = 10_000_000) -> DataFrame:
+                       bucket_rows: int = 10_000_000, zone: str = "UTC") -> DataFrame:
     """ST-2: keep an entry record (``page.last_page_id is null``) iff the visitor's
     remembered date is unset or differs from the record's date; the remembered
     date is then that date.
@@ -47,12 +48,13 @@ def daily_unique_visit(log: DataFrame, mid: str = "common.mid", seq: str = "seq"
     entry record (a skipped record has the same date), the rule is exactly
     "date differs from the previous entry's date" in arrival (``seq``) order.
     The previous entry is found with the bucketed neighbour helper, buckets being
-    ``seq div bucket_rows``.
+    ``seq div bucket_rows``.  Dates are those of ``zone``.  Rows without visitor or
+    time are not visits (``stats.split_rejects`` gives them, D11).
     """
-    entries = log.where(F.col("page.last_page_id").isNull()) \
+    entries = log.where(F.col("page.last_page_id").isNull() & F.col("ts").isNotNull()) \
         .withColumn("_mid", F.col(mid)) \
-        .withColumn("_dt", F.date_format(from_epoch_ms(F.col("ts")), DAY_FORMAT))
-    n = with_neighbor(entries, ["_mid"], [seq], F.floor(F.col(seq) / bucket_rows), ["_dt"], "prev", "_prev")
+        .withColumn("_dt", ms_to_string("ts", zone, DAY_FORMAT))
+    n = with_neighbor(entries, ["_mid"], [seq], F.call_function("div", F.col(seq), F.lit(bucket_rows)), ["_dt"], "prev", "_prev")
     return n.where(F.col("_prev_dt").isNull() | (F.col("_prev_dt") != F.col("_dt"))) \
         .drop("_mid", "_dt", "_prev_dt")
 
@@ -68,8 +70,8 @@ def bounce_detect(log: DataFrame, within_ms: int = 10_000, mid: str = "common.mi
     (buckets = ``ts div bucket_ms``), so a very active visitor is spread over many
     tasks instead of one.
     """
-    x = log.withColumn("_mid", F.col(mid)).withColumn("_lp", F.col("page.last_page_id"))
-    n = with_neighbor(x, ["_mid"], ["ts", seq], F.floor(F.col("ts") / bucket_ms),
+    x = log.where(F.col("ts").isNotNull()).withColumn("_mid", F.col(mid)).withColumn("_lp", F.col("page.last_page_id"))
+    n = with_neighbor(x, ["_mid"], ["ts", seq], F.call_function("div", F.col("ts"), F.lit(bucket_ms)),
                       ["ts", "_lp"], "next", "_next_")
     nts, nlp = F.col("_next_ts"), F.col("_next__lp")
     stay = nts.isNotNull() & nlp.isNotNull() & ((nts - F.col("ts")) < within_ms)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Iterator
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -32,7 +33,8 @@ def flatten_page_log(log: DataFrame) -> DataFrame:
                       *[F.col(f"page.{c}").alias(c) for c in ("page_id", "last_page_id", "item", "item_type",
                                                                 "during_time")],
                       F.to_json("displays").alias("displays"),
-                      (F.to_json("start") if "start" in log.columns else F.lit(None).cast("string")).alias("start"))
+                      (F.coalesce(*[c for n, c in (("start_text", F.col("start_text")), ("start", F.to_json("start")))
+                                    if n in log.columns], F.lit(None).cast("string"))).alias("start"))
 
 
 def nest_page_log(flat: DataFrame, displays_type: DataType) -> DataFrame:
@@ -53,8 +55,16 @@ def _replace(r: Row, **kw) -> Row:
     return Row(**{n: d[n] for n in FLAT_FIELDS})
 
 
-def _day(ms: int) -> str:
-    return (_dt.datetime(1970, 1, 1) + _dt.timedelta(milliseconds=ms)).strftime("%Y-%m-%d")
+def _day(ms: int, zone: ZoneInfo) -> str:
+    at = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc) + _dt.timedelta(milliseconds=ms)
+    return at.astimezone(zone).strftime("%Y-%m-%d")
+
+
+def placed(flat: DataFrame) -> DataFrame:
+    """Rows that a keyed processor can place: with a visitor and a time.  The
+    others must not reach it (they would fail the query on every restart);
+    ``start_log_split`` writes them to its reject output (D11)."""
+    return flat.where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
 
 
 class NewVisitorRepair(StatefulProcessor):
@@ -88,18 +98,20 @@ class DailyUniqueVisit(StatefulProcessor):
     unset or differs; remember its date.  The date expires 24 h (processing
     time) after it was written, as in the reference."""
 
-    def __init__(self, ttl_ms: int | None = 86_400_000):
+    def __init__(self, ttl_ms: int | None = 86_400_000, zone: str = "UTC"):
         self.ttl_ms = ttl_ms
+        self.zone = zone
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last_visit_date", "dt string", self.ttl_ms)
+        self.days = ZoneInfo(self.zone)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         last = self.last.get()[0] if self.last.exists() else None
         for r in sorted(rows, key=lambda x: x["seq"]):
             if r["last_page_id"] is not None:
                 continue
-            d = _day(r["ts"])
+            d = _day(r["ts"], self.days)
             if last is None or last != d:
                 last = d
                 self.last.update((d,))
@@ -174,18 +186,19 @@ def repair_new_visitor_stream(flat: DataFrame, ttl_ms: int | None = None) -> Dat
     """Only ``is_new='1'`` rows read or write the state, so only they are
     shuffled to the per-visitor processor; every other row passes straight
     through (a hot visitor's ordinary traffic never reaches the keyed task)."""
+    flat = placed(flat)
     cand = F.col("is_new") == "1"
     fixed = flat.where(cand).groupBy("mid").transformWithState(NewVisitorRepair(ttl_ms), FLAT_PAGE, "Append", "None")
     return fixed.unionByName(flat.where(~cand | F.col("is_new").isNull()).select(*FLAT_FIELDS))
 
 
-def daily_unique_visit_stream(flat: DataFrame, ttl_ms: int | None = 86_400_000) -> DataFrame:
+def daily_unique_visit_stream(flat: DataFrame, ttl_ms: int | None = 86_400_000, zone: str = "UTC") -> DataFrame:
     """With a TTL (the default, 24 h as in the reference) state expiry needs
     processing-time mode, in which the query keeps running no-data micro-batches
     to evaluate expiry; ``ttl_ms=None`` keeps dates forever and needs no clock."""
     mode = "None" if ttl_ms is None else "ProcessingTime"
-    entries = flat.where(F.col("last_page_id").isNull())  # non-entry rows never emit nor touch state
-    return entries.groupBy("mid").transformWithState(DailyUniqueVisit(ttl_ms), FLAT_PAGE, "Append", mode)
+    entries = placed(flat).where(F.col("last_page_id").isNull())  # non-entry rows never emit nor touch state
+    return entries.groupBy("mid").transformWithState(DailyUniqueVisit(ttl_ms, zone), FLAT_PAGE, "Append", mode)
 
 
 def bounce_detect_stream(flat: DataFrame, within_ms: int = 10_000, delay: str = "1 second") -> DataFrame:
@@ -194,5 +207,5 @@ def bounce_detect_stream(flat: DataFrame, within_ms: int = 10_000, delay: str =
     payload is dropped before the shuffle and the state buffer."""
     entry = F.col("last_page_id").isNull()
     slim = {c: F.when(entry, F.col(c)) for c in ("item", "item_type", "displays", "start", "page_id")}
-    x = flat.withColumns(slim).withColumn("rt", F.timestamp_millis("ts")).withWatermark("rt", delay).drop("rt")
+    x = placed(flat).withColumns(slim).withColumn("rt", F.timestamp_millis("ts")).withWatermark("rt", delay).drop("rt")
     return x.groupBy("mid").transformWithState(BounceDetect(within_ms), FLAT_PAGE, "Append", "EventTime")

@@ -12,6 +12,7 @@ from retailstream.operators import cdc, orders, stats, visits
 from retailstream.plans import queries as Q
 from retailstream.sources import adapters as A
 from retailstream.sources import sinks
+from retailstream.sources.tables import Catalog
 from retailstream.streaming import jobs
 from retailstream.streaming import processors as P
 from tests.conftest import SF_SMALL
@@ -101,14 +102,12 @@ def test_order_wide_stream_join_matches_batch(spark, tmp_dir):
     assert sorted(s.select(cols).collect()) == sorted(b.select(cols).collect())
 
 
-def test_keyword_stats_sql_on_stream(spark, tmp_dir):
+def test_keyword_stats_stream_matches_batch(spark, tmp_dir):
     conv = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
     A.search_log(conv).write.parquet(f"{tmp_dir}/search")
     schema = spark.read.parquet(f"{tmp_dir}/search").schema
-    src = spark.readStream.schema(schema).parquet(f"{tmp_dir}/search") \
-        .withColumn("rt", F.timestamp_millis("ts")).withWatermark("rt", "1 second")
-    src.createOrReplaceTempView("search_stream")
-    s = _drain(jobs.keyword_stats_sql(spark, "search_stream", window="10 minutes"), "t_kw", f"{tmp_dir}/ck")
+    src = spark.readStream.schema(schema).parquet(f"{tmp_dir}/search")
+    s = _drain(jobs.keyword_stats_stream(src, window="10 minutes", delay="1 second"), "t_kw", f"{tmp_dir}/ck")
     b = stats.keyword_stats(stats.explode_keywords(stats.search_rows(A.search_log(conv))), window="10 minutes")
     # the last hour stays open in append mode; every closed window must match
     last = b.agg(F.max("stt")).first()[0]
@@ -186,11 +185,9 @@ def test_log_split_job_writes_every_topic(spark, tmp_dir):
     raw = A.raw_log(ev)
     raw.write.parquet(f"{tmp_dir}/raw")
     src = spark.readStream.schema(raw.schema).parquet(f"{tmp_dir}/raw")
-    q = jobs.start_log_split(src, f"{tmp_dir}/topics", f"{tmp_dir}/ck")
-    q.processAllAvailable()
-    for s in spark.streams.active:   # the dirty side output runs as its own query
-        s.processAllAvailable()
-        s.stop()
+    for q in jobs.start_log_split(src, f"{tmp_dir}/topics", f"{tmp_dir}/ck"):   # the split and the dirty output
+        q.processAllAvailable()
+        q.stop()
     n = {e: ev.where(F.col("event_type") == e).count() for e in ("signup", "error", "view")}
     assert spark.read.parquet(f"{tmp_dir}/topics/dirty").count() == n["error"]
     assert spark.read.parquet(f"{tmp_dir}/topics/start").count() == n["signup"]
@@ -201,7 +198,7 @@ def test_log_split_job_writes_every_topic(spark, tmp_dir):
 
 
 def test_product_and_province_streams_match_batch(spark, tmp_dir):
-    ow = Q.order_wide_df(spark, SF_SMALL)
+    ow = Q.order_wide_df(Catalog(spark, SF_SMALL))
     ow.write.parquet(f"{tmp_dir}/ow")
     s_ow = spark.readStream.schema(ow.schema).parquet(f"{tmp_dir}/ow")
     parts = [stats.order_rows(s_ow)]
@@ -212,10 +209,8 @@ def test_product_and_province_streams_match_batch(spark, tmp_dir):
     assert sorted(s.where(F.col("stt") < last).select(cols).collect()) == \
         sorted(b.where(F.col("stt") < last).select(cols).collect())
 
-    v = spark.readStream.schema(ow.schema).parquet(f"{tmp_dir}/ow") \
-        .withColumn("rt", F.timestamp_millis("create_ts")).withWatermark("rt", "0 seconds")
-    v.createOrReplaceTempView("ow_stream")
-    ps = _drain(jobs.province_stats_sql(spark, "ow_stream", window="1 day"), "t_prov", f"{tmp_dir}/ck2")
+    v = spark.readStream.schema(ow.schema).parquet(f"{tmp_dir}/ow")
+    ps = _drain(jobs.province_stats_stream(v, window="1 day", delay="0 seconds"), "t_prov", f"{tmp_dir}/ck2")
     pb = stats.province_stats(ow, window="1 day", as_of_s=F.lit(0))
     cols = ["stt", "province_id", "province_name", "order_amount", "order_count"]
     assert sorted(ps.where(F.col("stt") < last).select(cols).collect()) == \
@@ -225,7 +220,7 @@ def test_product_and_province_streams_match_batch(spark, tmp_dir):
 def test_payment_wide_stream_matches_batch(spark, tmp_dir):
     c_li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     c_o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    ow = Q.order_wide_df(spark, SF_SMALL)
+    ow = Q.order_wide_df(Catalog(spark, SF_SMALL))
     pay = A.payment_info(c_li, c_o)
     ow.write.parquet(f"{tmp_dir}/ow")
     pay.write.parquet(f"{tmp_dir}/pay")
@@ -296,9 +291,9 @@ def test_order_wide_and_product_jobs_with_dimension_reload(spark, tmp_dir):
                               as_of=F.lit(Q.AS_OF).cast("timestamp_ntz"), lower="-5 days", upper="5 days")
     q.processAllAvailable()
     q.stop()
-    ow_rows = spark.read.parquet(f"{tmp_dir}/ow").select(F.from_json("value", Q.order_wide_df(spark, SF_SMALL).schema)
+    ow_rows = spark.read.parquet(f"{tmp_dir}/ow").select(F.from_json("value", Q.order_wide_df(Catalog(spark, SF_SMALL)).schema)
                                                          .alias("r")).select("r.*")
-    batch = Q.order_wide_df(spark, SF_SMALL)
+    batch = Q.order_wide_df(Catalog(spark, SF_SMALL))
     cols = ["order_id", "detail_id", "sku_name", "spu_name", "tm_name", "province_name", "user_age"]
     assert loads and sorted(ow_rows.select(cols).collect()) == sorted(batch.select(cols).collect())
 
