@@ -4,8 +4,8 @@ tumbling-window aggregates (AG-1..4).
 Every aggregate here is a ``groupBy(window(...), keys).agg(...)``: Spark plans it
 as partial (map-side) + final hash aggregation, so a hot key is pre-combined in
 every task before the shuffle.  The same functions run on streaming DataFrames
-(after ``withWatermark``) except where noted; distinct counts then use
-``size(collect_set)`` because ``count(distinct)`` is refused on streams.
+(after ``withWatermark``); ``count(distinct)`` is refused on streams, so there the
+ids are de-duplicated within their window first and then counted.
 """
 
 from __future__ import annotations
@@ -163,9 +163,18 @@ def union_product_rows(parts: Sequence[DataFrame]) -> DataFrame:
     return u
 
 
-def _distinct_count(c: str, streaming: bool) -> Column:
-    # nulls are not counted (D12); streams refuse count(distinct)
-    return F.size(F.collect_set(c)).cast("long") if streaming else F.count_distinct(c)
+def _kind_and_id() -> tuple[Column, Column]:
+    """Each measure row carries at most one order id: of an order, a payment or a refund."""
+    kind = (F.when(F.col("order_oid").isNotNull(), "o").when(F.col("paid_oid").isNotNull(), "p")
+            .when(F.col("refund_oid").isNotNull(), "r"))
+    return kind, F.coalesce("order_oid", "paid_oid", "refund_oid")
+
+
+def _first_of_each(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per value of ``keys`` (with the watermarked ``window``), for exact
+    distinct counts on streams: each id is a small state row of its own that goes
+    with its window, instead of one set that holds all ids of a group."""
+    return rows.select(*keys).dropDuplicates(list(keys))
 
 
 def product_stats(rows: DataFrame, window: str = "10 seconds", streaming: bool = False) -> DataFrame:
@@ -179,32 +188,27 @@ def product_stats(rows: DataFrame, window: str = "10 seconds", streaming: bool =
     (which copies every row four times).  Both levels pre-aggregate map-side.
     """
     rows = rows.where(F.col("ts").isNotNull() & F.col("sku_id").isNotNull())  # D11: see split_rejects
-    if not streaming:
-        kind = (F.when(F.col("order_oid").isNotNull(), "o").when(F.col("paid_oid").isNotNull(), "p")
-                .when(F.col("refund_oid").isNotNull(), "r"))
-        oid = F.coalesce("order_oid", "paid_oid", "refund_oid")
-        lvl1 = rows.groupBy(F.window(event_time("ts"), window).alias("window"), "sku_id",
-                            kind.alias("_kind"), oid.alias("_oid")).agg(
-            *[F.sum(c).alias(c) for c in PRODUCT_COUNTS], *[F.sum(c).alias(c) for c in PRODUCT_AMOUNTS],
-            F.min("ts").alias("ts"))
-        g = lvl1.groupBy("window", "sku_id").agg(
-            *[F.sum(c).alias(c) for c in PRODUCT_COUNTS],
-            *[F.sum(c).cast(SUM_MONEY).alias(c) for c in PRODUCT_AMOUNTS],
-            F.count(F.when(F.col("_kind") == "o", F.col("_oid"))).alias("order_ct"),
-            F.count(F.when(F.col("_kind") == "p", F.col("_oid"))).alias("paid_order_ct"),
-            F.count(F.when(F.col("_kind") == "r", F.col("_oid"))).alias("refund_order_ct"),
-            F.min("ts").alias("ts"))
-        return g.select(*window_bounds(), "sku_id", *PRODUCT_COUNTS, *PRODUCT_AMOUNTS,
-                        "order_ct", "paid_order_ct", "refund_order_ct", "ts")
-    g = rows.groupBy(F.window(event_time("ts", streaming), window).alias("window"), "sku_id").agg(
-        *[F.sum(c).alias(c) for c in PRODUCT_COUNTS],
-        *[F.sum(c).cast(SUM_MONEY).alias(c) for c in PRODUCT_AMOUNTS],
-        _distinct_count("order_oid", streaming).alias("order_ct"),
-        _distinct_count("paid_oid", streaming).alias("paid_order_ct"),
-        _distinct_count("refund_oid", streaming).alias("refund_order_ct"),
+    kind, oid = _kind_and_id()
+    out = [*window_bounds(), "sku_id", *PRODUCT_COUNTS, *PRODUCT_AMOUNTS, "order_ct", "paid_order_ct",
+           "refund_order_ct", "ts"]
+    sums = [*[F.sum(c).alias(c) for c in PRODUCT_COUNTS],
+            *[F.sum(c).cast(SUM_MONEY).alias(c) for c in PRODUCT_AMOUNTS], F.min("ts").alias("ts")]
+    counted = {"o": "order_ct", "p": "paid_order_ct", "r": "refund_order_ct"}   # nulls are not counted (D12)
+    if streaming:
+        placed = rows.withColumns({"window": F.window(event_time("ts", True), window), "_kind": kind, "_oid": oid})
+        marks = _first_of_each(placed.where(F.col("_oid").isNotNull()), ["window", "sku_id", "_kind", "_oid"])
+        both = placed.select("window", "sku_id", *PRODUCT_COUNTS, *PRODUCT_AMOUNTS, "ts").unionByName(
+            marks.select("window", "sku_id", "_kind"), allowMissingColumns=True)
+        g = both.groupBy("window", "sku_id").agg(
+            *sums, *[F.count(F.when(F.col("_kind") == k, 1)).alias(c) for k, c in counted.items()])
+        return g.select(*out)
+    lvl1 = rows.groupBy(F.window(event_time("ts"), window).alias("window"), "sku_id",
+                        kind.alias("_kind"), oid.alias("_oid")).agg(
+        *[F.sum(c).alias(c) for c in PRODUCT_COUNTS], *[F.sum(c).alias(c) for c in PRODUCT_AMOUNTS],
         F.min("ts").alias("ts"))
-    return g.select(*window_bounds(), "sku_id", *PRODUCT_COUNTS, *PRODUCT_AMOUNTS,
-                    "order_ct", "paid_order_ct", "refund_order_ct", "ts")
+    g = lvl1.groupBy("window", "sku_id").agg(
+        *sums, *[F.count(F.when(F.col("_kind") == k, F.col("_oid"))).alias(c) for k, c in counted.items()])
+    return g.select(*out)
 
 
 # ---------------------------------------------------------------------------
@@ -219,10 +223,17 @@ def province_stats(order_wide: DataFrame, window: str = "10 seconds", as_of_s: C
                    amount_col: str = "total_amount", streaming: bool = False) -> DataFrame:
     """AG-3: per (window, province) ``sum(amount)`` (D8 default: order total per
     detail line) and distinct orders; ``ts`` = processing seconds (``as_of_s``)."""
-    g = order_wide.groupBy(F.window(event_time("create_ts", streaming), window).alias("window"),
-                           *PROVINCE_KEYS).agg(
-        F.sum(F.col(amount_col).cast(SUM_MONEY)).cast(SUM_MONEY).alias("order_amount"),
-        _distinct_count("order_id", streaming).alias("order_count"))
+    amount = F.col(amount_col).cast(SUM_MONEY).alias("amount")
+    if streaming:
+        placed = order_wide.select(F.window(event_time("create_ts", True), window).alias("window"), *PROVINCE_KEYS,
+                                   "order_id", amount)
+        marks = _first_of_each(placed.where(F.col("order_id").isNotNull()), ["window", *PROVINCE_KEYS, "order_id"])
+        both = placed.drop("order_id").unionByName(marks, allowMissingColumns=True)
+        g = both.groupBy("window", *PROVINCE_KEYS).agg(
+            F.sum("amount").cast(SUM_MONEY).alias("order_amount"), F.count("order_id").alias("order_count"))
+    else:
+        g = order_wide.groupBy(F.window(event_time("create_ts"), window).alias("window"), *PROVINCE_KEYS).agg(
+            F.sum(amount).cast(SUM_MONEY).alias("order_amount"), F.count_distinct("order_id").alias("order_count"))
     ts = as_of_s if as_of_s is not None else F.unix_timestamp()
     return g.select(*window_bounds(), *PROVINCE_KEYS, "order_amount", "order_count",
                     ts.cast("long").alias("ts"))
