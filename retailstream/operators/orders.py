@@ -78,14 +78,19 @@ def order_wide(order_info: DataFrame, order_detail: DataFrame, lower=-5_000, upp
         *([F.col("o.rt").alias("rt")] if streaming else []))
 
 
-def merge_order_wide(a: DataFrame, b: DataFrame, on: str = "order_id",
-                     keep_left=("split_total_amount", "split_activity_amount", "split_coupon_amount")) -> DataFrame:
-    """PRJ-15: first-non-null merge of two order-wide rows with the same key;
-    the ``split_*`` amounts always keep the left value."""
+# fixed values: the fields that a merge of two order-wide rows may fill in
+MERGED = ("order_status", "user_id", "total_amount", "activity_reduce_amount", "coupon_reduce_amount",
+          "original_total_amount", "feight_fee", "create_time", "create_date", "sku_id", "sku_name", "order_price",
+          "sku_num")
+
+
+def merge_order_wide(a: DataFrame, b: DataFrame, on: str = "order_id") -> DataFrame:
+    """PRJ-15: rows of ``a``, with nulls of the ``MERGED`` fields filled from the row
+    of ``b`` with the same key; all other fields keep the value of ``a``."""
     cols = [c for c in a.columns if c != on]
     j = a.alias("a").join(b.alias("b"), on, "left")
-    return j.select(on, *[(F.col(f"a.{c}") if c in keep_left or c not in b.columns
-                           else F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}"))).alias(c) for c in cols])
+    return j.select(on, *[(F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")) if c in MERGED and c in b.columns
+                           else F.col(f"a.{c}")).alias(c) for c in cols])
 
 
 PAYMENT_SIDE = ("payment_type", "subject", "callback_time")

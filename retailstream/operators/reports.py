@@ -19,6 +19,7 @@ from retailstream.functions.keywords import keyword_weight
 from retailstream.functions.metrics import OUT_TYPE, visitor_ratios
 
 SUM_MONEY = "decimal(38,2)"
+TODAY = "today"   # as a report's ``date``: the session's current day; None: every day
 
 
 def with_dt(stats: DataFrame) -> DataFrame:
@@ -30,7 +31,8 @@ def _day(stats: DataFrame, date: str | None) -> tuple[DataFrame, list[str]]:
     s = with_dt(stats)
     if date is None:
         return s, ["dt"]
-    return s.where(F.col("dt") == F.lit(date)), []
+    day = F.current_date().cast("string") if date == TODAY else F.lit(date)
+    return s.where(F.col("dt") == day), []
 
 
 def _top(df: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:

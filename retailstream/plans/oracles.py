@@ -515,3 +515,6 @@ WITH s AS (SELECT conv_id * 1000 + turn AS seq, 1704067200000 + conv_id * 60000
 SELECT seq, strftime(make_timestamp((ts + 28800000) * 1000), '%Y-%m-%d %H:%M:%S') AS local,
        ts // 1000 * 1000 AS back, strftime(make_timestamp(ts * 1000), '%Y-%m-%d %H:%M:%S') AS utc
 FROM s"""
+
+ORACLES["order_wide_merge"] = "WITH " + SHOP + """
+SELECT order_id, detail_id, order_status, province_id, 'unnamed' AS sku_name, split_coupon_amount FROM ow"""

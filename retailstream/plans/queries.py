@@ -441,7 +441,19 @@ def q_search_times(spark, sf):
                        F.get_json_object("value", "$.local").alias("local")).join(rows.drop("local"), "seq")
 
 
+def q_order_wide_merge(spark, sf):
+    """PRJ-15: rows that lost their status, filled from the orders themselves."""
+    c = Catalog(spark, sf)
+    left = order_core_df(c).withColumn("order_status", F.when(F.col("order_id") % 2 == 0, F.col("order_status")))
+    right = A.order_info(c.orders, c.customer).select(
+        F.col("id").alias("order_id"), "order_status", F.lit(-1).cast("long").alias("province_id"),
+        F.lit("unnamed").alias("sku_name"))
+    return orders.merge_order_wide(left, right).select("order_id", "detail_id", "order_status", "province_id", "sku_name",
+                                                       "split_coupon_amount")
+
+
 QUERIES.update({
+    "order_wide_merge": q_order_wide_merge,
     "dim_upsert_partial": q_dim_upsert_partial,
     "user_snapshot_state": q_user_snapshot_state,
     "order_current_view": q_order_current_view,
