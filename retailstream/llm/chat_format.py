@@ -202,8 +202,11 @@ def _scan(blocks: DataFrame, most: int) -> DataFrame:
                              "before": [x.tolist() for x in before], "after": [x.tolist() for x in after[::-1]]})
 
     kind = blocks.schema["conv"].dataType.simpleString()
-    parts = blocks.withColumn("part", F.expr(f"block div {FAN}"))
     even = F.array_repeat(F.lit(0.0), n)
+    counted = blocks.join(blocks.groupBy("conv").agg(F.count(F.lit(1)).alias("n")), "conv")
+    # most transcripts are one block: nothing comes before or after it
+    alone = counted.where("n = 1").select("conv", "block", even.alias("before"), even.alias("after"))
+    parts = counted.where("n > 1").drop("n").withColumn("part", F.expr(f"block div {FAN}"))
     if most < FAN:
         outer = parts.withColumns({"before": even, "after": even})
     else:
@@ -212,7 +215,7 @@ def _scan(blocks: DataFrame, most: int) -> DataFrame:
         known = _scan(whole, most // FAN).withColumnRenamed("block", "part")
         outer = parts.join(known, ["conv", "part"])
     return outer.groupBy("conv", "part").applyInPandas(
-        ends, f"conv {kind}, block long, before array<double>, after array<double>")
+        ends, f"conv {kind}, block long, before array<double>, after array<double>").unionByName(alone)
 
 
 def _sum_up(model: Model):
