@@ -99,11 +99,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "topic", "tokens", F.round("p", 6).alias("p"), "sampled")
 
 
-QUERIES = {"op5_mixing": op5_mixing, "op6_embedding_dedup": op6_embedding_dedup, "op1_toxicity": op1_toxicity, "op9_quality_classifier": op9_quality_classifier,
-           "op2_quality_rules": op2_quality_rules, "op3_simhash_dedup": op3_simhash_dedup,
-           "op4_line_dedup": op4_line_dedup,
-           "op7_best_fit_packing": op7_best_fit_packing, "op8_chat_format": op8_chat_format,
-           "op10_url_filter": op10_url_filter}
+QUERIES = {
+    "op1_toxicity": op1_toxicity, "op2_quality_rules": op2_quality_rules, "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_line_dedup": op4_line_dedup, "op5_mixing": op5_mixing, "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_best_fit_packing": op7_best_fit_packing, "op8_chat_format": op8_chat_format,
+    "op9_quality_classifier": op9_quality_classifier, "op10_url_filter": op10_url_filter,
+}
 
 OP10_SQL = """
 WITH p AS (
@@ -233,4 +234,5 @@ FROM e LEFT JOIN p USING (source, lang, topic)
 """
 
 
-ORACLES = {"op5_mixing": _op5_sql(), "op2_quality_rules": OP2_SQL, "op4_line_dedup": OP4_SQL, "op10_url_filter": OP10_SQL}
+ORACLES = {"op2_quality_rules": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_mixing": _op5_sql(),
+           "op10_url_filter": OP10_SQL}
