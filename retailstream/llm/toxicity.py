@@ -52,7 +52,8 @@ class Settings:
     steps: int = 16            # per epoch
     rate: float = 0.3
     floor: float = 1e-12
-    max_docs: int = 3000       # labelled documents trained on, half of them toxic where there are enough
+    max_docs: int = 3600       # labelled documents trained on
+    toxic_share: float = 1 / 3   # of them, where there are enough: more clean ones, fewer false alarms
     max_chars: int = 8_000     # longer labelled documents are not trained on
     seed: int = 7
 
@@ -273,7 +274,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     Labels and texts that are null are not used.  With no label or only one kind,
     the model gives all texts the share of toxic ones seen.
     """
-    texts, given = labelled_sample(docs, labels, id_col, text_col, label_col, settings.max_docs, settings.max_chars)
+    texts, given = labelled_sample(docs, labels, id_col, text_col, label_col, settings.max_docs, settings.max_chars,
+                                   settings.toxic_share)
     return train(texts, given, settings)
 
 

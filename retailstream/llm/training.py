@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-                    max_docs: int, max_chars: int) -> tuple[list[str], list[int]]:
+                    max_docs: int, max_chars: int, ones: float = 0.5) -> tuple[list[str], list[int]]:
     """Texts and 0/1 labels of at most ``max_docs`` documents, in a fixed order.
 
-    Ids are drawn by hash, half of each label; a label with fewer leaves the rest
-    to the other.  Only the drawn ids (a bounded number) are broadcast to the
+    Ids are drawn by hash, a share ``ones`` of label 1; a label with fewer leaves
+    the rest to the other.  Only the drawn ids (a bounded number) are broadcast to the
     scan of ``docs``; texts longer than ``max_chars`` are left out, so that what
     reaches the driver is bounded in bytes too.  Repeated label rows count once,
     with the larger label.
@@ -20,8 +20,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("label")))
     drawn = [given.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(max_docs) for k in (0, 1)]
     ids = [[r["id"] for r in d.collect()] for d in drawn]
-    ones = min(len(ids[1]), max(max_docs // 2, max_docs - len(ids[0])))
-    n = (min(len(ids[0]), max_docs - ones), ones)
+    n_ones = min(len(ids[1]), max(round(max_docs * ones), max_docs - len(ids[0])))
+    n = (min(len(ids[0]), max_docs - n_ones), n_ones)
     chosen = [(i, k) for k in (0, 1) for i in ids[k][:n[k]]]
     if not chosen:
         return [], []

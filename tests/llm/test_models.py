@@ -73,6 +73,7 @@ def test_labelled_sample_is_bounded_and_even(spark):
     texts, given = labelled_sample(docs, labels, "doc_id", "text", "y", 100, 1000)
     assert Counter(given) == {0: 60, 1: 40}
     assert labelled_sample(docs, labels, "doc_id", "text", "y", 100, 1000) == (texts, given)
+    assert Counter(labelled_sample(docs, labels, "doc_id", "text", "y", 90, 1000, 1 / 3)[1]) == {0: 60, 1: 30}
     texts, _ = labelled_sample(docs, labels, "doc_id", "text", "y", 100, 10)
     assert max(map(len, texts)) <= 10
 
