@@ -63,10 +63,17 @@ def parse_ts(s) -> Column:
     return _c(s).try_cast("timestamp_ntz")
 
 
-def window_bounds(window_col: str = "window") -> list[Column]:
-    """FN-3: window struct -> stt / edt strings."""
-    return [ts_string(F.col(f"{window_col}.start")).alias("stt"),
-            ts_string(F.col(f"{window_col}.end")).alias("edt")]
+def window_bounds(window_col: str = "window", streaming: bool = False, zone: str = "UTC") -> list[Column]:
+    """FN-3: window struct -> stt / edt strings, wall-clock time of ``zone``.
+
+    Batch windows are zone-free UTC times; stream windows are instants, which Spark
+    would print in the session's zone: both give the same text here.
+    """
+    def text(c: Column) -> Column:
+        if streaming:
+            return ts_string(F.convert_timezone(F.current_timezone(), F.lit(zone), c.cast("timestamp_ntz")))
+        return ts_string(c if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), c))
+    return [text(F.col(f"{window_col}.start")).alias("stt"), text(F.col(f"{window_col}.end")).alias("edt")]
 
 
 def age_years(birthday, as_of) -> Column:

@@ -186,6 +186,20 @@ def snapshot_then_changes(snapshot: DataFrame, changes: DataFrame, pk: str = "id
     return changelog_state(snap.unionByName(ch), pk=pk)
 
 
+def routing_config(snapshot: DataFrame, changes: DataFrame, table: str = "table_process") -> DataFrame:
+    """The routing config as it stands: the config table's snapshot, then its change
+    records (flattened), by ``sourceTable, operateType``; deleted configs are gone.
+    For the ``load_config`` of the router job."""
+    def keyed(m: F.Column) -> F.Column:
+        return F.when(F.size(m) > 0, F.map_concat(m, F.create_map(
+            F.lit("_key"), F.concat_ws(":", m["sourceTable"], m["operateType"])))).otherwise(m)
+    snap = snapshot.withColumn("_key", F.concat_ws(":", "sourceTable", "operateType"))
+    own = changes.where(F.col("tableName") == table).withColumns(
+        {"data": keyed(F.col("data")), "before": keyed(F.col("before"))})
+    st = snapshot_then_changes(snap, own, pk="_key", table=table)
+    return st.select(*[F.col("data")[f.name].alias(f.name) for f in TABLE_PROCESS], "seq")
+
+
 def register_current_state(changes: DataFrame, view: str, columns: Sequence[str], pk: str = "id",
                            table: str | None = None) -> DataFrame:
     """SRC-5: expose the current state of a changelog as a SQL view with typed

@@ -5,7 +5,8 @@ Every aggregate here is a ``groupBy(window(...), keys).agg(...)``: Spark plans i
 as partial (map-side) + final hash aggregation, so a hot key is pre-combined in
 every task before the shuffle.  The same functions run on streaming DataFrames
 (after ``withWatermark``); ``count(distinct)`` is refused on streams, so there the
-ids are de-duplicated within their window first and then counted.
+ids are de-duplicated within their window first and then counted.  ``stt`` and
+``edt`` are wall-clock times of ``zone``, in both forms.
 """
 
 from __future__ import annotations
@@ -76,13 +77,14 @@ def visitor_measure_rows(page_log: DataFrame, unique_visits: DataFrame, jumps: D
     return uv.unionByName(uj).unionByName(pv)
 
 
-def visitor_stats(rows: DataFrame, window: str = "10 seconds", streaming: bool = False) -> DataFrame:
+def visitor_stats(rows: DataFrame, window: str = "10 seconds", streaming: bool = False,
+                  zone: str = "UTC") -> DataFrame:
     """AG-1: per (window, vc, ch, ar, is_new) sums; ``ts`` = earliest event ms (D10).
     Rows without event time are left out (see ``split_rejects``)."""
     rows = rows.where(F.col("ts").isNotNull())
     g = rows.groupBy(F.window(event_time("ts", streaming), window).alias("window"), *VISITOR_KEYS).agg(
         *[F.sum(m).alias(m) for m in VISITOR_MEASURES], F.min("ts").alias("ts"))
-    return g.select(*window_bounds(), *VISITOR_KEYS, *VISITOR_MEASURES, "ts")
+    return g.select(*window_bounds(streaming=streaming, zone=zone), *VISITOR_KEYS, *VISITOR_MEASURES, "ts")
 
 
 # ---------------------------------------------------------------------------
@@ -177,7 +179,8 @@ def _first_of_each(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.select(*keys).dropDuplicates(list(keys))
 
 
-def product_stats(rows: DataFrame, window: str = "10 seconds", streaming: bool = False) -> DataFrame:
+def product_stats(rows: DataFrame, window: str = "10 seconds", streaming: bool = False,
+                  zone: str = "UTC") -> DataFrame:
     """AG-2: per (window, sku_id) sums and exact distinct order / paid / refunded
     order counts; ``ts`` = earliest event ms.
 
@@ -189,7 +192,7 @@ def product_stats(rows: DataFrame, window: str = "10 seconds", streaming: bool =
     """
     rows = rows.where(F.col("ts").isNotNull() & F.col("sku_id").isNotNull())  # D11: see split_rejects
     kind, oid = _kind_and_id()
-    out = [*window_bounds(), "sku_id", *PRODUCT_COUNTS, *PRODUCT_AMOUNTS, "order_ct", "paid_order_ct",
+    out = [*window_bounds(streaming=streaming, zone=zone), "sku_id", *PRODUCT_COUNTS, *PRODUCT_AMOUNTS, "order_ct", "paid_order_ct",
            "refund_order_ct", "ts"]
     sums = [*[F.sum(c).alias(c) for c in PRODUCT_COUNTS],
             *[F.sum(c).cast(SUM_MONEY).alias(c) for c in PRODUCT_AMOUNTS], F.min("ts").alias("ts")]
@@ -220,7 +223,7 @@ PROVINCE_KEYS = ("province_id", "province_name", "province_area_code", "province
 
 
 def province_stats(order_wide: DataFrame, window: str = "10 seconds", as_of_s: Column | None = None,
-                   amount_col: str = "total_amount", streaming: bool = False) -> DataFrame:
+                   amount_col: str = "total_amount", streaming: bool = False, zone: str = "UTC") -> DataFrame:
     """AG-3: per (window, province) ``sum(amount)`` (D8 default: order total per
     detail line) and distinct orders; ``ts`` = processing seconds (``as_of_s``)."""
     amount = F.col(amount_col).cast(SUM_MONEY).alias("amount")
@@ -235,7 +238,7 @@ def province_stats(order_wide: DataFrame, window: str = "10 seconds", as_of_s: C
         g = order_wide.groupBy(F.window(event_time("create_ts"), window).alias("window"), *PROVINCE_KEYS).agg(
             F.sum(amount).cast(SUM_MONEY).alias("order_amount"), F.count_distinct("order_id").alias("order_count"))
     ts = as_of_s if as_of_s is not None else F.unix_timestamp()
-    return g.select(*window_bounds(), *PROVINCE_KEYS, "order_amount", "order_count",
+    return g.select(*window_bounds(streaming=streaming, zone=zone), *PROVINCE_KEYS, "order_amount", "order_count",
                     ts.cast("long").alias("ts"))
 
 
@@ -256,11 +259,11 @@ def explode_keywords(rows: DataFrame, text: str = "full_word") -> DataFrame:
 
 
 def keyword_stats(words: DataFrame, window: str = "10 seconds", source: str = KEYWORD_SEARCH,
-                  as_of_s: Column | None = None, streaming: bool = False) -> DataFrame:
+                  as_of_s: Column | None = None, streaming: bool = False, zone: str = "UTC") -> DataFrame:
     """AG-4: per (window, keyword) ``count(*)`` with a constant source;
     ``ts`` = processing seconds (``as_of_s``)."""
     g = words.groupBy(F.window(event_time("ts", streaming), window).alias("window"), "keyword") \
         .agg(F.count(F.lit(1)).alias("ct"))
     ts = as_of_s if as_of_s is not None else F.unix_timestamp()
-    return g.select("keyword", "ct", F.lit(source).alias("source"), *window_bounds(),
+    return g.select("keyword", "ct", F.lit(source).alias("source"), *window_bounds(streaming=streaming, zone=zone),
                     ts.cast("long").alias("ts"))

@@ -3,7 +3,7 @@
 A "topic" is a stream of JSON text rows.  Production reads Kafka
 (``fmt="kafka"``, the connector jar must be on the classpath); tests and
 replays read files.  Every reader returns ``value STRING`` plus ``seq`` (the
-arrival order: Kafka offset, or a column of the file) so the same operators
+arrival order: from Kafka's offset, or a column of the file) so the same operators
 run on both.
 """
 
@@ -15,6 +15,8 @@ from pyspark.sql.types import StructType
 
 from retailstream.functions.timefmt import parse_ts
 
+MAX_PARTITIONS = 1 << 16   # of a topic
+
 
 def read_topic(spark: SparkSession, where: str, streaming: bool = True, fmt: str = "parquet",
                options: dict | None = None, schema: StructType | None = None) -> DataFrame:
@@ -31,7 +33,10 @@ def read_topic(spark: SparkSession, where: str, streaming: bool = True, fmt: str
     if fmt == "kafka":
         opts.setdefault("startingOffsets", "latest")
         df = reader.format("kafka").option("subscribe", where).options(**opts).load()
-        return df.select(F.col("value").cast("string").alias("value"), F.col("offset").alias("seq"),
+        # offsets order one partition, and a key's records are all in one: with the
+        # partition's number at the end they are unique in the topic too
+        seq = F.col("offset") * MAX_PARTITIONS + F.col("partition")
+        return df.select(F.col("value").cast("string").alias("value"), seq.alias("seq"),
                          F.col("partition"), F.col("timestamp").alias("ingest_time"))
     r = reader.format(fmt).options(**opts)
     if schema is not None:

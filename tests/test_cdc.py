@@ -104,3 +104,19 @@ def test_sink_replay_of_a_batch_does_not_duplicate(spark, tmp_dir):
     assert read_stats(spark, f"{tmp_dir}/stats").count() == 2
     assert read_stats(spark, f"{tmp_dir}/stats", "2024-01-02").select("keyword").first()[0] == "y"
     assert spark.read.parquet(f"{tmp_dir}/topic").count() == 2
+
+
+def test_routing_config_follows_its_change_feed(spark):
+    cols = ["sourceTable", "operateType", "sinkType", "sinkTable", "sinkColumns", "sinkPk", "sinkExtend"]
+    snap = cdc.table_process(spark, [("users", "insert", "hbase", "dim_users", "id,name", "id", None),
+                                     ("orders", "insert", "kafka", "dwd_orders", "id", "id", None)]).select(*cols)
+    row = {"sourceTable": "users", "operateType": "insert", "sinkType": "hbase", "sinkTable": "dim_users",
+           "sinkColumns": "id,name,nation", "sinkPk": "id"}
+    gone = {"sourceTable": "orders", "operateType": "insert"}
+    feed = cdc.flatten_changes(spark.createDataFrame(
+        [("s.cfg.table_process", "u", None, row, 1), ("s.cfg.table_process", "d", gone, None, 2),
+         ("s.shop.users", "c", None, {"id": "1"}, 3)], SCHEMA))
+    got = cdc.routing_config(snap, feed).collect()
+    assert [(r["sourceTable"], r["sinkColumns"]) for r in got] == [("users", "id,name,nation")]
+    routed = cdc.route_changes(feed.where("tableName = 'users'"), cdc.routing_config(snap, feed)).collect()
+    assert [r["route"] for r in routed] == ["dim"]

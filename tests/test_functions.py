@@ -75,3 +75,20 @@ def test_zoned_text_and_epoch_ms(spark):
                   timefmt.string_to_ms("s", "Asia/Shanghai").alias("b"),
                   timefmt.ms_to_string("ms", "UTC").alias("c")).first()
     assert (r["a"], r["b"], r["c"]) == ("2024-01-01 08:00:00", 1704067200000, "2024-01-01 00:00:00")
+
+
+def test_window_bounds_are_the_same_text_in_batch_and_on_streams(spark):
+    """Whatever the session's zone: UTC by default, or the zone asked for."""
+    keep = spark.conf.get("spark.sql.session.timeZone")
+    ms = 1704067205000   # 2024-01-01 00:00:05 UTC
+    try:
+        for session in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            df = spark.createDataFrame([(ms,)], "ms long")
+            for zone, want in (("UTC", "2024-01-01 00:00:00"), ("Asia/Shanghai", "2024-01-01 08:00:00")):
+                batch = df.select(F.window(timefmt.from_epoch_ms("ms"), "10 seconds").alias("window"))
+                stream = df.select(F.window(F.timestamp_millis("ms"), "10 seconds").alias("window"))
+                assert batch.select(*timefmt.window_bounds(zone=zone)).first()["stt"] == want
+                assert stream.select(*timefmt.window_bounds(streaming=True, zone=zone)).first()["stt"] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", keep)
