@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 
 from retailstream.llm.common import stored
 
-SLICE_BYTES = 8 << 20   # text encoded at a time in a task
-CACHE_WORDS = 500_000   # words a worker remembers; more are encoded each time
+SLICE_BYTES = 4 << 20   # text encoded at a time in a task
+MAX_SALTS = 512         # groups that the pieces of one length are ranked in
+CACHE_WORDS = 300_000   # words a worker remembers; more are encoded each time
 
 
 class WordEncoder:
@@ -276,7 +277,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seq_le
     are ignored, whatever their names.  An empty table gives no rows.
     """
     pieces = stored(cut_pieces(docs, id_col, text_col, seq_len, tokenizer, end_id, with_ids), "pieces")
-    n_salts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_salts = min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_SALTS)
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("id", "piece"), F.lit(n_salts)))
     groups = stored(salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")), "piece-groups")
     histogram = {r["length"]: r["n"] for r in groups.groupBy("length").agg(F.sum("n").alias("n")).collect()}

@@ -34,8 +34,9 @@ from pyspark.sql import functions as F
 from retailstream.llm.training import labelled_sample
 
 WORDS = re.compile(r"[^\W\d_]+")
-CACHE_WORDS = 500_000   # words a worker remembers the scores of; more are worked out each time
-SLICE_CHARS = 4 << 20   # text scored at a time in a task
+CACHE_WORDS = 200_000   # words a worker remembers the scores of; more are worked out each time
+SLICE_WORDS = 10_000    # words whose n-grams are held at a time
+SLICE_CHARS = 1 << 20   # text scored at a time in a task
 
 
 @dataclass(frozen=True)
@@ -121,9 +122,12 @@ class Model:
     bias: float
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        ids, owner = word_grams(words, self.settings)
-        return (np.bincount(owner, self.scalars[ids], len(words))
-                / np.maximum(np.bincount(owner, minlength=len(words)), 1))
+        out = [np.zeros(0)]
+        for at in range(0, len(words), SLICE_WORDS):
+            part = words[at:at + SLICE_WORDS]
+            ids, owner = word_grams(part, self.settings)
+            out.append(np.bincount(owner, self.scalars[ids], len(part)) / np.bincount(owner, minlength=len(part)))
+        return np.concatenate(out)
 
     def probability(self, codes: np.ndarray, values: np.ndarray) -> float:
         """Of a text: its words' codes (equal words, equal codes) and scores."""
