@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailstream.llm.common import read_table, stored
+from retailstream.llm.common import bound_batches, read_table, stored
 from retailstream.llm.line_dedup import dedup_lines
 from retailstream.llm.mixing import mix
 from retailstream.llm.packing import pack
@@ -29,6 +29,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     labels = read_table(spark, sf_dir, "labels").where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0)
     model = fit(docs, labels)
+    bound_batches(docs)
     return docs.select(*COLUMNS).where(probability(model, F.col("text")) < 0.5)
 
 

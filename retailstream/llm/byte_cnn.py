@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from retailstream.llm.common import bound_batches
 from retailstream.llm.training import labelled_sample
 
 BLOCK = 4            # bytes the filters step by; a filter sees two blocks
@@ -267,5 +268,6 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     Null and empty texts are two blocks of zero bytes to the network.  Repeated
     rows and null ids are scored row by row.  Other columns are ignored.
     """
+    bound_batches(docs)
     scored = docs.select(F.col(id_col), probability(model, F.col(text_col)).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -37,6 +37,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[app]
 
 
+def bound_batches(df: DataFrame, size: str = "8m") -> None:
+    """Have the session send Python at most ``size`` of rows at a time.
+
+    The default of 64 MB is held several times over in a worker (Arrow, Python
+    strings, arrays), for each core of an executor; whole texts fill it.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 

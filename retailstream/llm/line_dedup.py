@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailstream.llm.common import stored
+from retailstream.llm.common import bound_batches, stored
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -130,6 +130,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     columns than ``carry`` are dropped, whatever their names; ``carry`` may not
     name one of the result's own columns.  An empty table gives no rows.
     """
+    bound_batches(docs)
     base = docs.select(F.col(id_col).alias("id"), *[F.col(c) for c in carry],
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     id_type = base.schema["id"].dataType.simpleString()

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retailstream.llm.common import stored
+from retailstream.llm.common import bound_batches, stored
 
 SLICE_BYTES = 4 << 20   # text encoded at a time in a task
 MAX_SALTS = 512         # groups that the pieces of one length are ranked in
@@ -169,6 +169,7 @@ def _pieces(tokenizer: str | None, seq_len: int, end_id: int, with_ids: bool):
 def cut_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seq_len: int = 2048,
                tokenizer: str | None = None, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """``id, piece, start, length, ids_crc32[, ids]``: every text's ids and ``end_id``, cut at ``seq_len``."""
+    bound_batches(docs)
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     schema = f"id {base.schema['id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long"
     return base.mapInArrow(_pieces(tokenizer, seq_len, end_id, with_ids),

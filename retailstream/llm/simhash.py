@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailstream.llm.common import stored
+from retailstream.llm.common import bound_batches, stored
 from retailstream.llm.graph import components
 
 N_PIVOTS = 12      # 5 bits each in a long: distances in a quarter are 0 to 16
@@ -146,6 +146,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids take part in links; a component without any id has a null one.  Other
     columns are ignored, whatever their names.  An empty table gives no rows.
     """
+    bound_batches(docs)
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
     id_type = base.schema["id"].dataType.simpleString()
     printed = stored(base.mapInArrow(_fingerprints(shingle), f"id {id_type}, fp long"), "fingerprints")
