@@ -48,8 +48,12 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens follow the target shares of sources, languages and topics."""
-    return mix(docs).where("sampled").select(*COLUMNS)
+    """A sample whose tokens follow the target shares of sources, languages and topics.
+
+    Documents of rare values are repeated where the targets need more than there is.
+    """
+    return (mix(docs, repeats=True).where("sampled")
+            .select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

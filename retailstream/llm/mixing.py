@@ -5,6 +5,9 @@ weights of the cells are raked: scaled to the target shares of the sources, then
 of the languages, then of the topics, and again, until the three marginals hold
 together.  A document is then drawn with a probability in proportion to its
 cell's weight per token, calibrated so that the expected tokens are the budget.
+Without repeats a probability ends at 1, so rare values fall short of their
+targets; with repeats the expected copies of a document may exceed 1, and the
+expected shares are the raked ones.
 
 Cells are a table, not a driver structure: there may be as many sources as
 hosts.  A raking step is a partial sum by one key and a join back on it.
@@ -92,6 +95,14 @@ def inclusion(cells: DataFrame, budget: float, steps: int = 20) -> DataFrame:
     return cells.withColumn("p", F.least(F.lit(1.0), F.lit(factor or 0.0) * per_token))
 
 
+def expected_copies(cells: DataFrame, budget: float) -> DataFrame:
+    """``cells`` (tokens, weight) with ``p``: copies of each token, in proportion to weight
+    per token and without a cap, so that ``tokens * p`` has the marginals of the weights."""
+    row = cells.agg(F.sum("tokens").alias("tokens"), F.sum("weight").alias("weight")).first()
+    factor = budget * (row["tokens"] or 0) / (row["weight"] or 1)
+    return cells.withColumn("p", F.lit(float(factor)) * F.col("weight") / F.col("tokens"))
+
+
 def drawn(doc_id: Column, p: Column, seed: int) -> Column:
     """A fixed draw by id: the first 32 bits of the id's and seed's MD5 as a fraction, below ``p``."""
     bits = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), doc_id.cast("string"))), 1, 8), 16, 10)
@@ -100,29 +111,37 @@ def drawn(doc_id: Column, p: Column, seed: int) -> Column:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: float = 0.6,
         power: float = 0.7, rounds: int = 6, seed: int = 1,
-        targets: dict[str, DataFrame] | None = None) -> DataFrame:
+        targets: dict[str, DataFrame] | None = None, repeats: bool = False) -> DataFrame:
     """``docs`` with ``topic, tokens, p, sampled``: the raked sampling probability and the draw.
 
     ``docs`` needs ``source`` and ``lang``; ``targets`` gives target shares by
     ``source``, ``lang`` and ``topic`` (key, share) and defaults to the corpus'
     own token shares to ``power``.  Expected tokens are ``budget`` of all.
 
+    ``p`` ends at 1, and cells cut there miss their targets.  With ``repeats``, ``p`` is
+    the expected number of copies and may exceed 1, the expected shares are the raked
+    ones, and a column ``copies`` (int) has the number drawn: the whole part of ``p``,
+    and one more with the rest as probability.  ``sampled`` then says ``copies > 0``.
+
     Null sources and languages are a value of their own, ``(none)``.  Null and
     empty texts have topic ``empty``, no tokens and p = 0: they add nothing to a
     mix and are never drawn.  Values without a target are not drawn either.  Rows with
     the same id are drawn together; null ids too, as one.  Columns of ``docs`` that
     have one of the result's names are replaced.  An empty table gives no rows.
     """
-    own = ["topic", "tokens", "p", "sampled"]
+    own = ["topic", "tokens", "p", "sampled"] + ["copies"] * repeats
     base = cells_of(docs.drop(*own, "_source", "_lang", "_topic", "_tokens"), text_col)
     keys = {f"_{k}": k for k in MARGINALS}
     cells = stored(base.groupBy(*keys).agg(F.sum("_tokens").alias("tokens")).where("tokens > 0")
                    .withColumnsRenamed(keys), "mix-cells")
     shares = targets or {k: tempered_targets(cells, k, power) for k in MARGINALS}
     shares = {k: stored(v, f"mix-target-{k}") for k, v in shares.items()}
-    p = inclusion(rake(cells, shares, rounds), budget)
+    p = (expected_copies if repeats else inclusion)(rake(cells, shares, rounds), budget)
     p = stored(p.select(*[F.col(k).alias(f"_{k}") for k in MARGINALS], "p"), "mix-probabilities")
     out = base.join(p, list(keys), "left").withColumn("p", F.when(F.col("_tokens") > 0, F.coalesce("p", F.lit(0.0)))
                                                       .otherwise(0.0))
-    return (out.withColumn("sampled", drawn(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col("p"), seed))
-            .withColumnsRenamed({"_topic": "topic", "_tokens": "tokens"}).drop("_source", "_lang"))
+    by_id = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    if repeats:
+        out = out.withColumn("copies", (F.floor("p") + drawn(by_id, F.col("p") - F.floor("p"), seed).cast("int")).cast("int"))
+    out = out.withColumn("sampled", F.col("copies") > 0 if repeats else drawn(by_id, F.col("p"), seed))
+    return out.withColumnsRenamed({"_topic": "topic", "_tokens": "tokens"}).drop("_source", "_lang")

@@ -85,3 +85,16 @@ def test_stages_take_awkward_and_empty_documents(spark):
             assert n == len(rows), name
         if name == "SimHash near-dedup":   # 1 and 2 have no words; 3, 3, 5 are equal; the row without id stays
             assert sorted((r.doc_id or 0) for r in out.collect()) == [0, 1, 3, 4]
+
+
+def test_mixing_stage_repeats_rare_values(spark):
+    """The drawn share of a rare topic is near its target, which needs each of its documents more than once."""
+    rows = [(i, "w " * 400 + str(i), "en", "s", 1) for i in range(300)]
+    rows += [(1000 + i, f"| a | b | c {i}", "en", "s", 1) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = P.mixing(spark, docs, SF_SMALL).groupBy((F.col("doc_id") >= 1000).alias("rare")).agg(
+        F.sum(F.size(F.split("text", " "))).alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    n, count = ({r.rare: r[c] for r in got} for c in ("n", "rows"))
+    tokens = {False: 300 * 401, True: 200 * 7}
+    want = tokens[True] ** 0.7 / sum(t ** 0.7 for t in tokens.values())
+    assert n[True] / sum(n.values()) == pytest.approx(want, rel=0.2) and count[True] > 200

@@ -135,3 +135,21 @@ def test_sample_meets_its_budget(spark):
                   F.sum(F.when(F.col("sampled"), F.col("tokens"))).alias("s")).first()
     assert row.e / row.t == pytest.approx(0.6, abs=1e-3)
     assert row.s / row.t == pytest.approx(0.6, abs=0.1)
+
+
+def test_mix_with_repeats_meets_its_targets(spark):
+    """The marginals of tokens * copies, expected and drawn, with the defaults' targets."""
+    from retailstream.llm.mixing import MARGINALS, cells_of, mix, tempered_targets
+    docs = spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.01')}/documents.parquet")
+    cells = cells_of(docs).select(*[F.col(f"_{k}").alias(k) for k in MARGINALS], F.col("_tokens").alias("tokens"))
+    out = mix(docs, repeats=True).withColumn("source", F.coalesce("source", F.lit("(none)"))).withColumn(
+        "lang", F.coalesce("lang", F.lit("(none)"))).cache()
+    total = out.agg(F.sum("tokens")).first()[0]
+    for key in MARGINALS:
+        want = {r[0]: r[1] for r in tempered_targets(cells, key, 0.7).collect()}
+        rows = out.groupBy(key).agg(F.sum(F.col("tokens") * F.col("p")), F.sum(F.col("tokens") * F.col("copies"))).collect()
+        assert {r[0]: r[1] / total / 0.6 for r in rows if r[1]} == pytest.approx(want, rel=0.02), key
+        if key == "topic":
+            assert {r[0]: r[2] / total / 0.6 for r in rows if r[1]} == pytest.approx(want, rel=0.25)
+    assert out.where("p > 1").count() and out.where("abs(copies - p) >= 1 OR sampled != (copies > 0)").count() == 0
+    out.unpersist()
