@@ -5,11 +5,13 @@ line is observed as its speaker marker (``User:``, ``### Assistant``, ``Q:``,
 ``<system>``, ...), whether a blank line comes before it, its length and whether
 it asks.  Transition and feature probabilities are counted from transcripts
 whose roles are known, on top of small prior counts; the roles of a new transcript are
-its most likely path (Viterbi), and each turn is rendered as
-``<|im_start|>role\\n...<|im_end|>``.
+its most likely path (Viterbi).  A marker is cut off only where the path begins a
+turn of the marker's role; blank lines inside a turn stay.  Turns are numbered by
+the beginnings before them, their lines joined over rows and blocks, and each turn
+is rendered as ``<|im_start|>role\\n...<|im_end|>``.
 
-Long transcripts are not one group.  A transcript is cut in blocks of rows; a
-block is summed up by a matrix of best path scores from the state before it to
+Long transcripts are not one group.  The rows are range-sorted and cut in blocks of
+so many rows, wherever their positions lie; a block is summed up by a matrix of best path scores from the state before it to
 its last one, and these matrices combine by max-plus products.  Scanning them in
 steps of ``FAN`` blocks (and those in steps again) tells each block how well each
 state before it can be reached and how well each state after it can go on, with
@@ -24,10 +26,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retailstream.llm.common import stored
+from retailstream.llm.common import bound_batches, stored
 
 ROLES = ("system", "user", "assistant")
 STATES = tuple((r, begins) for r in range(len(ROLES)) for begins in (True, False))
@@ -39,7 +42,8 @@ ROLE_OF = {name: role for role, names in NAMES.items() for name in names}
 # an opening sign and a name, closed by the sign, or a bare name and a colon
 MARKER = re.compile(r"\s*(?:(#{1,6}\s*|\*\*|\[|<\|?)\s*(\w+)\s*(?:\*\*\s*:?|:?\s*\*\*|\]\s*:?|\|?>\s*:?|:|$)|(\w+)\s*:)"
                     r"[ \t]*")
-BLOCK = 64    # transcript rows in a block
+BLOCK = 64    # transcript rows in a block, or less where they have so many characters
+BLOCK_CHARS = 1 << 20
 FAN = 256     # blocks summed up at a time
 N_FEATURES = 4 * 2 * 4 * 2
 
@@ -61,19 +65,37 @@ def feature_of(role: str | None, blank_before: bool, line: str) -> int:
     return ((mark * 2 + blank_before) * 4 + size) * 2 + line.rstrip().endswith("?")
 
 
-def read_lines(text: str) -> list[tuple[int, str]]:
-    """(observation, content) of each line that is not blank."""
-    out, blank = [], False
+def parse_lines(text: str, blank: bool = False) -> list[tuple[int | None, str]]:
+    """(observation, whole line) of each line, None for a blank one; ``blank``: a blank line comes before.
+
+    A line is measured without its marker, whether or not that turns out to be one."""
+    out: list[tuple[int | None, str]] = []
     for line in text.split("\n"):
         if not line.strip():
             blank = True
+            out.append((None, line))
             continue
         role, rest = marker_of(line)
-        out.append((feature_of(role, blank, rest), rest))
+        out.append((feature_of(role, blank, rest), line))
         blank = False
     return out
 
 
+def read_lines(text: str) -> list[tuple[int, str]]:
+    """(observation, whole line) of each line that is not blank."""
+    return [(f, line) for f, line in parse_lines(text) if f is not None]
+
+
+def _parsed(held: list[dict], blank: bool) -> list[tuple[int, int | None, str]]:
+    """(pos, observation, line) of a block's rows, read as if line ends joined them."""
+    out: list[tuple[int, int | None, str]] = []
+    for t in held:
+        lines = parse_lines(t["text"], blank)
+        blank = lines[-1][0] is None
+        out += [(t["pos"], f, line) for f, line in lines]
+    return out
+
+
 class Model:
     """Log probabilities: ``start`` (states), ``move`` (from, to), ``emit`` (state, feature)."""
 
@@ -222,8 +244,8 @@ def _sum_up(model: Model):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for texts, first in zip(b.column("texts").to_pylist(), b.column("block").to_pylist(), strict=True):
-                lines = [f for t in texts for f, _ in read_lines(t["text"])]
+            for texts, first, blank in zip(*(b.column(c).to_pylist() for c in ("texts", "block", "blank")), strict=True):
+                lines = [f for _, f, _ in _parsed(texts, blank) if f is not None]
                 m = _through(model, np.array(lines, np.int64))
                 if first == 0 and lines:   # no state comes before: all rows hold the start
                     after = model.start + model.emit[:, lines[0]]
@@ -235,64 +257,191 @@ def _sum_up(model: Model):
     return of
 
 
-def _decoded(model: Model):
+def _trimmed(lines: list[str]) -> list[str]:
+    """Without the blank lines before and after."""
+    solid = [i for i, line in enumerate(lines) if line.strip()]
+    return lines[solid[0]:solid[-1] + 1] if solid else []
+
+
+def _decoded(model: Model, by_row: bool):
+    """Parts of turns: the lines of a block, or of its rows, up to the next beginning.  ``nth`` counts
+    the block's beginnings; blank lines before its first other line have no role yet."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            convs, rows, roles, begins, texts = [], [], [], [], []
-            for conv, block, held, before, after in zip(*(b.column(c).to_pylist() for c in (
-                    "conv", "block", "texts", "before", "after")), strict=True):
-                lines = [(t["pos"], f, line) for t in held for f, line in read_lines(t["text"])]
-                if not lines:
-                    continue
+            out = []
+            for conv, block, held, blank, before, after in zip(*(b.column(c).to_pylist() for c in (
+                    "conv", "block", "texts", "blank", "before", "after")), strict=True):
+                lines = _parsed(held, blank)
+                seen = [f for _, f, _ in lines if f is not None]
                 enter = np.array(before)
                 if block == 0:
                     enter = np.tile(model.start, (len(STATES), 1))
-                path = viterbi(model, [f for _, f, _ in lines], enter, np.array(after))
-                for (pos, _, line), state in zip(lines, path, strict=True):
-                    role, starts = STATES[state]
-                    # a turn: the lines of a row up to the next beginning
-                    if starts or not rows or rows[-1] != pos or convs[-1] != conv:
-                        convs.append(conv)
-                        rows.append(pos)
-                        roles.append(ROLES[role])
-                        begins.append(starts)
-                        texts.append([])
-                    if line:   # not where the marker is a line by itself
-                        texts[-1].append(line)
-            kind = b.schema.field("conv").type
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(convs, kind), pa.array(rows, pa.int64()), pa.array(roles, pa.string()),
-                 pa.array(begins, pa.bool_()), pa.array([len(t) for t in texts], pa.int64()),
-                 pa.array(["\n".join(t) for t in texts], pa.string())],
-                ["conv", "pos", "role", "begins", "n_lines", "content"])
+                path = iter(viterbi(model, seen, enter, np.array(after)) if seen else [])
+                nth, part = 0, None
+                for pos, feature, line in lines:
+                    role, begins = (None, False) if feature is None else STATES[next(path)]
+                    if part is None or begins or by_row and part["pos"] != pos:
+                        nth += begins
+                        part = {"conv": conv, "block": block, "nth": nth, "pos": pos, "role": None,
+                                "begins": begins, "lines": []}
+                        out.append(part)
+                    if feature is not None:
+                        part["role"] = ROLES[role]
+                    if feature is not None:
+                        line = marker_of(line)[1]
+                        if not line:   # the marker is a line by itself
+                            continue
+                    part["lines"].append(line)
+            schema = pa.schema([("conv", b.schema.field("conv").type), ("block", pa.int64()), ("nth", pa.int64()),
+                                ("pos", pa.int64()), ("role", pa.string()), ("begins", pa.bool_()),
+                                ("lines", pa.list_(pa.string()))])
+            yield pa.RecordBatch.from_pylist(out, schema)
     return of
 
 
+def _content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The column ``parts``, lists of lines in order, as ``n_lines`` and ``content``."""
+    for b in batches:
+        texts = [_trimmed([line for part in parts for line in part]) for parts in b.column("parts").to_pylist()]
+        names = [n for n in b.schema.names if n != "parts"]
+        yield pa.RecordBatch.from_arrays(
+            [*b.select(names).columns, pa.array([len(t) for t in texts], pa.int64()),
+             pa.array(["\n".join(t) for t in texts], pa.string())], [*names, "n_lines", "content"])
+
+
 def render(role: Column, content: Column) -> Column:
     return F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), content, F.lit("<|im_end|>"))
 
 
-def format_chats(rows: DataFrame, model: Model) -> DataFrame:
-    """Transcript rows ``conv, pos, text`` to turns ``conv, pos, role, begins, n_lines, content, rendered``.
+def _cut(rows_each: int, chars_each: int):
+    """Blocks of sorted rows: ``part`` (task) and ``idx`` number them within a conversation, ``solid`` does from
+    its first row on that is not blank; ``blank``, ``ends``: a blank line comes before, stands last."""
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, out, held, size = TaskContext.get().partitionId(), [], [], 0
+        conv, idx, solid, blank, ends, waiting = None, 0, None, False, False, 0
+        schema = None
+
+        def close():
+            nonlocal held, size, idx, solid, blank, waiting
+            if solid is not None or any(t["text"].strip() for t in held):
+                solid = 0 if solid is None else solid + 1
+            out.append({"conv": conv, "part": task, "idx": idx, "solid": solid, "blank": blank, "ends": ends,
+                        "texts": held})
+            waiting += size
+            held, size, idx, blank = [], 0, idx + 1, ends
 
-    ``pos`` orders the rows of a transcript (whole numbers from 0, gaps allowed);
-    a row may hold any number of lines, and a turn may run on over rows: then
-    ``begins`` is false for the rows after its first.  ``content`` has the lines
-    without their speaker markers and without blank lines.
+        for b in batches:
+            schema = schema or pa.schema([
+                ("conv", b.schema.field("conv").type), ("part", pa.int64()), ("idx", pa.int64()), ("solid", pa.int64()),
+                ("blank", pa.bool_()), ("ends", pa.bool_()),
+                ("texts", pa.list_(pa.struct([("pos", pa.int64()), ("text", pa.string())])))])
+            for c, pos, text in zip(*(b.column(n).to_pylist() for n in ("conv", "pos", "text")), strict=True):
+                if held and (c != conv or len(held) == rows_each or size + len(text) > chars_each):
+                    close()
+                if c != conv:
+                    conv, idx, solid, blank = c, 0, None, False
+                held.append({"pos": pos, "text": text})
+                size += len(text)
+                ends = not text[text.rfind("\n") + 1:].strip()
+                if len(out) >= 1000 or waiting > 4 * chars_each:
+                    yield pa.RecordBatch.from_pylist(out, schema)
+                    out, waiting = [], 0
+        if held:
+            close()
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema)
+    return of
 
-    Rows with a null ``conv``, ``pos`` or text, and blank rows, give no turn.
-    Rows repeated at a position are read one after the other, in the order of
-    their texts.  Other columns are ignored.  An empty table gives no rows.
-    Paths of equal score may be cut between two blocks.
-    """
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """``conv, block, blank, texts``: each conversation's rows by position and text, cut by their number."""
+    kind = rows.schema["conv"].dataType.simpleString()
+    bound_batches(rows)
+    # equal rows are spread too: the last key tells all rows apart
+    order = ["conv", "pos", "text", "salt"]
+    ordered = (rows.where("conv IS NOT NULL AND pos IS NOT NULL AND text IS NOT NULL")
+               .select("conv", F.col("pos").cast("long").alias("pos"), "text", F.monotonically_increasing_id().alias("salt"))
+               .repartitionByRange(*order).sortWithinPartitions(*order).select("conv", "pos", "text"))
+    cut = stored(ordered.mapInArrow(_cut(BLOCK, BLOCK_CHARS), (
+        f"conv {kind}, part long, idx long, solid long, blank boolean, ends boolean, "
+        "texts array<struct<pos:long,text:string>>")), "chat-blocks")
+    # a conversation goes on from the tasks before: of each task that is its first one only
+    before = Window.partitionBy("conv").orderBy("part")
+    past = before.rowsBetween(Window.unboundedPreceding, -1)
+    edges = (cut.groupBy("conv", "part").agg(F.max("idx").alias("idx"), F.max("solid").alias("solid"),
+                                             F.max_by("ends", "idx").alias("ends"))
+             .withColumn("seen", F.coalesce(F.max(F.col("solid").isNotNull()).over(past), F.lit(False)))
+             .withColumn("n", F.coalesce(F.when(F.col("seen"), F.col("idx")).otherwise(F.col("solid")) + 1, F.lit(0)))
+             .select("conv", "part", "seen", F.sum("n").over(past).alias("first"), F.lag("ends").over(before).alias("last"))
+             .where("first IS NOT NULL"))
+    edges = stored(edges, "chat-edges")   # a row for each task at most
+    nth = F.when(F.col("seen"), F.col("idx")).otherwise(F.col("solid"))
+    return (cut.join(F.broadcast(edges), ["conv", "part"], "left").select(
+        "conv", (F.coalesce("first", F.lit(0)) + nth).alias("block"),
+        (F.col("blank") | ((F.col("idx") == 0) & F.coalesce("last", F.lit(False)))).alias("blank"), "texts")
+        .where("block IS NOT NULL"))   # blank blocks before all others
+
+
+def _parts(rows: DataFrame, model: Model, by_row: bool) -> DataFrame:
+    """``conv, block, nth, pos, role, begins, lines``."""
     kind = rows.schema["conv"].dataType.simpleString()
-    blocks = (rows.where("conv IS NOT NULL AND pos IS NOT NULL AND text IS NOT NULL")
-              .select("conv", F.col("pos").cast("long").alias("pos"), "text")
-              .withColumn("block", F.expr(f"pos div {BLOCK}")).groupBy("conv", "block")
-              .agg(F.sort_array(F.collect_list(F.struct("pos", "text"))).alias("texts")))
-    blocks = stored(blocks, "chat-blocks")
+    blocks = _blocks(rows)
     mats = stored(blocks.mapInArrow(_sum_up(model), f"conv {kind}, block long, m array<double>"), "chat-matrices")
     most = mats.agg(F.max("block")).first()[0] or 0
-    turns = blocks.join(_scan(mats, most), ["conv", "block"]).mapInArrow(
-        _decoded(model), f"conv {kind}, pos long, role string, begins boolean, n_lines long, content string")
+    return blocks.join(_scan(mats, most), ["conv", "block"]).mapInArrow(_decoded(model, by_row), (
+        f"conv {kind}, block long, nth long, pos long, role string, begins boolean, lines array<string>"))
+
+
+def format_chats(rows: DataFrame, model: Model) -> DataFrame:
+    """Transcript rows ``conv, pos, text`` to the parts of turns in each row: ``conv, pos, role, begins,
+    n_lines, content``; ``format_turns`` has whole turns.
+
+    ``pos`` orders the rows of a transcript (whole numbers, gaps allowed); a row may
+    hold any number of lines, and a turn may run on over rows: then ``begins`` is false
+    for the rows after its first.  ``content`` has the lines, without the marker that
+    began the turn and without the blank lines before and after.
+
+    Rows are read as if line ends joined them, so a blank row is a blank line.  Rows
+    with a null ``conv``, ``pos`` or text are ignored.  Rows repeated at a position are
+    read one after the other, in the order of their texts.  Other columns are
+    ignored.  An empty table gives no rows.  Paths of equal score may be cut between
+    two blocks.
+    """
+    kind = rows.schema["conv"].dataType.simpleString()
+    parts = _parts(rows, model, True).where("role IS NOT NULL").select(
+        "conv", "pos", "role", "begins", F.array("lines").alias("parts"))
+    return parts.mapInArrow(_content, f"conv {kind}, pos long, role string, begins boolean, n_lines long, content string")
+
+
+def format_turns(rows: DataFrame, model: Model) -> DataFrame:
+    """Transcript rows ``conv, pos, text`` to whole turns: ``conv, turn, pos, role, begins, n_lines, content, rendered``.
+
+    Rows are read as ``format_chats`` does.  ``turn`` counts the turns of a conversation
+    from 0, ``pos`` is the position of the turn's first row; blank lines inside a
+    turn are part of its content.
+    """
+    kind = rows.schema["conv"].dataType.simpleString()
+    parts = stored(_parts(rows, model, False), "chat-turn-parts")
+    # beginnings before each block: summed by FAN blocks, then within those
+    counts = parts.groupBy("conv", "block").agg(F.max("nth").alias("n")).withColumn("span", F.expr(f"block div {FAN}"))
+    counts = stored(counts, "chat-turn-counts")
+
+    def sum_before(*by: str, order: str) -> Column:
+        w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("n").over(w), F.lit(0))
+
+    spans = (counts.groupBy("conv", "span").agg(F.sum("n").alias("n"))
+             .select("conv", "span", sum_before("conv", order="span").alias("base")).where("base > 0"))
+    begun = (counts.select("conv", "block", "span", sum_before("conv", "span", order="block").alias("here"))
+             .join(spans, ["conv", "span"], "left")
+             .select("conv", "block", (F.col("here") + F.coalesce("base", F.lit(0))).alias("begun")).where("begun > 0"))
+    numbered = parts.join(stored(begun, "chat-turns-begun"), ["conv", "block"], "left").withColumn(
+        "turn", F.greatest(F.coalesce("begun", F.lit(0)) + F.col("nth") - 1, F.lit(0)))
+    at = F.struct("block", "nth")
+    whole = numbered.groupBy("conv", "turn").agg(
+        F.min_by("pos", at).alias("pos"), F.min_by("role", F.when(F.col("role").isNotNull(), at)).alias("role"),
+        F.max("begins").alias("begins"),
+        F.transform(F.sort_array(F.collect_list(F.struct("block", "nth", "lines"))), lambda x: x["lines"]).alias("parts"))
+    turns = whole.mapInArrow(_content, (
+        f"conv {kind}, turn long, pos long, role string, begins boolean, n_lines long, content string"))
     return turns.withColumn("rendered", render(F.col("role"), F.col("content")))

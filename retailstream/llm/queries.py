@@ -56,12 +56,18 @@ def transcripts(conversations: DataFrame) -> DataFrame:
         F.concat(F.when(unmarked, F.lit("\n")).otherwise(marker), text).alias("text"))
 
 
+def transcript_lines(rows: DataFrame) -> DataFrame:
+    """``conv, pos, text``: each line of the transcripts as a row; nothing says where a turn begins."""
+    return rows.select("conv", "pos", F.posexplode(F.split("text", "\n")).alias("line", "text")).select(
+        "conv", (F.shiftleft(F.col("pos").cast("long"), 32) + F.col("line")).alias("pos"), "text")
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from retailstream.llm.chat_format import fit, format_chats
+    from retailstream.llm.chat_format import fit, format_turns
     rows = transcripts(read_table(spark, sf_dir, "conversations"))
     learn = rows.where(F.pmod(F.crc32(F.col("conv").cast("string")), F.lit(5)) != 0)   # the others are held out
-    return format_chats(rows, fit(learn)).select(
-        F.col("conv").alias("conv_id"), F.col("pos").alias("turn"), "role", "begins", "n_lines", "rendered")
+    return format_turns(transcript_lines(rows), fit(learn)).select(
+        F.col("conv").alias("conv_id"), "turn", "role", "begins", "n_lines", "rendered")
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

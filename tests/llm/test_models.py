@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from retailstream.llm import byte_cnn, chat_format, embedding_dedup, toxicity
 from retailstream.llm.queries import QUERIES, transcripts
@@ -182,6 +183,45 @@ def test_chat_odd_rows(spark):
     assert chat_format.format_chats(df.limit(0), chat_format.fit(df)).count() == 0
 
 
+# names inside a message are the speaker's own role or one who never speaks: a line alone cannot tell the other's from a turn
+ODD_TURNS = {"assistant": ["plain", "a\n \nb\nc"],
+             "user": ["plain", "a\n\n  b\n\n\nc"]}
+
+
+def odd_talk(rng, n_convs, n_turns):
+    return [(c, t, role, rng.choice(ODD_TURNS[role]) + f" {c} {t}") for c in range(n_convs)
+            for t in range(n_turns) for role in [("user", "assistant")[t % 2]]]
+
+
+def test_turns_are_put_together_from_lines(spark, monkeypatch):
+    """Over rows, blocks and spans of blocks; names and blank lines inside a message stay."""
+    from retailstream.llm.queries import transcript_lines
+    monkeypatch.setattr(chat_format, "BLOCK", 2)
+    monkeypatch.setattr(chat_format, "FAN", 3)
+    gold = odd_talk(random.Random(1), 5, 40)
+    rows = spark.createDataFrame(gold, "conv long, pos long, role string, text string")
+    marked = rows.withColumn("text", F.concat(F.when(F.col("role") == "user", "User: ").otherwise("Assistant: "), "text"))
+    got = chat_format.format_turns(transcript_lines(marked), chat_format.fit(marked)).collect()
+    assert sorted((r.conv, r.turn, r.role, r.content) for r in got) == sorted(gold)
+    assert all(r.rendered == f"<|im_start|>{r.role}\n{r.content}<|im_end|>" and r.begins for r in got)
+
+
+def test_stretches_hold_several_or_partial_turns(spark):
+    gold = odd_talk(random.Random(2), 3, 30)
+    known = spark.createDataFrame([(c, t, r, f"{r.title()}: {x}") for c, t, r, x in gold],
+                                  "conv long, pos long, role string, text string")
+    rng, rows = random.Random(3), []
+    for c in range(3):
+        lines, pos = "\n".join(f"{r.title()}: {x}" for k, _, r, x in gold if k == c).split("\n"), 100
+        while lines:
+            n, pos = rng.randint(1, 7), pos + rng.randint(1, 90)
+            rows.append((c, pos, "\n".join(lines[:n])))
+            lines = lines[n:]
+    rows += [(7, i, "") for i in range(70)] + [(7, 80, "User: hi"), (7, 81, ""), (8, 0, "  ")]   # blank rows first, and only
+    got = chat_format.format_turns(spark.createDataFrame(rows, "conv long, pos long, text string"), chat_format.fit(known))
+    assert sorted((r.conv, r.turn, r.role, r.content) for r in got.collect()) == sorted([*gold, (7, 0, "user", "hi")])
+
+
 @pytest.mark.parametrize("line, role", [("User: x", "user"), ("### Assistant", "assistant"), ("Q: why", "user"),
                                         ("<|system|> x", "system"), ("**Human:** x", "user"), ("The user: x", None),
                                         ("[AI] x", "assistant"), ("plain", None), ("note: x", None)])
