@@ -287,8 +287,9 @@ def _decoded(model: Model, by_row: bool):
                         out.append(part)
                     if feature is not None:
                         part["role"] = ROLES[role]
-                    if feature is not None:
-                        line = marker_of(line)[1]
+                    if begins:
+                        named, rest = marker_of(line)
+                        line = rest if named == ROLES[role] else line
                         if not line:   # the marker is a line by itself
                             continue
                     part["lines"].append(line)

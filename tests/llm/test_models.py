@@ -184,8 +184,8 @@ def test_chat_odd_rows(spark):
 
 
 # names inside a message are the speaker's own role or one who never speaks: a line alone cannot tell the other's from a turn
-ODD_TURNS = {"assistant": ["plain", "a\n \nb\nc"],
-             "user": ["plain", "a\n\n  b\n\n\nc"]}
+ODD_TURNS = {"assistant": ["Well.\nAnswer: 42 it is", "use\n\n  model: resnet\n\n\nend", "plain", "a\n \nb\nc"],
+             "user": ["so\nuser: admin\nContext: x", "plain", "a\n\n  b\n\n\nc"]}
 
 
 def odd_talk(rng, n_convs, n_turns):
