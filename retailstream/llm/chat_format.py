@@ -160,12 +160,15 @@ def fit(rows: DataFrame) -> Model:
     emits, moves = np.zeros((len(STATES), N_FEATURES)), np.zeros((len(STATES), len(STATES)))
     for r in counts:
         (emits if r["what"] == "emit" else moves)[r["i"], r["j"]] += r["n"]
-    here = known.select("conv", "pos", "role", F.instr("text", "\n").alias("nl"))
-    nxt = known.select("conv", (F.col("pos") - 1).alias("pos"), F.col("role").alias("then"))
-    follows = here.join(nxt, ["conv", "pos"]).groupBy("role", "then", (F.col("nl") > 0).alias("long")).count().collect()
+    # rows repeated at a position are counted first: their pairs are a product
+    at = stored(known.groupBy("conv", "pos", "role", (F.instr("text", "\n") > 0).alias("long"))
+                .agg(F.count(F.lit(1)).alias("n")), "chat-known")
+    nxt = at.groupBy("conv", (F.col("pos") - 1).alias("pos"), F.col("role").alias("then")).agg(F.sum("n").alias("m"))
+    follows = at.join(nxt, ["conv", "pos"]).groupBy("role", "then", "long").agg(
+        F.sum(F.col("n") * F.col("m")).alias("pairs")).collect()
     index = {s: i for i, s in enumerate(STATES)}
     for r in follows:   # the row's last line is its first one, or goes on after it
-        moves[index[ROLES.index(r["role"]), not r["long"]], index[ROLES.index(r["then"]), True]] += r["count"]
+        moves[index[ROLES.index(r["role"]), not r["long"]], index[ROLES.index(r["then"]), True]] += r["pairs"]
     starts = np.zeros(len(STATES))
     for r in known.where("pos = 0").groupBy("role").count().collect():
         starts[index[ROLES.index(r["role"]), True]] += r["count"]

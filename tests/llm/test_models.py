@@ -222,6 +222,16 @@ def test_stretches_hold_several_or_partial_turns(spark):
     assert sorted((r.conv, r.turn, r.role, r.content) for r in got.collect()) == sorted([*gold, (7, 0, "user", "hi")])
 
 
+def test_rows_at_one_position_are_cut_in_blocks(spark):
+    """A conversation whose rows all have the same position, half of them equal, is many blocks, in the order of the texts."""
+    rows = spark.createDataFrame([(1, 5, f"l{i:04}" if i % 2 else "same") for i in range(1000)], "conv long, pos long, text string")
+    blocks = chat_format._blocks(rows.repartition(4)).collect()
+    assert max(len(b.texts) for b in blocks) <= chat_format.BLOCK
+    assert sorted(b.block for b in blocks) == list(range(len(blocks)))
+    texts = [t.text for b in sorted(blocks, key=lambda b: b.block) for t in b.texts]
+    assert texts == sorted(r.text for r in rows.collect())
+
+
 @pytest.mark.parametrize("line, role", [("User: x", "user"), ("### Assistant", "assistant"), ("Q: why", "user"),
                                         ("<|system|> x", "system"), ("**Human:** x", "user"), ("The user: x", None),
                                         ("[AI] x", "assistant"), ("plain", None), ("note: x", None)])
