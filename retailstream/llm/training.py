@@ -14,7 +14,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     the rest to the other.  Only the drawn ids (a bounded number) are broadcast to the
     scan of ``docs``; texts longer than ``max_chars`` are left out, so that what
     reaches the driver is bounded in bytes too.  Repeated label rows count once,
-    with the larger label.
+    with the larger label; of several rows with a drawn id the least text is taken.
     """
     given = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("label")))
@@ -29,6 +29,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     wanted = docs.sparkSession.createDataFrame(chosen, f"id {kind}, label int")
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
             .where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-            .join(F.broadcast(wanted), "id").collect())
+            .join(F.broadcast(wanted), "id").groupBy("id", "label").agg(F.min("text").alias("text")).collect())
     rows.sort(key=lambda r: (r["id"], r["text"]))
     return [r["text"] for r in rows], [r["label"] for r in rows]

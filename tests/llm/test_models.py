@@ -79,6 +79,14 @@ def test_labelled_sample_is_bounded_and_even(spark):
     assert max(map(len, texts)) <= 10
 
 
+def test_labelled_sample_takes_repeated_ids_once(spark):
+    from retailstream.llm.training import labelled_sample
+    docs = spark.createDataFrame([(i % 4 if i < 300 else i, f"t{i:03}") for i in range(320)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in [0, 1, 2, 3, 300, 301]], "doc_id long, y int")
+    texts, given = labelled_sample(docs, labels, "doc_id", "text", "y", 6, 1000)
+    assert texts == ["t000", "t001", "t002", "t003", "t300", "t301"] and given == [0, 1, 0, 1, 0, 1]
+
+
 @pytest.mark.parametrize("name, label, cut", [("op1_toxicity", "toxic", 0.5), ("op9_quality_classifier", "quality", 0.7)])
 def test_scoring_queries(spark, name, label, cut):
     d = SF_SMALL.replace("0.001", "0.01")
