@@ -132,6 +132,45 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     return found.distinct()
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(``id, fp`` of each row, ``fp, component, component_id`` of each fingerprint)."""
+    bound_batches(docs)
+    base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
+    id_type = base.schema["id"].dataType.simpleString()
+    printed = stored(base.mapInArrow(_fingerprints(shingle), f"id {id_type}, fp long"), "fingerprints")
+    classes = stored(printed.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-classes")
+    reached = components(stored(links(classes, max_bits), "fingerprint-links"))
+    linked = classes.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("component"))
+    linked = stored(linked, "fingerprint-components")
+    least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
+    return printed, stored(linked.join(least, "component"), "fingerprint-names")
+
+
+def group_firsts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                 max_bits: int = 2) -> DataFrame:
+    """The row that each group of near-duplicates is known by: ``id, fp, n_fps``, one of each component.
+
+    That is the least id and its least fingerprint there; ``n_fps`` counts the fingerprints of all rows
+    with that id, of any component.  Components without any id are left out.
+    """
+    printed, named = _grouped(docs, id_col, text_col, shingle, max_bits)
+    # the group's least id lies on the fingerprint that has it as its own least id
+    first = (named.where(F.col("least") == F.col("component_id")).groupBy("component")
+             .agg(F.min("fp").alias("fp"), F.first("component_id").alias("id")))
+    n_fps = printed.where("id IS NOT NULL").distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n_fps"))
+    return first.join(n_fps, "id").select("id", "fp", "n_fps")
+
+
+def with_fingerprint(rows: DataFrame, text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """``row`` (all columns) and ``fp``, its fingerprint as a long."""
+    whole = F.struct(*rows.columns)
+    kind = rows.select(whole.alias("r")).schema["r"].dataType.simpleString()
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    return rows.select(whole.alias("id"), text.alias("t")).mapInArrow(
+        _fingerprints(shingle), f"id {kind}, fp long").withColumnRenamed("id", "row")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     max_bits: int = 2) -> DataFrame:
     """Per row of ``docs``: ``{id_col}, fingerprint, component_id``.
@@ -146,16 +185,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids take part in links; a component without any id has a null one.  Other
     columns are ignored, whatever their names.  An empty table gives no rows.
     """
-    bound_batches(docs)
-    base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
-    id_type = base.schema["id"].dataType.simpleString()
-    printed = stored(base.mapInArrow(_fingerprints(shingle), f"id {id_type}, fp long"), "fingerprints")
-    classes = stored(printed.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-classes")
-    reached = components(stored(links(classes, max_bits), "fingerprint-links"))
-    linked = classes.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component"))
-    linked = stored(linked, "fingerprint-components")
-    least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = stored(linked.join(least, "component").select("fp", "component_id"), "fingerprint-names")
-    return printed.join(named, "fp").select(
+    printed, named = _grouped(docs, id_col, text_col, shingle, max_bits)
+    return printed.join(named.select("fp", "component_id"), "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

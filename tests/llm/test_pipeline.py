@@ -98,3 +98,13 @@ def test_mixing_stage_repeats_rare_values(spark):
     tokens = {False: 300 * 401, True: 200 * 7}
     want = tokens[True] ** 0.7 / sum(t ** 0.7 for t in tokens.values())
     assert n[True] / sum(n.values()) == pytest.approx(want, rel=0.2) and count[True] > 200
+
+
+def test_simhash_stage_keeps_one_row_of_each_group(spark):
+    """Ids with rows of different texts: a near-copy goes, another group's first stays."""
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a), (2, b), (2, a), (3, "C D E"), (3, "c d e"), (4, b), (5, "x y z"), (5, "p q r"), (None, "n n n")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r.doc_id or 0, r.text) for r in P.simhash_dedup(spark, docs, SF_SMALL).collect())
+    assert got == sorted([(1, a), (2, b), (3, "C D E"), (5, "x y z"), (5, "p q r"), (0, "n n n")])
