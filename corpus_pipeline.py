@@ -64,8 +64,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's tokens in sequences of at most 2048."""
-    return pack(docs)
+    """Every document's tokens in sequences of at most 2048, the ids themselves included."""
+    return pack(docs, with_ids=True)
 
 
 STAGES = [("toxicity", toxicity), ("line dedup", line_dedup), ("SimHash near-dedup", simhash_dedup),

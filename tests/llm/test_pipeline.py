@@ -1,6 +1,9 @@
 """The pipeline against a plain version of each stage on its own input."""
 
+import zlib
+
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,3 +111,10 @@ def test_simhash_stage_keeps_one_row_of_each_group(spark):
                                  "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted((r.doc_id or 0, r.text) for r in P.simhash_dedup(spark, docs, SF_SMALL).collect())
     assert got == sorted([(1, a), (2, b), (3, "C D E"), (5, "x y z"), (5, "p q r"), (0, "n n n")])
+
+
+def test_packing_stage_writes_the_tokens(spark):
+    docs = spark.createDataFrame([(1, "some words " * 3000), (2, "a b c"), (2, None)], "doc_id long, text string")
+    rows = P.packing(spark, docs, SF_SMALL).collect()
+    assert all(len(r.ids) == r.length and zlib.crc32(np.array(r.ids, np.int32).tobytes()) == r.ids_crc32 for r in rows)
+    check_sequences(rows)
