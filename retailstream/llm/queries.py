@@ -105,11 +105,29 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "topic", "tokens", F.round("p", 6).alias("p"), "sampled")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from retailstream.llm.license_scan import scan_licenses
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from retailstream.llm.importance import resample
+    return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from retailstream.llm.hard_negatives import hard_negatives
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(read_table(spark, sf_dir, "embeddings"), label=label, is_anchor=F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity, "op2_quality_rules": op2_quality_rules, "op3_simhash_dedup": op3_simhash_dedup,
     "op4_line_dedup": op4_line_dedup, "op5_mixing": op5_mixing, "op6_embedding_dedup": op6_embedding_dedup,
     "op7_best_fit_packing": op7_best_fit_packing, "op8_chat_format": op8_chat_format,
     "op9_quality_classifier": op9_quality_classifier, "op10_url_filter": op10_url_filter,
+    "op11_license_scan": op11_license_scan, "op12_importance": op12_importance,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 OP10_SQL = """
@@ -240,5 +258,106 @@ FROM e LEFT JOIN p USING (source, lang, topic)
 """
 
 
+def _op11_sql() -> str:
+    """Votes for diagonals, merged and verified, from the same templates."""
+    from retailstream.llm.license_scan import GRAM, MAX_SHIFT, MIN_COVER, TEMPLATES
+    quoted = ", ".join("({}, '{}', '{}', {}, '{}')".format(i, label, kind, GRAM[kind], text.replace("'", "''"))
+                       for i, (label, kind, text) in enumerate(TEMPLATES))
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    grams = ("unnest(list_transform(range(len(words) - k + 1), lambda i: list_aggregate(words[i + 1:i + k], "
+             "'string_agg', ' ')))")
+    return rf"""
+WITH t0(tpl, label, kind, k, text) AS (VALUES {quoted}),
+t AS (SELECT tpl, label, kind, k, {words.format(lower.format("text"))} AS words FROM t0),
+tg AS (SELECT tpl, label, kind, k, len(words) AS n, {grams} AS gram, unnest(range(len(words) - k + 1)) AS tat FROM t),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {words.format(lower.format("coalesce(text, '')"))} AS words
+      FROM documents),
+dg AS (SELECT rid, k, {grams} AS gram, unnest(range(len(words) - k + 1)) AS pos
+       FROM d, (SELECT DISTINCT k FROM t) WHERE len(words) >= k),
+v AS (SELECT rid, tpl, label, kind, k, n, pos - tat AS diag, list(DISTINCT tat) AS votes
+      FROM dg JOIN tg USING (k, gram) GROUP BY ALL),
+ph AS (SELECT rid, label, diag AS place FROM v WHERE kind = 'phrase' AND len(votes) = n - k + 1),
+i0 AS (SELECT *, coalesce(diag - lag(diag) OVER (PARTITION BY rid, tpl ORDER BY diag) > {MAX_SHIFT}, true)::INT AS apart
+       FROM v WHERE kind = 'notice'),
+i1 AS (SELECT *, sum(apart) OVER (PARTITION BY rid, tpl ORDER BY diag) AS island FROM i0),
+i2 AS (SELECT rid, tpl, label, k, n, island, list_sort(list_distinct(flatten(list(votes)))) AS votes
+       FROM i1 GROUP BY ALL),
+no AS (SELECT rid, label, round(list_sum(list_transform(votes, lambda x, j: least(coalesce(votes[j + 1] - x, k), k)))
+                                / n::DOUBLE, 6) AS cover FROM i2),
+f AS (SELECT rid, label, place, 1.0::DOUBLE AS cover, true AS ok FROM ph
+      UNION ALL SELECT rid, label, NULL, cover, cover >= {MIN_COVER} FROM no),
+r AS (SELECT rid, count(place) AS n_base, min(place) AS first_word, max(place) AS last_word,
+             list_sort(list(DISTINCT label) FILTER (WHERE place IS NOT NULL)) AS base_labels,
+             list_sort(list(DISTINCT label) FILTER (WHERE ok)) AS labels, max(cover) AS score FROM f GROUP BY rid)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(base_labels, ','), '') AS base_labels,
+       coalesce(array_to_string(labels, ','), '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN r USING (rid)
+"""
+
+
+OP12_SQL = r"""
+WITH RECURSIVE
+tbl AS MATERIALIZED (
+  SELECT list(list_reduce([b] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY b) AS crcs FROM range(256) r(b)),
+t AS (
+  SELECT 'd' AS side, row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), NULL, coalesce(text, '') FROM benchmark),
+w AS MATERIALIZED (
+  SELECT side, rid, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM t),
+f AS MATERIALIZED (
+  SELECT side, rid, unnest(words || list_transform(range(len(words) - 1), lambda i: words[i + 1] || ' ' || words[i + 2]))
+         AS feature FROM w),
+b AS MATERIALIZED (
+  SELECT feature, xor(list_reduce([4294967295::BIGINT] || list_transform(
+           range(octet_length(encode(feature))), lambda i: ('0x' || hex(encode(feature))[2 * i + 1:2 * i + 2])::BIGINT),
+           lambda c, x: xor(c >> 8, crcs[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT feature FROM f), tbl),
+n AS (SELECT bucket, count(*) FILTER (WHERE side = 'd') AS s, count(*) FILTER (WHERE side = 'b') AS t
+      FROM f JOIN b USING (feature) GROUP BY bucket),
+g AS (SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (SELECT coalesce(sum(s), 0) + 10000 FROM n)::DOUBLE)
+                                     / ((s + 1)::DOUBLE * (SELECT coalesce(sum(t), 0) + 10000 FROM n)::DOUBLE))) AS gain
+      FROM n),
+m AS (SELECT rid, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight
+      FROM f JOIN b USING (feature) JOIN g USING (bucket) WHERE side = 'd' GROUP BY rid),
+x AS (
+  SELECT doc_id, len(words) >= 20 AS able, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('7:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT
+                                                     + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM w LEFT JOIN m USING (rid) WHERE side = 'd'),
+r AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place,
+             25 * count(*) OVER (PARTITION BY able) // 100 AS draws FROM x)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= draws THEN place END AS rank FROM r
+"""
+
+OP13_SQL = """
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, * FROM (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT coalesce(isfinite(x) AND abs(256 * x::DOUBLE) <= 16777216,
+                                                                         false))) = 0)),
+s AS MATERIALIZED (
+  SELECT a.rid AS a, a.vec_id AS anchor_id, b.rid AS b, b.vec_id AS id, a.label = b.label AS same,
+         list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.rid <> b.rid AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0),
+p AS (SELECT a, anchor_id, b, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id, b) <= 5)
+SELECT p.anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY a, p.b ORDER BY s.score DESC, s.id, s.b))::INT AS rank,
+       s.id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (a)
+WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY a, p.b ORDER BY s.score DESC, s.id, s.b) <= 3
+"""
+
+
 ORACLES = {"op2_quality_rules": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_mixing": _op5_sql(),
-           "op10_url_filter": OP10_SQL}
+           "op10_url_filter": OP10_SQL, "op11_license_scan": _op11_sql(), "op12_importance": OP12_SQL,
+           "op13_hard_negatives": OP13_SQL}
