@@ -24,16 +24,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retailstream.llm.common import stored
-from retailstream.llm.quality_rules import _let
 from retailstream.llm.url_filter import ascii_lower
 
 GRAM = {"phrase": 2, "notice": 4}    # words of a gram, by kind of template
 MAX_SHIFT = 8                        # words between diagonals that are merged
 MIN_COVER = 0.8                      # share of a notice's words that a span must cover
-BLOCK = 4096                         # words of a text whose grams are made at a time
 MAX_BROADCAST_GRAMS = 200_000
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"            # in lower-cased text
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"           # in text as it is
+BETWEEN_RAW = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"       # in text as it is
 
 # fixed values: phrases of the contract, and public license notices
 PHRASES = [("mit", "phrase", "mit license"), ("apache", "phrase", "apache license"),
@@ -70,51 +68,48 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(text), BETWEEN_WORDS), "")
 
 
-def _grams(words: Column, k: int, most: int, base: Column) -> Column:
-    """``h, gram, at`` of the k-grams that begin at one of the first ``most`` words."""
-    n = F.greatest(F.least(F.size(words) - (k - 1), F.lit(most)), F.lit(0))
-
-    def gram(w: Column, i: Column) -> Column:
-        parts = [w, *[F.get(words, i + j) for j in range(1, k)]]
-        return F.struct(F.xxhash64(F.lit(k), *parts).alias("h"), F.concat_ws(" ", *parts).alias("gram"),
-                        (base + i).alias("at"))
-    return F.transform(F.slice(words, F.lit(1), n), gram)
-
-
 def text_grams(texts: DataFrame, gram_sizes: Sequence[int]) -> DataFrame:
-    """``key, h, gram, at`` of all rolling grams of ``key, text``, made block by block."""
-    longest = max(gram_sizes)
+    """``key, at, k, h, w0, w1, ..``: size, hash and words of all rolling grams of ``key, text``.
 
-    def blocks(words: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0)), F.lit(BLOCK))
-        return F.transform(starts, lambda b: F.struct(
-            b.cast("long").alias("base"), F.slice(words, b + 1, F.lit(BLOCK + longest - 1)).alias("w")))
-    cut = texts.select("key", F.explode(_let(words_of(F.col("text")), blocks)).alias("b")).select("key", "b.base", "b.w")
-    all_grams = F.concat(*[_grams(F.col("w"), k, BLOCK, F.col("base")) for k in gram_sizes])
-    return cut.select("key", F.explode(all_grams).alias("g")).select("key", "g.h", "g.gram", "g.at")
+    A text's words are zipped with themselves, shifted by one word and more, so
+    that every row of the exploded text has the words that follow.
+    """
+    longest = max(gram_sizes)
+    words = texts.select("key", words_of(F.col("text")).alias("w"))
+    shifted = [F.slice("w", j + 1, F.greatest(F.size("w") - j, F.lit(0))).alias(f"w{j}") for j in range(longest)]
+    rows = words.select("key", F.posexplode(F.arrays_zip(*shifted)).alias("at", "z"))
+    own = [F.col(f"z.w{j}").alias(f"w{j}") for j in range(longest)]
+    sized = [F.struct(F.lit(k).alias("k"), F.when(F.col(f"w{k - 1}").isNotNull(), F.xxhash64(
+        F.lit(k), *[F.col(f"w{j}") for j in range(k)])).alias("h")) for k in gram_sizes]
+    grams = rows.select("key", F.col("at").cast("long").alias("at"), *own)
+    grams = grams.select("*", F.explode(F.array(*sized)).alias("g"))
+    return grams.select("key", "at", "g.k", "g.h", *[f"w{j}" for j in range(longest)]).where("h IS NOT NULL")
 
 
 def template_grams(spark: SparkSession, templates: Sequence[tuple[str, str, str]]) -> tuple[DataFrame, DataFrame]:
-    """(``tpl, label, kind, k, n`` of each template, ``h, tgram, tpl, tat`` of its grams)."""
+    """(``tpl, label, kind, k, n`` of each template, ``h, k, tpl, tat, t0, t1, ..`` of its grams)."""
     rows = [(i, label, kind, GRAM[kind], text) for i, (label, kind, text) in enumerate(templates)]
     named = spark.createDataFrame(rows, "tpl int, label string, kind string, k int, text string")
     named = named.select("tpl", "label", "kind", "k", F.size(words_of(F.col("text"))).alias("n"), "text")
-    grams = None
-    for k in sorted({r[3] for r in rows}):
-        one = text_grams(named.where(F.col("k") == k).select(F.col("tpl").alias("key"), "text"), [k])
-        grams = one if grams is None else grams.unionByName(one)
-    return named.drop("text"), grams.select("h", F.col("gram").alias("tgram"), F.col("key").alias("tpl"),
-                                            F.col("at").alias("tat"))
+    sizes = sorted({r[3] for r in rows})
+    grams = text_grams(named.select(F.col("tpl").alias("key"), "text"), sizes)
+    grams = grams.select("h", "k", F.col("key").alias("tpl"), F.col("at").alias("tat"),
+                         *[F.col(f"w{j}").alias(f"t{j}") for j in range(max(sizes))])
+    return named.drop("text"), grams.join(named.select("tpl", "k"), ["tpl", "k"], "left_semi")
 
 
 def diagonals(texts: DataFrame, templates: Sequence[tuple[str, str, str]]) -> DataFrame:
     """``key, tpl, diagonal, votes, first, last``: template positions that voted, and their first and last word
     in the text, for each diagonal with a vote."""
-    spark = texts.sparkSession
-    _, grams = template_grams(spark, templates)
+    _, theirs = template_grams(texts.sparkSession, templates)
     if sum(len(text) for _, _, text in templates) <= MAX_BROADCAST_GRAMS:   # fewer grams than characters
-        grams = F.broadcast(grams)
-    met = text_grams(texts, sorted({GRAM[kind] for _, kind, _ in templates})).join(grams, "h").where("gram = tgram")
+        theirs = F.broadcast(theirs)
+    sizes = sorted({GRAM[kind] for _, kind, _ in templates})
+    own = text_grams(texts, sizes)
+    same = (own["h"] == theirs["h"]) & (own["k"] == theirs["k"])
+    for j in range(max(sizes)):   # the words themselves, behind the hash
+        same = same & ((own["k"] <= j) | (own[f"w{j}"] == theirs[f"t{j}"]))
+    met = own.join(theirs, same).select("key", "tpl", "at", "tat")
     return (met.groupBy("key", "tpl", (F.col("at") - F.col("tat")).alias("diagonal"))
             .agg(F.collect_set("tat").alias("votes"), F.min("at").alias("first"), F.max("at").alias("last")))
 
@@ -182,7 +177,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.max(F.when(base, F.col("start"))).alias("last_word"), joined(base).alias("base_labels"),
         joined(F.col("verified")).alias("labels"), F.max("cover").alias("score")), "license-verdicts")
     rows = docs.select(F.col(id_col).alias("id"), digest.alias("key"),
-                       F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"))
+                       F.size(F.array_remove(F.split(text, BETWEEN_RAW), "")).cast("long").alias("n_words"))
     return rows.join(by_text, "key", "left").select(
         F.col("id").alias(id_col), "n_words", F.coalesce("n_base", F.lit(0).cast("long")).alias("n_base"),
         "first_word", "last_word", F.coalesce("base_labels", F.lit("")).alias("base_labels"),
