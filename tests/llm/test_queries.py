@@ -25,6 +25,15 @@ URLS = [None, "", "no scheme", "http://", "http://a.org", "HTTP://WWW.Example.OR
         "http://example.org/en/123", "x://y://z.org/es/", "http://a.com/fr/", "http://b.a.com/de/#q", "http://com/de/",
         "http://xcom/de/", "http://.org/", "http://org./x", "http://u@h.example.org:80/es/", "http://example.org/en/1?",
         "http://a..example.org/en/1", "http://notexample.org/es/1", "http://example.org//es/"]
+NAN, INF = float("nan"), float("inf")
+# ties, copies, equal ids, unusable components, vectors of another length
+VECTORS = [(*r, 1, "v", 2) for r in [
+    (50, [0.5, 0.5, 0.1], 1), (50, [0.5, 0.5, 0.1], 1), (100, [0.3, -0.2, 0.0], 2), (1, [0.5, 0.4, 0.1], 1),
+    (2, [0.5, 0.4, 0.1], 1), (3, [0.25, 0.25, 0.3], 2), (4, [0.25, 0.25, 0.3], 2), (5, [0.25, 0.25, 0.3], 3),
+    (7, [0.3, 0.4, 0.3], 9), (14, [0.3, 0.4, 0.3], 0), (21, None, 1), (22, [None, 0.5, 0.1], 1), (23, [NAN, 0.5, 0.1], 1),
+    (24, [INF, 0.5, 0.1], 1), (25, [1e9, 0.5, 0.1], 1), (26, [0.5, 0.5, 0.1], None), (None, [0.5, 0.5, 0.1], 1),
+    (150, [0.5, 0.5], 1), (151, [0.5, 0.4], 1), (152, [0.3, 0.3], 2), (2, [0.1, 0.4, 0.1], 2), (200, [-0.5, -0.5, 0.0], 4),
+    (201, [0.4, 0.4, 0.0], 4), (250, [0.0, 0.0, 0.0], 5), (251, [0.0, 0.0, 0.0], 5), (300, [NAN, 0.0, 0.0], 6)]]
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +45,11 @@ def odd_dir(spark, tmp_path_factory):
     pages = [(i % 15, u, "<html>", "h", "p", "r") for i, u in enumerate(URLS * 2)]
     (spark.createDataFrame(pages, "page_id long, url string, html string, host string, path string, rule string")
      .coalesce(1).write.parquet(f"{d}/pages.parquet"))
+    (spark.createDataFrame(VECTORS, "vec_id long, embedding array<double>, label int, row long, v string, score int")
+     .coalesce(1).write.parquet(f"{d}/embeddings.parquet"))
+    items = [(1, "This work is w1 w2 w3", 1), (1, "This work is w1 w2 w3", 1), (None, None, 2), (2, "", 3), (3, "Ünï a b", 4)]
+    (spark.createDataFrame(items, "item_id long, text string, bucket int")
+     .coalesce(1).write.parquet(f"{d}/benchmark.parquet"))
     return d
 
 
@@ -46,7 +60,7 @@ def connect(folder):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
         except duckdb.IOException:
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet/*.parquet')"
-                        if t in ("documents", "pages") else f"CREATE VIEW {t} AS SELECT 1 AS x")
+                        if t in ("documents", "pages", "embeddings", "benchmark") else f"CREATE VIEW {t} AS SELECT 1 AS x")
     return con
 
 
@@ -67,8 +81,9 @@ def test_awkward_rows(spark, odd_dir, name):
 
 
 @pytest.mark.parametrize("name", ["op2_quality_rules", "op4_line_dedup", "op5_mixing", "op7_best_fit_packing",
-                                  "op3_simhash_dedup"])
+                                  "op3_simhash_dedup", "op11_license_scan", "op12_importance"])
 def test_empty_documents(spark, tmp_path, name):
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([], DOC_SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert Q.QUERIES[name](spark, str(tmp_path)).count() == 0
 
@@ -112,7 +127,7 @@ def test_many_nested_rules_match_brute_force(spark):
 
 
 def test_native_plans_run_no_python(spark, odd_dir):
-    for name in ("op2_quality_rules", "op5_mixing", "op10_url_filter"):
+    for name in ("op2_quality_rules", "op5_mixing", "op10_url_filter", "op11_license_scan"):
         plan = Q.QUERIES[name](spark, odd_dir)._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow")), name
 
