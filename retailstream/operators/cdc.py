@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from retailstream.operators.sequence import with_neighbor
 from retailstream.schemas import TABLE_PROCESS
 
 
@@ -68,6 +69,12 @@ def latest_config(config: DataFrame) -> DataFrame:
     return g.select("sourceTable", "operateType", "c.*")
 
 
+def dimension_sources(config: DataFrame) -> list[str]:
+    """The source tables that any config sends to a dimension table (names of tables: a short list)."""
+    rows = config.where(F.col("sinkType") == SINK_DIM).select("sourceTable").distinct().collect()
+    return sorted(r[0] for r in rows if r[0] is not None)
+
+
 def whitelist(data: str, columns: str) -> F.Column:
     """PRJ-6: keep map entries whose key is in the comma list (exact match)."""
     return F.map_filter(F.col(data), lambda k, v: F.array_contains(F.split(F.col(columns), ","), k))
@@ -85,11 +92,56 @@ def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
         F.col("sourceTable").alias("_src"), F.col("operateType").alias("_op"),
         F.col("sinkType").alias("sink_type"), F.col("sinkTable").alias("sink_table"),
         F.col("sinkColumns").alias("sink_columns"), F.col("sinkPk").alias("sink_pk"))
-    j = changes.join(cfg, (F.col("tableName") == F.col("_src")) & (F.col("type") == F.col("_op")), "left")
+    return _labelled(changes.join(cfg, (F.col("tableName") == F.col("_src")) & (F.col("type") == F.col("_op")), "left"))
+
+
+FOREVER = (1 << 63) - 1
+
+
+def config_intervals(changes: DataFrame, snapshot: DataFrame | None = None, table: str = "table_process") -> DataFrame:
+    """The routing config over time: its columns and ``valid_from, valid_to`` (end excluded), by ``seq``.
+
+    ``changes`` are the flattened change records of the config table, in one order of
+    ``seq`` with the records to be routed; ``snapshot`` holds the configs from before
+    the first record.  A config is valid until its ``sourceTable, operateType`` is
+    set or deleted again.
+    """
+    names = [f.name for f in TABLE_PROCESS]
+    own = changes.where(F.col("tableName") == table)
+    image = F.when(F.size("data") > 0, F.col("data")).otherwise(F.col("before"))
+    rows = own.select(*[image[n].alias(n) for n in names], "seq", (F.col("type") == "delete").alias("_gone"))
+    if snapshot is not None:
+        rows = rows.unionByName(snapshot.select(*names, F.lit(-FOREVER).alias("seq"), F.lit(False).alias("_gone")))
+    along = Window.partitionBy("sourceTable", "operateType").orderBy("seq")
+    return (rows.withColumn("valid_to", F.coalesce(F.lead("seq").over(along), F.lit(FOREVER)))
+            .where(~F.coalesce("_gone", F.lit(False)))
+            .select(*names, F.col("seq").alias("valid_from"), "valid_to"))
+
+
+def route_changes_as_of(changes: DataFrame, intervals: DataFrame) -> DataFrame:
+    """``route_changes`` by the config that was valid when the record came (JN-1, PRJ-7).
+
+    A record is placed by ``seq`` in the ``intervals`` (``config_intervals``) of its
+    table and type; they do not overlap, so it meets one at most.  Before its config
+    came, and after it was deleted, a record has none.  The records of a table that
+    holds most of them are one side of an equi-join, which is split by rows; the
+    other side has one row for each change of a config.
+    """
+    known = intervals.select(
+        F.col("sourceTable").alias("_src"), F.col("operateType").alias("_op"), F.col("valid_from").alias("_from"),
+        F.col("valid_to").alias("_to"), F.col("sinkType").alias("sink_type"), F.col("sinkTable").alias("sink_table"),
+        F.col("sinkColumns").alias("sink_columns"), F.col("sinkPk").alias("sink_pk"))
+    met = ((F.col("tableName") == F.col("_src")) & (F.col("type") == F.col("_op"))
+           & (F.col("seq") >= F.col("_from")) & (F.col("seq") < F.col("_to")))
+    return _labelled(changes.join(known, met, "left")).drop("_from", "_to")
+
+
+def _labelled(joined: DataFrame) -> DataFrame:
+    """``route`` and whitelisted ``data`` of records joined to their config (or none)."""
     route = (F.when(F.col("_src").isNull(), "no_config").when(F.col("sink_type") == SINK_FACT, "fact")
              .when(F.col("sink_type") == SINK_DIM, "dim").otherwise("unknown_sink"))
     data = F.when(F.col("sink_columns").isNotNull(), whitelist("data", "sink_columns")).otherwise(F.col("data"))
-    return j.withColumns({"data": data, "route": route}).drop("_src", "_op")
+    return joined.withColumns({"data": data, "route": route}).drop("_src", "_op")
 
 
 def split_routes(routed: DataFrame) -> dict[str, DataFrame]:
@@ -103,6 +155,36 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], seq: str = "seq") -> Data
     return g.select(*keys, "_last.*")
 
 
+def keyed_changes(changes: DataFrame, pk: str = "id") -> DataFrame:
+    """Flattened changes with ``pk``, the key of the changed row (from its image before, if there is none after)."""
+    return changes.withColumn("pk", F.coalesce(F.col("data")[pk], F.col("before")[pk])).where(
+        F.col("pk").isNotNull() & F.col("seq").isNotNull())
+
+
+SEQ_BUCKET = 1 << 20   # changes of a key that are compared in one task, at most
+
+
+def changelog_retractions(changes: DataFrame, pk: str = "id", bucket: int = SEQ_BUCKET) -> DataFrame:
+    """CDC-2 as a changelog: ``tableName, pk, seq, kind, data`` for the whole feed.
+
+    What ``streaming.processors.changelog_stream`` gives for the feed in order: an
+    image that a change replaces is taken back (``-U``, ``-D``), the new one is given
+    (``+I``, ``+U``).  Each change sets the whole row, so the one before it (by
+    ``seq``) tells all; a key with very many changes is cut into ranges of ``seq``.
+    """
+    rows = keyed_changes(changes, pk).select(
+        "tableName", "pk", "seq", F.when(F.coalesce("type", F.lit("")) != "delete", F.col("data")).alias("image"))
+    # maps cannot be compared: their sorted entries can
+    rows = rows.withColumn("flat", F.array_sort(F.map_entries("image")))
+    near = with_neighbor(rows, ["tableName", "pk"], ["seq"], F.floor(F.col("seq") / bucket), ["flat"], "prev", "was_")
+    gone, none = F.col("flat").isNull(), F.col("was_flat").isNull()
+    out = near.where(~F.col("flat").eqNullSafe(F.col("was_flat"))).withColumn("out", F.array(
+        F.when(~none, F.struct(F.when(gone, "-D").otherwise("-U").alias("kind"), F.map_from_entries("was_flat").alias("data"))),
+        F.when(~gone, F.struct(F.when(none, "+I").otherwise("+U").alias("kind"), F.col("image").alias("data")))))
+    return (out.select("tableName", "pk", "seq", F.explode(F.filter("out", lambda x: x.isNotNull())).alias("o"))
+            .select("tableName", "pk", "seq", "o.kind", "o.data"))
+
+
 def changelog_state(changes: DataFrame, pk: str = "id", table: str = "tableName") -> DataFrame:
     """CDC-2: current state of every table in a flattened changelog: the last
     change per (table, pk) by seq; keys whose last change is a delete vanish."""
@@ -166,6 +248,35 @@ def upsert_dimension(current: DataFrame | None, changes: DataFrame, pk: str = "i
     return latest.where(alive).select(*[out[c] for c in order])
 
 
+def fold_changes(changes: DataFrame, pk: str = "id", seq: str = "seq") -> DataFrame:
+    """Changes of dimension rows (as for ``upsert_dimension``) as one row for each key, to be merged with
+    others: ``_last`` and ``_gone``, the largest seq that set and that deleted the key, and for each column
+    the last value (as text) that a change carried, with its seq (``s``, ``v``)."""
+    cols = [c for c in changes.columns if c not in (pk, seq, "type", PRESENT)]
+    upsert = F.coalesce("type", F.lit("")) != "delete"
+    def carried(c: str) -> Column:
+        return upsert & F.array_contains(PRESENT, c) if PRESENT in changes.columns else upsert
+    return changes.groupBy(F.col(pk).cast("string").alias(pk)).agg(
+        F.max(F.when(upsert, F.col(seq))).alias("_last"), F.max(F.when(~upsert, F.col(seq))).alias("_gone"),
+        *[F.max(F.when(carried(c), F.struct(F.col(seq).alias("s"), F.col(c).cast("string").alias("v")))).alias(c)
+          for c in cols])
+
+
+def merge_folded(rows: DataFrame, pk: str = "id") -> DataFrame:
+    """Folded rows of the same keys, in any number and order, as one for each key."""
+    return rows.groupBy(pk).agg(*[F.max(c).alias(c) for c in rows.columns if c != pk])
+
+
+def folded_state(rows: DataFrame, pk: str = "id", seq: str = "seq") -> DataFrame:
+    """The dimension rows that folded ones stand for: pk, columns, seq; deleted keys are gone, and so are
+    values from before a key's last delete."""
+    alive = F.col("_last").isNotNull() & (F.col("_gone").isNull() | (F.col("_last") > F.col("_gone")))
+    cols = [c for c in rows.columns if c not in (pk, "_last", "_gone")]
+    return rows.where(alive).select(
+        pk, *[F.when(F.col("_gone").isNull() | (F.col(c)["s"] > F.col("_gone")), F.col(c)["v"]).alias(c) for c in cols],
+        F.col("_last").alias(seq))
+
+
 def snapshot_then_changes(snapshot: DataFrame, changes: DataFrame, pk: str = "id", table: str | None = None,
                           snapshot_seq: int = -1) -> DataFrame:
     """SRC-4: a table's snapshot (plain columns) followed by its flattened

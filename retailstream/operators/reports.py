@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from retailstream.functions.keywords import keyword_weight
 from retailstream.functions.metrics import OUT_TYPE, visitor_ratios
+from retailstream.operators.dims import enrich, enrich_province
 
 SUM_MONEY = "decimal(38,2)"
+ANY_DAY = "any"   # as a report's ``date``: the rows are those of the day already
 TODAY = "today"   # as a report's ``date``: the session's current day; None: every day
 
 
@@ -28,6 +30,8 @@ def with_dt(stats: DataFrame) -> DataFrame:
 
 
 def _day(stats: DataFrame, date: str | None) -> tuple[DataFrame, list[str]]:
+    if date == ANY_DAY:
+        return stats, []
     s = with_dt(stats)
     if date is None:
         return s, ["dt"]
@@ -60,6 +64,23 @@ def amount_top_n(product_stats: DataFrame, keys: Sequence[str], n: int = 10, dat
     return _top(g, by, [F.col("order_amount").desc(), *[F.col(k).asc_nulls_first() for k in keys]], n)
 
 
+def amount_top_n_of(sku_stats: DataFrame, skus: DataFrame, key: str, names: DataFrame, name: str, out_name: str,
+                    n: int = 10, date: str | None = None, with_order_ct: bool = False) -> DataFrame:
+    """AG-6/7/8 from statistics by SKU that have no names yet: the result of ``amount_top_n`` over
+    ``key, out_name``.
+
+    Amounts are summed by day and SKU first; only then the SKU gives the ``key`` that
+    the report groups by, and only the winners get their name (``name`` in ``names``,
+    by ``id``).
+    """
+    s, by = _day(sku_stats, date)
+    sums = [F.sum("order_amount").alias("order_amount"), *([F.sum("order_ct").alias("order_ct")] if with_order_ct else [])]
+    by_key = enrich(s.groupBy(*by, "sku_id").agg(*sums), skus, "sku_id", {key: key})
+    top = amount_top_n(by_key, [key], n, None if by else ANY_DAY, with_order_ct)
+    named = enrich(top, names, key, {name: out_name})
+    return named.select(*by, key, out_name, "order_amount", *(["order_ct"] if with_order_ct else []))
+
+
 def trademark_top_n(product_stats: DataFrame, n: int = 10, date: str | None = None) -> DataFrame:
     return amount_top_n(product_stats, ["tm_id", "tm_name"], n, date)
 
@@ -79,6 +100,13 @@ def province_amounts(province_stats: DataFrame, date: str | None = None) -> Data
         .agg(F.sum("order_amount").cast(SUM_MONEY).alias("order_amount"))
 
 
+def province_amounts_of(province_stats: DataFrame, provinces: DataFrame, date: str | None = None) -> DataFrame:
+    """AG-9 from statistics by ``province_id`` that have no names yet: names are looked up for the sums."""
+    s, by = _day(province_stats, date)
+    g = s.groupBy(*by, "province_id").agg(F.sum("order_amount").cast(SUM_MONEY).alias("order_amount"))
+    return enrich_province(g, provinces).select(*by, "province_id", "province_name", "order_amount")
+
+
 def visitors_by_flag(visitor_stats: DataFrame, date: str | None = None) -> DataFrame:
     """AG-10: visitor sums per new/old flag."""
     s, by = _day(visitor_stats, date)

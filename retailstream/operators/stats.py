@@ -223,22 +223,25 @@ PROVINCE_KEYS = ("province_id", "province_name", "province_area_code", "province
 
 
 def province_stats(order_wide: DataFrame, window: str = "10 seconds", as_of_s: Column | None = None,
-                   amount_col: str = "total_amount", streaming: bool = False, zone: str = "UTC") -> DataFrame:
+                   amount_col: str = "total_amount", streaming: bool = False, zone: str = "UTC",
+                   keys: Sequence[str] = PROVINCE_KEYS) -> DataFrame:
     """AG-3: per (window, province) ``sum(amount)`` (D8 default: order total per
-    detail line) and distinct orders; ``ts`` = processing seconds (``as_of_s``)."""
+    detail line) and distinct orders; ``ts`` = processing seconds (``as_of_s``).
+    ``keys``: the province's columns; the id alone where its names are looked up
+    after the aggregation."""
     amount = F.col(amount_col).cast(SUM_MONEY).alias("amount")
     if streaming:
-        placed = order_wide.select(F.window(event_time("create_ts", True), window).alias("window"), *PROVINCE_KEYS,
+        placed = order_wide.select(F.window(event_time("create_ts", True), window).alias("window"), *keys,
                                    "order_id", amount)
-        marks = _first_of_each(placed.where(F.col("order_id").isNotNull()), ["window", *PROVINCE_KEYS, "order_id"])
+        marks = _first_of_each(placed.where(F.col("order_id").isNotNull()), ["window", *keys, "order_id"])
         both = placed.drop("order_id").unionByName(marks, allowMissingColumns=True)
-        g = both.groupBy("window", *PROVINCE_KEYS).agg(
+        g = both.groupBy("window", *keys).agg(
             F.sum("amount").cast(SUM_MONEY).alias("order_amount"), F.count("order_id").alias("order_count"))
     else:
-        g = order_wide.groupBy(F.window(event_time("create_ts"), window).alias("window"), *PROVINCE_KEYS).agg(
+        g = order_wide.groupBy(F.window(event_time("create_ts"), window).alias("window"), *keys).agg(
             F.sum(amount).cast(SUM_MONEY).alias("order_amount"), F.count_distinct("order_id").alias("order_count"))
     ts = as_of_s if as_of_s is not None else F.unix_timestamp()
-    return g.select(*window_bounds(streaming=streaming, zone=zone), *PROVINCE_KEYS, "order_amount", "order_count",
+    return g.select(*window_bounds(streaming=streaming, zone=zone), *keys, "order_amount", "order_count",
                     ts.cast("long").alias("ts"))
 
 

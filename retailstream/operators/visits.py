@@ -76,3 +76,16 @@ def bounce_detect(log: DataFrame, within_ms: int = 10_000, mid: str = "common.mi
     nts, nlp = F.col("_next_ts"), F.col("_next__lp")
     stay = nts.isNotNull() & nlp.isNotNull() & ((nts - F.col("ts")) < within_ms)
     return n.where(F.col("_lp").isNull() & ~stay).drop("_mid", "_lp", "_next_ts", "_next__lp")
+
+
+def new_visitors_seen(log: DataFrame, mid: str = "common.mid", is_new: str = "common.is_new") -> DataFrame:
+    """The state of ST-1 after ``log``: ``mid`` of every visitor with an ``is_new='1'`` record.  A stream that
+    takes over starts from it (``processors.repair_new_visitor_stream``)."""
+    return log.where((F.col(is_new) == "1") & F.col(mid).isNotNull() & F.col("ts").isNotNull()).select(
+        F.col(mid).alias("mid")).distinct()
+
+
+def last_visit_dates(log: DataFrame, mid: str = "common.mid", seq: str = "seq", zone: str = "UTC") -> DataFrame:
+    """The state of ST-2 after ``log``: ``mid, dt``, the date of each visitor's last entry record."""
+    entries = log.where(F.col("page.last_page_id").isNull() & F.col("ts").isNotNull() & F.col(mid).isNotNull())
+    return entries.groupBy(F.col(mid).alias("mid")).agg(F.max_by(ms_to_string("ts", zone, DAY_FORMAT), seq).alias("dt"))

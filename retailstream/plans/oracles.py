@@ -518,3 +518,60 @@ FROM s"""
 
 ORACLES["order_wide_merge"] = "WITH " + SHOP + """
 SELECT order_id, detail_id, order_status, province_id, 'unnamed' AS sku_name, split_coupon_amount FROM ow"""
+
+# -- dimension store, config over time, retractions ----------------------------------
+ORACLES["dim_upsert_batches"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN CAST(CAST(c_acctbal + 100 AS DECIMAL(18,2)) AS VARCHAR) END AS acctbal,
+       4 * c_custkey + CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS seq
+FROM customer"""
+
+ORACLES["cdc_route_as_of"] = "WITH " + CHANGES + """,
+cfg(src, op, since, gone, sink_type, sink_table, sink_columns) AS (VALUES
+  ('user_info', 'insert', -1, false, 'hbase', 'dim_user_info', 'id,name,nation'),
+  ('order_info', 'insert', 400, false, 'kafka', 'dwd_order_info', 'id,user_id,total_amount,order_status'),
+  ('user_info', 'update', 800, false, 'hbase', 'dim_user_info', 'id,acctbal'),
+  ('order_info', 'update', 1000, false, 'clickhouse', 'order_status_stats', 'id,order_status'),
+  ('order_info', 'insert', 2400, false, 'kafka', 'dwd_order_info', 'id,order_status'),
+  ('order_info', 'update', 3000, false, 'kafka', 'order_status_stats', 'id,order_status'),
+  ('order_info', 'insert', 4000, true, NULL, NULL, NULL),
+  ('order_info', 'insert', 5000, false, 'kafka', 'dwd_order_new', 'id,total_amount')),
+keys_(table_name, ks) AS (VALUES
+  ('order_info', ['id', 'user_id', 'order_status', 'total_amount', 'create_time']),
+  ('user_info', ['id', 'name', 'nation', 'acctbal', 'segment'])),
+m AS (SELECT ch.*, coalesce(NOT cfg.gone, false) AS known, sink_type, sink_table, sink_columns
+      FROM ch ASOF LEFT JOIN cfg ON ch.table_name = cfg.src AND ch.type = cfg.op AND ch.seq >= cfg.since
+      WHERE ch.type IS NULL OR ch.type <> 'delete')
+SELECT m.seq, m.table_name, m.type,
+       CASE WHEN NOT known THEN 'no_config' WHEN sink_type = 'kafka' THEN 'fact'
+            WHEN sink_type = 'hbase' THEN 'dim' ELSE 'unknown_sink' END AS route,
+       sink_type, sink_table,
+       array_to_string(list_sort(list_filter(k.ks, lambda x: NOT known OR list_contains(string_split(sink_columns, ','), x))),
+                       ',') AS cols,
+       m.id AS data_id
+FROM m JOIN keys_ k ON k.table_name = m.table_name"""
+
+ORACLES["changelog_retractions"] = """
+WITH img AS (
+  SELECT 'order_info' AS table_name, CAST(o_orderkey AS VARCHAR) AS pk, o_orderkey * 4 AS seq, '1001' AS order_status,
+         NULL AS acctbal, 5 AS n_data FROM orders
+  UNION ALL
+  SELECT 'order_info', CAST(o_orderkey AS VARCHAR), o_orderkey * 4 + 1,
+         CASE WHEN o_orderstatus = 'F' THEN '1004' ELSE '1002' END, NULL, 5 FROM orders WHERE o_orderstatus IN ('F', 'P')
+  UNION ALL
+  SELECT 'order_info', CAST(o_orderkey AS VARCHAR), o_orderkey * 4 + 2, NULL, NULL, NULL
+  FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'
+  UNION ALL
+  SELECT 'user_info', CAST(c_custkey AS VARCHAR), c_custkey * 4, NULL, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR), 5
+  FROM customer
+  UNION ALL
+  SELECT 'user_info', CAST(c_custkey AS VARCHAR), c_custkey * 4 + 1, NULL,
+         CAST(CAST(c_acctbal + 100 AS DECIMAL(18,2)) AS VARCHAR), 5 FROM customer WHERE c_mktsegment = 'BUILDING'),
+pair AS (
+  SELECT *, lag(n_data) OVER w AS was, lag(order_status) OVER w AS was_status, lag(acctbal) OVER w AS was_acctbal
+  FROM img WINDOW w AS (PARTITION BY table_name, pk ORDER BY seq))
+SELECT table_name, pk, seq, CASE WHEN n_data IS NULL THEN '-D' ELSE '-U' END AS kind, was_status AS order_status,
+       was_acctbal AS acctbal, was AS n_data FROM pair WHERE was IS NOT NULL
+UNION ALL
+SELECT table_name, pk, seq, CASE WHEN was IS NULL THEN '+I' ELSE '+U' END, order_status, acctbal, n_data
+FROM pair WHERE n_data IS NOT NULL"""

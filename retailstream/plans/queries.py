@@ -223,10 +223,14 @@ def product_stats_df(c: Catalog) -> DataFrame:
     return enrich_product(product_counts_df(c), c, with_price=True)
 
 
+def province_counts_df(c: Catalog) -> DataFrame:
+    """AG-3 before the lookup: it needs the province of an order and nothing of its products."""
+    return stats.province_stats(order_core_df(c), window=PROVINCE_WINDOW, as_of_s=F.lit(AS_OF_S), keys=["province_id"])
+
+
 def province_stats_df(c: Catalog) -> DataFrame:
-    """AG-3 needs the province of an order and nothing of its products."""
-    rows = dims.enrich_province(order_core_df(c), A.dim_base_province(c.nation, c.region))
-    return stats.province_stats(rows, window=PROVINCE_WINDOW, as_of_s=F.lit(AS_OF_S))
+    out = dims.enrich_province(province_counts_df(c), A.dim_base_province(c.nation, c.region))
+    return out.select("stt", "edt", *stats.PROVINCE_KEYS, "order_amount", "order_count", "ts")
 
 
 def keyword_stats_df(c: Catalog) -> DataFrame:
@@ -261,16 +265,21 @@ def q_gmv(spark, sf):
     return reports.gmv(product_counts_df(Catalog(spark, sf)))
 
 
+def _amount_topn(spark, sf, key, names, name, out_name, **kw):
+    c = Catalog(spark, sf)
+    return reports.amount_top_n_of(product_counts_df(c), A.dim_sku_info(c.part), key, names(c.part), name, out_name, **kw)
+
+
 def q_brand_topn(spark, sf):
-    return reports.trademark_top_n(product_stats_df(Catalog(spark, sf)))
+    return _amount_topn(spark, sf, "tm_id", A.dim_base_trademark, "tm_name", "tm_name")
 
 
 def q_category_topn(spark, sf):
-    return reports.category3_top_n(product_stats_df(Catalog(spark, sf)))
+    return _amount_topn(spark, sf, "category3_id", A.dim_base_category3, "name", "category3_name")
 
 
 def q_spu_topn(spark, sf):
-    return reports.spu_top_n(product_stats_df(Catalog(spark, sf)))
+    return _amount_topn(spark, sf, "spu_id", A.dim_spu_info, "spu_name", "spu_name", with_order_ct=True)
 
 
 def q_province_stats(spark, sf):
@@ -278,7 +287,8 @@ def q_province_stats(spark, sf):
 
 
 def q_province_totals(spark, sf):
-    return reports.province_amounts(province_stats_df(Catalog(spark, sf)))
+    c = Catalog(spark, sf)
+    return reports.province_amounts_of(province_counts_df(c), A.dim_base_province(c.nation, c.region))
 
 
 def q_keyword_stats(spark, sf):
@@ -349,8 +359,15 @@ def q_cdc_route(spark, sf):
                     F.col("data")["id"].alias("data_id"))
 
 
+def _dim_changes(spark, sf, config) -> DataFrame:
+    """Routed changes of dimension tables; the others' records are not even built, as the filter is on
+    the sources' constant table names."""
+    ch = cdc.drop_deletes(_changes(spark, sf)).where(F.col("tableName").isin(cdc.dimension_sources(config)))
+    return cdc.split_routes(cdc.route_changes(ch, config))["dim"]
+
+
 def q_dim_upsert(spark, sf):
-    dim = cdc.split_routes(_routed_changes(spark, sf))["dim"]
+    dim = _dim_changes(spark, sf, cdc.table_process(spark, ROUTING))
     return cdc.upsert_dimension(None, cdc.dim_rows(dim, USER_DIM_COLUMNS, "dim_user_info"))
 
 
@@ -461,3 +478,78 @@ QUERIES.update({
     "visitor_day": q_visitor_day,
     "search_times": q_search_times,
 })
+
+
+# ---------------------------------------------------------------------------
+# dimension store, config over time, retractions
+# ---------------------------------------------------------------------------
+
+N_BATCHES = 4   # that the change feed comes in
+
+
+def q_dim_upsert_batches(spark, sf):
+    """SNK-3: the change feed in several batches, by ranges of ``seq``, into a dimension table of
+    buckets and runs; compacted on the way."""
+    import os
+    import uuid
+
+    from retailstream.session import ensure_checkpoint_dir
+    from retailstream.sources import dimstore
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", f"dim_user_info-{uuid.uuid4().hex}")
+    rows = cdc.dim_rows(_dim_changes(spark, sf, cdc.table_process(spark, PARTIAL_ROUTING)),
+                        ("id", "name", "nation", "acctbal"), "dim_user_info")
+    dimstore.create(spark, path, ["id", "name", "nation"], n_buckets=8)
+    last = rows.agg(F.max("seq")).first()[0] or 0
+    step = last // N_BATCHES + 1
+    for i in range(N_BATCHES):
+        dimstore.apply(spark, rows.where(F.col("seq").between(i * step, (i + 1) * step - 1)), path, token=i)
+        dimstore.compact(spark, path, least_runs=3)
+    return dimstore.read(spark, path)
+
+
+# The routing config as its own change feed: columns change, a config goes and another comes.
+_CONFIG_KEYS = ("sourceTable", "operateType", "sinkType", "sinkTable", "sinkColumns", "sinkPk")
+CONFIG_SNAPSHOT = [
+    ("user_info", "insert", "hbase", "dim_user_info", "id,name,nation", "id"),
+]
+CONFIG_FEED = [
+    ("c", ("order_info", "insert", "kafka", "dwd_order_info", "id,user_id,total_amount,order_status", "id"), 400),
+    ("c", ("user_info", "update", "hbase", "dim_user_info", "id,acctbal", "id"), 800),
+    ("c", ("order_info", "update", "clickhouse", "order_status_stats", "id,order_status", "id"), 1000),
+    ("u", ("order_info", "insert", "kafka", "dwd_order_info", "id,order_status", "id"), 2400),
+    ("u", ("order_info", "update", "kafka", "order_status_stats", "id,order_status", "id"), 3000),
+    ("d", ("order_info", "insert", "kafka", "dwd_order_info", "id,order_status", "id"), 4000),
+    ("c", ("order_info", "insert", "kafka", "dwd_order_new", "id,total_amount", "id"), 5000),
+]
+
+
+def config_over_time(spark) -> DataFrame:
+    image = lambda row: dict(zip(_CONFIG_KEYS, row, strict=True))
+    feed = [("erp.cfg.table_process", op, image(r) if op != "c" else None, image(r) if op != "d" else None, seq)
+            for op, r, seq in CONFIG_FEED]
+    changes = cdc.flatten_changes(spark.createDataFrame(
+        feed, "topic string, op string, before map<string,string>, after map<string,string>, seq long"))
+    return cdc.config_intervals(changes, cdc.table_process(spark, [(*r, None) for r in CONFIG_SNAPSHOT]))
+
+
+def q_cdc_route_as_of(spark, sf):
+    """JN-1 + PRJ-7: records routed by the config that was valid when they came."""
+    r = cdc.route_changes_as_of(cdc.drop_deletes(_changes(spark, sf)), config_over_time(spark))
+    return r.select("seq", F.col("tableName").alias("table_name"), "type", "route", "sink_type", "sink_table",
+                    F.array_join(F.array_sort(F.map_keys("data")), ",").alias("cols"),
+                    F.col("data")["id"].alias("data_id"))
+
+
+def q_changelog_retractions(spark, sf):
+    """CDC-2: the whole feed as images taken back and given."""
+    r = cdc.changelog_retractions(_changes(spark, sf))
+    return r.select(F.col("tableName").alias("table_name"), "pk", "seq", "kind",
+                    F.col("data")["order_status"].alias("order_status"), F.col("data")["acctbal"].alias("acctbal"),
+                    F.size("data").alias("n_data"))
+
+
+QUERIES.update({
+    "dim_upsert_batches": q_dim_upsert_batches,
+    "cdc_route_as_of": q_cdc_route_as_of,
+    "changelog_retractions": q_changelog_retractions,
+})

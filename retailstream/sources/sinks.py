@@ -1,21 +1,19 @@
-"""Sinks (SNK-1..6).  File sinks are idempotent per micro-batch: output of batch
-``b`` goes to a folder named by ``b`` and is overwritten on a replay, so an
-executor lost mid-batch (batch retried from the checkpoint) never duplicates
-rows.  The Kafka and JDBC forms are at-least-once: a replayed batch is sent again.
+"""Sinks (SNK-1..6).  File sinks write a micro-batch once: its folder is named by
+the query and the batch and listed when it is complete (``sources.commits``), so
+a replay never duplicates rows and a new checkpoint never writes over old ones.
+The Kafka and JDBC forms are at-least-once: a replayed batch is sent again.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
 
-from retailstream.operators.cdc import upsert_dimension
+from retailstream.sources import commits, dimstore
 
 
 def to_json_value(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -24,19 +22,22 @@ def to_json_value(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 
 
 def write_topic(df: DataFrame, where: str, fmt: str = "parquet", batch_id: int | None = None,
-                options: dict | None = None) -> None:
+                options: dict | None = None, run: str | None = None) -> None:
     """SNK-1 (batch / inside foreachBatch): append JSON rows to a topic.
-    Files: ``where/batch=<id>`` (overwrite = idempotent); Kafka: topic name."""
+    Files: a folder of ``where`` for each batch of the query ``run``; Kafka: topic name."""
     out = to_json_value(df)
     if fmt == "kafka":
         out.write.format("kafka").option("topic", where).options(**(options or {})).save()
         return
-    path = where if batch_id is None else os.path.join(where, f"batch={batch_id}")
-    out.write.mode("overwrite" if batch_id is not None else "append").format(fmt).save(path)
+    if batch_id is None:
+        out.write.mode("append").format(fmt).save(where)
+    else:
+        commits.write_batch(out, where, batch_id, run, fmt)
 
 
 def write_routed(df: DataFrame, where: str, topic_col: str = "sink_table", payload: str = "data",
-                 fmt: str = "parquet", batch_id: int | None = None, options: dict | None = None) -> None:
+                 fmt: str = "parquet", batch_id: int | None = None, options: dict | None = None,
+                 run: str | None = None) -> None:
     """SNK-2: each row goes to the topic named in ``topic_col``; payload = the
     ``payload`` map only, as JSON.  Kafka uses the per-row ``topic`` column
     (at-least-once); files are partitioned by topic."""
@@ -44,67 +45,40 @@ def write_routed(df: DataFrame, where: str, topic_col: str = "sink_table", paylo
     if fmt == "kafka":
         out.write.format("kafka").options(**(options or {})).save()
         return
-    path = where if batch_id is None else os.path.join(where, f"batch={batch_id}")
-    out.write.mode("overwrite" if batch_id is not None else "append").partitionBy("topic").format(fmt).save(path)
-
-
-LOG_SCHEMA = "version bigint, token string"
-
-
-def ensure_dim_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """SNK-4: create an empty dimension table with ``schema`` if missing; return it."""
-    try:
-        return read_dimension(spark, path)
-    except AnalysisException:
-        spark.createDataFrame([], schema).withColumn("seq", F.lit(None).cast("long")) \
-            .write.mode("overwrite").parquet(os.path.join(path, "version=0"))
-        _log(spark, path, 0, None)
-        return read_dimension(spark, path)
-
-
-def _log(spark: SparkSession, path: str, version: int, token: str | None) -> None:
-    spark.createDataFrame([(version, token)], LOG_SCHEMA).write.mode("append").parquet(os.path.join(path, "_log"))
-
-
-def _logged(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(path, "_log"))
+    if batch_id is None:
+        out.write.mode("append").partitionBy("topic").format(fmt).save(where)
+    else:
+        commits.write_batch(out, where, batch_id, run, fmt, ["topic"])
 
 
-def current_version(spark: SparkSession, path: str) -> int:
-    return _logged(spark, path).agg(F.max("version")).first()[0]
+def ensure_dim_table(spark: SparkSession, path: str, schema: StructType, pk: str | None = None) -> DataFrame:
+    """SNK-4: create an empty dimension table with ``schema`` if missing; return it.  The key is ``pk``, by
+    default ``id`` or else the first column."""
+    names = schema.fieldNames()
+    dimstore.create(spark, path, names, pk or ("id" if "id" in names else names[0]))
+    return dimstore.read(spark, path)
 
 
 def read_dimension(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """A version of a dimension table, by default the current one."""
-    v = current_version(spark, path) if version is None else version
-    return spark.read.parquet(os.path.join(path, f"version={v}"))
+    return dimstore.read(spark, path, version)
 
 
 def upsert_dimension_table(spark: SparkSession, changes: DataFrame, path: str, pk: str = "id",
-                           token: str | int | None = None) -> int:
-    """SNK-3: merge ``changes`` (dimension columns, ``seq``, ``type`` and, where
-    changes carry only some columns, ``_present``) into the table at ``path``; see
-    ``cdc.upsert_dimension``.  New columns are added to the table.
-
-    Every call writes the next version, so a job that starts over with a new
-    checkpoint goes on from the table as it is.  ``token`` names the batch (query
-    and batch id): a replay of a batch is merged again into the version before
-    it, under its own version.  Readers use the highest logged version, so they
-    never see a half-written one.
+                           token: str | int | None = None, compact_at: int = 16) -> int:
+    """SNK-3: add ``changes`` (dimension columns, ``seq``, ``type`` and, where changes carry only some columns,
+    ``_present``) to the table at ``path``; the number of the run that holds them.
+
+    Only the changed keys are written.  ``token`` names the batch (query and batch
+    id): a replay adds nothing.  Buckets that have ``compact_at`` runs are merged.
     """
-    last = current_version(spark, path)
-    done = None if token is None else _logged(spark, path).where(
-        F.col("token") == str(token)).agg(F.max("version")).first()[0]
-    version = last + 1 if done is None else done
-    base = read_dimension(spark, path, version - 1)
-    new = upsert_dimension(base, changes, pk)
-    new.write.mode("overwrite").parquet(os.path.join(path, f"version={version}"))
-    if done is None:
-        _log(spark, path, version, None if token is None else str(token))
-    return version
-
-
-def write_stats(df: DataFrame, path: str, columns: Sequence[str], batch_id: int | None = None) -> None:
+    no = dimstore.apply(spark, changes, path, token)
+    dimstore.compact(spark, path, compact_at)
+    return no
+
+
+def write_stats(df: DataFrame, path: str, columns: Sequence[str], batch_id: int | None = None,
+                run: str | None = None) -> None:
     """SNK-5: append result rows with an explicit column list (transient
     helper columns are never written), partitioned by ``dt`` = day of ``stt``,
     so day reports prune to one folder."""
@@ -112,7 +86,7 @@ def write_stats(df: DataFrame, path: str, columns: Sequence[str], batch_id: int
     if batch_id is None:
         out.write.mode("append").partitionBy("dt").parquet(path)
     else:
-        out.write.mode("overwrite").partitionBy("dt").parquet(os.path.join(path, f"batch={batch_id}"))
+        commits.write_batch(out, path, batch_id, run, partition_by=["dt"])
 
 
 def write_stats_jdbc(df: DataFrame, url: str, table: str, columns: Sequence[str], batch_size: int = 5,

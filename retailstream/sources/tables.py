@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retailstream.sources import commits
+
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -45,9 +48,13 @@ def read_stats(spark: SparkSession, path: str, date: str | None = None) -> DataF
     """SRC-6 + PRJ-13: read a statistics table written partitioned by ``dt``.
 
     ``date`` ('yyyy-MM-dd') becomes a partition filter, so only that day's folder
-    is listed and scanned.
+    is listed and scanned.  Of a table that micro-batches write, only the complete
+    batches are read.
     """
-    df = spark.read.parquet(path)
+    try:
+        df = commits.read_committed(spark, path)
+    except AnalysisException:   # not written in batches
+        df = spark.read.parquet(path)
     dt_type = df.schema["dt"].dataType
     if date is not None:  # compare in the discovered type so the folder filter prunes
         df = df.where(F.col("dt") == F.lit(date).cast(dt_type))

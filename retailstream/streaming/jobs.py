@@ -10,6 +10,7 @@ watermarks, +-5 s and -15 min/+2 s join bounds).
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -19,19 +20,33 @@ from pyspark.sql.types import ArrayType
 
 from retailstream.functions.timefmt import parse_ts
 from retailstream.operators import cdc, dims, logs, orders, stats
-from retailstream.schemas import DISPLAY
-from retailstream.sources import sinks
+from retailstream.schemas import COMMON, DISPLAY
+from retailstream.sources import commits, sinks
 from retailstream.sources.topics import event_time_or_ingest
 from retailstream.streaming import processors as P
 
 VISITOR_COLUMNS = ("stt", "edt", "vc", "ch", "ar", "is_new", "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum", "ts")
 
 
-def _start(df: DataFrame, name: str, checkpoint: str, batch_fn: Callable[[DataFrame, int], None],
+def _start(df: DataFrame, name: str, checkpoint: str, batch_fn: Callable[[DataFrame, int, str], None],
            trigger: dict | None = None, output_mode: str = "append") -> StreamingQuery:
+    """Start a query whose micro-batches go to ``batch_fn(rows, batch id, query id)``.
+
+    The query id is kept in the checkpoint, so it tells runs with different
+    checkpoints apart; a batch waits for it when it comes before ``start`` returns.
+    """
+    started, known = threading.Event(), []
+
+    def batch(rows: DataFrame, bid: int) -> None:
+        if not started.wait(600):
+            raise RuntimeError(f"{name}: the query did not start")
+        batch_fn(rows, bid, known[0])
     w = df.writeStream.queryName(name).outputMode(output_mode).option("checkpointLocation", checkpoint) \
-        .foreachBatch(batch_fn)
-    return (w.trigger(**trigger) if trigger else w).start()
+        .foreachBatch(batch)
+    query = (w.trigger(**trigger) if trigger else w).start()
+    known.append(str(query.id))
+    started.set()
+    return query
 
 
 # ---------------------------------------------------------------------------
@@ -47,26 +62,26 @@ def start_log_split(raw: DataFrame, out: str, checkpoint: str, ttl_ms: int | Non
     """
     clean, dirty = logs.split_dirty(logs.parse_json(raw))
     whole = F.col("log.common.mid").isNotNull() & F.col("log.ts").isNotNull()
-    flat = P.flatten_page_log(logs.flatten(clean.where(whole)))
+    flat = P.flatten_page_log(logs.flatten(clean.where(whole)), whole_common=True)
     dirty = dirty.select("seq", "value").unionByName(clean.where(~whole).select("seq", "value"))
     fixed = P.repair_new_visitor_stream(flat, ttl_ms)
 
-    def batch(df: DataFrame, bid: int) -> None:
-        df = df.persist()
+    def batch(df: DataFrame, bid: int, run: str) -> None:
+        # the repaired flag belongs to the record's common part too
+        common = F.from_json("common", COMMON).withField("is_new", F.col("is_new"))
+        df = df.withColumn("common", common).persist()
         is_start = F.col("start").isNotNull() & (F.length("start") > 0) & (F.col("start") != "null")
         sinks.write_topic(df.where(is_start).drop("page_id", "last_page_id", "item", "item_type", "during_time",
-                                                  "displays"), f"{out}/start", batch_id=bid)
+                                                  "displays"), f"{out}/start", batch_id=bid, run=run)
         pages = df.where(~is_start).drop("start")
-        sinks.write_topic(pages, f"{out}/page", batch_id=bid)
-        disp = pages.select("seq", "mid", "page_id", "ts",
-                            F.explode(F.from_json("displays", ArrayType(DISPLAY))).alias("d")).select("seq", "mid", "page_id", "ts", "d.*")
-        sinks.write_topic(disp, f"{out}/display", batch_id=bid)
+        sinks.write_topic(pages, f"{out}/page", batch_id=bid, run=run)
+        records = pages.select("seq", "common", F.struct("page_id").alias("page"),
+                               F.from_json("displays", ArrayType(DISPLAY)).alias("displays"), "ts")
+        sinks.write_topic(logs.explode_displays(records), f"{out}/display", batch_id=bid, run=run)
         df.unpersist()
 
-    dirty_q = dirty.writeStream.queryName("dwd_dirty") \
-        .option("checkpointLocation", checkpoint + "_dirty").foreachBatch(
-            lambda d, b: d.write.mode("overwrite").parquet(f"{out}/dirty/batch={b}"))
-    rejects = (dirty_q.trigger(**trigger) if trigger else dirty_q).start()
+    rejects = _start(dirty, "dwd_dirty", checkpoint + "_dirty",
+                     lambda d, b, run: commits.write_batch(d, f"{out}/dirty", b, run), trigger)
     return _start(fixed, "dwd_log_split", checkpoint, batch, trigger), rejects
 
 
@@ -77,13 +92,15 @@ def start_log_split(raw: DataFrame, out: str, checkpoint: str, ttl_ms: int | Non
 def start_unique_visit(flat_pages: DataFrame, out: str, checkpoint: str, ttl_ms: int | None = 86_400_000,
                        trigger: dict | None = None, zone: str = "UTC") -> StreamingQuery:
     uv = P.daily_unique_visit_stream(flat_pages, ttl_ms, zone)
-    return _start(uv, "dwm_unique_visit", checkpoint, lambda d, b: sinks.write_topic(d, out, batch_id=b), trigger)
+    return _start(uv, "dwm_unique_visit", checkpoint, lambda d, b, run: sinks.write_topic(d, out, batch_id=b, run=run),
+                  trigger)
 
 
 def start_user_jump(flat_pages: DataFrame, out: str, checkpoint: str, within_ms: int = 10_000,
                     delay: str = "1 second", trigger: dict | None = None) -> StreamingQuery:
     uj = P.bounce_detect_stream(flat_pages, within_ms, delay)
-    return _start(uj, "dwm_user_jump", checkpoint, lambda d, b: sinks.write_topic(d, out, batch_id=b), trigger)
+    return _start(uj, "dwm_user_jump", checkpoint, lambda d, b, run: sinks.write_topic(d, out, batch_id=b, run=run),
+                  trigger)
 
 
 # ---------------------------------------------------------------------------
@@ -122,7 +139,7 @@ def start_visitor_stats(pages: DataFrame, uv: DataFrame, uj: DataFrame, out: str
                         trigger: dict | None = None) -> StreamingQuery:
     vs = visitor_stats_stream(pages, uv, uj, window, delay)
     return _start(vs, "dws_visitor_stats", checkpoint,
-                  lambda d, b: sinks.write_stats(d, out, VISITOR_COLUMNS, batch_id=b), trigger)
+                  lambda d, b, run: sinks.write_stats(d, out, VISITOR_COLUMNS, batch_id=b, run=run), trigger)
 
 
 # ---------------------------------------------------------------------------
@@ -141,7 +158,7 @@ def keyword_stats_stream(pages: DataFrame, window: str = "10 seconds", delay: st
 def start_keyword_stats(pages: DataFrame, out: str, checkpoint: str, window: str = "10 seconds",
                         delay: str = "2 seconds", trigger: dict | None = None) -> StreamingQuery:
     return _start(keyword_stats_stream(pages, window, delay), "dws_keyword_stats", checkpoint,
-                  lambda d, b: sinks.write_stats(d, out, KEYWORD_COLUMNS, batch_id=b), trigger)
+                  lambda d, b, run: sinks.write_stats(d, out, KEYWORD_COLUMNS, batch_id=b, run=run), trigger)
 
 
 # ---------------------------------------------------------------------------
@@ -167,12 +184,12 @@ def start_order_wide(order_info: DataFrame, order_detail: DataFrame, load_dims:
     the folder again."""
     ow = order_wide_stream(order_info, order_detail, **bounds)
 
-    def batch(df: DataFrame, bid: int) -> None:
+    def batch(df: DataFrame, bid: int, run: str) -> None:
         dm = load_dims()
         x = dims.enrich_user(df, dm["user"], as_of if as_of is not None else F.current_timestamp())
         x = dims.enrich_province(x, dm["province"])
         x = dims.enrich_product(x, dm["sku"], dm["spu"], dm["trademark"], dm["category3"])
-        sinks.write_topic(x.drop("rt"), out, batch_id=bid)
+        sinks.write_topic(x.drop("rt"), out, batch_id=bid, run=run)
 
     return _start(ow, "dwm_order_wide", checkpoint, batch, trigger)
 
@@ -193,7 +210,7 @@ def start_payment_wide(payment_info: DataFrame, order_wide_rows: DataFrame, out:
                        trigger: dict | None = None, **bounds) -> StreamingQuery:
     pw = payment_wide_stream(payment_info, order_wide_rows, **bounds)
     return _start(pw, "dwm_payment_wide", checkpoint,
-                  lambda d, b: sinks.write_topic(d.drop("rt"), out, batch_id=b), trigger)
+                  lambda d, b, run: sinks.write_topic(d.drop("rt"), out, batch_id=b, run=run), trigger)
 
 
 # ---------------------------------------------------------------------------
@@ -213,7 +230,7 @@ def province_stats_stream(order_wide_rows: DataFrame, window: str = "10 seconds"
 def start_province_stats(order_wide_rows: DataFrame, out: str, checkpoint: str, window: str = "10 seconds",
                          delay: str = "2 seconds", trigger: dict | None = None) -> StreamingQuery:
     return _start(province_stats_stream(order_wide_rows, window, delay), "dws_province_stats", checkpoint,
-                  lambda d, b: sinks.write_stats(d, out, PROVINCE_COLUMNS, batch_id=b), trigger)
+                  lambda d, b, run: sinks.write_stats(d, out, PROVINCE_COLUMNS, batch_id=b, run=run), trigger)
 
 
 # ---------------------------------------------------------------------------
@@ -235,10 +252,10 @@ def start_product_stats(parts: list[DataFrame], load_dims: Callable[[], dict], o
                         trigger: dict | None = None) -> StreamingQuery:
     ps = product_stats_stream(parts, window, delay)
 
-    def batch(df: DataFrame, bid: int) -> None:
+    def batch(df: DataFrame, bid: int, run: str) -> None:
         dm = load_dims()
         x = dims.enrich_product(df, dm["sku"], dm["spu"], dm["trademark"], dm["category3"], with_price=True)
-        sinks.write_stats(x, out, PRODUCT_COLUMNS, batch_id=bid)
+        sinks.write_stats(x, out, PRODUCT_COLUMNS, batch_id=bid, run=run)
 
     return _start(ps, "dws_product_stats", checkpoint, batch, trigger)
 
@@ -251,31 +268,34 @@ def start_change_router(envelopes: DataFrame, load_config: Callable[[], DataFram
                         dims_root: str, rejects_out: str, checkpoint: str,
                         trigger: dict | None = None) -> StreamingQuery:
     """The routing config is re-read every micro-batch (the reference's
-    broadcast config stream); facts go to per-table topics, dimension rows are
-    upserted into ``dims_root/<sink_table>`` (created on first use with the
-    config's columns), unmatched rows go to a reject output."""
+    broadcast config stream): ``load_config`` gives it as it stands, or over time
+    (``cdc.config_intervals``), and then each record is routed by the config that was
+    valid when it came, on a re-run of old records too.  Facts go to per-table
+    topics, dimension rows are upserted into ``dims_root/<sink_table>`` (created on
+    first use with the config's columns), unmatched rows go to a reject output."""
     changes = cdc.drop_deletes(cdc.flatten_changes(envelopes))
 
-    def batch(df: DataFrame, bid: int) -> None:
+    def batch(df: DataFrame, bid: int, run: str) -> None:
         cfg = load_config()
-        routed = cdc.route_changes(df, cfg).persist()
+        route, configs = ((cdc.route_changes_as_of, cfg) if "valid_from" in cfg.columns
+                          else (cdc.route_changes, cdc.latest_config(cfg)))
+        routed = route(df, cfg).persist()
         r = cdc.split_routes(routed)
-        sinks.write_routed(r["fact"], facts_out, batch_id=bid)
+        sinks.write_routed(r["fact"], facts_out, batch_id=bid, run=run)
         rej = routed.where(F.col("route").isin("no_config", "unknown_sink"))
-        rej.select("route", "tableName", "type", "seq", F.to_json("data").alias("data")) \
-            .write.mode("overwrite").parquet(f"{rejects_out}/batch={bid}")
+        commits.write_batch(rej.select("route", "tableName", "type", "seq", F.to_json("data").alias("data")),
+                            rejects_out, bid, run)
         spark = df.sparkSession
-        query = spark.read.text(f"{checkpoint}/metadata").first()[0]   # the query's id: another after a reset
         # one row for each dimension table, with the columns of all its configs
-        tables = (cdc.latest_config(cfg).where(F.col("sinkType") == cdc.SINK_DIM)
+        tables = (configs.where(F.col("sinkType") == cdc.SINK_DIM)
                   .select("sinkTable", "sinkPk", F.explode(F.split("sinkColumns", ",")).alias("c"))
                   .groupBy("sinkTable").agg(F.max("sinkPk").alias("pk"), F.sort_array(F.collect_set("c")).alias("cols")))
         for row in tables.collect():
             schema = cdc.dim_schema(",".join(row["cols"]), row["pk"])
             path = f"{dims_root}/{row['sinkTable']}"
-            sinks.ensure_dim_table(spark, path, schema)
+            sinks.ensure_dim_table(spark, path, schema, row["pk"])
             rows = cdc.dim_rows(r["dim"], schema.fieldNames(), row["sinkTable"])
-            sinks.upsert_dimension_table(spark, rows, path, pk=row["pk"] or "id", token=f"{query}:{bid}")
+            sinks.upsert_dimension_table(spark, rows, path, pk=row["pk"] or "id", token=f"{run}:{bid}")
         routed.unpersist()
 
     return _start(changes, "dwd_change_router", checkpoint, batch, trigger)

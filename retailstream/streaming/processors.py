@@ -27,14 +27,16 @@ FLAT_FIELDS = ("seq", "ts", "mid", "vc", "ch", "ar", "is_new", "page_id", "last_
 FLAT_PAGE = StructType([StructField(n, L if n in ("seq", "ts", "during_time") else S) for n in FLAT_FIELDS])
 
 
-def flatten_page_log(log: DataFrame) -> DataFrame:
-    """Nested page log -> ``FLAT_PAGE`` (displays kept as JSON text)."""
+def flatten_page_log(log: DataFrame, whole_common: bool = False) -> DataFrame:
+    """Nested page log -> ``FLAT_PAGE`` (displays kept as JSON text).  ``whole_common`` adds all of
+    ``common`` as JSON text, with the fields that the flat rows leave out."""
+    more = [F.to_json("common").alias("common")] if whole_common else []
     return log.select("seq", "ts", *[F.col(f"common.{c}").alias(c) for c in ("mid", "vc", "ch", "ar", "is_new")],
                       *[F.col(f"page.{c}").alias(c) for c in ("page_id", "last_page_id", "item", "item_type",
                                                                 "during_time")],
                       F.to_json("displays").alias("displays"),
                       (F.coalesce(*[c for n, c in (("start_text", F.col("start_text")), ("start", F.to_json("start")))
-                                    if n in log.columns], F.lit(None).cast("string"))).alias("start"))
+                                    if n in log.columns], F.lit(None).cast("string"))).alias("start"), *more)
 
 
 def nest_page_log(flat: DataFrame, displays_type: DataType) -> DataFrame:
@@ -49,10 +51,10 @@ def _key(r: Row) -> tuple:
     return (r["ts"], r["seq"])
 
 
-def _replace(r: Row, **kw) -> Row:
+def _replace(r: Row, fields: tuple[str, ...] = FLAT_FIELDS, **kw) -> Row:
     d = r.asDict()
     d.update(kw)
-    return Row(**{n: d[n] for n in FLAT_FIELDS})
+    return Row(**{n: d[n] for n in fields})
 
 
 def _day(ms: int, zone: ZoneInfo) -> str:
@@ -72,22 +74,27 @@ class NewVisitorRepair(StatefulProcessor):
     keeps '1'; every later one becomes '0'.  Optional TTL (the reference keeps
     this state forever)."""
 
-    def __init__(self, ttl_ms: int | None = None):
+    def __init__(self, ttl_ms: int | None = None, fields: tuple[str, ...] = FLAT_FIELDS):
         self.ttl_ms = ttl_ms
+        self.fields = fields
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen_new", "seen boolean", self.ttl_ms)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """A visitor that a batch run has seen as new before the stream starts."""
+        self.seen.update((True,))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         seen = self.seen.exists()
         for r in sorted(rows, key=lambda x: x["seq"]):
             if r["is_new"] == "1":
                 if seen:
-                    r = _replace(r, is_new="0")
+                    r = _replace(r, self.fields, is_new="0")
                 else:
                     seen = True
                     self.seen.update((True,))
-            yield _replace(r)
+            yield _replace(r, self.fields)
 
     def close(self) -> None:
         pass
@@ -106,6 +113,10 @@ class DailyUniqueVisit(StatefulProcessor):
         self.last = handle.getValueState("last_visit_date", "dt string", self.ttl_ms)
         self.days = ZoneInfo(self.zone)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """The date of the visitor's last visit before the stream starts."""
+        self.last.update((initialState["dt"],))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         last = self.last.get()[0] if self.last.exists() else None
         for r in sorted(rows, key=lambda x: x["seq"]):
@@ -182,23 +193,87 @@ class BounceDetect(StatefulProcessor):
         pass
 
 
-def repair_new_visitor_stream(flat: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def _started(state: DataFrame | None):
+    """A batch snapshot, one row for each visitor, as the state that a stream starts with."""
+    return None if state is None else state.where(F.col("mid").isNotNull()).groupBy("mid")
+
+
+def repair_new_visitor_stream(flat: DataFrame, ttl_ms: int | None = None, seen: DataFrame | None = None) -> DataFrame:
     """Only ``is_new='1'`` rows read or write the state, so only they are
     shuffled to the per-visitor processor; every other row passes straight
-    through (a hot visitor's ordinary traffic never reaches the keyed task)."""
+    through (a hot visitor's ordinary traffic never reaches the keyed task).
+    Columns beyond ``FLAT_PAGE`` are kept.  ``seen`` (``visits.new_visitors_seen``):
+    visitors (``mid``) known as new from before, for the first start of a query."""
     flat = placed(flat)
     cand = F.col("is_new") == "1"
-    fixed = flat.where(cand).groupBy("mid").transformWithState(NewVisitorRepair(ttl_ms), FLAT_PAGE, "Append", "None")
-    return fixed.unionByName(flat.where(~cand | F.col("is_new").isNull()).select(*FLAT_FIELDS))
+    fields = tuple(dict.fromkeys([*FLAT_FIELDS, *flat.columns]))
+    schema = StructType([*FLAT_PAGE, *[flat.schema[c] for c in fields[len(FLAT_FIELDS):]]])
+    fixed = flat.where(cand).groupBy("mid").transformWithState(
+        NewVisitorRepair(ttl_ms, fields), schema, "Append", "None", initialState=_started(seen))
+    return fixed.unionByName(flat.where(~cand | F.col("is_new").isNull()).select(*fields))
 
 
-def daily_unique_visit_stream(flat: DataFrame, ttl_ms: int | None = 86_400_000, zone: str = "UTC") -> DataFrame:
+def daily_unique_visit_stream(flat: DataFrame, ttl_ms: int | None = 86_400_000, zone: str = "UTC",
+                              last_dates: DataFrame | None = None) -> DataFrame:
     """With a TTL (the default, 24 h as in the reference) state expiry needs
     processing-time mode, in which the query keeps running no-data micro-batches
-    to evaluate expiry; ``ttl_ms=None`` keeps dates forever and needs no clock."""
+    to evaluate expiry; ``ttl_ms=None`` keeps dates forever and needs no clock.
+    ``last_dates`` (``visits.last_visit_dates``): ``mid, dt`` from before, for the
+    first start of a query."""
     mode = "None" if ttl_ms is None else "ProcessingTime"
     entries = placed(flat).where(F.col("last_page_id").isNull())  # non-entry rows never emit nor touch state
-    return entries.groupBy("mid").transformWithState(DailyUniqueVisit(ttl_ms, zone), FLAT_PAGE, "Append", mode)
+    return entries.groupBy("mid").transformWithState(DailyUniqueVisit(ttl_ms, zone), FLAT_PAGE, "Append", mode,
+                                                     initialState=_started(last_dates))
+
+
+class Changelog(StatefulProcessor):
+    """CDC-2: the changes of one row's key as retractions, see ``changelog_stream``."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.now = handle.getValueState("current", "seq bigint, image map<string,string>")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """The row as a snapshot has it."""
+        self.now.update((initialState["seq"], dict(initialState["data"])))   # a map comes as pairs
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        at, image = tuple(self.now.get()) if self.now.exists() else (None, None)
+        changed = False
+        for r in sorted(rows, key=lambda x: x["seq"]):
+            if at is not None and r["seq"] <= at:
+                continue   # older than what is known: a late or repeated change
+            new = None if r["type"] == "delete" else dict(r["data"])
+            out = [] if new == image else [
+                (kind, value) for kind, value in (("-D" if new is None else "-U", image), ("+I" if image is None else "+U", new))
+                if value is not None]
+            for kind, value in out:
+                yield Row(tableName=key[0], pk=key[1], seq=r["seq"], kind=kind, data=value)
+            at, image, changed = r["seq"], new, True
+        if changed:
+            self.now.update((at, image))
+
+    def close(self) -> None:
+        pass
+
+
+CHANGELOG = "tableName string, pk string, seq bigint, kind string, data map<string,string>"
+
+
+def changelog_stream(changes: DataFrame, pk: str = "id", snapshot: DataFrame | None = None) -> DataFrame:
+    """CDC-2 on a stream of flattened changes: ``tableName, pk, seq, kind, data``.
+
+    Each change of a row takes back its image (``-U``, or ``-D`` when it is deleted)
+    and gives the new one (``+U``, or ``+I`` when there was none); a change to the
+    same image gives nothing.  By ``seq``: a change that comes after a later one of
+    its row is dropped.  ``snapshot`` (``tableName, pk, seq, data``, one row a key): the
+    rows as they are when the query starts for the first time (SRC-4).  The batch
+    form is ``cdc.changelog_retractions``.
+    """
+    from retailstream.operators.cdc import keyed_changes
+    rows = keyed_changes(changes, pk).select("tableName", "pk", "seq", "type", "data")
+    start = None if snapshot is None else snapshot.select("tableName", "pk", "seq", "data").groupBy("tableName", "pk")
+    return rows.groupBy("tableName", "pk").transformWithState(Changelog(), CHANGELOG, "Append", "None",
+                                                              initialState=start)
 
 
 def bounce_detect_stream(flat: DataFrame, within_ms: int = 10_000, delay: str = "1 second") -> DataFrame:
