@@ -16,7 +16,7 @@ from retailstream.llm.common import bound_batches, read_table, stored
 from retailstream.llm.line_dedup import dedup_lines
 from retailstream.llm.mixing import mix
 from retailstream.llm.packing import pack
-from retailstream.llm.simhash import group_firsts, with_fingerprint
+from retailstream.llm.simhash import group_firsts
 from retailstream.llm.toxicity import fit, probability
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -40,18 +40,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicate rows the one with the least id, once."""
+    """Of each group of near-duplicate rows the one with the least id, once.
+
+    The rows to keep are settled on ids, digests and fingerprints; the texts go
+    through one shuffle, to those keys.  Only where several rows have one id and
+    fingerprint are they compared, to keep the least.
+    """
     first = stored(group_firsts(docs, shingle=3, max_bits=2), "group-firsts")
-    rows = docs.select(*COLUMNS, F.col("doc_id").alias("id"))
-    one, more = first.where("n_fps = 1"), first.where("n_fps > 1")
     rest = [c for c in COLUMNS if c != "text"]
-    # an id has one fingerprint nearly always; only where it has more, its rows are fingerprinted again
-    alone = rows.join(one.select("id", "fp"), "id").select("id", "fp", F.struct("text", *rest).alias("row"))
-    again = with_fingerprint(rows.join(more.select("id").distinct(), "id", "left_semi").select(*COLUMNS), shingle=3)
-    again = again.withColumn("id", F.col("row.doc_id")).join(more.select("id", "fp"), ["id", "fp"])
-    again = again.select("id", "fp", F.struct("row.text", *[f"row.{c}" for c in rest]).alias("row"))
-    kept = alone.unionByName(again).groupBy("id", "fp").agg(F.min("row").alias("row"))
-    return kept.select(*[f"row.{c}" for c in COLUMNS]).unionByName(docs.select(*COLUMNS).where("doc_id IS NULL"))
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    rows = docs.select(*COLUMNS, F.col("doc_id").alias("id"), digest.alias("digest"))
+    kept = rows.join(first, ["id", "digest"])
+    several = kept.where("NOT alone").groupBy("id", "fp").agg(F.min(F.struct("text", *rest)).alias("row"))
+    return (kept.where("alone").select(*COLUMNS).unionByName(several.select(*[f"row.{c}" for c in COLUMNS]))
+            .unionByName(docs.select(*COLUMNS).where("doc_id IS NULL")))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
