@@ -132,12 +132,14 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     return found.distinct()
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
-    """(``id, fp`` of each row, ``fp, component, component_id`` of each fingerprint)."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, *carry: Column,
+             ) -> tuple[DataFrame, DataFrame]:
+    """(``id, fp`` and the columns ``carry`` of each row, ``fp, least, component, component_id`` of each fingerprint)."""
     bound_batches(docs)
-    base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
-    id_type = base.schema["id"].dataType.simpleString()
-    printed = stored(base.mapInArrow(_fingerprints(shingle), f"id {id_type}, fp long"), "fingerprints")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    base = docs.select(F.struct(F.col(id_col).alias("id"), *carry).alias("row"), text.cast("binary").alias("t"))
+    kind = base.schema["row"].dataType.simpleString()
+    printed = stored(base.mapInArrow(_fingerprints(shingle), f"id {kind}, fp long").select("id.*", "fp"), "fingerprints")
     classes = stored(printed.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-classes")
     reached = components(stored(links(classes, max_bits), "fingerprint-links"))
     linked = classes.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -149,26 +151,24 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits
 
 def group_firsts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                  max_bits: int = 2) -> DataFrame:
-    """The row that each group of near-duplicates is known by: ``id, fp, n_fps``, one of each component.
+    """The rows that each group of near-duplicates is known by: ``id, digest, fp, alone``.
 
-    That is the least id and its least fingerprint there; ``n_fps`` counts the fingerprints of all rows
-    with that id, of any component.  Components without any id are left out.
+    They have the group's least id and, of the fingerprints with that id in the
+    group, the least.  ``digest`` is the SHA-256 of the text (null: empty); a row of
+    ``docs`` is such a row when its id and digest are listed.  ``alone``: no other row
+    has this id and fingerprint.  Groups without any id are left out.
     """
-    printed, named = _grouped(docs, id_col, text_col, shingle, max_bits)
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    printed, named = _grouped(docs, id_col, text_col, shingle, max_bits, digest.alias("digest"))
     # the group's least id lies on the fingerprint that has it as its own least id
     first = (named.where(F.col("least") == F.col("component_id")).groupBy("component")
-             .agg(F.min("fp").alias("fp"), F.first("component_id").alias("id")))
-    n_fps = printed.where("id IS NOT NULL").distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n_fps"))
-    return first.join(n_fps, "id").select("id", "fp", "n_fps")
-
-
-def with_fingerprint(rows: DataFrame, text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``row`` (all columns) and ``fp``, its fingerprint as a long."""
-    whole = F.struct(*rows.columns)
-    kind = rows.select(whole.alias("r")).schema["r"].dataType.simpleString()
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    return rows.select(whole.alias("id"), text.alias("t")).mapInArrow(
-        _fingerprints(shingle), f"id {kind}, fp long").withColumnRenamed("id", "row")
+             .agg(F.min("fp").alias("fp"), F.first("component_id").alias("id")).select("id", "fp"))
+    rows = stored(printed.where("id IS NOT NULL").groupBy("id", "fp", "digest").agg(F.count(F.lit(1)).alias("n")),
+                  "fingerprint-rows")
+    # one row of an id and fingerprint: neither copies nor other spellings
+    n_rows = rows.groupBy("id", "fp").agg(F.sum("n").alias("n_rows")).join(first, ["id", "fp"], "left_semi")
+    return (rows.join(stored(n_rows, "fingerprint-firsts"), ["id", "fp"])
+            .select("id", "digest", "fp", (F.col("n_rows") == 1).alias("alone")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
