@@ -16,6 +16,8 @@ groups before, so one length that a third of all pieces share is spread out.
 
 from __future__ import annotations
 
+import os
+import sys
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -28,9 +30,11 @@ from pyspark.sql import functions as F
 
 from retailstream.llm.common import bound_batches, stored
 
-SLICE_BYTES = 4 << 20   # text encoded at a time in a task
+SLICE_BYTES = 1 << 20   # text encoded at a time in a task; a longer text is a slice of its own
 MAX_SALTS = 512         # groups that the pieces of one length are ranked in
-CACHE_WORDS = 300_000   # words a worker remembers; more are encoded each time
+CACHE_BYTES = 48 << 20  # words and ids that a worker remembers; it forgets them all when there are more
+CALL_WORDS = 2048       # words that the full tokenizer gets at a time: its answers are large objects
+CALL_CHARS = 1 << 16    # and characters, or one word
 
 
 class WordEncoder:
@@ -43,19 +47,41 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        # a task has one core; threads of the tokenizer would keep memory of their own
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.full = Tokenizer.from_file(path)
         self.model = self.full.model
         self.cache: dict[str, bytes] = {}
+        self.cached = 0   # bytes, about
         # the byte-level alphabet: printable Latin-1 stands for itself, other bytes for 256, 257, ...
         printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
         others = (b for b in range(256) if b not in printable)
         self.alphabet = {b: 256 + i for i, b in enumerate(others)}
 
-    def _by_tokenizer(self, words: list[str]) -> list[bytes]:
+    def _by_tokenizer(self, words: list[str]) -> Iterator[bytes]:
+        first, chars = 0, 0
+        for i, word in enumerate(words):
+            if i > first and (i - first == CALL_WORDS or chars + len(word) > CALL_CHARS):
+                yield from self._call(words[first:i])
+                first, chars = i, 0
+            chars += len(word)
+        if first < len(words):
+            yield from self._call(words[first:])
+
+    def _call(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.full.encode_batch_fast(words, add_special_tokens=False)]
 
+    def _remember(self, word: str, ids: bytes) -> None:
+        size = sys.getsizeof(word) + sys.getsizeof(ids) + 128   # and a place in the table
+        if self.cached + size > CACHE_BYTES:
+            self.cache.clear()
+            self.cached = 0
+        if size <= CACHE_BYTES:
+            self.cache[word] = ids
+            self.cached += size
+
     def _letters(self, word: str) -> bytes | None:
         """Ids of a word of Latin letters; None for any other."""
         if not word.isalpha():
@@ -73,9 +99,8 @@ class WordEncoder:
 
     def words(self, words: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each of ``words`` (distinct)."""
-        cache = self.cache
-        out = list(map(cache.get, words))
-        rest = []
+        out = list(map(self.cache.get, words))
+        rest, ends = [], {}
         for i, known in enumerate(out):
             if known is None:
                 word = words[i]
@@ -86,16 +111,14 @@ class WordEncoder:
                     continue
                 end = word[len(letters):]
                 if end:
-                    if end not in cache:
-                        cache[end] = self._by_tokenizer([end])[0]
-                    ids += cache[end]
+                    if end not in ends:
+                        ends[end] = self._call([end])[0]
+                    ids += ends[end]
                 out[i] = ids
-                if len(cache) < CACHE_WORDS:
-                    cache[word] = ids
+                self._remember(word, ids)
         for i, ids in zip(rest, self._by_tokenizer([words[i] for i in rest]), strict=True):
             out[i] = ids
-            if len(cache) < CACHE_WORDS:
-                cache[words[i]] = ids
+            self._remember(words[i], ids)
         return out
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
