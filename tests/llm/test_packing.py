@@ -122,3 +122,45 @@ def test_capacity_tree(least):
     tree.mark(4, False)
     tree.mark(5, True)
     assert tree.tightest(least) == min((c for c in (1, 5, 7) if c >= least), default=None)
+
+
+HOSTILE = """
+import resource, sys
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+from retailstream.llm.packing import CACHE_BYTES, _encoder
+encoder = _encoder(public_tokenizers.path("word_bpe_49k.json"))
+def peak():
+    return resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+before = peak()
+for turn in range(4):   # distinct words of letters and digits, 4 MB of them in one text
+    rng = np.random.default_rng(turn)
+    words = [f"{a:x}q{b}" for a, b in rng.integers(0, 1 << 30, (260_000, 2)).tolist()]
+    ids, bounds = encoder.texts(pa.array([" ".join(words)]))
+    assert encoder.cached <= CACHE_BYTES and bounds[-1] == len(ids) > len(words)
+print(before, peak())
+"""
+
+
+def test_a_worker_stays_small_on_hostile_texts():
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", HOSTILE], capture_output=True, text=True, check=True,
+                         env={**os.environ, "PYTHONPATH": root}).stdout
+    before, peak = map(float, out.split())
+    assert peak - before < 350, (before, peak)
+
+
+def test_small_calls_and_a_forgetful_cache_change_no_id(monkeypatch):
+    import public_tokenizers
+    for name, value in (("CALL_WORDS", 3), ("CALL_CHARS", 20), ("CACHE_BYTES", 2000)):
+        monkeypatch.setattr(packing, name, value)
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [*ODD, " ".join(f"a{i}b, word{i}. {'z' * (i % 40)}é" for i in range(300))] * 2
+    ids, bounds = encoder.texts(pa.array(texts))
+    for i, t in enumerate(texts):
+        assert ids[bounds[i]:bounds[i + 1]].tolist() == tokenizer_ids(t), t
+    assert encoder.cached <= 2000
