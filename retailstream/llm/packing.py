@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 
 from retailstream.llm.common import bound_batches, stored
 
-SLICE_BYTES = 1 << 20   # text encoded at a time in a task; a longer text is a slice of its own
+SLICE_BYTES = 4 << 20   # text encoded at a time in a task; a longer text is a slice of its own
 MAX_SALTS = 512         # groups that the pieces of one length are ranked in
-CACHE_BYTES = 48 << 20  # words and ids that a worker remembers; it forgets them all when there are more
+CACHE_BYTES = 48 << 20  # words and ids of a generation; a worker remembers the last two
 CALL_WORDS = 2048       # words that the full tokenizer gets at a time: its answers are large objects
 CALL_CHARS = 1 << 16    # and characters, or one word
 
@@ -53,7 +53,8 @@ class WordEncoder:
         self.full = Tokenizer.from_file(path)
         self.model = self.full.model
         self.cache: dict[str, bytes] = {}
-        self.cached = 0   # bytes, about
+        self.before: dict[str, bytes] = {}   # the generation before; its words move on when they are met
+        self.cached = 0   # bytes in ``cache``, about
         # the byte-level alphabet: printable Latin-1 stands for itself, other bytes for 256, 257, ...
         printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
         others = (b for b in range(256) if b not in printable)
@@ -76,8 +77,7 @@ class WordEncoder:
     def _remember(self, word: str, ids: bytes) -> None:
         size = sys.getsizeof(word) + sys.getsizeof(ids) + 128   # and a place in the table
         if self.cached + size > CACHE_BYTES:
-            self.cache.clear()
-            self.cached = 0
+            self.cache, self.before, self.cached = {}, self.cache, 0
         if size <= CACHE_BYTES:
             self.cache[word] = ids
             self.cached += size
@@ -104,6 +104,11 @@ class WordEncoder:
         for i, known in enumerate(out):
             if known is None:
                 word = words[i]
+                known = self.before.get(word)
+                if known is not None:
+                    out[i] = known
+                    self._remember(word, known)
+                    continue
                 letters = word.rstrip(".,")
                 ids = self._letters(letters)
                 if ids is None:
