@@ -131,6 +131,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget:
     """
     own = ["topic", "tokens", "p", "sampled"] + ["copies"] * repeats
     base = cells_of(docs.drop(*own, "_source", "_lang", "_topic", "_tokens"), text_col)
+    return mix_cells(base, id_col, budget, power, rounds, seed, targets, repeats)
+
+
+def mix_cells(base: DataFrame, id_col: str = "doc_id", budget: float = 0.6, power: float = 0.7, rounds: int = 6,
+              seed: int = 1, targets: dict[str, DataFrame] | None = None, repeats: bool = False) -> DataFrame:
+    """``mix`` of rows that have the columns of their cell already (``cells_of``); their text is not needed."""
     keys = {f"_{k}": k for k in MARGINALS}
     cells = stored(base.groupBy(*keys).agg(F.sum("_tokens").alias("tokens")).where("tokens > 0")
                    .withColumnsRenamed(keys), "mix-cells")

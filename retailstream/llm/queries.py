@@ -100,9 +100,12 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from retailstream.llm.mixing import mix
-    return mix(read_table(spark, sf_dir, "documents")).select(
-        "doc_id", "topic", "tokens", F.round("p", 6).alias("p"), "sampled")
+    from retailstream.llm.common import stored
+    from retailstream.llm.mixing import cells_of, mix_cells
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    rows = stored(cells_of(docs).drop("text"), "mix-documents")   # the texts' words are counted once
+    return mix_cells(rows, repeats=True).select(
+        "doc_id", "topic", "tokens", F.round("p", 6).alias("p"), "copies", "sampled")
 
 
 def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,12 +171,12 @@ f AS (
   SELECT m.rid, doc_id, source, len(words)::BIGINT AS n_words,
          coalesce(length(array_to_string(words, '')), 0)::BIGINT AS word_chars,
          len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
-         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         len(lines) AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
          coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM m LEFT JOIN cov USING (rid)),
 x AS (
   SELECT *, n_words < 50 AS f1, 100 * n_repeat_words > 50 * n_words AS f2,
-         10 * n_symbols > word_chars AS f3, 5 * n_dup_lines > n_words AS f4
+         10 * n_symbols > word_chars AS f3, 10 * n_dup_lines > 3 * n_lines AS f4
   FROM f),
 h AS (
   SELECT source, count(*)::DOUBLE AS n, sum(f1::INT)::DOUBLE AS c1, sum(f2::INT)::DOUBLE AS c2,
@@ -188,11 +191,12 @@ st AS (
             CASE WHEN v3 > 0 THEN greatest(m3*(1-m3)/v3 - 1, 1) ELSE 1e9 END AS s3,
             CASE WHEN v4 > 0 THEN greatest(m4*(1-m4)/v4 - 1, 1) ELSE 1e9 END AS s4 FROM mo),
 ok AS (
-  SELECT source, NOT ((c1+m1*s1)/(n+s1) > 0.5 OR (c2+m2*s2)/(n+s2) > 0.5
-                      OR (c3+m3*s3)/(n+s3) > 0.5 OR (c4+m4*s4)/(n+s4) > 0.5) AS host_ok
+  SELECT source, NOT ((c1+m1*s1)/(n+s1) > greatest(0.25, 3.0*m1) OR (c2+m2*s2)/(n+s2) > greatest(0.25, 3.0*m2)) AS host_ok,
+         (c3+m3*s3)/(n+s3) > 0.5 AS style3, (c4+m4*s4)/(n+s4) > 0.5 AS style4
   FROM h, st)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed, host_ok,
-       host_ok AND NOT (f1 OR f2) AS kept
+       (f3 AND NOT style3) OR (f4 AND NOT style4) AS style_failed,
+       host_ok AND NOT (f1 OR f2) AND NOT ((f3 AND NOT style3) OR (f4 AND NOT style4)) AS kept
 FROM x JOIN ok ON x.source IS NOT DISTINCT FROM ok.source
 """
 
@@ -211,8 +215,8 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE
 FROM j GROUP BY rid
 """
 
-# the parameters of mix(): share of tokens drawn, flattening power, raking rounds, steps of the budget
-BUDGET, POWER, ROUNDS, STEPS = 0.6, 0.7, 6, 20
+# the parameters of mix(): share of tokens drawn, flattening power, raking rounds
+BUDGET, POWER, ROUNDS = 0.6, 0.7, 6
 
 
 def _op5_sql() -> str:
@@ -223,12 +227,6 @@ def _op5_sql() -> str:
             steps.append(f"r{i}{key} AS (SELECT c.* REPLACE (weight * share / sum(weight) OVER (PARTITION BY {key}) "
                          f"AS weight) FROM {last} c JOIN t_{key} USING ({key}))")
             last = f"r{i}{key}"
-    factors = [f"f0 AS (SELECT {BUDGET} * sum(tokens) / sum(weight) AS f FROM {last})"]
-    for i in range(1, STEPS):
-        factors.append(
-            f"f{i} AS (SELECT greatest(any_value(f), coalesce(({BUDGET} * sum(tokens) - coalesce(sum(tokens) FILTER "
-            f"(WHERE f * weight / tokens >= 1), 0)) / sum(weight) FILTER (WHERE f * weight / tokens < 1), 0)) AS f "
-            f"FROM {last}, f{i - 1})")
     targets = ", ".join(
         f"t_{k} AS (SELECT {k}, pow(t, {POWER}) / sum(pow(t, {POWER})) OVER () AS share FROM "
         f"(SELECT {k}, sum(tokens)::DOUBLE AS t FROM c GROUP BY 1))" for k in ("source", "lang", "topic"))
@@ -249,12 +247,15 @@ c AS MATERIALIZED (
   FROM e WHERE tokens > 0 GROUP BY ALL),
 {targets},
 {", ".join(s.replace(" AS (", " AS MATERIALIZED (", 1) for s in steps)},
-{", ".join(s.replace(" AS (", " AS MATERIALIZED (", 1) for s in factors)},
-p AS (SELECT source, lang, topic, least(1.0, f * weight / tokens) AS p FROM {last}, f{STEPS - 1})
-SELECT doc_id, e.topic, e.tokens, round(CASE WHEN e.tokens > 0 THEN coalesce(p, 0) ELSE 0 END, 6) AS p,
-       ('0x' || substr(md5('1:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0
-         < CASE WHEN e.tokens > 0 THEN coalesce(p, 0) ELSE 0 END AS sampled
-FROM e LEFT JOIN p USING (source, lang, topic)
+f AS (SELECT {BUDGET} * sum(tokens) / sum(weight) AS f FROM {last}),
+p AS (SELECT source, lang, topic, f * weight / tokens AS p FROM {last}, f),
+x AS (
+  SELECT doc_id, e.topic, e.tokens, CASE WHEN e.tokens > 0 THEN coalesce(p, 0) ELSE 0 END AS p,
+         ('0x' || substr(md5('1:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0 AS draw
+  FROM e LEFT JOIN p USING (source, lang, topic))
+SELECT doc_id, topic, tokens, round(p, 6) AS p, (floor(p) + (draw < p - floor(p))::INT)::INT AS copies,
+       floor(p) + (draw < p - floor(p))::INT > 0 AS sampled
+FROM x
 """
 
 

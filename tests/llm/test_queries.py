@@ -168,3 +168,45 @@ def test_mix_with_repeats_meets_its_targets(spark):
             assert {r[0]: r[2] / total / 0.6 for r in rows if r[1]} == pytest.approx(want, rel=0.25)
     assert out.where("p > 1").count() and out.where("abs(copies - p) >= 1 OR sampled != (copies > 0)").count() == 0
     out.unpersist()
+
+
+def test_hosts_decide_on_their_documents(spark):
+    """A junk host is refused, a small one of the same rate spared; symbols are pardoned where they are the style."""
+    from retailstream.llm.quality_rules import judge_documents
+    good, symbols = " ".join(f"w{i}" for i in range(80)), " ".join(f"#{i} | $x" for i in range(80))
+    verse = "\n".join(["the same refrain again and again"] * 4 + [" ".join(f"v{i}x{j}" for j in range(20)) for i in range(4)])
+    rows = []
+    for h in range(40):
+        rows += [(f"h{h}", "good", good)] * 38 + [(f"h{h}", "short", "a few words")] * 1 + [(f"h{h}", "symbols", symbols)]
+    rows += [("junk", "short", "spam"), ("junk", "good", good)] * 100     # half of it junk
+    rows += [("tiny", "short", "spam"), ("tiny", "good", good)]            # half of two: no evidence
+    rows += [("tables", "symbols", symbols)] * 90 + [("tables", "good", good)] * 10
+    rows += [("songs", "verse", verse)] * 80 + [("h1", "verse", verse)]
+    docs = spark.createDataFrame([(i, t, h, k) for i, (h, k, t) in enumerate(rows)],
+                                 "doc_id long, text string, source string, kind string")
+    out = judge_documents(docs).join(docs.select("doc_id", "source", "kind"), "doc_id")
+    kept = {(r.source, r.kind): (r.n, r.kept) for r in out.groupBy("source", "kind").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert kept["junk", "good"] == (100, 0) and kept["tiny", "good"] == (1, 1)
+    assert kept["h3", "good"] == (38, 38) and kept["h3", "short"] == (1, 0) and kept["h3", "symbols"] == (1, 0)
+    assert kept["tables", "symbols"] == (90, 90) and kept["tables", "good"] == (10, 10)
+    assert kept["songs", "verse"] == (80, 80) and kept["h1", "verse"] == (1, 0)
+
+
+def test_host_verdicts_change_results_on_the_tables(spark):
+    """On the supplied tables documents of bad form go and labelled good ones stay."""
+    folder = SF_SMALL.replace("0.001", "0.01")
+    out = Q.QUERIES["op2_quality_rules"](spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id")
+    good = out.where("quality = 1 AND NOT base_failed").agg(F.avg(F.col("kept").cast("int"))).first()[0]
+    bad = out.where("style_failed").agg(F.avg("quality"), F.count(F.lit(1))).first()
+    assert good > 0.97 and bad[0] < 0.1 and bad[1] > 10
+
+
+def test_mix_query_meets_its_targets(spark):
+    from retailstream.llm.mixing import tempered_targets
+    out = Q.QUERIES["op5_mixing"](spark, SF_SMALL.replace("0.001", "0.01")).where("tokens > 0").cache()
+    total = out.agg(F.sum("tokens")).first()[0]
+    want = {r[0]: r[1] for r in tempered_targets(out.groupBy("topic").agg(F.sum("tokens").alias("tokens")), "topic", 0.7).collect()}
+    got = {r[0]: r[1] / total / 0.6 for r in out.groupBy("topic").agg(F.sum(F.col("tokens") * F.col("p"))).collect()}
+    assert got == pytest.approx(want, rel=0.02)
+    out.unpersist()
