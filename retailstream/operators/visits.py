@@ -70,12 +70,26 @@ def bounce_detect(log: DataFrame, within_ms: int = 10_000, mid: str = "common.mi
     (buckets = ``ts div bucket_ms``), so a very active visitor is spread over many
     tasks instead of one.
     """
+    return bounce_outcomes(log, within_ms, mid, seq, bucket_ms).drop("outcome", "decided_at")
+
+
+def bounce_outcomes(log: DataFrame, within_ms: int = 10_000, mid: str = "common.mid", seq: str = "seq",
+                    bucket_ms: int = HOUR_MS) -> DataFrame:
+    """ST-3 with its two outputs told apart: ``outcome`` is ``match`` where another
+    entry follows within ``within_ms``, and ``timeout`` where that time passes without
+    any record; ``decided_at`` is the time (ms) at which the outcome is certain: of the next
+    entry, or the end of the time.  Rows as in ``bounce_detect``.
+    """
     x = log.where(F.col("ts").isNotNull()).withColumn("_mid", F.col(mid)).withColumn("_lp", F.col("page.last_page_id"))
     n = with_neighbor(x, ["_mid"], ["ts", seq], F.call_function("div", F.col("ts"), F.lit(bucket_ms)),
                       ["ts", "_lp"], "next", "_next_")
     nts, nlp = F.col("_next_ts"), F.col("_next__lp")
-    stay = nts.isNotNull() & nlp.isNotNull() & ((nts - F.col("ts")) < within_ms)
-    return n.where(F.col("_lp").isNull() & ~stay).drop("_mid", "_lp", "_next_ts", "_next__lp")
+    soon = F.coalesce(nts - F.col("ts") < within_ms, F.lit(False))
+    matched = soon & nlp.isNull()
+    return (n.where(F.col("_lp").isNull() & (matched | ~soon))
+            .withColumns({"outcome": F.when(matched, "match").otherwise("timeout"),
+                          "decided_at": F.when(matched, nts).otherwise(F.col("ts") + within_ms)})
+            .drop("_mid", "_lp", "_next_ts", "_next__lp"))
 
 
 def new_visitors_seen(log: DataFrame, mid: str = "common.mid", is_new: str = "common.is_new") -> DataFrame:

@@ -575,3 +575,8 @@ SELECT table_name, pk, seq, CASE WHEN n_data IS NULL THEN '-D' ELSE '-U' END AS
 UNION ALL
 SELECT table_name, pk, seq, CASE WHEN was IS NULL THEN '+I' ELSE '+U' END, order_status, acctbal, n_data
 FROM pair WHERE n_data IS NOT NULL"""
+
+ORACLES["bounce_outcomes"] = _visits(f"""
+SELECT seq, mid, ts, CASE WHEN next_ts - ts < {BOUNCE_WITHIN_MS} THEN 'match' ELSE 'timeout' END AS outcome,
+       CASE WHEN next_ts - ts < {BOUNCE_WITHIN_MS} THEN next_ts ELSE ts + {BOUNCE_WITHIN_MS} END AS decided_at
+FROM uj""")

@@ -49,6 +49,12 @@ def q_bounce_detect(spark, sf):
     return uj.select("seq", F.col("common.mid").alias("mid"), "ts")
 
 
+def q_bounce_outcomes(spark, sf):
+    """ST-3: matches and timeouts of the pattern, and when they are certain."""
+    uj = visits.bounce_outcomes(_page_log(spark, sf), within_ms=BOUNCE_WITHIN_MS)
+    return uj.select("seq", F.col("common.mid").alias("mid"), "ts", "outcome", "decided_at")
+
+
 def visitor_stats_df(c: Catalog) -> DataFrame:
     log = page_log_df(c)
     rows = stats.visitor_measure_rows(log, visits.daily_unique_visit(log),
@@ -76,6 +82,7 @@ QUERIES = {
     "new_visitor_repair": q_new_visitor_repair,
     "daily_unique_visit": q_daily_unique_visit,
     "bounce_detect": q_bounce_detect,
+    "bounce_outcomes": q_bounce_outcomes,
     "visitor_stats": q_visitor_stats,
     "visitor_by_hour": q_visitor_by_hour,
     "visitor_by_flag": q_visitor_by_flag,
