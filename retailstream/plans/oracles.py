@@ -580,3 +580,66 @@ ORACLES["bounce_outcomes"] = _visits(f"""
 SELECT seq, mid, ts, CASE WHEN next_ts - ts < {BOUNCE_WITHIN_MS} THEN 'match' ELSE 'timeout' END AS outcome,
        CASE WHEN next_ts - ts < {BOUNCE_WITHIN_MS} THEN next_ts ELSE ts + {BOUNCE_WITHIN_MS} END AS decided_at
 FROM uj""")
+
+
+# -- pattern rules, mergeable distinct counts, dictionary words ---------------------
+FUNNEL_WITHIN_MS = 2 * DAY
+
+ORACLES["session_funnel"] = "WITH " + PAGE_LOG + f""",
+later AS (
+  SELECT seq, mid, ts, last_page_id,
+         first_value(CASE WHEN page_id = 'good_detail' THEN seq END IGNORE NULLS) OVER w AS click_seq,
+         first_value(CASE WHEN page_id = 'purchase' THEN seq END IGNORE NULLS) OVER w AS purchase_seq
+  FROM page_log
+  WINDOW w AS (PARTITION BY mid ORDER BY ts, seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+),
+steps AS (
+  SELECT s.seq, s.mid, s.ts, c.seq AS click_seq, p.seq AS purchase_seq, p.ts AS purchase_ts
+  FROM later s
+  LEFT JOIN later c ON c.seq = s.click_seq AND c.ts - s.ts < {FUNNEL_WITHIN_MS}
+  LEFT JOIN page_log p ON p.seq = c.purchase_seq AND p.ts - s.ts < {FUNNEL_WITHIN_MS}
+  WHERE s.last_page_id IS NULL
+)
+SELECT seq, mid, ts, CASE WHEN purchase_seq IS NULL THEN 'timeout' ELSE 'match' END AS outcome,
+       coalesce(purchase_ts, ts + {FUNNEL_WITHIN_MS}) AS decided_at,
+       CAST(1 + (click_seq IS NOT NULL)::INT + (purchase_seq IS NOT NULL)::INT AS INTEGER) AS reached,
+       click_seq, purchase_seq
+FROM steps"""
+
+ORACLES["brand_paid_orders"] = "WITH " + SHOP + """
+SELECT substr(payment_create_time, 1, 7) AS month, tm_id, count(DISTINCT order_id) AS paid_order_ct
+FROM pw WHERE tm_id IS NOT NULL GROUP BY ALL"""
+
+ORACLES["dictionary_keywords"] = f"""
+WITH RECURSIVE dict AS (
+  SELECT DISTINCT w FROM (
+    SELECT unnest(regexp_extract_all(lower(text), '{TOKEN_RE2}')) AS w FROM conversations WHERE role IS DISTINCT FROM 'user')
+  WHERE length(w) BETWEEN 2 AND 5
+),
+runs AS (
+  SELECT run, count(*) AS n FROM (
+    SELECT unnest(regexp_extract_all(lower(text), '{TOKEN_RE2}')) AS run FROM conversations WHERE role = 'user')
+  GROUP BY run
+),
+best AS (
+  SELECT run, pos, max(len) AS len
+  FROM (SELECT run, unnest(range(1, length(run) + 1)) AS pos FROM runs), range(2, 6) l(len)
+  WHERE pos + len - 1 <= length(run) AND substr(run, pos, len) IN (SELECT w FROM dict)
+  GROUP BY run, pos
+),
+walk(run, pos, len) AS (
+  SELECT r.run, CAST(1 AS BIGINT), b.len FROM runs r LEFT JOIN best b ON b.run = r.run AND b.pos = 1
+  UNION ALL
+  SELECT w.run, w.pos + coalesce(w.len, 1), b.len
+  FROM walk w LEFT JOIN best b ON b.run = w.run AND b.pos = w.pos + coalesce(w.len, 1)
+  WHERE w.pos + coalesce(w.len, 1) <= length(w.run)
+),
+placed AS (
+  SELECT run, pos, len, count(len) OVER (PARTITION BY run ORDER BY pos) AS before FROM walk
+),
+words AS (
+  SELECT run, substr(run, pos, len) AS keyword, true AS known FROM placed WHERE len IS NOT NULL
+  UNION ALL
+  SELECT run, substr(run, min(pos), count(*)), false FROM placed WHERE len IS NULL GROUP BY run, before
+)
+SELECT keyword, known, CAST(sum(n) AS BIGINT) AS ct FROM words JOIN runs USING (run) GROUP BY ALL"""

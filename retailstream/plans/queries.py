@@ -560,3 +560,60 @@ QUERIES.update({
     "cdc_route_as_of": q_cdc_route_as_of,
     "changelog_retractions": q_changelog_retractions,
 })
+
+
+# ---------------------------------------------------------------------------
+# pattern rules, mergeable distinct counts, dictionary words
+# ---------------------------------------------------------------------------
+
+FUNNEL_WITHIN_MS = 2 * DAY_MS
+DICTIONARY_LENGTHS = (2, 5)
+
+
+def funnel_steps():
+    from retailstream.operators.patterns import Step
+    page = F.col("page.page_id")
+    return [Step(F.col("page.last_page_id").isNull()), Step(page == "good_detail"), Step(page == "purchase")]
+
+
+def q_session_funnel(spark, sf):
+    """ST-3 / ST-4 with parameters: entry, then a product page, then a purchase; what was reached in time."""
+    from retailstream.operators import patterns
+    out = patterns.outcomes(_page_log(spark, sf), funnel_steps(), F.col("common.mid"), FUNNEL_WITHIN_MS)
+    return out.select("seq", F.col("common.mid").alias("mid"), "ts", "outcome", "decided_at", "reached",
+                      F.get("met", F.lit(1))["seq"].alias("click_seq"), F.get("met", F.lit(2))["seq"].alias("purchase_seq"))
+
+
+def q_brand_paid_orders(spark, sf):
+    """AG-2 / AG-8: paid orders by brand and month, each once, from the sets of order ids that are kept
+    beside the daily rows of the SKUs."""
+    import uuid
+
+    from retailstream.operators import distinct
+    from retailstream.sources.tables import materialize
+    c = Catalog(spark, sf)
+    rows = stats.payment_rows(pay_orders(order_core_df(c), c)).withColumn("dt", F.date_format(stats.event_time("ts"), "yyyy-MM-dd"))
+    daily = materialize(distinct.containers(rows, ["dt", "sku_id"], "paid_oid"), f"paid_orders-{uuid.uuid4().hex}")
+    brands = A.dim_sku_info(c.part).select(F.col("id").alias("_sku"), "tm_id")
+    monthly = (daily.join(brands, F.col("sku_id").cast("string") == F.col("_sku"))
+               .withColumn("month", F.substring("dt", 1, 7)))
+    by = ["month", "tm_id"]
+    return distinct.count(distinct.merge(monthly, by), by, "paid_order_ct")
+
+
+def q_dictionary_keywords(spark, sf):
+    """UDT-1 with a user dictionary: words of the searches, cut at the short words of the replies."""
+    from retailstream.functions.keywords import tokenize
+    from retailstream.operators import segment
+    log = A.search_log(Catalog(spark, sf).conversations)
+    replies = log.where(F.col("page.item_type") == "reply").select(F.explode(tokenize(F.col("page.item"))).alias("word"))
+    low, high = DICTIONARY_LENGTHS
+    words = segment.dictionary_keywords(stats.search_rows(log), replies.where(F.length("word").between(low, high)), max_len=high)
+    return words.groupBy("keyword", "known").agg(F.count(F.lit(1)).alias("ct"))
+
+
+QUERIES.update({
+    "session_funnel": q_session_funnel,
+    "brand_paid_orders": q_brand_paid_orders,
+    "dictionary_keywords": q_dictionary_keywords,
+})
