@@ -97,9 +97,10 @@ def outcomes_stream(rows: DataFrame, steps: Sequence[Step], key: Column, within_
     steps = expand(steps)
     x = rows.select(key.cast("string").alias("_key"), F.col(ts).cast("long").alias("ts"), F.col(seq).cast("long").alias("seq"),
                     F.array(*flags(steps)).alias("flags")).where("_key IS NOT NULL AND ts IS NOT NULL")
-    if not any(s.next for s in steps):
-        x = x.where(F.exists("flags", lambda f: f))
     x = x.withColumn("rt", F.timestamp_millis("ts")).withWatermark("rt", delay)
+    if not any(s.next for s in steps):
+        # named with the event time, the filter stays behind the watermark, which all rows move
+        x = x.where(F.when(F.col("rt").isNotNull(), F.exists("flags", lambda f: f)))
     out = x.groupBy("_key").transformWithState(
         PatternOutcomes([s.next for s in steps], within_ms), f"_key string, {_OUT}", "Append", "EventTime")
     return out.withColumnRenamed("_key", "key")
