@@ -10,8 +10,8 @@ cosine in double precision.
 
 Equal vectors are one class before hashing.  A bucket is cut into blocks of
 about ``BLOCK`` members by hash, and blocks are compared two by two, so that no
-task holds more than two blocks however large a bucket is.  Linked pairs are
-not emitted: a block pair sends each member's number of links, with every pair
+task holds more than two blocks however large a bucket is; crowded ones by matrix
+products.  Linked pairs are not emitted: a block pair sends each member's number of links, with every pair
 counted only at the first meeting of the two, and a spanning star of links for
 the components.
 """
@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 from retailstream.llm.common import stored
 from retailstream.llm.graph import components
 
-BLOCK = 512         # members of a bucket compared at a time, with as many others
+BLOCK = 1024        # members of a bucket compared at a time, with as many others
 PAIRS = 1 << 18     # pairs verified at a time
+CROWD = 64          # rows of a group from which on matrix products compare it
+ROUNDING = 1e-9     # of a cosine by matrix product
 
 
 @dataclass(frozen=True)
@@ -103,62 +105,94 @@ def _hashed(s: Hashing):
     return of
 
 
-def _first_meeting(a: np.ndarray, b: np.ndarray, table: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-    """Whether pairs with codes ``a`` and ``b`` meet in (table, bucket) first.
+def _first_meeting(codes: np.ndarray, i: np.ndarray, j: np.ndarray, table: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Whether the pairs (i, j), found in (table, bucket), meet there first.
 
     They meet in a table's bucket where one is at home and the other at home or
-    visiting; of several such buckets the least one is first.
+    visiting; of several such buckets the least one is first.  A pair is looked at
+    until it has met, or its own table is reached: in a crowd, after the first table.
     """
-    waiting = np.ones(len(a), bool)
-    first = np.zeros(len(a), bool)
-    never = np.iinfo(np.int64).max
-    for t in range(a.shape[1]):
-        at_a = np.where((b[:, t] == a[:, t, :1]).any(1), a[:, t, 0], never)
-        at_b = np.where((a[:, t] == b[:, t, :1]).any(1), b[:, t, 0], never)
+    first = np.zeros(len(i), bool)
+    waiting = np.arange(len(i))
+    never = np.int64(np.iinfo(np.int64).max)   # of a type: a plain number would take the type of 4-byte codes, and wrap
+    for t in range(codes.shape[1]):
+        a, b = codes[i[waiting], t], codes[j[waiting], t]
+        at_a = np.where((b == a[:, :1]).any(1), a[:, 0], never)
+        at_b = np.where((a == b[:, :1]).any(1), b[:, 0], never)
         where = np.minimum(at_a, at_b)
-        meet = waiting & (where != never)
-        first |= meet & (table == t) & (bucket == where)
-        waiting &= ~meet
+        met = where != never
+        first[waiting] = met & (table[waiting] == t) & (bucket[waiting] == where)
+        waiting = waiting[~met & (table[waiting] > t)]
+        if not len(waiting):
+            break
     return first
 
 
-def _compare(g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, least: float,
-             counts: np.ndarray, label: np.ndarray) -> None:
-    """Verify pairs (i, j): add to ``counts`` at first meetings, and pull the labels together."""
-    cos = np.einsum("ij,ij->i", g["vec"][i], g["vec"][j]) / (g["norm"][i] * g["norm"][j])
-    near = np.flatnonzero(cos >= least)
-    if not len(near):
+def _link(g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, counts: np.ndarray, label: np.ndarray) -> None:
+    """Linked pairs (i, j): those that meet here first add to ``counts`` and pull the labels together."""
+    own = _first_meeting(g["codes"], i, j, g["table"][i], g["bucket"][i])
+    i, j = i[own], j[own]
+    if not len(i):
         return
-    i, j = i[near], j[near]
-    own = _first_meeting(g["codes"][i], g["codes"][j], g["table"][i], g["bucket"][i])
-    np.add.at(counts, i[own], g["weight"][j[own]])
-    np.add.at(counts, j[own], g["weight"][i[own]])
+    # sums of whole numbers, exact in doubles
+    counts += (np.bincount(i, g["weight"][j], len(counts)) + np.bincount(j, g["weight"][i], len(counts))).astype(np.int64)
     while True:   # the larger root of each pair goes to the smaller one, until no pair has two
         a, b = label[i], label[j]
-        if (a == b).all():
+        apart = a != b
+        if not apart.any():
             return
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
         np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
         while (label != label[label]).any():
             label[:] = label[label]
 
 
-def _pairs_of(bounds: np.ndarray, g: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs i < j to compare within each group of rows, some at a time."""
+def _near(g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, least: float) -> np.ndarray:
+    """Whether the cosine of the pairs (i, j) is at least ``least``."""
+    return np.einsum("ij,ij->i", g["vec"][i], g["vec"][j]) / (g["norm"][i] * g["norm"][j]) >= least
+
+
+def _near_in_crowd(g: dict[str, np.ndarray], lo: int, hi: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs of one large group of rows, by matrix products of its two blocks (or one
+    with itself); cosines within rounding of ``least`` are computed again as for any pair."""
+    rows = np.arange(lo, hi)
+    same = g["left"][lo] == g["right"][lo]
+    left, right = (rows, rows) if same else (rows[g["block"][lo:hi] == g["left"][lo]], rows[g["block"][lo:hi] == g["right"][lo]])
+    if not len(left) or not len(right):
+        return
+    unit = (g["vec"][right] / g["norm"][right, None]).T
+    step = max(PAIRS // len(right), 1)
+    for at in range(0, len(left), step):
+        some = left[at:at + step]
+        cos = (g["vec"][some] / g["norm"][some, None]) @ unit
+        ok = (cos >= least - ROUNDING) & (g["home"][some, None] | g["home"][right])
+        if same:
+            ok &= some[:, None] < right
+        x, y = np.nonzero(ok)
+        i, j = some[x], right[y]
+        open_ = np.flatnonzero(cos[x, y] < least + ROUNDING)
+        if len(open_):
+            sure = np.ones(len(i), bool)
+            sure[open_] = _near(g, i[open_], j[open_], least)
+            i, j = i[sure], j[sure]
+        yield i, j
+
+
+def _pairs_of(groups: list[tuple[int, int]], g: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs i < j to compare within small groups of rows, some groups at a time."""
     held_i, held_j, held = [], [], 0
-    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        step = max(PAIRS // (hi - lo), 1)
-        for a in range(lo, hi, step):
-            i = np.repeat(np.arange(a, min(a + step, hi)), hi - lo)
-            j = np.tile(np.arange(lo, hi), min(a + step, hi) - a)
-            # one of the two at home, and from the two blocks that this group compares
-            ok = (i < j) & (g["home"][i] | g["home"][j]) & (
-                (g["left"][i] == g["right"][i]) | (g["block"][i] != g["block"][j]))
-            held_i.append(i[ok])
-            held_j.append(j[ok])
-            held += int(ok.sum())
-            if held >= PAIRS:
-                yield np.concatenate(held_i), np.concatenate(held_j)
-                held_i, held_j, held = [], [], 0
+    for lo, hi in groups:
+        i = np.repeat(np.arange(lo, hi), hi - lo)
+        j = np.tile(np.arange(lo, hi), hi - lo)
+        # one of the two at home, and from the two blocks that this group compares
+        ok = (i < j) & (g["home"][i] | g["home"][j]) & (
+            (g["left"][i] == g["right"][i]) | (g["block"][i] != g["block"][j]))
+        held_i.append(i[ok])
+        held_j.append(j[ok])
+        held += int(ok.sum())
+        if held >= PAIRS:
+            yield np.concatenate(held_i), np.concatenate(held_j)
+            held_i, held_j, held = [], [], 0
     if held:
         yield np.concatenate(held_i), np.concatenate(held_j)
 
@@ -191,8 +225,13 @@ def _verified(least: float, s: Hashing):
                 change[1:] |= g[c][1:] != g[c][:-1]
             bounds = np.concatenate([[0], np.flatnonzero(change), [t.num_rows]])
             counts, label = np.zeros(t.num_rows, np.int64), np.arange(t.num_rows)
-            for i, j in _pairs_of(bounds, g):
-                _compare(g, i, j, least, counts, label)
+            spans = list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
+            for i, j in _pairs_of([x for x in spans if x[1] - x[0] < CROWD], g):
+                near = _near(g, i, j, least)
+                _link(g, i[near], j[near], counts, label)
+            for lo, hi in (x for x in spans if x[1] - x[0] >= CROWD):
+                for i, j in _near_in_crowd(g, lo, hi, least):
+                    _link(g, i, j, counts, label)
             linked = np.flatnonzero((counts > 0) | (label != np.arange(len(label))))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(g["cid"][linked]), pa.array(g["cid"][label[linked]]), pa.array(counts[linked])],
