@@ -108,6 +108,29 @@ def apply(spark: SparkSession, changes: DataFrame, path: str, token: str | int |
     return no
 
 
+def has(spark: SparkSession, path: str, token: str | int) -> bool:
+    """Whether the batch named ``token`` is in the table; False also where there is no table."""
+    try:
+        return any(e["token"] == str(token) for e in runs(spark, path))
+    except AnalysisException:
+        return False
+
+
+def lookup(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
+    """The rows of ``keys`` (one column, distinct): pk, columns, ``seq``.
+
+    Buckets without any of the keys are not read, and rows of other keys go before
+    runs are merged, so what moves follows the keys, not the table.
+    """
+    entries = runs(spark, path)
+    pk = entries[0]["pk"]
+    keys = keys.select(F.col(keys.columns[0]).cast("string").alias(pk))
+    own = {r[0] for r in keys.select(_bucket(F.col(pk), entries[0]["n_buckets"])).distinct().collect()}
+    held = {b: nos for b, nos in live(entries).items() if b in own}
+    rows = _rows(spark, path, entries, held).drop("key_bucket").join(keys, pk, "left_semi")
+    return cdc.folded_state(cdc.merge_folded(rows, pk), pk)
+
+
 def read(spark: SparkSession, path: str, version: int | None = None, keys: Sequence[str] | None = None) -> DataFrame:
     """The table after run ``version`` (default: as it is): pk, columns, ``seq``.  With ``keys``, only their
     buckets are read."""
