@@ -8,6 +8,11 @@ is replaced by its second or third best.  Two vectors meet where one of them is
 at home and the other at home or visiting, and every meeting is verified by
 cosine in double precision.
 
+Vectors do not travel to their buckets: 128 signs of rotated coordinates, the
+*sketch*, do.  A pair whose sketches differ in more bits than a linked pair's could
+(six standard deviations above its mean) is no candidate, and only members with a
+candidate partner in a bucket are sent there as vectors.
+
 Equal vectors are one class before hashing.  A bucket is cut into blocks of
 about ``BLOCK`` members by hash, and blocks are compared two by two, so that no
 task holds more than two blocks however large a bucket is; crowded ones by matrix
@@ -33,6 +38,9 @@ BLOCK = 1024        # members of a bucket compared at a time, with as many other
 PAIRS = 1 << 18     # pairs verified at a time
 CROWD = 64          # rows of a group from which on matrix products compare it
 ROUNDING = 1e-9     # of a cosine by matrix product
+SKETCH = 128        # signs that go to the buckets ahead of the vectors
+NARROW = 32         # rotations of fewer coordinates have too few directions for a sketch
+BROADCAST = 500_000   # crowded buckets (three numbers each) up to which their list is broadcast
 
 
 @dataclass(frozen=True)
@@ -56,12 +64,35 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 def bucket_codes(vectors: np.ndarray, s: Hashing) -> np.ndarray:
     """(n, tables, 1 + probes): each vector's own bucket first, then those it visits."""
+    return codes_and_sketch(vectors, s)[0]
+
+
+def most_bits(dim: int, least: float, s: Hashing) -> int:
+    """Differing sketch bits up to which a pair is a candidate: a rotation's coordinate has another
+    sign in two vectors with the probability of their angle over pi."""
+    width = max(1 << (dim - 1).bit_length(), 4)
+    if width < NARROW:
+        return SKETCH
+    n = _bits_each(width, s) * s.tables * s.hashes
+    p = np.arccos(min(max(least, -1.0), 1.0)) / np.pi
+    return min(int(np.ceil(n * p + 6 * np.sqrt(n * p * (1 - p)))) + 1, SKETCH)
+
+
+def _bits_each(width: int, s: Hashing) -> int:
+    """Signs that each rotation gives to the sketch."""
+    return min(width, SKETCH // (s.tables * s.hashes))
+
+
+def codes_and_sketch(vectors: np.ndarray, s: Hashing) -> tuple[np.ndarray, np.ndarray]:
+    """``bucket_codes``, and (n, 2) longs of the signs of some rotated coordinates."""
     n, dim = vectors.shape
     width = max(1 << (dim - 1).bit_length(), 4)
     signs = np.random.default_rng([s.seed, width]).choice([-1.0, 1.0], (s.tables, s.hashes, 3, width))
     padded = np.zeros((n, width))
     padded[:, :dim] = vectors
     codes = np.empty((n, s.tables, 1 + s.probes), np.int64)
+    signs_of = np.zeros((n, SKETCH), bool)
+    bits = _bits_each(width, s)
     # a probe changes one axis to its second or third best
     changes = [(j, rank) for rank in (1, 2) for j in range(s.hashes)]
     for t in range(s.tables):
@@ -71,6 +102,8 @@ def bucket_codes(vectors: np.ndarray, s: Hashing) -> np.ndarray:
             y = padded
             for r in range(3):
                 y = hadamard(y * signs[t, j, r])
+            at = (t * s.hashes + j) * bits
+            signs_of[:, at:at + bits] = y[:, :bits] > 0
             size = np.abs(y)
             best = np.argsort(-size, axis=1, kind="stable")[:, :3]
             axes[:, j] = 2 * best + (np.take_along_axis(y, best, 1) > 0)
@@ -85,7 +118,8 @@ def bucket_codes(vectors: np.ndarray, s: Hashing) -> np.ndarray:
             changed, rank = np.array(changes)[c].T
             rows = np.arange(n)
             codes[:, t, 1 + p] = own + (axes[rows, changed, rank] - axes[rows, changed, 0]) * place[changed]
-    return codes % (2 ** 31 - 1)   # of long rows of axes; buckets that fall together are verified as one
+    # of long rows of axes; buckets that fall together are verified as one
+    return codes % (2 ** 31 - 1), np.packbits(signs_of, axis=1).view(np.int64)
 
 
 def _hashed(s: Hashing):
@@ -94,14 +128,17 @@ def _hashed(s: Hashing):
             dims = b.column("dim").to_numpy()
             vec = b.column("vec")
             codes = np.empty((len(dims), s.tables, 1 + s.probes), np.int64)
+            sketch = np.empty((len(dims), 2), np.int64)
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
                 rows = vec.take(pa.array(at)).flatten().to_numpy().reshape(len(at), dim).astype(np.float64)
-                codes[at] = bucket_codes(rows / np.linalg.norm(rows, axis=1, keepdims=True), s)
+                codes[at], sketch[at] = codes_and_sketch(rows / np.linalg.norm(rows, axis=1, keepdims=True), s)
             flat = pa.array(codes.reshape(-1).astype(np.int32))
             step = s.tables * (1 + s.probes)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(dims) + 1, dtype=np.int32) * step), flat)
-            yield pa.RecordBatch.from_arrays([*b.columns, lists], [*b.schema.names, "codes"])
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, lists, pa.array(sketch[:, 0].copy()), pa.array(sketch[:, 1].copy())],
+                [*b.schema.names, "codes", "s0", "s1"])
     return of
 
 
@@ -197,20 +234,82 @@ def _pairs_of(groups: list[tuple[int, int]], g: dict[str, np.ndarray]) -> Iterat
         yield np.concatenate(held_i), np.concatenate(held_j)
 
 
-def _verified(least: float, s: Hashing):
-    shape = (s.tables, 1 + s.probes)
+GROUP = ["dim", "table", "bucket", "left", "right"]
+
 
-    def groups(table: pa.Table, whole: bool) -> int:
-        """Rows that belong to complete groups (all of them at the end)."""
-        if whole:
-            return table.num_rows
-        keys = table.select(["dim", "table", "bucket", "left", "right"])
-        last = [c[-1].as_py() for c in keys.columns]
+def _by_groups(work):
+    """``work`` on tables of whole groups, of rows that come sorted by group in batches."""
+    def ready(table: pa.Table) -> int:
+        """Rows before the last group, which may go on in the next batch."""
         same = np.ones(table.num_rows, bool)
-        for c, v in zip(keys.columns, last, strict=True):
-            same &= c.to_numpy() == v
+        for c in table.select(GROUP).columns:
+            same &= c.to_numpy() == c[-1].as_py()
         return int(np.flatnonzero(~same)[-1]) + 1 if (~same).any() else 0
 
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append(b)
+            table = pa.Table.from_batches(held)
+            n = ready(table)
+            if n:
+                yield from work(table.slice(0, n))
+                held = table.slice(n).combine_chunks().to_batches()
+        if held:
+            yield from work(pa.Table.from_batches(held))
+    return of
+
+
+def _spans(g: dict[str, np.ndarray]) -> list[tuple[int, int]]:
+    """First and last row of each group."""
+    change = np.zeros(len(g["table"]), bool)
+    for c in GROUP[1:]:
+        change[1:] |= g[c][1:] != g[c][:-1]
+    bounds = np.concatenate([[0], np.flatnonzero(change), [len(change)]])
+    return list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
+
+
+def _candidates(least: float, s: Hashing):
+    """The rows that have a partner in their group by the sketches."""
+    def crowd(g: dict[str, np.ndarray], lo: int, hi: int, most: int, found: np.ndarray) -> None:
+        rows = np.arange(lo, hi)
+        same = g["left"][lo] == g["right"][lo]
+        left = rows if same else rows[g["block"][lo:hi] == g["left"][lo]]
+        right = rows if same else rows[g["block"][lo:hi] == g["right"][lo]]
+        if not len(left) or not len(right):
+            return
+        step = max(PAIRS // len(right), 1)
+        for at in range(0, len(left), step):
+            some = left[at:at + step]
+            near = sum(np.bitwise_count(g[c][some, None] ^ g[c][right]).astype(np.uint8) for c in ("s0", "s1")) <= most
+            near &= (g["home"][some, None] | g["home"][right]) & (some[:, None] != right)
+            found[some] |= near.any(1)
+            found[right] |= near.any(0)
+
+    def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        dims = table.column("dim").to_numpy()
+        for dim in np.unique(dims):
+            t = table.filter(pa.array(dims == dim)).combine_chunks()
+            g = {c: t.column(c).to_numpy() for c in ("table", "bucket", "block", "left", "right")}
+            g |= {c: t.column(c).to_numpy().view(np.uint64) for c in ("s0", "s1")}
+            g["home"] = t.column("home").to_numpy(zero_copy_only=False).astype(bool)
+            most, found, spans = most_bits(int(dim), least, s), np.zeros(t.num_rows, bool), _spans(g)
+            for i, j in _pairs_of([x for x in spans if 1 < x[1] - x[0] < CROWD], g):
+                near = (np.bitwise_count(g["s0"][i] ^ g["s0"][j]).astype(np.uint8)
+                        + np.bitwise_count(g["s1"][i] ^ g["s1"][j])) <= most
+                found[i[near]] = True
+                found[j[near]] = True
+            for lo, hi in (x for x in spans if x[1] - x[0] >= CROWD):
+                crowd(g, lo, hi, most, found)
+            yield from t.filter(pa.array(found)).drop_columns(["s0", "s1"]).to_batches()
+    return _by_groups(work)
+
+
+def _verified(least: float, s: Hashing):
+    shape = (s.tables, 1 + s.probes)
+
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
         dims = table.column("dim").to_numpy()
         for dim in np.unique(dims):
@@ -220,12 +319,8 @@ def _verified(least: float, s: Hashing):
             g["vec"] = _flat(t.column("vec")).reshape(-1, dim).astype(np.float64)
             g["norm"] = np.linalg.norm(g["vec"], axis=1)
             g["codes"] = _flat(t.column("codes")).reshape(-1, *shape)
-            change = np.zeros(t.num_rows, bool)
-            for c in ("table", "bucket", "left", "right"):
-                change[1:] |= g[c][1:] != g[c][:-1]
-            bounds = np.concatenate([[0], np.flatnonzero(change), [t.num_rows]])
             counts, label = np.zeros(t.num_rows, np.int64), np.arange(t.num_rows)
-            spans = list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
+            spans = _spans(g)
             for i, j in _pairs_of([x for x in spans if x[1] - x[0] < CROWD], g):
                 near = _near(g, i, j, least)
                 _link(g, i[near], j[near], counts, label)
@@ -237,20 +332,7 @@ def _verified(least: float, s: Hashing):
                 [pa.array(g["cid"][linked]), pa.array(g["cid"][label[linked]]), pa.array(counts[linked])],
                 ["u", "v", "n"])
 
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for b in batches:   # rows come sorted by group; a group may go on in the next batch
-            if not b.num_rows:
-                continue
-            held.append(b)
-            table = pa.Table.from_batches(held)
-            ready = groups(table, False)
-            if ready:
-                yield from work(table.slice(0, ready))
-                held = table.slice(ready).combine_chunks().to_batches()
-        if held:
-            yield from work(pa.Table.from_batches(held))
-    return of
+    return _by_groups(work)
 
 
 def _flat(column: pa.ChunkedArray) -> np.ndarray:
@@ -283,23 +365,29 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                              "vec", "weight", "least"), "vector-classes")
     fields = f"cid long, dim long, vec {kind}, weight long"
     hashed = stored(classes.select("cid", "dim", "vec", "weight").mapInArrow(
-        _hashed(hashing), f"{fields}, codes array<int>"), "vector-codes")
+        _hashed(hashing), f"{fields}, codes array<int>, s0 long, s1 long"), "vector-codes")
     width = 1 + hashing.probes
-    places = hashed.select("cid", "dim", F.posexplode("codes").alias("at", "bucket")).select(
+    places = hashed.select("cid", "dim", "s0", "s1", F.posexplode("codes").alias("at", "bucket")).select(
         "cid", "dim", F.expr(f"at div {width}").alias("table"), F.col("bucket").cast("long").alias("bucket"),
-        (F.col("at") % width == 0).alias("home"))
-    key = ["dim", "table", "bucket"]
-    sizes = (places.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("any_home"))
-             .where("n > 1 AND any_home").select(*key, F.ceil(F.col("n") / BLOCK).alias("n_blocks")))
-    sizes = stored(sizes, "vector-buckets")
-    placed = places.join(sizes, key).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("n_blocks")))
+        (F.col("at") % width == 0).alias("home"), "s0", "s1")
+    # only buckets of more than a block are cut; their list is short, a thirtieth of the vectors at most
+    key = GROUP[:3]
+    crowded = stored(places.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
+                     .select(*key, F.ceil(F.col("n") / BLOCK).alias("n_blocks")), "vector-crowds")
+    if crowded.count() <= BROADCAST:
+        crowded = F.broadcast(crowded)
+    n_blocks = F.coalesce("n_blocks", F.lit(1).cast("long"))
+    placed = places.join(crowded, key, "left").withColumn("n_blocks", n_blocks).withColumn(
+        "block", F.pmod(F.xxhash64("cid"), F.col("n_blocks")))
     others = F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)
     paired = placed.withColumn("other", F.explode(others)).select(
-        "cid", *key, "home", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
-    members = stored(paired, "vector-blocks")
-    group = [*key, "left", "right"]
+        "cid", *key, "home", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
+        "s0", "s1")
+    members = (paired.repartition(*GROUP).sortWithinPartitions(*GROUP)
+               .mapInArrow(_candidates(least, hashing), paired.drop("s0", "s1").schema))
+    members = stored(members, "vector-candidates")
     found = (members.join(hashed.select("cid", "vec", "weight", "codes"), "cid")
-             .repartition(*group).sortWithinPartitions(*group)
+             .repartition(*GROUP).sortWithinPartitions(*GROUP)
              .mapInArrow(_verified(least, hashing), "u long, v long, n long"))
     found = stored(found, "vector-links")
     reached = components(found.select("u", "v"))

@@ -65,3 +65,25 @@ def test_crowded_group_over_several_blocks(spark):
     assert [got[i] for i in range(n)] == [(k, 0) for k in want.tolist()]
     assert want.sum() >= 0.95 * links(v).sum()
     assert all(got[n + i] == (0, n + i) for i in range(500))
+
+
+@pytest.mark.parametrize("dim", [3, 20, 64, 384])
+@pytest.mark.parametrize("kind", ["dense", "few", "shifted"])
+def test_sketches_leave_linked_pairs_candidates(dim, kind):
+    rng = np.random.default_rng(dim)
+    n, s = 800, E.Hashing()
+    a = rng.normal(size=(n, dim)) + (5 if kind == "shifted" else 0)
+    if kind == "few":   # two components of all
+        a[:] = 0
+        a[np.arange(n), rng.integers(dim, size=n)] = 1
+        a[np.arange(n), rng.integers(dim, size=n)] += 0.5
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    off = rng.normal(size=(n, dim))
+    off -= np.einsum("ij,ij->i", off, a)[:, None] * a
+    b = 0.9 * a + np.sqrt(1 - 0.81) * off / np.linalg.norm(off, axis=1, keepdims=True)   # the least similar that link
+    x, y = (E.codes_and_sketch(v, s)[1].view(np.uint64) for v in (a, b))
+    apart = np.bitwise_count(x ^ y).sum(axis=1)
+    assert (apart <= E.most_bits(dim, 0.9, s)).all()
+    if dim >= E.NARROW and kind == "dense":   # and others are told apart
+        others = np.bitwise_count(x ^ x[rng.permutation(n)]).sum(axis=1)
+        assert (others <= E.most_bits(dim, 0.9, s)).mean() < 0.01
