@@ -8,9 +8,9 @@ is replaced by its second or third best.  Two vectors meet where one of them is
 at home and the other at home or visiting, and every meeting is verified by
 cosine in double precision.
 
-Vectors do not travel to their buckets: 128 signs of rotated coordinates, the
+Vectors do not travel to their buckets: some 250 signs of rotated coordinates, the
 *sketch*, do.  A pair whose sketches differ in more bits than a linked pair's could
-(six standard deviations above its mean) is no candidate, and only members with a
+(five standard deviations above its mean) is no candidate, and only members with a
 candidate partner in a bucket are sent there as vectors.
 
 Equal vectors are one class before hashing.  A bucket is cut into blocks of
@@ -38,7 +38,8 @@ BLOCK = 1024        # members of a bucket compared at a time, with as many other
 PAIRS = 1 << 18     # pairs verified at a time
 CROWD = 64          # rows of a group from which on matrix products compare it
 ROUNDING = 1e-9     # of a cosine by matrix product
-SKETCH = 128        # signs that go to the buckets ahead of the vectors
+SKETCH = 256        # signs that go to the buckets ahead of the vectors, at most
+WORDS = [f"s{i}" for i in range(SKETCH // 64)]
 NARROW = 32         # rotations of fewer coordinates have too few directions for a sketch
 BROADCAST = 500_000   # crowded buckets (three numbers each) up to which their list is broadcast
 
@@ -75,7 +76,7 @@ def most_bits(dim: int, least: float, s: Hashing) -> int:
         return SKETCH
     n = _bits_each(width, s) * s.tables * s.hashes
     p = np.arccos(min(max(least, -1.0), 1.0)) / np.pi
-    return min(int(np.ceil(n * p + 6 * np.sqrt(n * p * (1 - p)))) + 1, SKETCH)
+    return min(int(np.ceil(n * p + 5 * np.sqrt(n * p * (1 - p)))) + 1, SKETCH)
 
 
 def _bits_each(width: int, s: Hashing) -> int:
@@ -84,7 +85,7 @@ def _bits_each(width: int, s: Hashing) -> int:
 
 
 def codes_and_sketch(vectors: np.ndarray, s: Hashing) -> tuple[np.ndarray, np.ndarray]:
-    """``bucket_codes``, and (n, 2) longs of the signs of some rotated coordinates."""
+    """``bucket_codes``, and (n, ``SKETCH`` / 64) longs of the signs of some rotated coordinates."""
     n, dim = vectors.shape
     width = max(1 << (dim - 1).bit_length(), 4)
     signs = np.random.default_rng([s.seed, width]).choice([-1.0, 1.0], (s.tables, s.hashes, 3, width))
@@ -128,7 +129,7 @@ def _hashed(s: Hashing):
             dims = b.column("dim").to_numpy()
             vec = b.column("vec")
             codes = np.empty((len(dims), s.tables, 1 + s.probes), np.int64)
-            sketch = np.empty((len(dims), 2), np.int64)
+            sketch = np.empty((len(dims), len(WORDS)), np.int64)
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
                 rows = vec.take(pa.array(at)).flatten().to_numpy().reshape(len(at), dim).astype(np.float64)
@@ -137,8 +138,7 @@ def _hashed(s: Hashing):
             step = s.tables * (1 + s.probes)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(dims) + 1, dtype=np.int32) * step), flat)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, lists, pa.array(sketch[:, 0].copy()), pa.array(sketch[:, 1].copy())],
-                [*b.schema.names, "codes", "s0", "s1"])
+                [*b.columns, lists, *[pa.array(w.copy()) for w in sketch.T]], [*b.schema.names, "codes", *WORDS])
     return of
 
 
@@ -271,6 +271,11 @@ def _spans(g: dict[str, np.ndarray]) -> list[tuple[int, int]]:
     return list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
 
 
+def _apart(g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Differing sketch bits of rows."""
+    return sum(np.bitwise_count(g[w][i] ^ g[w][j]).astype(np.int16) for w in WORDS)
+
+
 def _candidates(least: float, s: Hashing):
     """The rows that have a partner in their group by the sketches."""
     def crowd(g: dict[str, np.ndarray], lo: int, hi: int, most: int, found: np.ndarray) -> None:
@@ -283,7 +288,7 @@ def _candidates(least: float, s: Hashing):
         step = max(PAIRS // len(right), 1)
         for at in range(0, len(left), step):
             some = left[at:at + step]
-            near = sum(np.bitwise_count(g[c][some, None] ^ g[c][right]).astype(np.uint8) for c in ("s0", "s1")) <= most
+            near = _apart(g, some[:, None], right) <= most
             near &= (g["home"][some, None] | g["home"][right]) & (some[:, None] != right)
             found[some] |= near.any(1)
             found[right] |= near.any(0)
@@ -293,17 +298,16 @@ def _candidates(least: float, s: Hashing):
         for dim in np.unique(dims):
             t = table.filter(pa.array(dims == dim)).combine_chunks()
             g = {c: t.column(c).to_numpy() for c in ("table", "bucket", "block", "left", "right")}
-            g |= {c: t.column(c).to_numpy().view(np.uint64) for c in ("s0", "s1")}
+            g |= {c: t.column(c).to_numpy().view(np.uint64) for c in WORDS}
             g["home"] = t.column("home").to_numpy(zero_copy_only=False).astype(bool)
             most, found, spans = most_bits(int(dim), least, s), np.zeros(t.num_rows, bool), _spans(g)
             for i, j in _pairs_of([x for x in spans if 1 < x[1] - x[0] < CROWD], g):
-                near = (np.bitwise_count(g["s0"][i] ^ g["s0"][j]).astype(np.uint8)
-                        + np.bitwise_count(g["s1"][i] ^ g["s1"][j])) <= most
+                near = _apart(g, i, j) <= most
                 found[i[near]] = True
                 found[j[near]] = True
             for lo, hi in (x for x in spans if x[1] - x[0] >= CROWD):
                 crowd(g, lo, hi, most, found)
-            yield from t.filter(pa.array(found)).drop_columns(["s0", "s1"]).to_batches()
+            yield from t.filter(pa.array(found)).drop_columns(WORDS).to_batches()
     return _by_groups(work)
 
 
@@ -365,11 +369,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                              "vec", "weight", "least"), "vector-classes")
     fields = f"cid long, dim long, vec {kind}, weight long"
     hashed = stored(classes.select("cid", "dim", "vec", "weight").mapInArrow(
-        _hashed(hashing), f"{fields}, codes array<int>, s0 long, s1 long"), "vector-codes")
+        _hashed(hashing), f"{fields}, codes array<int>, " + ", ".join(f"{w} long" for w in WORDS)), "vector-codes")
     width = 1 + hashing.probes
-    places = hashed.select("cid", "dim", "s0", "s1", F.posexplode("codes").alias("at", "bucket")).select(
+    places = hashed.select("cid", "dim", *WORDS, F.posexplode("codes").alias("at", "bucket")).select(
         "cid", "dim", F.expr(f"at div {width}").alias("table"), F.col("bucket").cast("long").alias("bucket"),
-        (F.col("at") % width == 0).alias("home"), "s0", "s1")
+        (F.col("at") % width == 0).alias("home"), *WORDS)
     # only buckets of more than a block are cut; their list is short, a thirtieth of the vectors at most
     key = GROUP[:3]
     crowded = stored(places.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
@@ -382,9 +386,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     others = F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)
     paired = placed.withColumn("other", F.explode(others)).select(
         "cid", *key, "home", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
-        "s0", "s1")
+        *WORDS)
     members = (paired.repartition(*GROUP).sortWithinPartitions(*GROUP)
-               .mapInArrow(_candidates(least, hashing), paired.drop("s0", "s1").schema))
+               .mapInArrow(_candidates(least, hashing), paired.drop(*WORDS).schema))
     members = stored(members, "vector-candidates")
     found = (members.join(hashed.select("cid", "vec", "weight", "codes"), "cid")
              .repartition(*GROUP).sortWithinPartitions(*GROUP)
