@@ -7,7 +7,7 @@ together.  A document is then drawn with a probability in proportion to its
 cell's weight per token, calibrated so that the expected tokens are the budget.
 Without repeats a probability ends at 1, so rare values fall short of their
 targets; with repeats the expected copies of a document may exceed 1, and the
-expected shares are the raked ones.
+expected shares are the raked ones.  Both draws can be had beside each other.
 
 Cells are a table, not a driver structure: there may be as many sources as
 hosts.  A raking step is a partial sum by one key and a join back on it.
@@ -72,26 +72,24 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int) -> DataFr
     return now
 
 
-def inclusion(cells: DataFrame, budget: float, steps: int = 20) -> DataFrame:
+def inclusion(cells: DataFrame, budget: float) -> DataFrame:
     """``cells`` (tokens, weight) with ``p``: least of 1 and a multiple of weight per token.
 
     The multiple makes the expected tokens ``budget`` times all tokens.  Cells
-    that would exceed 1 are kept whole and the rest is scaled up, until none
-    exceeds 1 (or ``steps`` times, when the last excess is cut to 1).
+    that would exceed 1 are kept whole and the rest is scaled up, until no more
+    cells do; every step but the last keeps at least one more cell whole.
     """
     per_token = F.col("weight") / F.col("tokens")
     goal = budget * (cells.agg(F.sum("tokens")).first()[0] or 0)
-    factor = None
-    for _ in range(steps):
+    factor, n_whole = None, -1
+    while True:
         whole = F.lit(False) if factor is None else F.lit(factor) * per_token >= 1
         row = cells.agg(F.sum(F.when(whole, F.col("tokens")).otherwise(0)).alias("kept"),
-                        F.sum(F.when(whole, 0.0).otherwise(F.col("weight"))).alias("free")).first()
-        if not row["free"]:
+                        F.sum(F.when(whole, 0.0).otherwise(F.col("weight"))).alias("free"),
+                        F.count_if(whole).alias("n_whole")).first()
+        if not row["free"] or row["n_whole"] <= n_whole:
             break
-        found = (goal - row["kept"]) / row["free"]
-        if factor is not None and found <= factor:
-            break
-        factor = found
+        factor, n_whole = (goal - row["kept"]) / row["free"], row["n_whole"]
     return cells.withColumn("p", F.least(F.lit(1.0), F.lit(factor or 0.0) * per_token))
 
 
@@ -111,7 +109,7 @@ def drawn(doc_id: Column, p: Column, seed: int) -> Column:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: float = 0.6,
         power: float = 0.7, rounds: int = 6, seed: int = 1,
-        targets: dict[str, DataFrame] | None = None, repeats: bool = False) -> DataFrame:
+        targets: dict[str, DataFrame] | None = None, repeats: bool = False, once: bool = False) -> DataFrame:
     """``docs`` with ``topic, tokens, p, sampled``: the raked sampling probability and the draw.
 
     ``docs`` needs ``source`` and ``lang``; ``targets`` gives target shares by
@@ -122,6 +120,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget:
     the expected number of copies and may exceed 1, the expected shares are the raked
     ones, and a column ``copies`` (int) has the number drawn: the whole part of ``p``,
     and one more with the rest as probability.  ``sampled`` then says ``copies > 0``.
+    With ``once``, the columns ``p_once, sampled_once`` have the draw without repeats too.
 
     Null sources and languages are a value of their own, ``(none)``.  Null and
     empty texts have topic ``empty``, no tokens and p = 0: they add nothing to a
@@ -129,25 +128,32 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget:
     the same id are drawn together; null ids too, as one.  Columns of ``docs`` that
     have one of the result's names are replaced.  An empty table gives no rows.
     """
-    own = ["topic", "tokens", "p", "sampled"] + ["copies"] * repeats
+    own = ["topic", "tokens", "p", "sampled"] + ["copies"] * repeats + ["p_once", "sampled_once"] * once
     base = cells_of(docs.drop(*own, "_source", "_lang", "_topic", "_tokens"), text_col)
-    return mix_cells(base, id_col, budget, power, rounds, seed, targets, repeats)
+    return mix_cells(base, id_col, budget, power, rounds, seed, targets, repeats, once)
 
 
 def mix_cells(base: DataFrame, id_col: str = "doc_id", budget: float = 0.6, power: float = 0.7, rounds: int = 6,
-              seed: int = 1, targets: dict[str, DataFrame] | None = None, repeats: bool = False) -> DataFrame:
+              seed: int = 1, targets: dict[str, DataFrame] | None = None, repeats: bool = False,
+              once: bool = False) -> DataFrame:
     """``mix`` of rows that have the columns of their cell already (``cells_of``); their text is not needed."""
     keys = {f"_{k}": k for k in MARGINALS}
     cells = stored(base.groupBy(*keys).agg(F.sum("_tokens").alias("tokens")).where("tokens > 0")
                    .withColumnsRenamed(keys), "mix-cells")
     shares = targets or {k: tempered_targets(cells, k, power) for k in MARGINALS}
     shares = {k: stored(v, f"mix-target-{k}") for k, v in shares.items()}
-    p = (expected_copies if repeats else inclusion)(rake(cells, shares, rounds), budget)
-    p = stored(p.select(*[F.col(k).alias(f"_{k}") for k in MARGINALS], "p"), "mix-probabilities")
-    out = base.join(p, list(keys), "left").withColumn("p", F.when(F.col("_tokens") > 0, F.coalesce("p", F.lit(0.0)))
-                                                      .otherwise(0.0))
+    raked = rake(cells, shares, rounds)
+    if once:
+        raked = inclusion(raked, budget).withColumnRenamed("p", "p_once")
+    p = (expected_copies if repeats else inclusion)(raked, budget)
+    chances = ["p"] + ["p_once"] * once
+    p = stored(p.select(*[F.col(k).alias(f"_{k}") for k in MARGINALS], *chances), "mix-probabilities")
+    out = base.join(p, list(keys), "left").withColumns(
+        {c: F.when(F.col("_tokens") > 0, F.coalesce(c, F.lit(0.0))).otherwise(0.0) for c in chances})
     by_id = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     if repeats:
         out = out.withColumn("copies", (F.floor("p") + drawn(by_id, F.col("p") - F.floor("p"), seed).cast("int")).cast("int"))
     out = out.withColumn("sampled", F.col("copies") > 0 if repeats else drawn(by_id, F.col("p"), seed))
+    if once:
+        out = out.withColumn("sampled_once", drawn(by_id, F.col("p_once"), seed))
     return out.withColumnsRenamed({"_topic": "topic", "_tokens": "tokens"}).drop("_source", "_lang")

@@ -104,8 +104,9 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from retailstream.llm.mixing import cells_of, mix_cells
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     rows = stored(cells_of(docs).drop("text"), "mix-documents")   # the texts' words are counted once
-    return mix_cells(rows, repeats=True).select(
-        "doc_id", "topic", "tokens", F.round("p", 6).alias("p"), "copies", "sampled")
+    return mix_cells(rows, repeats=True, once=True).select(
+        "doc_id", "topic", "tokens", F.round("p", 6).alias("p"), "copies", "sampled",
+        F.round("p_once", 6).alias("p_once"), "sampled_once")
 
 
 def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,7 +221,11 @@ BUDGET, POWER, ROUNDS = 0.6, 0.7, 6
 
 
 def _op5_sql() -> str:
-    """Raking by window sums, one step of one marginal at a time."""
+    """Raking by window sums, one step of one marginal at a time.
+
+    The factor of the draw without repeats is the largest that any number of whole cells
+    gives, in the order of weight per token: it has no number of steps.
+    """
     steps, last = [], "c"
     for i in range(ROUNDS):
         for key in ("source", "lang", "topic"):
@@ -248,13 +253,19 @@ c AS MATERIALIZED (
 {targets},
 {", ".join(s.replace(" AS (", " AS MATERIALIZED (", 1) for s in steps)},
 f AS (SELECT {BUDGET} * sum(tokens) / sum(weight) AS f FROM {last}),
-p AS (SELECT source, lang, topic, f * weight / tokens AS p FROM {last}, f),
+w AS (
+  SELECT tokens, coalesce(sum(tokens) OVER before, 0) AS kept, sum(weight) OVER rest AS free FROM {last}
+  WINDOW before AS (ORDER BY weight / tokens DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         rest AS (ORDER BY weight / tokens DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+o AS (SELECT max(({BUDGET} * (SELECT sum(tokens) FROM w) - kept) / free) AS o FROM w),
+p AS (SELECT source, lang, topic, f * weight / tokens AS p, least(1.0, o * weight / tokens) AS p_once FROM {last}, f, o),
 x AS (
   SELECT doc_id, e.topic, e.tokens, CASE WHEN e.tokens > 0 THEN coalesce(p, 0) ELSE 0 END AS p,
+         CASE WHEN e.tokens > 0 THEN coalesce(p_once, 0) ELSE 0 END AS p_once,
          ('0x' || substr(md5('1:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0 AS draw
   FROM e LEFT JOIN p USING (source, lang, topic))
 SELECT doc_id, topic, tokens, round(p, 6) AS p, (floor(p) + (draw < p - floor(p))::INT)::INT AS copies,
-       floor(p) + (draw < p - floor(p))::INT > 0 AS sampled
+       floor(p) + (draw < p - floor(p))::INT > 0 AS sampled, round(p_once, 6) AS p_once, draw < p_once AS sampled_once
 FROM x
 """
 

@@ -210,3 +210,32 @@ def test_mix_query_meets_its_targets(spark):
     got = {r[0]: r[1] / total / 0.6 for r in out.groupBy("topic").agg(F.sum(F.col("tokens") * F.col("p"))).collect()}
     assert got == pytest.approx(want, rel=0.02)
     out.unpersist()
+
+
+def test_inclusion_meets_its_budget_in_any_number_of_steps(spark):
+    """Thirty cells of which each step keeps one more whole: the budget is met, as by halving."""
+    from retailstream.llm.mixing import inclusion
+    rows = [(f"s{i}", 2 ** (30 - i), 0.2 ** i) for i in range(30)]
+    goal = sum(t for _, t, _ in rows) - 2
+    got = {r.source: r.p for r in inclusion(spark.createDataFrame(rows, "source string, tokens long, weight double"),
+                                            goal / (goal + 2)).collect()}
+    assert sum(got[s] * t for s, t, _ in rows) == pytest.approx(goal, abs=1e-3)
+    low, high = 0.0, 1e40
+    for _ in range(300):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(min(t, mid * w) for _, t, w in rows) < goal else (low, mid)
+    assert [got[s] for s, _, _ in rows] == pytest.approx([min(1.0, low * w / t) for _, t, w in rows], rel=1e-3)
+
+
+def test_mix_query_draws_without_repeats_too(spark):
+    """``p_once`` meets the budget with no document twice; cells not kept whole have one multiple of ``p``."""
+    out = Q.QUERIES["op5_mixing"](spark, SF_SMALL.replace("0.001", "0.01")).cache()
+    row = out.agg(F.sum(F.col("tokens") * F.col("p_once")).alias("e"), F.sum("tokens").alias("t"), F.max("p_once").alias("most"),
+                  F.sum(F.when(F.col("sampled_once"), F.col("tokens"))).alias("s")).first()
+    assert row.e / row.t == pytest.approx(0.6, abs=1e-4) and row.most == 1.0
+    assert row.s / row.t == pytest.approx(0.6, abs=0.1)
+    part = out.where("p_once > 0.01 AND p_once < 1").agg(F.min(F.col("p_once") / F.col("p")), F.max(F.col("p_once") / F.col("p"))).first()
+    assert part[0] == pytest.approx(part[1], rel=1e-3) and part[0] > 1
+    assert out.where("p > 1 AND NOT sampled_once").count() == 0 and out.where("sampled AND NOT sampled_once").count() == 0
+    assert out.where("sampled_once AND NOT sampled").count() > 0
+    out.unpersist()
